@@ -1,19 +1,521 @@
-"""Named queries over the driver tables, with equivalent SQL."""
+"""Named queries that run each operator over the driver tables, with equivalent SQL where SQL can express it."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-FLAGSHIP = "pricing_summary"
+from ..functions import dates, num, text
+from ..operators import constraints, dedup, funds, joins, notices, ordered, repair, statements
+from ..sources import readers, sinks
+from ..streaming import streams
+from . import metrics
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+ORACLES: dict[str, str] = {}
+FLAGSHIP = "period_metrics"
+
+
+def query(sql: str | None = None):
+    """Register a function of a table reader under its name, with its SQL."""
+
+    def register(f):
+        QUERIES[f.__name__] = lambda spark, sf_dir: f(lambda name: spark.read.parquet(f"{sf_dir}/{name}.parquet"))
+        if sql:
+            ORACLES[f.__name__] = sql
+        return f
+
+    return register
+
+
+def money(c: Column, places: int = 2) -> Column:
+    """Sums of decimals don't depend on the order of rows."""
+    return c.cast(f"decimal(18,{places})")
+
+
+UP4 = "floor({} * 10000.0 + 0.5) / 10000.0"
+
+
+# ---- periods and metrics -----------------------------------------------------------------------------------------
+
+
+@query(f"""
+WITH f AS (SELECT n_name, year(o_orderdate) AS y, CAST(sum(CAST(l_extendedprice AS DECIMAL(18,2))) AS DOUBLE) AS revenue, CAST(sum(CAST(l_extendedprice * (0.5 + l_discount) AS DECIMAL(18,4))) AS DOUBLE) AS cost_of_sales
+ FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey GROUP BY ALL)
+SELECT a.n_name, a.y AS year, {UP4.format("(a.revenue)")} AS revenue, {UP4.format("(a.revenue - abs(a.cost_of_sales))")} AS gross_profit, {UP4.format("(100.0 * ((a.revenue - abs(a.cost_of_sales)) / a.revenue))")} AS gross_margin_pct,
+ CASE WHEN b.revenue > 0 THEN {UP4.format("(100 * (a.revenue / b.revenue - 1))")} END AS net_sales_yoy_growth, true AS holds
+FROM f a LEFT JOIN f b ON a.n_name = b.n_name AND a.y = b.y + 1""")
+def period_metrics(t):
+    """Revenue, cost, filled gross profit, margin and growth by nation and year; the identity must hold."""
+    rows = t("lineitem").join(t("orders"), F.col("l_orderkey") == F.col("o_orderkey")).join(t("customer"), F.col("o_custkey") == F.col("c_custkey"))
+    sums = rows.groupBy("c_nationkey", F.year("o_orderdate").alias("year")).agg(F.sum(money(F.col("l_extendedprice"))).cast("double").alias("revenue"), F.sum(money(F.col("l_extendedprice") * (0.5 + F.col("l_discount")), 4)).cast("double").alias("cost_of_sales"))
+    sums = sums.join(F.broadcast(t("nation")), F.col("c_nationkey") == F.col("n_nationkey")).select("n_name", "year", "revenue", "cost_of_sales")
+    wide = metrics.fill(sums.withColumn("period_end", F.make_date("year", F.lit(12), F.lit(31))).withColumn("months", F.lit(12)))
+    checks = constraints.check_identities(wide, ["n_name", "year"]).where("rule = 'I1'").select("n_name", "year", "holds")
+    prior = joins.period_join(wide, wide, ["n_name"], "period_end", F.lit(12), ["revenue"], "_prior")
+    out = metrics.ratios(prior).join(checks, ["n_name", "year"])
+    up = num.round_up_half
+    return out.select("n_name", "year", up(F.col("revenue")).alias("revenue"), up(F.col("gross_profit")).alias("gross_profit"), "gross_margin_pct", "net_sales_yoy_growth", "holds")
+
+
+_MONTHS = "SELECT last_day(CAST(o_orderdate AS DATE)) AS period_end, CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS total FROM orders GROUP BY 1"
+
+
+def _months(t) -> DataFrame:
+    return t("orders").groupBy(F.last_day(F.to_date("o_orderdate")).alias("period_end")).agg(F.sum(money(F.col("o_totalprice"))).cast("double").alias("total")).withColumn("k", F.lit(1))
+
+
+@query(f"WITH m AS ({_MONTHS}) SELECT a.period_end, a.total, {UP4.format('(100 * (a.total / b.total - 1))')} AS growth FROM m a LEFT JOIN m b ON b.total > 0 AND b.period_end = last_day(a.period_end - INTERVAL 12 MONTH)")
+def yoy_growth_positive_base(t):
+    return joins.growth(_months(t), ["k"], "period_end", 12, "total", "g").select("period_end", "total", num.round_up_half(F.col("g")).alias("growth"))
+
+
+@query(f"WITH m AS ({_MONTHS}) SELECT a.period_end, a.total, b.total AS opening, {UP4.format('((a.total + b.total) / 2)')} AS average FROM m a LEFT JOIN m b ON b.period_end = last_day(a.period_end - INTERVAL 3 MONTH)")
+def opening_closing_average(t):
+    m = _months(t)
+    j = joins.period_join(m, m, ["k"], "period_end", F.lit(3), ["total"], "_opening")
+    return j.select("period_end", "total", F.col("total_opening").alias("opening"), num.round_up_half((F.col("total") + F.col("total_opening")) / 2).alias("average"))
+
+
+@query("SELECT DISTINCT last_day(CAST(l_shipdate AS DATE)) AS period_end FROM lineitem WHERE last_day(CAST(l_shipdate AS DATE)) NOT IN (SELECT last_day(CAST(o_orderdate AS DATE)) FROM orders)")
+def balance_only_periods(t):
+    return joins.balance_only(t("lineitem").select(F.last_day(F.to_date("l_shipdate")).alias("period_end")), t("orders").select(F.last_day(F.to_date("o_orderdate")).alias("period_end")), ["period_end"])
+
+
+@query("SELECT o_orderkey, CASE WHEN d = last_day(d) THEN last_day(d + INTERVAL 7 MONTH) ELSE CAST(d + INTERVAL 7 MONTH AS DATE) END AS shifted, CAST(CASE WHEN (month(d) - 6 + 12) % 12 = 0 THEN 12 ELSE (month(d) - 6 + 12) % 12 END AS INTEGER) AS months FROM (SELECT o_orderkey, CAST(o_orderdate AS DATE) AS d FROM orders)")
+def shifted_months(t):
+    d = F.to_date("o_orderdate")
+    return t("orders").select("o_orderkey", dates.shift_months(d, 7).alias("shifted"), dates.months_since_year_end(F.month(d), F.lit(6)).cast("int").alias("months"))
+
+
+@query("""
+WITH b AS (SELECT DISTINCT user_id, event_type FROM events), u AS (SELECT DISTINCT user_id FROM b), i AS (SELECT unnest(['click', 'error', 'purchase', 'signup', 'view', 'other']) AS event_type)
+SELECT u.user_id, i.event_type, c.n FROM u CROSS JOIN i LEFT JOIN (SELECT user_id, event_type, count(*) AS n FROM events GROUP BY ALL) c USING (user_id, event_type)""")
+def dense_items(t):
+    e = t("events")
+    counts = e.groupBy("user_id", "event_type").agg(F.count("*").alias("n"))
+    return joins.dense(e, ["click", "error", "purchase", "signup", "view", "other"], counts, ["user_id"], "event_type", "n")
+
+
+@query(f"""
+WITH f AS (SELECT l_suppkey, CAST(sum(CAST(l_extendedprice AS DECIMAL(18,2))) AS DOUBLE) AS revenue, CAST(sum(CAST(l_quantity * 30 AS DECIMAL(18,2))) AS DOUBLE) AS cost_of_sales, CAST(sum(CAST(l_extendedprice * l_tax AS DECIMAL(18,4))) AS DOUBLE) AS taxation,
+ CAST(sum(CAST(l_extendedprice * l_discount AS DECIMAL(18,4))) AS DOUBLE) AS operating_expenses, CAST(count(*) * 1000 AS DOUBLE) AS total_assets, CAST(count(DISTINCT l_partkey) * 400 AS DOUBLE) AS total_liabilities FROM lineitem GROUP BY l_suppkey),
+g AS (SELECT *, revenue - abs(cost_of_sales) AS gp, total_assets - total_liabilities AS eq FROM f), h AS (SELECT *, gp - operating_expenses + 0.0 AS op FROM g)
+SELECT l_suppkey, {UP4.format("(gp / revenue)")} AS gross_income_margin, {UP4.format("(100.0 * (op / revenue))")} AS operating_margin_pct, {UP4.format("(100.0 * (cost_of_sales / revenue))")} AS cogs_to_sales,
+ CASE WHEN total_liabilities <> 0 THEN {UP4.format("(total_assets / total_liabilities)")} END AS invested_assets_to_liabilities, CASE WHEN total_assets <> 0 THEN {UP4.format("(100.0 * (eq / total_assets))")} END AS equity_to_assets, CAST(NULL AS DOUBLE) AS float_shares FROM h""")
+def ratio_catalogue(t):
+    li = t("lineitem")
+    wide = li.groupBy("l_suppkey").agg(
+        F.sum(money(F.col("l_extendedprice"))).cast("double").alias("revenue"), F.sum(money(F.col("l_quantity") * 30)).cast("double").alias("cost_of_sales"), F.sum(money(F.col("l_extendedprice") * F.col("l_tax"), 4)).cast("double").alias("taxation"),
+        F.sum(money(F.col("l_extendedprice") * F.col("l_discount"), 4)).cast("double").alias("operating_expenses"), (F.count("*") * 1000).cast("double").alias("total_assets"), (F.count_distinct("l_partkey") * 400).cast("double").alias("total_liabilities"),
+    ).withColumn("months", F.lit(12))
+    return metrics.ratios(metrics.fill(wide)).select("l_suppkey", "gross_income_margin", "operating_margin_pct", "cogs_to_sales", "invested_assets_to_liabilities", "equity_to_assets", "float_shares")
+
+
+# ---- row selection and grouping ----------------------------------------------------------------------------------
+
+
+@query("SELECT user_id, event_type, event_id, value FROM (SELECT *, row_number() OVER (PARTITION BY user_id, event_type ORDER BY event_id) AS n FROM events) WHERE n = 1")
+def keep_first(t):
+    return dedup.keep_first(t("events").select("user_id", "event_type", "event_id", "value"), ["user_id", "event_type"], "event_id")
+
+
+@query("SELECT user_id, event_type, event_id, value FROM (SELECT *, row_number() OVER (PARTITION BY user_id, event_type ORDER BY value DESC, event_id) AS n FROM events) WHERE n = 1")
+def keep_best(t):
+    return dedup.keep_best(t("events").select("user_id", "event_type", "event_id", "value"), ["user_id", "event_type"], "value", "event_id")
+
+
+@query("SELECT user_id, event_type, event_id, value, ts FROM (SELECT *, row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts DESC, event_id DESC) AS n FROM events) WHERE n = 1")
+def keep_latest(t):
+    return dedup.keep_latest(t("events").select("user_id", "event_type", "event_id", "value", "ts"), ["user_id", "event_type"], "ts", "event_id")
+
+
+@query("SELECT o_orderkey, CASE WHEN o_orderkey % 3 = 0 AND o_orderkey % 2 = 0 OR o_orderkey % 3 <> 0 THEN 'old' ELSE 'new' END AS origin FROM orders WHERE o_orderkey % 3 = 0 OR o_orderkey % 5 <> 0")
+def merge_latest(t):
+    """Newer rows (every third order, a day earlier where even) against older ones: the later wins, ties go to the new."""
+    o = t("orders")
+    day = F.to_date("o_orderdate")
+    old = o.where("o_orderkey % 5 <> 0 or (o_orderkey % 3 = 0 and o_orderkey % 2 = 0)").select("o_orderkey", day.alias("at"), F.lit("old").alias("origin"))
+    new = o.where("o_orderkey % 3 = 0").select("o_orderkey", F.when(F.col("o_orderkey") % 2 == 0, F.date_sub(day, 1)).otherwise(day).alias("at"), F.lit("new").alias("origin"))
+    return dedup.merge_latest(old, new, ["o_orderkey"], "at").select("o_orderkey", "origin")
+
+
+@query("SELECT l_partkey, l_suppkey, count(DISTINCT l_discount) AS n_values, count(*) AS n_rows FROM lineitem GROUP BY ALL HAVING count(DISTINCT l_discount) > 1")
+def conflicting_rows(t):
+    return dedup.ambiguous(t("lineitem"), ["l_partkey", "l_suppkey"], ["l_discount"])
+
+
+@query("SELECT l_orderkey, l_linenumber FROM (SELECT l_orderkey, l_linenumber, count(*) OVER (PARTITION BY l_orderkey, l_quantity) AS n FROM lineitem) WHERE n = 1")
+def column_collision(t):
+    return dedup.without_collisions(t("lineitem").select("l_orderkey", "l_linenumber", "l_quantity"), ["l_orderkey"], ["l_quantity"]).select("l_orderkey", "l_linenumber")
+
+
+@query("SELECT l_partkey, max(l_extendedprice / (l_quantity + 1)) AS low, min(l_extendedprice / l_quantity) AS high, count(*) AS n, max(l_extendedprice / (l_quantity + 1)) <= min(l_extendedprice / l_quantity) AS agrees FROM lineitem GROUP BY l_partkey HAVING count(*) >= 2")
+def interval_overlap(t):
+    li = t("lineitem").select("l_partkey", (F.col("l_extendedprice") / (F.col("l_quantity") + 1)).alias("lo"), (F.col("l_extendedprice") / F.col("l_quantity")).alias("hi"))
+    return dedup.intersecting(li, ["l_partkey"], "lo", "hi")
+
+
+@query("SELECT lang, n_chars, count(DISTINCT source) AS n_sources, count(DISTINCT text) AS n_values FROM documents GROUP BY ALL HAVING count(DISTINCT source) >= 2 AND count(DISTINCT text) > 1")
+def cross_filing_disagreement(t):
+    return dedup.disagreements(t("documents"), ["lang", "n_chars"], "source", "text")
+
+
+@query("SELECT event_type, count(*) AS n, count(*) FILTER (value > 10) AS large, count(*) FILTER (user_id % 2 = 0) AS even FROM events GROUP BY ROLLUP (event_type)")
+def counters_rollup(t):
+    return dedup.counters(t("events"), ["event_type"], {"large": F.col("value") > 10, "even": F.col("user_id") % 2 == 0})
+
+
+@query("""
+WITH p AS (SELECT *, p_partkey % 4 = 0 AS printed, CASE WHEN p_brand IN (SELECT min(p_brand) FROM part) THEN 1000 ELSE p_size END AS unit FROM part),
+u AS (SELECT p_brand, min(unit) AS lo, max(unit) AS hi FROM p WHERE printed GROUP BY 1)
+SELECT p_partkey, CAST(CASE WHEN printed THEN unit WHEN lo = hi THEN lo END AS INTEGER) AS unit_used FROM p LEFT JOIN u USING (p_brand)""")
+def unit_inherit(t):
+    p = t("part")
+    one = p.agg(F.min("p_brand").alias("b"))
+    p = p.join(F.broadcast(one), F.col("p_brand") == F.col("b"), "left").select("p_partkey", "p_brand", (F.col("p_partkey") % 4 == 0).alias("printed"), F.when(F.col("b").isNotNull(), 1000).otherwise(F.col("p_size")).alias("unit"))
+    return dedup.inherit_unit(p, "p_brand", "unit", "printed").select("p_partkey", F.col("unit_used").cast("int").alias("unit_used"))
+
+
+@query("SELECT l_returnflag, list_sort(list(l_quantity))[CAST(floor(count(*) / 2) AS BIGINT) + 1] AS median, count(*) AS n FROM lineitem GROUP BY 1")
+def floor_median(t):
+    return dedup.floor_median(t("lineitem"), ["l_returnflag"], "l_quantity").select("l_returnflag", "median", F.col("n").cast("long").alias("n"))
+
+
+@query("""
+WITH d AS (SELECT DISTINCT o_orderpriority, date_diff('day', DATE '1970-01-01', CAST(o_orderdate AS DATE)) AS v FROM orders WHERE o_orderkey % 7 = 0)
+SELECT o_orderpriority, min(v) AS first, max(v) AS last, count(*) AS n FROM (SELECT *, v - row_number() OVER (PARTITION BY o_orderpriority ORDER BY v) AS g FROM d) GROUP BY o_orderpriority, g""")
+def contiguous_ranges(t):
+    o = t("orders").where("o_orderkey % 7 = 0").select("o_orderpriority", F.datediff(F.to_date("o_orderdate"), F.lit("1970-01-01").cast("date")).cast("long").alias("v"))
+    return dedup.contiguous(o, ["o_orderpriority"], "v")
+
+
+@query("SELECT c_nationkey, c_custkey, c_acctbal, CAST(n AS INTEGER) AS place FROM (SELECT *, row_number() OVER (PARTITION BY c_nationkey ORDER BY c_acctbal DESC, c_custkey) AS n FROM customer) WHERE n <= 3")
+def topk_per_group(t):
+    return dedup.top_k(t("customer").select("c_nationkey", "c_custkey", "c_acctbal"), ["c_nationkey"], [F.col("c_acctbal").desc(), F.col("c_custkey")], 3)
+
+
+@query("SELECT user_id, list(event_type ORDER BY f)[1:3] AS checks FROM (SELECT user_id, event_type, min(event_id) AS f FROM events GROUP BY ALL) GROUP BY user_id")
+def distinct_checks(t):
+    first = t("events").groupBy("user_id", "event_type").agg(F.min("event_id").alias("event_id"))
+    return dedup.distinct_checks(first, ["user_id"], "event_id", "event_type", 3)
+
+
+# ---- joins -------------------------------------------------------------------------------------------------------
+
+
+@query("""
+WITH v AS (SELECT user_id, ts, max(value) AS value FROM events WHERE event_type = 'view' GROUP BY ALL)
+SELECT p.event_id, p.user_id, CASE WHEN v.ts >= p.ts - INTERVAL 10 DAY THEN v.value END AS value FROM (SELECT * FROM events WHERE event_type = 'purchase') p ASOF LEFT JOIN v ON p.user_id = v.user_id AND p.ts >= v.ts""")
+def asof_latest_within_gap(t):
+    e = t("events")
+    return joins.as_of(e.where("event_type = 'purchase'").select("event_id", "user_id", "ts"), e.where("event_type = 'view'").select("user_id", "ts", "value"), ["user_id"], "ts", "ts", "value", 10).select("event_id", "user_id", "value")
+
+
+@query("""
+SELECT p.event_id, (SELECT max_by('v' || v.event_id, (v.ts, v.event_id)) FROM events v WHERE v.event_type = 'view' AND v.user_id = p.user_id AND v.ts < p.ts) AS name FROM events p WHERE event_type = 'purchase'""")
+def section_lookup(t):
+    e = t("events")
+    views = e.where("event_type = 'view'").groupBy("user_id", "ts").agg(F.concat(F.lit("v"), F.max("event_id").cast("string")).alias("name"))
+    return joins.section_of(e.where("event_type = 'purchase'").select("event_id", "user_id", "ts"), views.withColumnRenamed("ts", "last"), ["user_id"], "ts", "last", "name").select("event_id", "name")
+
+
+@query("""
+WITH a AS (SELECT c_nationkey AS k, count(*) AS nav, CASE WHEN c_nationkey % 3 = 0 THEN '' ELSE 'c' END AS name FROM customer WHERE c_nationkey % 5 <> 0 GROUP BY 1),
+b AS (SELECT s_nationkey AS k, count(*) AS nav, 's' AS name FROM supplier WHERE s_nationkey % 4 <> 0 GROUP BY 1)
+SELECT coalesce(a.k, b.k) AS k, coalesce(nullif(a.name, ''), nullif(b.name, ''), '') AS name, CASE WHEN a.k IS NOT NULL THEN a.nav ELSE b.nav END AS nav, n_name
+FROM a FULL JOIN b ON a.k = b.k LEFT JOIN nation ON n_nationkey = coalesce(a.k, b.k)""")
+def merge_pages_by_key(t):
+    a = t("customer").where("c_nationkey % 5 <> 0").groupBy(F.col("c_nationkey").alias("k")).agg(F.count("*").alias("nav")).withColumn("name", F.when(F.col("k") % 3 == 0, "").otherwise("c"))
+    b = t("supplier").where("s_nationkey % 4 <> 0").groupBy(F.col("s_nationkey").alias("k")).agg(F.count("*").alias("nav")).withColumn("name", F.lit("s"))
+    return joins.merge_by_key(a, b, t("nation").select(F.col("n_nationkey").alias("k"), "n_name"), "k", ["name"], ["nav"])
+
+
+@query("""
+SELECT o_orderstatus, count(*) AS expected, count(*) FILTER (o_orderkey % 4 <> 0 AND o_orderkey % 9 <> 0) AS correct, count(*) FILTER (o_orderkey % 4 <> 0 AND o_orderkey % 9 = 0) AS wrong, count(*) FILTER (o_orderkey % 4 = 0) AS missing FROM orders GROUP BY 1""")
+def score_against_key(t):
+    o = t("orders").select("o_orderkey", "o_orderstatus", F.col("o_totalprice").alias("value"))
+    actual = o.where("o_orderkey % 4 <> 0").select("o_orderkey", (F.col("value") + F.when(F.col("o_orderkey") % 9 == 0, 1.0 + F.col("value") * 0.01).otherwise(0.001)).alias("value"))
+    return joins.score(o, actual, ["o_orderkey"], ["o_orderstatus"])
+
+
+_RULES = (("steel", r"(?i)steel"), ("early", r"(?i)^[a-f]"), ("digit", r"[0-9]{3}"), ("any", r"."))
+
+
+@query("SELECT p_partkey, CASE WHEN regexp_matches(p_name, '(?i)steel') THEN 'steel' WHEN regexp_matches(p_name, '(?i)^[a-f]') THEN 'early' WHEN regexp_matches(p_name, '[0-9]{3}') THEN 'digit' WHEN regexp_matches(p_name, '.') THEN 'any' END AS item FROM part")
+def first_match(t):
+    return joins.first_match(t("part"), "p_name", _RULES).select("p_partkey", "item")
+
+
+@query("SELECT url, substr(sha256(url), 1, 32) AS key, page_id % 3 <> 0 AS hit FROM pages")
+def hash_key_cache_hit(t):
+    p = t("pages").select("page_id", "url", text.record_key(F.col("url")).alias("key"))
+    hits, misses = joins.cache_plan(p, p.select("key", F.col("page_id").alias("other")), "key", F.col("other") % 3 != 0)
+    return hits.select("url", "key", F.lit(True).alias("hit")).unionByName(misses.select("url", "key", F.lit(False).alias("hit")))
+
+
+# ---- ordered operators -------------------------------------------------------------------------------------------
+
+
+@query("SELECT event_id, last_value(CASE WHEN event_type = 'purchase' THEN value END IGNORE NULLS) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS carried FROM events")
+def carry_forward(t):
+    return ordered.carry(t("events"), ["user_id"], ["ts", "event_id"], {"carried": F.when(F.col("event_type") == "purchase", F.col("value"))}).select("event_id", "carried")
+
+
+@query("""
+WITH s AS (SELECT *, sum(CASE WHEN event_type = 'view' THEN 1 ELSE 0 END) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS s FROM events),
+p AS (SELECT *, row_number() OVER (PARTITION BY user_id, s ORDER BY ts, event_id) AS p, coalesce(sum(CASE WHEN event_type = 'error' THEN 1 ELSE 0 END) OVER (PARTITION BY user_id, s ORDER BY ts, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS closed FROM s)
+SELECT event_id, CAST(CASE WHEN s > 0 AND closed = 0 AND p <= 3 THEN s END AS BIGINT) AS section FROM p""")
+def section_state(t):
+    return ordered.sections(t("events"), ["user_id"], ["ts", "event_id"], F.col("event_type") == "view", F.col("event_type") == "error", 3).select("event_id", "section")
+
+
+@query("""
+WITH n AS (SELECT l_orderkey, count(*) AS n FROM lineitem GROUP BY 1)
+SELECT l_orderkey, CAST(l_linenumber AS INTEGER) AS row, CAST(NULL AS INTEGER) AS total_of FROM lineitem UNION ALL SELECT l_orderkey, 100, CAST(CASE WHEN n >= 2 THEN n END AS INTEGER) FROM n""")
+def running_total_confirm(t):
+    """Each order's lines with their printed total below: the total is confirmed as the sum of all its lines."""
+    li = t("lineitem").select("l_orderkey", F.col("l_linenumber").cast("int").alias("row"), (F.col("l_extendedprice") * 1000 + F.col("l_linenumber") * 7).alias("v"))
+    totals = li.groupBy("l_orderkey").agg(F.sum("v").alias("v")).select("l_orderkey", F.lit(100).alias("row"), "v")
+    return ordered.running_totals(li.unionByName(totals), ["l_orderkey"], "row", "v", 0.01).select("l_orderkey", "row", "total_of")
+
+
+# ---- constraints and repair --------------------------------------------------------------------------------------
+
+
+@query("""
+SELECT l_orderkey, CAST(CASE WHEN l_orderkey % 6 = 0 THEN NULL WHEN l_orderkey % 7 = 0 THEN -900 ELSE 0 END AS DOUBLE) AS residual, CASE WHEN l_orderkey % 6 <> 0 THEN l_orderkey % 7 <> 0 END AS holds FROM (SELECT DISTINCT l_orderkey FROM lineitem)""")
+def identity_residual(t):
+    """Lines minus their total, where every seventh total is misread and every sixth unreadable."""
+    li = t("lineitem").groupBy("l_orderkey", F.col("l_linenumber").cast("int").alias("cell")).agg(F.max(F.floor(F.col("l_extendedprice")).cast("double")).alias("value"))
+    total = li.groupBy("l_orderkey").agg(F.sum("value").alias("s")).select("l_orderkey", F.lit(-1).alias("cell"), F.when(F.col("l_orderkey") % 6 != 0, F.col("s") + F.when(F.col("l_orderkey") % 7 == 0, 900.0).otherwise(0.0)).alias("value"))
+    cells = li.unionByName(total)
+    terms = cells.select("l_orderkey", "cell", F.when(F.col("cell") == -1, -1.0).otherwise(1.0).alias("sign"), F.lit(False).alias("magnitude"), F.lit(1.0).alias("scale"))
+    return constraints.residuals(terms, cells, ["l_orderkey"], ["l_orderkey", "cell"]).select("l_orderkey", "residual", "holds")
+
+
+@query("SELECT o_orderkey, CASE o_orderkey % 5 WHEN 1 THEN 1000.0 WHEN 2 THEN 1000000.0 WHEN 3 THEN 0.001 END AS factor FROM orders WHERE o_orderkey % 5 IN (1, 2, 3)")
+def unit_mismatch(t):
+    p = F.floor("o_totalprice").cast("double")
+    f = F.element_at(F.create_map(*[F.lit(x) for x in (0, 1.0, 1, 1e3, 2, 1e6, 3, 1e-3, 4, 37.0)]), (F.col("o_orderkey") % 5).cast("int"))
+    pairs = t("orders").select("o_orderkey", p.alias("a"), (p * f).alias("b"))
+    return constraints.unit_mismatches(pairs, "a", "b").select("o_orderkey", "factor")
+
+
+@query("SELECT l_orderkey, l_linenumber, unnest(list_filter([CASE WHEN l_discount > 0.09 THEN 'discount' END, CASE WHEN l_quantity >= 50 THEN 'quantity' END, CASE WHEN l_tax = 0 THEN 'tax' END], lambda x: x IS NOT NULL)) AS flag FROM lineitem")
+def plausibility_flags(t):
+    return constraints.plausibility(t("lineitem"), {"discount": F.col("l_discount") > 0.09, "quantity": F.col("l_quantity") >= 50, "tax": F.col("l_tax") == 0}, ["l_orderkey", "l_linenumber"])
+
+
+@query("SELECT c_custkey, CASE WHEN c_custkey % 2 = 0 THEN abs(floor(c_acctbal)) ELSE floor(c_acctbal) END AS value, c_custkey % 2 <> 0 AND floor(c_acctbal) < 0 AS dropped FROM customer")
+def signed_values(t):
+    v = t("customer").select("c_custkey", F.when(F.col("c_custkey") % 2 == 0, "cost").otherwise("asset").alias("item"), F.floor("c_acctbal").cast("double").alias("value"))
+    good, bad = constraints.signed_values(v, "item", "value", ["cost"], ["asset"])
+    return good.select("c_custkey", "value", F.lit(False).alias("dropped")).unionByName(bad.select("c_custkey", "value", F.lit(True).alias("dropped")))
+
+
+def _filings(t) -> tuple[DataFrame, DataFrame]:
+    """Orders of three lines or more as tables with two checks of their first figure, which every fifth order misreads."""
+    li = t("lineitem").where("l_linenumber between 1 and 3").groupBy(F.col("l_orderkey").cast("string").alias("filing"), F.concat(F.lit("c"), F.col("l_linenumber").cast("string")).alias("cell")).agg(F.max(F.floor("l_extendedprice") + 10_000).cast("long").alias("v"))
+    whole = li.groupBy("filing").agg(F.count("*").alias("n"), F.sum("v").alias("s"), F.max(F.when(F.col("cell") == "c1", F.col("v"))).alias("v1"), F.max(F.when(F.col("cell") == "c2", F.col("v"))).alias("v2")).where("n = 3")
+    cells = li.join(whole.select("filing"), "filing").unionByName(whole.select("filing", F.lit("t").alias("cell"), F.col("s").alias("v"))).unionByName(whole.select("filing", F.lit("u").alias("cell"), (F.col("v1") + F.col("v2")).alias("v")))
+    wrong = (F.col("cell") == "c1") & (F.col("filing").cast("long") % 5 == 0)
+    raw = F.when(wrong, F.translate(F.col("v").cast("string"), "38", "83")).otherwise(F.col("v").cast("string"))
+    cells = cells.select("filing", "cell", raw.alias("raw"), raw.cast("double").alias("value"))
+    terms = [("t", "c1", 1.0), ("t", "c2", 1.0), ("t", "c3", 1.0), ("t", "t", -1.0), ("u", "c1", 1.0), ("u", "c2", 1.0), ("u", "u", -1.0)]
+    rows = F.explode(F.array(*[F.struct(F.lit(c).alias("constraint_id"), F.lit(x).alias("cell"), F.lit(s).alias("sign")) for c, x, s in terms]))
+    return whole.select("filing", rows.alias("r")).select("filing", "r.*", F.lit(2.0).alias("tolerance"), F.lit(False).alias("advisory")), cells
+
+
+@query()
+def single_cell_repair(t):
+    return repair.single_repairs(*_filings(t))
+
+
+@query()
+def pair_repair(t):
+    return repair.pair_repairs(*_filings(t))
+
+
+@query()
+def digit_confusion_candidates(t):
+    raw = F.floor("l_extendedprice").cast("string")
+    return repair.candidates(t("lineitem").select("l_orderkey", "l_linenumber", raw.alias("raw"), F.floor("l_extendedprice").cast("double").alias("value")))
+
+
+# ---- numbers, dates, text ----------------------------------------------------------------------------------------
+
+
+@query("SELECT l_orderkey, l_linenumber, CASE l_linenumber % 5 WHEN 0 THEN -v WHEN 1 THEN v WHEN 2 THEN -v WHEN 3 THEN 0 END AS value FROM (SELECT l_orderkey, l_linenumber, floor(l_extendedprice) AS v FROM lineitem)")
+def numeric_tokens(t):
+    grouped = F.format_number(F.floor("l_extendedprice"), 0)
+    kinds = F.col("l_linenumber") % 5
+    raw = F.when(kinds == 0, F.concat(F.lit(" ("), grouped, F.lit(") "))).when(kinds == 1, F.concat(grouped, F.lit(".00"))).when(kinds == 2, F.concat(F.lit("–"), grouped)).when(kinds == 3, F.lit("-")).otherwise(F.concat(grouped, F.lit(" "), grouped))
+    return t("lineitem").select("l_orderkey", "l_linenumber", num.figure(raw).alias("value"))
+
+
+@query("SELECT o_orderkey, CAST(o_orderdate AS DATE) AS d, CAST(CASE o_orderkey % 3 WHEN 0 THEN 1000000 WHEN 1 THEN 1000 ELSE 1 END AS INTEGER) AS scale, CAST(CASE o_orderkey % 4 WHEN 0 THEN 12 WHEN 1 THEN 6 WHEN 2 THEN 9 ELSE 3 END AS INTEGER) AS months FROM orders")
+def header_fields(t):
+    k = F.col("o_orderkey")
+    shape = F.when(k % 3 == 0, F.date_format("o_orderdate", "d MMMM yyyy")).when(k % 3 == 1, F.date_format("o_orderdate", "MMMM d, yyyy")).otherwise(F.date_format("o_orderdate", "dd-MM-yyyy"))
+    unit = F.when(k % 3 == 0, "(Rupees in million)").when(k % 3 == 1, "(Rupees in '000)").otherwise("Rupees")
+    phrase = F.when(k % 4 == 0, "for the year ended").when(k % 4 == 1, "half year ended").when(k % 4 == 2, "nine months ended").otherwise("quarter ended")
+    return t("orders").select("o_orderkey", dates.long_date(F.concat(F.lit("As at "), shape)).alias("d"), num.unit_scale(unit).cast("int").alias("scale"), dates.phrase_months(phrase).cast("int").alias("months"))
+
+
+@query(r"""
+SELECT page_id, trim(regexp_replace(regexp_replace(t, '[ \t]+', ' ', 'g'), ' ?\n[ \n]*', chr(10), 'g')) AS text FROM (SELECT page_id, replace(replace(regexp_replace(regexp_replace(regexp_replace(
+ regexp_replace(html, '(?is)<(script|style)\b.*?</(script|style)>', ' ', 'g'), '(?i)<br\s*/?>|</(p|div|tr|li|h[1-6]|table|ul|ol)>', chr(10), 'g'), '(?i)</t[dh]>', ' ', 'g'), '<[^>]*>', '', 'g'), '&nbsp;', ' '), '&amp;', '&') AS t FROM pages)""")
+def html_to_text(t):
+    return readers.html_documents(t("pages")).select("page_id", "text")
+
+
+@query("SELECT page_id, unnest(regexp_extract_all(html, 'href=\"([^\"]*)\"', 1)) AS href FROM pages")
+def html_links(t):
+    return t("pages").select("page_id", F.explode(text.links(F.col("html"))).alias("href"))
+
+
+@query(r"SELECT doc_id, len(list_filter(string_split(text, chr(10)), lambda x: len(regexp_extract_all(x, '[0-9][0-9,]*\.?[0-9]*')) >= 2)) AS n FROM documents")
+def figure_lines(t):
+    return t("documents").select("doc_id", text.figure_lines(F.col("text")).cast("long").alias("n"))
+
+
+@query("""
+SELECT doc_id, list_filter(list_transform(flatten(list_transform(list_filter(string_split(text, chr(10)), lambda x: trim(x) <> '')[1:14], lambda x: string_split_regex(trim(x), ' {3,}'))), lambda x: trim(x)), lambda x: x <> '') AS segments FROM documents""")
+def heading_segments(t):
+    return t("documents").select("doc_id", text.heading_segments(F.col("text")).alias("segments"))
+
+
+@query("SELECT doc_id, regexp_matches(text, '(?i)(token|licen[cs]e)') AND NOT regexp_matches(text, '(?i)example') AS hit, CASE WHEN regexp_matches(text, '(?i)unconsolidated') THEN 'u' WHEN regexp_matches(text, '(?i)group') THEN 'g' END AS basis FROM documents")
+def title_predicates(t):
+    x = F.col("text")
+    return t("documents").select("doc_id", (x.rlike("(?i)(token|licen[cs]e)") & ~x.rlike("(?i)example")).alias("hit"), F.when(x.rlike("(?i)unconsolidated"), "u").when(x.rlike("(?i)group"), "g").alias("basis"))
+
+
+@query("""
+WITH w AS (SELECT p_partkey, lower(split_part(p_name, ' ', 1)) AS a, lower(split_part(p_name, ' ', 2)) AS b FROM part)
+SELECT p_partkey, a = b OR (least(length(a), length(b)) >= 4 AND (starts_with(a, b) OR starts_with(b, a))) OR levenshtein(a, b) <= CASE WHEN least(length(a), length(b)) >= 4 THEN 1 ELSE 0 END AS alike FROM w""")
+def fuzzy_words(t):
+    a, b = (F.lower(F.split_part("p_name", F.lit(" "), F.lit(i))) for i in (1, 2))
+    return t("part").select("p_partkey", text.words_alike(a, b).alias("alike"))
+
+
+@query("SELECT p_partkey, CAST(length(CAST(p_partkey AS VARCHAR)) AS INTEGER) AS n FROM part")
+def subsequence_of_digits(t):
+    """A part's number against itself with a letter between each digit: all digits are common."""
+    k = F.col("p_partkey").cast("string")
+    return t("part").select("p_partkey", text.common_subsequence(k, F.regexp_replace(k, "(.)", "x$1")).alias("n"))
+
+
+@query("SELECT doc_id, CAST((row_number() OVER (ORDER BY doc_id) - 1) % 5 AS INTEGER) AS shard FROM documents QUALIFY shard = 2")
+def shard_filter(t):
+    """Every fifth document by its place in order of id: ids are whole from 0, so the place is the id's."""
+    return t("documents").select("doc_id", F.pmod("doc_id", F.lit(5)).cast("int").alias("shard")).where("shard = 2")
+
+
+@query("SELECT source, doc_id FROM (SELECT source, doc_id, row_number() OVER (PARTITION BY source ORDER BY (n_chars > 2000) DESC, doc_id) AS n FROM documents) WHERE n <= 10")
+def evidence_pick(t):
+    d = t("documents").select(F.col("source").alias("filing"), F.col("doc_id").alias("page_number"), (F.col("n_chars") > 2000).alias("cited"))
+    return readers.page_selection(d, "cited", 10).select(F.col("filing").alias("source"), F.col("page_number").alias("doc_id"))
+
+
+@query("SELECT doc_id, CAST(1 AS INTEGER) AS page_number, CAST(length(trim(text)) AS INTEGER) AS chars, CASE WHEN length(trim(text)) < 80 THEN 0.35 ELSE 0.85 END AS confidence FROM documents")
+def text_pages(t):
+    return readers.text_pages(t("documents")).select("doc_id", "page_number", "chars", "confidence")
+
+
+@query()
+def chunk_by_bytes(t):
+    return sinks.chunks(t("documents").select("doc_id", "text"), ["doc_id"], F.octet_length("text"), 1 << 20, 250).select("doc_id", "part", "chunk")
+
+
+# ---- notices and funds -------------------------------------------------------------------------------------------
+
+
+@query("SELECT o_orderkey AS id, 'dividend' AS action, CAST(o_orderkey % 90 + 1 AS DOUBLE) AS value, CAST(o_orderdate AS DATE) AS ex_date FROM orders UNION ALL SELECT o_orderkey, 'bonus', CAST(o_orderkey % 20 + 5 AS DOUBLE), CAST(o_orderdate AS DATE) FROM orders WHERE o_orderkey % 2 = 0")
+def corporate_actions(t):
+    k = F.col("o_orderkey")
+    body = F.concat(F.lit("The board has declared a cash dividend at "), (k % 90 + 1).cast("string"), F.lit("% "), F.when(k % 2 == 0, F.concat(F.lit("and bonus shares at "), (k % 20 + 5).cast("string"), F.lit("%"))).otherwise(""), F.lit(". Ex-date: "), F.date_format("o_orderdate", "d MMMM yyyy"))
+    return notices.corporate_actions(t("orders").select(k.alias("id"), body.alias("text"))).select("id", "action", "value", "ex_date")
+
+
+@query("SELECT o_orderkey AS id, CAST(o_orderdate AS DATE) AS meeting_date, lpad(CAST(CASE WHEN o_orderkey % 7 + 1 < 12 THEN o_orderkey % 7 + 13 END AS VARCHAR), 2, '0') || ':30' AS meeting_time FROM orders")
+def board_meetings(t):
+    k = F.col("o_orderkey")
+    body = F.concat(F.lit("A meeting of the Board will be held on "), F.date_format("o_orderdate", "d MMMM yyyy"), F.lit(" at "), (k % 7 + 1).cast("string"), F.lit(":30 p.m. to consider the accounts"))
+    return notices.meetings(t("orders").select(k.alias("id"), body.alias("text"))).select("id", "meeting_date", "meeting_time")
+
+
+@query("SELECT o_orderkey AS id, CAST(o_orderkey % 40 + 10 AS DOUBLE) AS cash_percent, CASE WHEN o_orderkey % 2 = 0 THEN 0.0 END AS bonus_percent, CAST(o_orderdate AS DATE) AS closure_from FROM orders")
+def payout_notices(t):
+    k = F.col("o_orderkey")
+    body = F.concat(F.lit("Cash dividend for the year at "), (k % 40 + 10).cast("string"), F.lit("%. "), F.when(k % 2 == 0, F.lit("Bonus shares: NIL. ")).otherwise(""), F.lit("The share transfer books will be closed from "), F.date_format("o_orderdate", "d MMMM yyyy"))
+    return notices.payouts(t("orders").select(k.alias("id"), body.alias("text"))).select("id", "cash_percent", "bonus_percent", "closure_from")
+
+
+@query("SELECT CAST(o_orderkey AS VARCHAR) AS id, 'John Smith' AS person, CASE WHEN o_orderkey % 2 = 0 THEN 'buy' ELSE 'sell' END AS action, CAST(o_orderdate AS DATE) AS dealt_on, CAST(o_orderkey % 900 + 1000 AS DOUBLE) AS quantity, 25.5 AS rate FROM orders")
+def insider_dealings(t):
+    k = F.col("o_orderkey")
+    line = F.concat(F.lit("Mr. John Smith "), F.when(k % 2 == 0, "Buy ").otherwise("Sell "), F.date_format("o_orderdate", "dd-MM-yyyy"), F.lit(" "), F.format_number(k % 900 + 1000, 0), F.lit(" 25.5"))
+    rows = t("orders").select(k.alias("id"), F.date_add(F.to_date("o_orderdate"), 1).alias("published_at"), F.concat(F.lit("Name Nature Date Shares Rate\n"), line).alias("text"))
+    return notices.insider(rows).select("id", "person", "action", "dealt_on", "quantity", "rate")
+
+
+@query("SELECT CAST(s_suppkey AS INTEGER) AS fund_id, s_name AS name, 'Income' AS category, 'annualized' AS return_basis, floor(s_acctbal) AS nav, DATE '2024-03-01' AS validity_date FROM supplier")
+def fund_table(t):
+    """Suppliers printed as a page of funds and read back."""
+    cell = lambda x: F.concat(F.lit("<td>"), x, F.lit("</td>"))
+    row = F.concat(F.lit("<tr><td><a href='/fund?fund_id="), F.col("s_suppkey").cast("string"), F.lit("'>"), F.col("s_name"), F.lit("</a></td>"), cell(F.lit("Income (annualized)")), cell(F.lit("AA")), cell(F.lit("none")), cell(F.lit("Mar 1, 2024")), cell(F.format_number(F.floor("s_acctbal"), 0)), F.lit("</tr>"))
+    head = "<table><tr><th>Fund Name</th><th>Category</th><th>Rating</th><th>Benchmark</th><th>Validity Date</th><th>NAV</th></tr>"
+    pages = t("supplier").select(F.col("s_suppkey").alias("page_id"), F.concat(F.lit(head), row, F.lit("</table>")).alias("html"))
+    rows = funds.keyed_rows(funds.html_tables(pages), funds.REQUIRED["performance"])
+    return funds.performance(rows).select("fund_id", "name", "category", "return_basis", "nav", "validity_date")
+
+
+@query()
+def statement_labels(t):
+    """Part names as captions of a balance sheet, matched by the ordered label rules."""
+    caption = F.element_at(F.array(*[F.lit(x) for x in ("Current assets", "Stock-in-trade", "Trade debts", "Total current assets", "Equity and liabilities", "Trade and other payables", "Total liabilities", "Total assets")]), (F.col("p_partkey") % 8 + 1).cast("int"))
+    rows = t("part").select(F.floor(F.col("p_partkey") / 8).alias("table_no"), F.col("p_partkey").alias("row"), F.lit("balance").alias("statement"), caption.alias("text"))
+    return statements.matched(statements.placed(rows, ["table_no"], "row", "text")).select("table_no", "row", "label", "placement", "item")
+
+
+@query("SELECT o_custkey AS filing, count(*) FILTER (o_orderstatus = 'O') >= 2 AND count(*) FILTER (o_orderstatus = 'F') >= 2 AND count(*) FILTER (o_orderstatus = 'P') >= 1 AS complete FROM orders GROUP BY 1")
+def completeness(t):
+    lines = t("orders").select(F.col("o_custkey").alias("filing"), F.element_at(F.create_map(*[F.lit(x) for x in ("O", "income", "F", "balance", "P", "cash_flow")]), F.col("o_orderstatus")).alias("statement"))
+    return sinks.completeness(lines).select("filing", (F.col("status") == "complete").alias("complete"))
+
+
+# ---- streams -----------------------------------------------------------------------------------------------------
+
+
+def _stream(name: str, build):
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        import uuid
 
+        path = f"{sf_dir}/events.parquet"
+        schema = spark.read.parquet(path).schema
+        table = f"{name}_{uuid.uuid4().hex}"
+        base = spark.conf.get("spark.checkpoint.dir", None)
+        if not base:
+            import tempfile
 
-def pricing_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Line totals by flag and status, with a row count."""
-    rows = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
-    return rows.groupBy("l_returnflag", "l_linestatus").agg(F.count("*").alias("n"))
+            base = tempfile.mkdtemp(prefix="veridex-")
+            spark.conf.set("spark.checkpoint.dir", base)
+        source = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
+        streams.run_to_table(build(source), table, f"{base.rstrip('/')}/{table}").awaitTermination()
+        return spark.table(table)
 
+    return run
 
-QUERIES = {f.__name__: f for f in (pricing_summary,)}
 
-ORACLES = {"pricing_summary": "SELECT l_returnflag, l_linestatus, count(*) AS n FROM lineitem GROUP BY 1, 2"}
+QUERIES["stream_dedup_daily"] = _stream("daily", lambda s: streams.daily_counts(s, "ts", ["event_type"], "2 days", "event_id"))
+ORACLES["stream_dedup_daily"] = """
+SELECT * FROM (SELECT CAST(ts AS DATE) AS day, event_type, count(DISTINCT event_id) AS n FROM events GROUP BY 1, 2) WHERE day + INTERVAL 1 DAY <= (SELECT max(ts) FROM events) - INTERVAL 2 DAY"""
+QUERIES["stream_sessions"] = _stream("sessions", lambda s: streams.sessions(s, "ts", "user_id").select("user_id", F.col("n")))
+ORACLES["stream_sessions"] = """
+WITH g AS (SELECT user_id, ts, CASE WHEN ts < lag(ts) OVER (PARTITION BY user_id ORDER BY ts) + INTERVAL 30 MINUTE THEN 0 ELSE 1 END AS new FROM events),
+s AS (SELECT user_id, ts, sum(new) OVER (PARTITION BY user_id ORDER BY ts) AS s FROM g)
+SELECT user_id, count(*) AS n FROM s GROUP BY user_id, s HAVING max(ts) + INTERVAL 30 MINUTE <= (SELECT max(ts) FROM events) - INTERVAL 1 DAY"""
