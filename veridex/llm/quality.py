@@ -142,6 +142,8 @@ def filter_documents(docs: DataFrame, **limits) -> DataFrame:
 
 
 def _without(text, flagged):
+    if text is None or flagged is None:  # the function sees every row, also those whose result is not used
+        return text
     gone = set(flagged)
     return "\n".join(x for x in text.split("\n") if line_hash(x) not in gone)
 
