@@ -56,12 +56,16 @@ _SHAPE = r"^[(\[{-]?-?[0-9]{1,3}(,[0-9]{2,3})*(\.[0-9]+)?[)\]}]?$|^[(\[{-]?-?[0-
 
 def figure(text: Column) -> Column:
     """Printed figure to number: dash or Nil is 0, brackets or a leading minus negate, anything else unreadable is null."""
-    t = _trimmed(text)
-    digits = F.regexp_replace(t, r"[^0-9.]", "")
+
+    def parsed(t: Column) -> Column:
+        digits = F.regexp_replace(t, r"[^0-9.]", "")
+        negative = t.rlike(r"[()\[\]{}]|^-")
+        value = F.when(t.rlike(r"^-+$") | F.lower(t).isin("nil", "-nil-"), F.lit(0.0)).when(t.rlike(_SHAPE), digits.try_cast("double"))
+        return F.transform(F.array(value), lambda v: F.when(negative & (v != 0), -v).otherwise(v))[0]
+
     two = F.regexp_count(F.trim(text), F.lit(r"[0-9)]\s+[(0-9]")) > 0
-    negative = t.rlike(r"[()\[\]{}]|^-")
-    value = F.when(t.rlike(r"^-+$") | F.lower(t).isin("nil", "-nil-"), F.lit(0.0)).when(t.rlike(_SHAPE), digits.try_cast("double"))
-    return F.when(~two, F.when(negative & (value != 0), -value).otherwise(value))
+    # the trimmed text is bound once: as a plain expression it would be evaluated at each of its uses
+    return F.when(~two, F.transform(F.array(_trimmed(text)), parsed)[0])
 
 
 def nth_from_right(text: Column, n: int) -> Column:
