@@ -16,7 +16,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import crc_fold, crc_fold_col, map_rows, utf8
+from .common import crc_fold, crc_fold_col, map_rows, materialize, utf8
 
 #: Identity terms by group; a term is swapped for the others of its group.
 IDENTITY = (
@@ -54,15 +54,15 @@ def forms(word: str) -> list[str]:
 
 
 def _training(rows):
-    """(label, features, features of each counterfactual flattened with its ends)."""
-    for text, label in rows:
+    """(doc_id, label, features, features of each counterfactual flattened with its ends)."""
+    for doc_id, text, label in rows:
         words = words_of(text)
         swaps, ends = [], []
         for term in sorted(words & _SWAPS.keys()):
             for other in _SWAPS[term]:
                 swaps += features_of((words - {term}) | {other})
                 ends.append(len(swaps))
-        yield int(label), features_of(words), swaps, ends
+        yield doc_id, int(label), features_of(words), swaps, ends
 
 
 class Model:
@@ -88,25 +88,26 @@ class Model:
         return float(1 / (1 + np.exp(-np.clip(self.logit(text), -30, 30))))
 
 
-def fit(rows: list[tuple], penalty: float = 1.0, l2: float = 2e-5, steps: int = 500, min_rows: int = 5, evidence: float = 7.0) -> Model:
-    """Fit by Adam on logistic loss + ``penalty`` x squared logit change under each swap + L2.
+def weighted_features(df: np.ndarray, pos: np.ndarray, base: float, min_rows: int = 5, evidence: float = 7.0) -> np.ndarray:
+    """Which features get a weight, from the rows and toxic rows that have each.
 
-    Words of fewer than ``min_rows`` training rows, or whose rows differ from the base rate by less than ``evidence``
-    standard errors, get no weight: thousands of chance weights would sum to noise on long texts.
+    Those of fewer than ``min_rows`` rows, or whose rows differ from the base rate by less than ``evidence`` standard
+    errors, get none: thousands of chance weights would sum to noise on long texts.  Identity terms are kept.
     """
+    z = (pos - df * base) / np.sqrt(np.maximum(df, 1) * max(base * (1 - base), 1e-9))
+    used = (df >= min_rows) & (np.abs(z) >= evidence)
+    identity = np.array([feature(w) for w in _SWAPS], np.int64)
+    used[identity] |= df[identity] > 0
+    return used
+
+
+def fit(rows: list[tuple], used: np.ndarray, penalty: float = 1.0, l2: float = 2e-5, steps: int = 500) -> Model:
+    """Fit the used weights by Adam on logistic loss + ``penalty`` x squared logit change under each swap + L2."""
     if not rows or not any(r[0] for r in rows):
         return Model(np.zeros(DIMENSIONS, np.float32), -30.0)
     y = np.array([r[0] for r in rows], float)
     base = y.mean()
-    df, pos = np.zeros(DIMENSIONS), np.zeros(DIMENSIONS)
     bags = [np.array(r[1], np.int64) for r in rows]
-    for s, label in zip(map(np.unique, bags), y):
-        df[s] += 1
-        pos[s] += label
-    z = (pos - df * base) / np.sqrt(np.maximum(df, 1) * max(base * (1 - base), 1e-9))
-    used = (df >= min_rows) & (np.abs(z) >= evidence)
-    identity = np.array([feature(w) for w in _SWAPS], np.int64)
-    used[identity] |= df[identity] > 0
     place = np.cumsum(used) - 1
     k = int(used.sum())
 
@@ -152,12 +153,32 @@ def train(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS) -> Model
         .groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max("toxic").alias("toxic"))
         .orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_rows)
     )
-    sample = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(chosen), "doc_id").select("text", "toxic")
-    rows = map_rows(sample, _training, "label int,features array<int>,swaps array<int>,ends array<int>")
-    # ids repeat only where rows repeat; the bound holds for the fit all the same
-    got = rows.limit(2 * max_rows).toArrow()
-    rows = list(zip(*(c.to_pylist() for c in got.columns)))
-    return fit(sorted(rows, key=lambda r: (r[1], r[0]))[:max_rows] if len(rows) > max_rows else rows)
+    sample = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(chosen), "doc_id").select("doc_id", "text", "toxic")
+    rows = map_rows(sample, _training, "doc_id long,label int,features array<int>,swaps array<int>,ends array<int>")
+    # one row an id, also where ids repeat: the bound holds
+    rows = rows.groupBy("doc_id").agg(F.min(F.struct("label", "features", "swaps", "ends")).alias("r")).select("r.*")
+    rows = materialize(rows, "toxicity-rows")
+    n, positive = rows.agg(F.count("*"), F.coalesce(F.sum("label"), F.lit(0))).first()
+    if not positive:
+        return fit([], np.zeros(DIMENSIONS, bool))
+    # at most DIMENSIONS counts reach the driver, and then of each row only the features that get a weight
+    counts = rows.select("label", F.explode(F.array_distinct("features")).alias("f")).groupBy("f").agg(F.count("*").alias("n"), F.sum("label").alias("p")).toArrow()
+    df, pos = np.zeros(DIMENSIONS), np.zeros(DIMENSIONS)
+    at = counts["f"].to_numpy()
+    df[at], pos[at] = counts["n"].to_numpy(), counts["p"].to_numpy()
+    used = weighted_features(df, pos, positive / n)
+    kept = np.flatnonzero(used)
+
+    def narrow(it):
+        on = np.zeros(DIMENSIONS, bool)
+        on[kept] = True
+        for label, features, swaps, ends in it:
+            f, s = np.array(features, np.int64), np.array(swaps, np.int64)
+            hold = on[s]
+            yield label, f[on[f]].tolist(), s[hold].tolist(), np.concatenate([[0], np.cumsum(hold)])[ends].tolist() if ends else []
+
+    got = map_rows(rows, narrow, "label int,features array<int>,swaps array<int>,ends array<int>").toArrow()
+    return fit(sorted(zip(*(c.to_pylist() for c in got.columns))), used)
 
 
 def toxicity_scores(docs: DataFrame, model: Model) -> DataFrame:
