@@ -11,6 +11,9 @@ are not read.
 
 from __future__ import annotations
 
+import itertools
+import json
+import re
 import zlib
 
 import numpy as np
@@ -25,10 +28,49 @@ LENGTH, END = 2048, 1
 CACHE = 600_000
 _PIECES = "doc_id long,start long,length long,ids_crc32 long,doc_tokens long,sequence_id long,offset long"
 _TOKENIZERS: dict = {}
+# white space after the first character, a lone white-space word, or text that may hold a special token
+_INNER = re.compile(r".\s|^\s$|^[^\S \n]|<\|", re.S)
+
+
+# Fixed value: the pattern by which byte-level tokenizers split text.
+BYTE_LEVEL = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+
+
+def _ranked(spec: dict):
+    """An equal encoder by ranks, where a tokenizer file is plain byte-level BPE whose ids rise with its merges; else None.
+
+    It encodes new words several times faster.
+    """
+    pre, model = spec.get("pre_tokenizer") or {}, spec.get("model") or {}
+    plain = pre.get("type") == "ByteLevel" and not pre.get("add_prefix_space") and pre.get("use_regex", True) and not spec.get("normalizer")
+    plain = plain and model.get("type") == "BPE" and not any(model.get(k) for k in ("dropout", "continuing_subword_prefix", "end_of_word_suffix", "ignore_merges", "byte_fallback"))
+    if not plain:
+        return None
+    vocab = model["vocab"]
+    merged = [vocab["".join(m) if isinstance(m, list) else m.replace(" ", "", 1)] for m in model["merges"]]
+    if any(a >= b for a, b in zip(merged, merged[1:])):
+        return None
+    shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    hidden = [b for b in range(256) if b not in shown]
+    byte_of = {chr(b): b for b in shown} | {chr(256 + i): b for i, b in enumerate(hidden)}
+    ranks = {bytes(byte_of[c] for c in t): i for t, i in vocab.items() if all(c in byte_of for c in t)}
+    import tiktoken
+
+    return tiktoken.Encoding("ranked", pat_str=BYTE_LEVEL, mergeable_ranks=_only(ranks, merged), special_tokens={})
+
+
+def _only(ranks: dict[bytes, int], merged: list[int]) -> dict[bytes, int]:
+    """Single bytes and merged pieces; special tokens are neither."""
+    known = set(merged)
+    return {t: i for t, i in ranks.items() if len(t) == 1 or i in known}
 
 
 class Encoder:
-    """Ids as little-endian 16-bit numbers; words are encoded once while they are kept."""
+    """Ids as little-endian numbers; words are encoded once while they are kept, in a young and an old generation.
+
+    Words without inner white space are encoded many at a time, parted by line breaks: the pattern always cuts a line
+    break between them off as a match of its own, so its id parts their ids.
+    """
 
     def __init__(self, path: str):
         import os
@@ -36,18 +78,46 @@ class Encoder:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        self.tokenizer, self.cache = Tokenizer.from_file(path), {}
+        self.tokenizer, self.young, self.old = Tokenizer.from_file(path), {}, {}
         self.kind = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
+        parting = self.tokenizer.encode("\n", add_special_tokens=False).ids
+        # a line break must be one id that no other word holds
+        self.ranked = _ranked(json.loads(self.tokenizer.to_str()))
+        self.parting = parting[0] if len(parting) == 1 and self.tokenizer.encode("a\nb", add_special_tokens=False).ids.count(parting[0]) == 1 else None
+
+    def _new(self, words: list[str]) -> None:
+        young, kind = self.young, self.kind
+        plain = [w for w in words if not _INNER.search(w)] if self.parting is not None else []
+        rest = [w for w in words if _INNER.search(w)] if plain else words
+        for lo in range(0, len(plain), 4096):
+            part = plain[lo : lo + 4096]
+            text = "\n".join(w[1:] if w[0] == "\n" else w for w in part)
+            ids = (self.ranked.encode_to_numpy(text, disallowed_special=()) if self.ranked else np.array(self.tokenizer.encode(text, add_special_tokens=False).ids)).astype(kind)
+            ends = np.append(np.flatnonzero(ids == self.parting), len(ids)).tolist()
+            if len(ends) != len(part):
+                rest = rest + part
+                continue
+            raw, width, at, head = ids.tobytes(), kind.itemsize, 0, np.array([self.parting], kind).tobytes()
+            for w, end in zip(part, ends):
+                young[w] = head + raw[at * width : end * width] if w[0] == "\n" else raw[at * width : end * width]
+                at = end + 1
+        for w, e in zip(rest, self.tokenizer.encode_batch(rest, add_special_tokens=False)):
+            young[w] = np.array(e.ids, kind).tobytes()
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        cache = self.cache
-        if len(cache) > CACHE:
-            cache.clear()
+        if len(self.young) > CACHE:
+            self.young, self.old = {}, self.young
+        young, old = self.young, self.old
         split = [words_of(t) for t in texts]
-        new = list({w for t in split for w in t} - cache.keys())
-        for w, e in zip(new, self.tokenizer.encode_batch(new, add_special_tokens=False)):
-            cache[w] = np.array(e.ids, self.kind).tobytes()
-        return [b"".join(map(cache.__getitem__, t)) for t in split]
+        new = []
+        for w in set(itertools.chain.from_iterable(split)).difference(young):
+            v = old.get(w)
+            if v is None:
+                new.append(w)
+            else:
+                young[w] = v
+        self._new(new)
+        return [b"".join(map(young.__getitem__, t)) for t in split]
 
 
 def _encoder(path: str) -> Encoder:
