@@ -29,6 +29,11 @@ from .dictionary import MAX_TABLE_BYTES, blocks, resolve
 
 BUCKETS = 1 << 17
 OUT = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
+#: A block's distinct words are split and looked up once: larger blocks repeat fewer.
+BLOCK_BYTES = 32 << 20
+# Fixed value: the pattern of byte-level tokenizers; letters with a space before them are one match of it, a mark is one.
+_LETTER_RUNS = (r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+""",)
+_MARKS = frozenset(".,;:!?")
 _TWO_SPACES = re.compile(r"\s\s")
 _CUT = re.compile(r"(?<=\S)(?=[ \n]\S)")
 
@@ -139,7 +144,20 @@ def _compiled(pattern: str):
 def _matches(rows, pattern: str) -> tuple[list[list[str]], dict[str, list[str]]]:
     """Words of each row's text, and the pattern's matches in each distinct word."""
     texts, found = [words_of(t) for _, t in rows], _compiled(pattern).findall
-    return texts, {w: found(w) for w in {w for t in texts for w in t}}
+    if pattern not in _LETTER_RUNS:
+        return texts, {w: found(w) for w in {w for t in texts for w in t}}
+    out = {}
+    for w in {w for t in texts for w in t}:
+        head, body = w[0], w[1:]
+        if head == " " and body.isalpha():
+            out[w] = [w]
+        elif head == " " and body[-1:] in _MARKS and body[:-1].isalpha():
+            out[w] = [w[:-1], body[-1]]
+        elif head == "\n" and body.isalpha():
+            out[w] = ["\n", body]
+        else:
+            out[w] = found(w)
+    return texts, out
 
 
 def distinct_matches(docs: DataFrame, pattern: str) -> DataFrame:
@@ -147,7 +165,7 @@ def distinct_matches(docs: DataFrame, pattern: str) -> DataFrame:
     schema = pa.schema([("key", pa.int64()), ("word", pa.string())])
 
     def run(batches):
-        for rows in blocks(row for b in batches for row in zip(b.column(0).to_pylist(), b.column(1).to_pylist())):
+        for rows in blocks((row for b in batches for row in zip(b.column(0).to_pylist(), b.column(1).to_pylist())), BLOCK_BYTES):
             words = list({m for ms in _matches(rows, pattern)[1].values() for m in ms})
             for i in range(0, len(words), 1 << 15):
                 part = words[i : i + (1 << 15)]
@@ -180,4 +198,4 @@ def encode_documents(docs: DataFrame, rank_path: str, pattern: str, max_table_by
     coded = encode_words(distinct_matches(docs, pattern), ranks_of(rank_path))
     value = F.concat(F.encode(F.array_join("ids", ","), "utf-8"), F.lit(b"\0"), F.col("decoded"))
     keys = lambda rows: [word_key(m) for m in {m for ms in _matches(rows, pattern)[1].values() for m in ms}]
-    return resolve(docs, coded.select("key", value.alias("value")), keys, _finisher(pattern), OUT, max_table_bytes)
+    return resolve(docs, coded.select("key", value.alias("value")), keys, _finisher(pattern), OUT, max_table_bytes, BLOCK_BYTES)
