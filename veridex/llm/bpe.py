@@ -30,7 +30,7 @@ from .dictionary import MAX_TABLE_BYTES, blocks, resolve
 BUCKETS = 1 << 17
 OUT = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
 #: A block's distinct words are split and looked up once: larger blocks repeat fewer.
-BLOCK_BYTES = 32 << 20
+BLOCK_BYTES = 12 << 20
 # Fixed value: the pattern of byte-level tokenizers; letters with a space before them are one match of it, a mark is one.
 _LETTER_RUNS = (r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+""",)
 _MARKS = frozenset(".,;:!?")
@@ -195,7 +195,9 @@ def _finisher(pattern: str):
 def encode_documents(docs: DataFrame, rank_path: str, pattern: str, max_table_bytes: int = MAX_TABLE_BYTES) -> DataFrame:
     """n_tokens and digests of the ids and of the decoded bytes, for every document."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    coded = encode_words(distinct_matches(docs, pattern), ranks_of(rank_path))
+    # put in order before the fold: finding the ranges reads the table once more
+    words = distinct_matches(docs, pattern).repartitionByRange("key").sortWithinPartitions("key")
+    coded = encode_words(words, ranks_of(rank_path))
     value = F.concat(F.encode(F.array_join("ids", ","), "utf-8"), F.lit(b"\0"), F.col("decoded"))
     keys = lambda rows: [word_key(m) for m in {m for ms in _matches(rows, pattern)[1].values() for m in ms}]
     return resolve(docs, coded.select("key", value.alias("value")), keys, _finisher(pattern), OUT, max_table_bytes, BLOCK_BYTES)

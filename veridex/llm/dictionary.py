@@ -10,8 +10,8 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.dataset as pads
 import pyarrow.fs as pafs
+import pyarrow.parquet as pq
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -58,15 +58,28 @@ class Lookup:
 
 
 def _load(path: str) -> Lookup:
-    if path not in _LOADED:
-        fs, p = pafs.FileSystem.from_uri(path)
-        t = pads.dataset(p, filesystem=fs, format="parquet", exclude_invalid_files=True, ignore_prefixes=["_", "."]).to_table(columns=["key", "value"])
-        keys = t["key"].combine_chunks()
-        keys = keys.to_numpy(zero_copy_only=False) if isinstance(keys, pa.Array) else t["key"].to_numpy()
-        values = t["value"].cast(pa.large_binary()).combine_chunks()
-        values = pa.concat_arrays(values.chunks) if isinstance(values, pa.ChunkedArray) else values
-        _LOADED.clear()
-        _LOADED[path] = Lookup.of(keys, values)
+    """The table of a path, kept by the worker; files in order of keys need no sort here."""
+    if path in _LOADED:
+        return _LOADED[path]
+    _LOADED.clear()
+    fs, p = pafs.FileSystem.from_uri(path)
+    files = sorted(f.path for f in fs.get_file_info(pafs.FileSelector(p)) if f.base_name.endswith(".parquet"))
+    keys, lengths, blobs = [np.empty(0, np.int64)], [np.zeros(1, np.int64)], []
+    for f in files:
+        for batch in pq.ParquetFile(fs.open_input_file(f)).iter_batches(1 << 17, columns=["key", "value"]):
+            values = batch.column(1).cast(pa.large_binary())
+            offsets = np.frombuffer(values.buffers()[1], np.int64, len(values) + 1, values.offset * 8)
+            keys.append(batch.column(0).to_numpy(zero_copy_only=False).copy())
+            lengths.append(np.diff(offsets))
+            blobs.append(bytes(memoryview(values.buffers()[2] or b"")[offsets[0] : offsets[-1]]))
+    found, ends = np.concatenate(keys), np.cumsum(np.concatenate(lengths))
+    del keys, lengths
+    blob = b"".join(blobs)
+    del blobs
+    if np.any(found[1:] < found[:-1]):
+        _LOADED[path] = Lookup.of(found, pa.Array.from_buffers(pa.large_binary(), len(found), [None, pa.py_buffer(ends.tobytes()), pa.py_buffer(blob)]))
+    else:
+        _LOADED[path] = Lookup(found, ends, blob)
     return _LOADED[path]
 
 
@@ -85,7 +98,7 @@ def blocks(rows, size: int = BLOCK_BYTES):
 
 
 def resolve(docs: DataFrame, table: DataFrame, keys_of, finish, ddl: str, max_bytes: int = MAX_TABLE_BYTES, block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """``docs`` has (doc_id, text), ``table`` has (key long, value binary) with unique keys.
+    """``docs`` has (doc_id, text), ``table`` has (key long, value binary) with unique keys, best in ranges and sorted by key.
 
     ``keys_of(rows)`` gives the distinct keys that a list of rows asks for; ``finish(rows, lookup)`` yields output tuples.
     """

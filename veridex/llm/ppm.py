@@ -29,6 +29,8 @@ from .dictionary import MAX_TABLE_BYTES, blocks, resolve
 
 ORDER = 5
 PAD = b"\xff"
+#: Arrays of several numbers a byte are held for a block of texts.
+BLOCK_BYTES = 3 << 20
 MODULUS, HELD_OUT = 7, 2
 OUT = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
 
@@ -85,7 +87,7 @@ def corpus_counts(docs: DataFrame) -> DataFrame:
 
     def run(batches):
         pairs = (row for b in batches for row in zip(b.column(0).to_pylist(), b.column(1).to_pylist()))
-        for rows in blocks(pairs):
+        for rows in blocks(pairs, 2 * BLOCK_BYTES):
             k, n = _count(rows)
             for i in range(0, len(k), 1 << 16):
                 yield pa.RecordBatch.from_arrays([pa.array(k[i : i + (1 << 16)]), pa.array(n[i : i + (1 << 16)].astype(np.int64))], schema=schema)
@@ -144,7 +146,7 @@ def ppm_scores(docs: DataFrame, max_table_bytes: int = MAX_TABLE_BYTES) -> DataF
     n_train, vocabulary = (words[0] or 0) + ends, (words[1] or 0) + (ends > 0)
     lp = code_lengths(counts.where("key >= 0"))
     table = lp.select("key", F.col("lp").alias("v")).unionByName(counts.where("key < 0").select("key", F.col("n").cast("double").alias("v")))
-    return resolve(docs, _packed(table), _keys, _finisher(n_train, vocabulary, ends), OUT, max_table_bytes)
+    return resolve(docs, _packed(table.repartitionByRange("key").sortWithinPartitions("key")), _keys, _finisher(n_train, vocabulary, ends), OUT, max_table_bytes, BLOCK_BYTES)
 
 
 def _packed(table: DataFrame) -> DataFrame:
