@@ -291,6 +291,18 @@ def test_jaccard_components(docs, rows, empty, width, percent, parameters):
     assert jaccard.jaccard_join(empty).count() == 0
 
 
+def test_deduplicate_keeps_unlinked_texts_of_null_and_repeated_ids(spark):
+    text = lambda k: " ".join(f"w{k}x{i}" for i in range(30))
+    near = lambda k: text(k) + " tail"
+    rows = [(None, text(1)), (None, text(2)), (5, text(3)), (5, text(4)), (6, text(5))]  # nothing resembles these
+    rows += [(None, text(6)), (None, near(6)), (None, text(7)), (None, near(7)), (8, text(8)), (None, near(8)), (None, text(8))]
+    rows += [(9, text(9)), (9, text(9)), (None, text(1)), (None, ""), (10, ""), (11, None)]
+    got = Counter(map(tuple, jaccard.deduplicate(spark.createDataFrame(rows, "doc_id long, text string")).collect()))
+    assert all(got[r] == 1 for r in rows[:5]) and got[8, text(8)] == got[9, text(9)] == 1
+    assert [got[None, text(k)] + got[None, near(k)] for k in (6, 7, 8)] == [1, 1, 0]
+    assert got[None, ""] == got[10, ""] == got[11, None] == 1 and sum(got.values()) == 12
+
+
 def test_t_occurrence_loses_no_component():
     r = random.Random(9)
     for _ in range(40):

@@ -222,7 +222,11 @@ def _link(percent: int):
 
 
 def link_components(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT, group: int = GROUP, max_table_bytes: int = MAX_TABLE_BYTES) -> DataFrame:
-    """(doc_id, n_shingles, component_id, key) of every document; ``key`` is the hash of id and text."""
+    """(doc_id, n_shingles, component_id, key, root) of every document.
+
+    ``key`` is the hash of id and text; ``root`` names the class of linked and equal sets, null where a document has no
+    shared set and is a class of its own.  Ids don't name classes: they may be null or repeat.
+    """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     survivors = shared_counts(docs, width, percent)
     keys = lambda rows: list({document_key(*r) for r in rows})
@@ -261,20 +265,20 @@ def link_components(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT,
     least = reps.select("sid", "least").join(linked, F.col("sid") == F.col("v"), "left").select("sid", "least", F.coalesce("root", "sid").alias("root"))
     least = materialize(least, "jaccard-least")
     named = least.groupBy("root").agg(F.min("least").alias("component"))
-    named = least.select("sid", "root").join(named, "root").select("sid", "component")
-    return base.drop("shingles").join(named, "sid", "left").select("doc_id", F.col("n_shingles"), F.coalesce("component", "doc_id").alias("component_id"), "key")
+    named = least.select("sid", "root").join(named, "root").select("sid", "root", "component")
+    return base.drop("shingles").join(named, "sid", "left").select("doc_id", F.col("n_shingles"), F.coalesce("component", "doc_id").alias("component_id"), "key", "root")
 
 
 def jaccard_join(docs: DataFrame, **parameters) -> DataFrame:
     """doc_id, n_shingles, component_id of every document."""
-    return link_components(docs, **parameters).drop("key")
+    return link_components(docs, **parameters).drop("key", "root")
 
 
 def deduplicate(docs: DataFrame, width: int = 5, percent: int = 80, **parameters) -> DataFrame:
-    """One document of each component, that of the least id (of repeated ids, that of the least text hash); columns as given."""
+    """One document of each class, that of the least id (of repeated ids, that of the least text hash); columns as given."""
     linked = link_components(docs, width, percent, **parameters)
-    whole = F.coalesce(F.col("component_id"), F.lit(-(1 << 63)))
-    keep = linked.where("n_shingles > 0 and doc_id <=> component_id").groupBy(whole.alias("c")).agg(F.min("key").alias("_key")).select("_key")
+    alone = F.when(F.col("root").isNull(), F.col("key"))
+    keep = linked.where("n_shingles > 0 and doc_id <=> component_id").groupBy("root", alone.alias("alone")).agg(F.min("key").alias("_key")).select("_key")
     keep = keep.unionByName(linked.where("n_shingles = 0").select(F.col("key").alias("_key")).distinct())
     keep = materialize(keep, "jaccard-keep")
     columns = docs.columns
