@@ -291,6 +291,31 @@ def test_jaccard_components(docs, rows, empty, width, percent, parameters):
     assert jaccard.jaccard_join(empty).count() == 0
 
 
+@pytest.mark.parametrize("width,percent,parameters", [(3, 90, {}), (2, 60, {"group": 3})])
+def test_jaccard_links_are_all_counted(spark, width, percent, parameters):
+    r = random.Random(4)
+    base = [[r.choice("abcdefghij") * r.randint(1, 3) for _ in range(60)] for _ in range(3)]
+    rows = [(i, " ".join(b[: 50 + r.randint(0, 6)])) for i, b in enumerate(base * 12)] + [(i, " ".join(base[0][:52])) for i in (100, 101, None, None)]
+    rows += [(200, "all alone here " * 3), (201, ""), (None, None)]
+    words = {x: (x[1] or "").split() for x in rows}
+    sets = {x: {tuple(w[k : k + width]) for k in range(max(1, len(w) - width + 1))} if w else set() for x, w in words.items()}
+    alike = lambda x, y: x != y and sets[x] and sets[y] and 100 * len(sets[x] & sets[y]) >= percent * len(sets[x] | sets[y])
+    want = Counter((x[0], sum(bool(alike(x, y)) for y in sets)) for x in rows)
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = Counter((x.doc_id, x.n_links) for x in jaccard.jaccard_links(docs, width=width, percent=percent, **parameters).collect())
+    assert got == want and max(n for _, n in want) > 10
+
+
+def test_t_occurrence_finds_every_link():
+    r = random.Random(10)
+    for _ in range(40):
+        base = [r.sample(range(60), 25) for _ in range(4)]
+        sets = [np.array(sorted(set(r.choice(base)) ^ set(r.sample(range(60), r.randint(0, 3)))), np.int64) for _ in range(25)]
+        every = {(a, b) for a in range(25) for b in range(a) if 100 * len(np.intersect1d(sets[a], sets[b])) >= 80 * len(np.union1d(sets[a], sets[b]))}
+        got = jaccard.t_occurrence(sets, 80)
+        assert len(got) == len(every) and {(max(p), min(p)) for p in got} == every
+
+
 def test_deduplicate_keeps_unlinked_texts_of_null_and_repeated_ids(spark):
     text = lambda k: " ".join(f"w{k}x{i}" for i in range(30))
     near = lambda k: text(k) + " tail"

@@ -9,9 +9,11 @@ A document is the set of its word shingles (64-bit hashes).  Two link when 100 |
    share one among the first n - ceil(percent n) + 1.  Sets that share such a shingle are joined, through the shingle, to
    candidate groups (connected components, no pairs are listed).
 3. Within a group, DivideSkip: a query's short inverted lists are merged with counts, its long ones are probed by binary
-   search for the candidates that can still reach the required overlap.  A pair already connected is not probed again:
-   the links found are a spanning forest, which loses no component.  A group of more than ``GROUP`` sets is cut into
-   parts, and each pair of parts is one task, so that no task holds more than two parts.
+   search for the candidates that can still reach the required overlap, or scanned where the candidates are many.  Every
+   candidate is verified; a task returns the number of links of each set, weighed by copies, and a spanning forest of the
+   links for the components.  With ``forest`` a pair already connected is not verified, and links are not counted.  A
+   group of more than ``GROUP`` sets is cut into parts, and each pair of parts is one task, so that no task holds more
+   than two parts; a task of two parts counts only the links between them.
 
 Fewer words than the shingle's width: the whole sequence is the one shingle.  No words, empty or null text: an empty set,
 linked with nothing; its component is its own id.  Rows that repeat an id and text are one node and give equal rows;
@@ -33,6 +35,7 @@ from .dictionary import MAX_TABLE_BYTES, blocks, resolve
 
 WIDTH, PERCENT = 3, 90
 GROUP = 1000
+SCAN = 1 << 20
 RANGE_SHINGLES = 4 << 20
 _MULTIPLIERS = np.random.Generator(np.random.PCG64(90210)).integers(1, 1 << 63, 64, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
@@ -156,11 +159,11 @@ def shared_counts(docs: DataFrame, width: int, percent: int) -> DataFrame:
     return sums.where((F.col("n") > 0) & (100 * F.col("c") >= percent * F.col("n"))).select("key", F.lit(b"").alias("value"))
 
 
-def t_occurrence(sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
-    """Links (i, j) that connect what is linked: a spanning forest of each component."""
-    order = sorted(range(len(sets)), key=lambda i: len(sets[i]))
+def _search(sets: list[np.ndarray], percent: int, forest: bool, sides: np.ndarray | None = None):
+    """(i, array of the j linked with it), each link once; with ``sides`` only links between sets of different sides."""
+    order = np.array(sorted(range(len(sets)), key=lambda i: len(sets[i])))
     flat = np.concatenate([sets[i] for i in order])
-    owner = np.repeat(np.arange(len(order)), [len(sets[i]) for i in order])
+    owner = np.repeat(np.arange(len(order), dtype=np.int32), [len(sets[i]) for i in order])
     tokens, code = np.unique(flat, return_inverse=True)
     by_token = np.argsort(code, kind="stable")
     postings = owner[by_token]
@@ -168,17 +171,9 @@ def t_occurrence(sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
     codes = np.split(code, np.cumsum([len(sets[i]) for i in order])[:-1])
     sizes = np.array([len(c) for c in codes])
     codes = [np.sort(c) for c in codes]
-    root = list(range(len(order)))
-
-    def find(x):
-        while root[x] != x:
-            root[x] = root[root[x]]
-            x = root[x]
-        return x
-
-    roots = np.arange(len(order))  # kept in step with find(), for whole arrays
-    members: dict[int, list[int]] = {i: [i] for i in range(len(order))}
-    links = []
+    del flat, owner, code, by_token
+    side = None if sides is None else np.asarray(sides)[order]
+    classes = Classes(len(order))
     for r in range(1, len(order)):
         mine = codes[r]
         lengths = begin[mine + 1] - begin[mine]
@@ -191,38 +186,102 @@ def t_occurrence(sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
         long = np.sort(lists[len(lists) - t + 1 :])
         hits = np.concatenate([postings[begin[c] : begin[c + 1]] for c in short.tolist()])
         hits = hits[(hits < r) & (100 * sizes[hits] >= percent * len(mine))]
+        if side is not None:
+            hits = hits[side[hits] != side[r]]
         if not len(hits):
             continue
         seen, times = np.unique(hits, return_counts=True)
-        for k in np.argsort(-times, kind="stable"):
-            s = int(seen[k])
-            if roots[s] == roots[r]:
-                continue
-            other = codes[s]
-            at = np.searchsorted(other, long)
-            at[at == len(other)] = 0
-            both = int(times[k]) + int((other[at] == long).sum())
-            if 100 * both >= percent * (len(mine) + len(other) - both):
-                links.append((order[s], order[r]))
-                a, b = int(roots[s]), int(roots[r])
-                if len(members[a]) < len(members[b]):
-                    a, b = b, a
-                roots[members[b]] = a
-                members[a] += members.pop(b)
-    return links
+        if forest:
+            for k in np.argsort(-times, kind="stable"):
+                s = int(seen[k])
+                if classes.of[s] == classes.of[r]:
+                    continue
+                both = int(times[k]) + _common(codes[s], long)
+                if 100 * both >= percent * (len(mine) + len(codes[s]) - both):
+                    classes.join(s, r)
+                    yield int(order[r]), order[s : s + 1]
+            continue
+        able = 100 * (times + len(long)) >= percent * (len(mine) + sizes[seen] - times - len(long))
+        seen, times = seen[able], times[able]
+        widths = begin[long + 1] - begin[long]
+        if widths.sum() > 2000 * len(seen):
+            both = times + np.array([_common(codes[s], long) for s in seen.tolist()], np.int64)
+        else:
+            found = np.zeros(len(order), np.int64)
+            for part in np.split(long, np.flatnonzero(np.diff(np.cumsum(widths) // SCAN)) + 1) if len(long) else ():
+                found += np.bincount(np.concatenate([postings[begin[c] : begin[c + 1]] for c in part.tolist()]), minlength=len(order))
+            both = times + found[seen]
+        linked = seen[100 * both >= percent * (len(mine) + sizes[seen] - both)]
+        if len(linked):
+            yield int(order[r]), order[linked]
+
+
+def _common(other: np.ndarray, long: np.ndarray) -> int:
+    at = np.searchsorted(other, long)
+    at[at == len(other)] = 0
+    return int((other[at] == long).sum())
+
+
+class Classes:
+    """Classes of 0..n-1, where ``of`` names each one's class."""
+
+    def __init__(self, n: int):
+        self.of, self.members = np.arange(n), {i: [i] for i in range(n)}
+
+    def join(self, x: int, y: int) -> bool:
+        a, b = int(self.of[x]), int(self.of[y])
+        if a == b:
+            return False
+        if len(self.members[a]) < len(self.members[b]):
+            a, b = b, a
+        self.of[self.members[b]] = a
+        self.members[a] += self.members.pop(b)
+        return True
+
+
+def t_occurrence(sets: list[np.ndarray], percent: int, forest: bool = False) -> list[tuple[int, int]]:
+    """Links (i, j): all, or with ``forest`` as many as connect what is linked."""
+    return [(int(j), i) for i, js in _search(sets, percent, forest) for j in js]
+
+
+def _sets(t: pa.Table) -> list[np.ndarray]:
+    """Views of a table's sets, without a Python number for each shingle."""
+    return [x for c in t["shingles"].chunks for x in np.split(c.flatten().to_numpy(), np.cumsum(c.value_lengths().to_numpy())[:-1]) if len(c)]
 
 
 def _link(percent: int):
     def run(t: pa.Table) -> pa.Table:
         ids = t["sid"].to_numpy()
-        found = t_occurrence([np.array(x, np.int64) for x in t["shingles"].to_pylist()], percent) if len(ids) > 1 else []
+        found = t_occurrence(_sets(t), percent, True) if len(ids) > 1 else []
         return pa.table({"a": pa.array([int(ids[i]) for i, _ in found], pa.int64()), "b": pa.array([int(ids[j]) for _, j in found], pa.int64())})
 
     return run
 
 
-def link_components(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT, group: int = GROUP, max_table_bytes: int = MAX_TABLE_BYTES) -> DataFrame:
-    """(doc_id, n_shingles, component_id, key, root) of every document.
+def _count(percent: int):
+    """(a, b, null) of links that connect what is linked, (a, null, n) with the copies that set ``a`` links with here."""
+
+    def run(t: pa.Table) -> pa.Table:
+        ids, copies = t["sid"].to_numpy(), t["copies"].to_numpy()
+        across = len(t) and t["lo"][0] != t["hi"][0]
+        n, classes, ends = np.zeros(len(ids), np.int64), Classes(len(ids)), []
+        if len(ids) > 1:
+            for i, js in _search(_sets(t), percent, False, t["i"].to_numpy() if across else None):
+                n[i] += copies[js].sum()
+                n[js] += copies[i]
+                ends += [(int(j), i) for j in js[np.unique(classes.of[js], return_index=True)[1]] if classes.join(int(j), i)]
+        some = np.flatnonzero(n)
+        a = [*(int(ids[j]) for j, _ in ends), *ids[some].tolist()]
+        b = [*(int(ids[i]) for _, i in ends), *[None] * len(some)]
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64()), "n": pa.array([None] * len(ends) + n[some].tolist(), pa.int64())})
+
+    return run
+
+
+def link_components(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT, group: int = GROUP, max_table_bytes: int = MAX_TABLE_BYTES, forest: bool = False) -> DataFrame:
+    """(doc_id, n_shingles, component_id, n_links, key, root) of every document.
+
+    ``n_links`` counts the other documents that link with it, null with ``forest``, where not every link is verified.
 
     ``key`` is the hash of id and text; ``root`` names the class of linked and equal sets, null where a document has no
     shared set and is a class of its own.  Ids don't name classes: they may be null or repeat.
@@ -241,6 +300,11 @@ def link_components(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT,
 
     base = materialize(resolve(docs, survivors, keys, sets, "doc_id long, key long, n_shingles long, sid long, shingles array<long>", max_table_bytes), "jaccard-sets")
     reps = base.where("sid is not null").groupBy("sid").agg(F.min("doc_id").alias("least"), F.first("n_shingles").alias("n"), F.first("shingles").alias("shingles"))
+    if forest:
+        reps = reps.withColumn("copies", F.lit(None).cast("long"))
+    else:
+        copies = base.where("sid is not null").select("sid", "key").distinct().groupBy("sid").agg(F.count("*").alias("copies"))
+        reps = reps.join(copies, "sid")
     reps = materialize(reps, "jaccard-reps")
     # prefixes in order of frequency among the representatives
     tokens = reps.select("sid", "n", F.explode("shingles").alias("token"))
@@ -253,30 +317,45 @@ def link_components(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT,
     near = prefix.join(hubs, "token").select(F.col("sid").alias("a"), F.col("hub").alias("b"))
     groups = materialize(components(near), "jaccard-groups")
     counts = groups.groupBy("root").agg(F.count("*").alias("size"))
-    inside = reps.select("sid", "shingles").join(groups, F.col("sid") == F.col("v")).join(counts, "root").select("root", "size", "sid", "shingles")
+    inside = reps.select("sid", "shingles", "copies").join(groups, F.col("sid") == F.col("v")).join(counts, "root").select("root", "size", "sid", "shingles", "copies")
     inside = materialize(inside, "jaccard-inside")
-    small = inside.where(F.col("size") <= group).groupBy("root").applyInArrow(_link(percent), "a long, b long")
     parts = F.ceil(F.col("size") / group).cast("int")
     cut = inside.where(F.col("size") > group).withColumn("i", F.pmod(F.xxhash64("sid"), parts).cast("int"))
-    cut = cut.select("root", "sid", "shingles", "i", F.explode(F.sequence(F.lit(0), parts - 1)).alias("j")).select("root", F.least("i", "j").alias("lo"), F.greatest("i", "j").alias("hi"), "sid", "shingles")
-    large = cut.groupBy("root", "lo", "hi").applyInArrow(_link(percent), "a long, b long")
-    links = materialize(small.unionByName(large), "jaccard-links")
-    linked = components(links)
-    least = reps.select("sid", "least").join(linked, F.col("sid") == F.col("v"), "left").select("sid", "least", F.coalesce("root", "sid").alias("root"))
-    least = materialize(least, "jaccard-least")
+    cut = cut.select("root", "sid", "shingles", "copies", "i", F.explode(F.sequence(F.lit(0), parts - 1)).alias("j")).select("root", F.least("i", "j").alias("lo"), F.greatest("i", "j").alias("hi"), "i", "sid", "shingles", "copies")
+    whole = inside.where(F.col("size") <= group).select("root", "sid", "shingles", "copies", *[F.lit(0).alias(c) for c in ("lo", "hi", "i")])
+    if forest:
+        small = whole.select("root", "sid", "shingles").groupBy("root").applyInArrow(_link(percent), "a long, b long")
+        large = cut.drop("i", "copies").groupBy("root", "lo", "hi").applyInArrow(_link(percent), "a long, b long")
+        links = materialize(small.unionByName(large), "jaccard-links").withColumn("n", F.lit(None).cast("long"))
+    else:
+        small = whole.groupBy("root").applyInArrow(_count(percent), "a long, b long, n long")
+        large = cut.groupBy("root", "lo", "hi").applyInArrow(_count(percent), "a long, b long, n long")
+        links = materialize(small.unionByName(large), "jaccard-links")
+    linked = components(links.where("b is not null").select("a", "b"))
+    least = reps.select("sid", "least", "copies").join(linked, F.col("sid") == F.col("v"), "left").select("sid", "least", "copies", F.coalesce("root", "sid").alias("root"))
+    if not forest:
+        met = links.where("b is null").groupBy("a").agg(F.sum("n").alias("n"))
+        least = least.join(met, F.col("sid") == F.col("a"), "left").withColumn("copies", F.col("copies") - 1 + F.coalesce("n", F.lit(0))).drop("a", "n")
+    least = materialize(least.withColumnRenamed("copies", "n_links"), "jaccard-least")
     named = least.groupBy("root").agg(F.min("least").alias("component"))
-    named = least.select("sid", "root").join(named, "root").select("sid", "root", "component")
-    return base.drop("shingles").join(named, "sid", "left").select("doc_id", F.col("n_shingles"), F.coalesce("component", "doc_id").alias("component_id"), "key", "root")
+    named = least.select("sid", "root", "n_links").join(named, "root").select("sid", "root", "component", "n_links")
+    n_links = F.lit(None).cast("long") if forest else F.coalesce("n_links", F.lit(0).cast("long"))
+    return base.drop("shingles").join(named, "sid", "left").select("doc_id", F.col("n_shingles"), F.coalesce("component", "doc_id").alias("component_id"), n_links.alias("n_links"), "key", "root")
 
 
 def jaccard_join(docs: DataFrame, **parameters) -> DataFrame:
     """doc_id, n_shingles, component_id of every document."""
+    return jaccard_links(docs, **parameters).drop("n_links")
+
+
+def jaccard_links(docs: DataFrame, **parameters) -> DataFrame:
+    """doc_id, n_shingles, component_id, n_links of every document."""
     return link_components(docs, **parameters).drop("key", "root")
 
 
 def deduplicate(docs: DataFrame, width: int = 5, percent: int = 80, **parameters) -> DataFrame:
     """One document of each class, that of the least id (of repeated ids, that of the least text hash); columns as given."""
-    linked = link_components(docs, width, percent, **parameters)
+    linked = link_components(docs, width, percent, forest=True, **parameters)
     alone = F.when(F.col("root").isNull(), F.col("key"))
     keep = linked.where("n_shingles > 0 and doc_id <=> component_id").groupBy("root", alone.alias("alone")).agg(F.min("key").alias("_key")).select("_key")
     keep = keep.unionByName(linked.where("n_shingles = 0").select(F.col("key").alias("_key")).distinct())

@@ -41,6 +41,10 @@ def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.jaccard_join(read_documents(spark, sf_dir))
 
 
+def op8_jaccard_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.jaccard_links(read_documents(spark, sf_dir))
+
+
 def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -53,7 +57,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read_documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"))
 
 
-QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_lm_scoring, op3_toxicity, op4_media_columns, op5_pii, op6_suffix_dedup, op7_chat_formatting, op8_jaccard_join, op9_byte_bpe, op10_packing)}
+QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_lm_scoring, op3_toxicity, op4_media_columns, op5_pii, op6_suffix_dedup, op7_chat_formatting, op8_jaccard_join, op8_jaccard_links, op9_byte_bpe, op10_packing)}
 
 _LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _WORDS = r"regexp_extract_all({}, '[^\x20\x09-\x0D]+')"
@@ -100,3 +104,6 @@ reach AS (SELECT doc_id, doc_id AS other FROM documents UNION SELECT r.doc_id, l
 SELECT d.doc_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_shingles, m.component_id
 FROM documents d LEFT JOIN n USING (doc_id) JOIN (SELECT doc_id, min(other) AS component_id FROM reach GROUP BY doc_id) m USING (doc_id)""",
 }
+
+# the same links, counted
+ORACLES["op8_jaccard_links"] = ORACLES["op8_jaccard_join"].replace("\nSELECT d.doc_id, CAST(coalesce(n.n, 0)", ",\ncounted AS (SELECT a, count(*) AS n_links FROM links GROUP BY a)\nSELECT d.doc_id, CAST(coalesce(k.n_links, 0) AS BIGINT) AS n_links, CAST(coalesce(n.n, 0)").replace("LEFT JOIN n USING (doc_id)", "LEFT JOIN n USING (doc_id) LEFT JOIN counted k ON k.a = d.doc_id")
