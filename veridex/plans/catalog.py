@@ -192,6 +192,15 @@ def contiguous_ranges(t):
     return dedup.contiguous(o, ["o_orderpriority"], "v")
 
 
+@query("""
+WITH d AS (SELECT DISTINCT o_custkey, date_diff('day', DATE '1970-01-01', CAST(o_orderdate AS DATE)) AS v FROM orders)
+SELECT o_custkey, min(v) AS first, max(v) AS last, count(*) AS n FROM (SELECT *, v - row_number() OVER (PARTITION BY o_custkey ORDER BY v) AS g FROM d) GROUP BY o_custkey, g""")
+def contiguous_ranges_by_customer(t):
+    """Runs of days in the orders of each customer, over all orders."""
+    o = t("orders").select("o_custkey", F.datediff(F.to_date("o_orderdate"), F.lit("1970-01-01").cast("date")).cast("long").alias("v"))
+    return dedup.contiguous(o, ["o_custkey"], "v")
+
+
 @query("SELECT c_nationkey, c_custkey, c_acctbal, CAST(n AS INTEGER) AS place FROM (SELECT *, row_number() OVER (PARTITION BY c_nationkey ORDER BY c_acctbal DESC, c_custkey) AS n FROM customer) WHERE n <= 3")
 def topk_per_group(t):
     return dedup.top_k(t("customer").select("c_nationkey", "c_custkey", "c_acctbal"), ["c_nationkey"], [F.col("c_acctbal").desc(), F.col("c_custkey")], 3)
