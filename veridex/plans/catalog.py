@@ -326,16 +326,18 @@ def signed_values(t):
 
 
 def _filings(t) -> tuple[DataFrame, DataFrame]:
-    """Orders of three lines or more as tables with two checks of their first figure, which every fifth order misreads."""
-    li = t("lineitem").where("l_linenumber between 1 and 3").groupBy(F.col("l_orderkey").cast("string").alias("filing"), F.concat(F.lit("c"), F.col("l_linenumber").cast("string")).alias("cell")).agg(F.max(F.floor("l_extendedprice") + 10_000).cast("long").alias("v"))
-    whole = li.groupBy("filing").agg(F.count("*").alias("n"), F.sum("v").alias("s"), F.max(F.when(F.col("cell") == "c1", F.col("v"))).alias("v1"), F.max(F.when(F.col("cell") == "c2", F.col("v"))).alias("v2")).where("n = 3")
-    cells = li.join(whole.select("filing"), "filing").unionByName(whole.select("filing", F.lit("t").alias("cell"), F.col("s").alias("v"))).unionByName(whole.select("filing", F.lit("u").alias("cell"), (F.col("v1") + F.col("v2")).alias("v")))
+    """Orders as tables of all their lines, with a total and, from two lines on, a check of the first two; every fifth order misreads its first figure."""
+    line = F.struct("l_linenumber", (F.floor("l_extendedprice") + 10_000).cast("long").alias("v"))
+    whole = t("lineitem").groupBy(F.col("l_orderkey").cast("string").alias("filing")).agg(F.array_sort(F.collect_list(line)).v.alias("v"))
+    first = F.expr("transform(v, (x, i) -> struct(concat('c', i + 1) AS cell, x AS v))")
+    total, second = F.expr("struct('t' AS cell, aggregate(v, 0L, (a, x) -> a + x) AS v)"), F.expr("if(size(v) >= 2, array(struct('u' AS cell, v[0] + get(v, 1) AS v)), array())")
+    cells = whole.select("filing", F.explode(F.concat(first, F.array(total), second)).alias("x")).select("filing", "x.*")
     wrong = (F.col("cell") == "c1") & (F.col("filing").cast("long") % 5 == 0)
     raw = F.when(wrong, F.translate(F.col("v").cast("string"), "38", "83")).otherwise(F.col("v").cast("string"))
     cells = cells.select("filing", "cell", raw.alias("raw"), raw.cast("double").alias("value"))
-    terms = [("t", "c1", 1.0), ("t", "c2", 1.0), ("t", "c3", 1.0), ("t", "t", -1.0), ("u", "c1", 1.0), ("u", "c2", 1.0), ("u", "u", -1.0)]
-    rows = F.explode(F.array(*[F.struct(F.lit(c).alias("constraint_id"), F.lit(x).alias("cell"), F.lit(s).alias("sign")) for c, x, s in terms]))
-    return whole.select("filing", rows.alias("r")).select("filing", "r.*", F.lit(2.0).alias("tolerance"), F.lit(False).alias("advisory")), cells
+    of_total = cells.where("cell <> 'u'").select("filing", F.lit("t").alias("constraint_id"), "cell", F.when(F.col("cell") == "t", -1.0).otherwise(1.0).alias("sign"))
+    of_two = whole.where(F.size("v") >= 2).select("filing", F.lit("u").alias("constraint_id"), F.explode(F.expr("map('c1', 1.0D, 'c2', 1.0D, 'u', -1.0D)")).alias("cell", "sign"))
+    return of_total.unionByName(of_two).select("*", F.lit(2.0).alias("tolerance"), F.lit(False).alias("advisory")), cells
 
 
 @query()
