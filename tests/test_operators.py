@@ -114,3 +114,16 @@ def test_publish_and_records_round_trip(spark, tmp_path):
     assert index.count() == 2
     good, bad = readers.records(spark, str(tmp_path / "corpus" / "records"))
     assert good.count() == 2 and bad.count() == 0
+
+
+def test_every_surveyed_label_has_a_rule(spark):
+    from veridex.operators import statements
+
+    balance = ["Equity and liabilities", "Share premium", "Reserves", "Treasury shares", "Current portion of lease liabilities", "Current portion of long term financing", "Deferred taxation", "Staff retirement benefits"]
+    cash = ["Cash flows from operating activities", "Interest received", "Exchange gain", "Net cash generated from operating activities", "Cash flows from investing activities", "Purchase of investments", "Sale of investments"]
+    cash += ["Net cash used in investing activities", "Cash flows from financing activities", "Repayment of lease liabilities", "Repayment of long term financing", "Net cash used in financing activities", "Exchange differences", "Effect of exchange rate changes"]
+    rows = [(k, i, k, x) for k, xs in (("balance", balance), ("cash_flow", cash)) for i, x in enumerate(xs)]
+    df = statements.placed(spark.createDataFrame(rows, "n string, row int, statement string, text string"), ["n"], "row", "text")
+    got = {(r.n, r.row): r.item for r in statements.matched(df).collect()}
+    assert [got["balance", i] for i in range(8)] == [None, "additional_paid_in_capital", "reserves", "treasury_stock", "current_portion_lease_liabilities", "current_portion_long_term_debt", "deferred_taxes", "employee_benefits"]
+    assert [got["cash_flow", i] for i in range(14)] == [None, "cf_interest_income", None, "cash_from_operations", None, "purchase_of_investments", "sale_of_investments", "cash_from_investing", None, "lease_payments", "debt_repaid", "cash_from_financing", "fx_adjustments", "fx_adjustments"]

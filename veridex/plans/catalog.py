@@ -485,12 +485,27 @@ def fund_table(t):
     return funds.performance(rows).select("fund_id", "name", "category", "return_basis", "nav", "validity_date")
 
 
+#: A caption for every label rule, below the headings that place it.
+_CAPTIONS = {
+    "income": """Cost of sales|Revenue|Gross profit|Selling and administrative expenses|Distribution cost|Administrative expenses|Research and development|Other operating expenses|Other income|Operating profit|Finance cost|Interest income
+|Levies|Profit before tax|Taxation|Profit after tax|Owners of the parent|Non-controlling interests|Earnings per share""",
+    "balance": """Assets|Right-of-use assets|Investment property|Property, plant and equipment|Intangible assets|Goodwill|Long-term investments|Long-term loans|Deferred tax asset|Stores and spares|Stock-in-trade|Trade debts|Loans and advances
+|Deposits and prepayments|Other receivables|Short-term investments|Tax refunds due|Cash and bank balances|Total current assets|Total non-current assets|Total assets|Equity and liabilities|Issued, subscribed and paid-up capital|Share premium
+|Unappropriated profit|Reserves|Treasury shares|Non-controlling interests|Shareholders' equity|Total equity|Current portion of lease liabilities|Current portion of long-term financing|Deferred taxation|Staff retirement benefits
+|Trade and other payables|Short-term borrowings|Bank overdraft|Lease liabilities|Long-term financing|Total current liabilities|Total non-current liabilities|Total liabilities|Total equity and liabilities""",
+    "cash_flow": """Cash flows from operating activities|Profit before tax|Depreciation|Trade debts|Stock-in-trade|Trade and other payables|Cash generated from operations|Income tax paid|Finance cost paid|Interest received|Net cash generated from operating activities
+|Cash flows from investing activities|Capital expenditure|Proceeds from sale of property, plant and equipment|Purchase of investments|Sale of investments|Net cash used in investing activities|Cash flows from financing activities|Lease liabilities paid
+|Repayment of long-term financing|Proceeds from long-term financing|Dividends paid|Net cash used in financing activities|Net increase in cash and cash equivalents|Exchange differences|Cash and cash equivalents at beginning of the year|Cash and cash equivalents at end of the year""",
+}
+
+
 @query()
 def statement_labels(t):
-    """Part names as captions of a balance sheet, matched by the ordered label rules."""
-    caption = F.element_at(F.array(*[F.lit(x) for x in ("Current assets", "Stock-in-trade", "Trade debts", "Total current assets", "Equity and liabilities", "Trade and other payables", "Total liabilities", "Total assets")]), (F.col("p_partkey") % 8 + 1).cast("int"))
-    rows = t("part").select(F.floor(F.col("p_partkey") / 8).alias("table_no"), F.col("p_partkey").alias("row"), F.lit("balance").alias("statement"), caption.alias("text"))
-    return statements.matched(statements.placed(rows, ["table_no"], "row", "text")).select("table_no", "row", "label", "placement", "item")
+    """Parts as the captions of statements, one for every label rule, matched by the ordered rules."""
+    captions = [(kind, x.strip()) for kind, text in _CAPTIONS.items() for x in text.split("|")]
+    at = F.get(F.array(*[F.struct(F.lit(k).alias("statement"), F.lit(x).alias("text")) for k, x in captions]), F.pmod("p_partkey", F.lit(len(captions))).cast("int"))
+    rows = t("part").select(F.floor(F.col("p_partkey") / len(captions)).alias("table_no"), F.col("p_partkey").alias("row"), at.alias("x")).select("table_no", "row", "x.*")
+    return statements.matched(statements.placed(rows, ["table_no", "statement"], "row", "text")).select("table_no", "row", "label", "placement", "item")
 
 
 @query("SELECT o_custkey AS filing, count(*) FILTER (o_orderstatus = 'O') >= 2 AND count(*) FILTER (o_orderstatus = 'F') >= 2 AND count(*) FILTER (o_orderstatus = 'P') >= 1 AS complete FROM orders GROUP BY 1")
