@@ -127,3 +127,22 @@ def test_every_surveyed_label_has_a_rule(spark):
     got = {(r.n, r.row): r.item for r in statements.matched(df).collect()}
     assert [got["balance", i] for i in range(8)] == [None, "additional_paid_in_capital", "reserves", "treasury_stock", "current_portion_lease_liabilities", "current_portion_long_term_debt", "deferred_taxes", "employee_benefits"]
     assert [got["cash_flow", i] for i in range(14)] == [None, "cf_interest_income", None, "cash_from_operations", None, "purchase_of_investments", "sale_of_investments", "cash_from_investing", None, "lease_payments", "debt_repaid", "cash_from_financing", "fx_adjustments", "fx_adjustments"]
+
+
+def test_shards_go_by_place_and_not_by_id(spark):
+    import tempfile
+
+    from veridex.operators import dedup
+    from veridex.plans import catalog
+
+    ids = [3 * i + (i > 40) for i in range(100)] + [9, 9, 9, 60, None, None]
+    docs = spark.createDataFrame([(i,) for i in ids], "doc_id long")
+    want = sorted(ids, key=lambda i: (i is None, i or 0))
+    for size in (1 << 14, 7):
+        assert [r.doc_id for r in dedup.places(docs, "doc_id", size).orderBy("place").collect()] == want
+        assert sorted(r.place for r in dedup.places(docs, "doc_id", size).collect()) == list(range(len(ids)))
+    assert dedup.places(docs.where("false"), "doc_id").count() == 0
+    with tempfile.TemporaryDirectory() as path:
+        docs.write.parquet(f"{path}/documents.parquet")
+        got = [r.doc_id for r in catalog.QUERIES["shard_filter"](spark, path).collect()]
+    assert sorted(got, key=lambda i: (i is None, i or 0)) == want[2::5]

@@ -422,8 +422,8 @@ def subsequence_of_digits(t):
 
 @query("SELECT doc_id, CAST((row_number() OVER (ORDER BY doc_id) - 1) % 5 AS INTEGER) AS shard FROM documents QUALIFY shard = 2")
 def shard_filter(t):
-    """Every fifth document by its place in order of id: ids are whole from 0, so the place is the id's."""
-    return t("documents").select("doc_id", F.pmod("doc_id", F.lit(5)).cast("int").alias("shard")).where("shard = 2")
+    """Every fifth document by its place in order of id."""
+    return dedup.places(t("documents").select("doc_id"), "doc_id").select("doc_id", (F.col("place") % 5).cast("int").alias("shard")).where("shard = 2")
 
 
 @query("SELECT source, doc_id FROM (SELECT source, doc_id, row_number() OVER (PARTITION BY source ORDER BY (n_chars > 2000) DESC, doc_id) AS n FROM documents) WHERE n <= 10")
