@@ -346,19 +346,32 @@ def test_t_occurrence_loses_no_component():
         assert joined(jaccard.t_occurrence(sets, 80)) == joined(every)
 
 
-@pytest.mark.parametrize("size", [dictionary.MAX_TABLE_BYTES, 100])
-def test_bpe_equals_the_library(docs, rows, empty, size):
+@pytest.mark.parametrize("block, known", [(bpe.BLOCK_BYTES, bpe.KNOWN), (300, 40)])
+def test_bpe_equals_the_library(spark, docs, rows, empty, block, known):
     tiktoken = pytest.importorskip("tiktoken")
     path = P.path("byte_bpe_multi_50k.tiktoken")
     own = tiktoken.Encoding("own", pat_str=P.PATTERN, mergeable_ranks=bpe.ranks_of(path), special_tokens={})
+    r = random.Random(3)
+    long = ["".join(r.choice("abcdeé") for _ in range(3000)), "ab" * 900 + "é" * 301, "-" * 5000 + "=" * 257]
+    more = [(900 + k, t, "en", "h", len(t), "k", "v", 1) for k, t in enumerate(long)]
     want = Counter()
-    for i, t, *_ in rows:
+    for i, t, *_ in [*rows, *more]:
         ids = own.encode_ordinary(t or "")
         want[i, len(ids), hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest(), hashlib.sha256((t or "").encode()).hexdigest()] += 1
-    assert Counter(map(tuple, bpe.encode_documents(docs, path, P.PATTERN, size).collect())) == want
+    every = docs.union(spark.createDataFrame(more, COLUMNS))
+    assert Counter(map(tuple, bpe.encode_documents(every, path, P.PATTERN, block, known).collect())) == want
     assert bpe.encode_documents(empty, path, P.PATTERN).count() == 0
 
 
+def test_rank_map_holds_every_pair():
+    ranks = bpe.ranks_of(P.path("byte_bpe_multi_50k.tiktoken"))
+    pairs = bpe.pair_ranks(ranks)
+    table, bits = bpe.rank_map(pairs)
+    found = {e >> bpe.ID_BITS: e & (bpe.NONE - 1) for e in table if e >= 0}
+    assert found == pairs
+    assert all(table[a] >> bpe.ID_BITS == k or table[b] >> bpe.ID_BITS == k for k in list(pairs)[:2000] for a, b in [bpe._places(k, bits)])
+
+
 def test_packing(docs, rows, empty):
     from tokenizers import Tokenizer
 

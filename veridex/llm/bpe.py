@@ -1,13 +1,19 @@
 """Byte-level BPE encoding and decoding.
 
 A text is cut into words before single spaces or line breaks between non-spaces, where the splitting pattern always has a
-boundary, and the words into the pattern's matches; each distinct match of the corpus is encoded once.  Encoding is by
-Spark higher-order functions: a match becomes a list of bytes (as hex pairs), and a fold merges, round after round, the
-adjacent pair of least rank, looked up in a literal rank map (an array of small maps, found by hash, as a map's own look-up is a linear search).
-Decoding concatenates the binary pieces of the ids.  Documents are put together from the words' values.
-
-Null and empty texts have no ids: the digests are those of nothing.  Repeated rows give repeated result rows, and an
-empty table an empty result; other columns are not read.
+boundary, and the words into the pattern's matches.  Each task encodes the distinct matches of its texts by Spark
+higher-order functions: a match is an array of its bytes' ids, and a fold merges the adjacent pair of least rank until
+none is left.  The rank of a pair is read from a literal map of every pair of pieces that makes a piece, an array that is
+probed at two places given by Spark's own 64-bit hash (a map's look-up is a linear search).  Decoding concatenates the
+binary pieces of the ids.
+
+One way for every size, without a shuffle: the words of a block of texts that the task has not seen go with numbers for
+all words; behind the fold the documents are put together from these.  What a task remembers is bounded by ``KNOWN``
+words, after which it begins anew; nothing grows with the corpus.
+
+Null and empty texts have no ids: the digests are those of nothing.  A text of any length is read whole (one longer than
+a block is a block).  Repeated rows give repeated result rows, and an empty table an empty result; other columns are not
+read.
 """
 
 from __future__ import annotations
@@ -15,6 +21,7 @@ from __future__ import annotations
 import base64
 import functools
 import hashlib
+import itertools
 import json
 import re
 
@@ -24,13 +31,17 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import utf8
-from .dictionary import MAX_TABLE_BYTES, blocks, resolve
-
-BUCKETS = 1 << 17
-OUT = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
-#: A block's distinct words are split and looked up once: larger blocks repeat fewer.
-BLOCK_BYTES = 12 << 20
+from .common import arrow_schema, rows_to_batches
+from .dictionary import blocks
+
+OUT = "doc_id long,n_tokens long,ids_sha256 string,decoded_sha256 string"
+BLOCK_BYTES = 2 << 20
+#: Distinct words that a task remembers.
+KNOWN = 300_000
+#: Matches of more bytes merge every pair of a round's rank at once.
+LONG = 256
+ID_BITS = 21
+NONE = 1 << ID_BITS
 # Fixed value: the pattern of byte-level tokenizers; letters with a space before them are one match of it, a mark is one.
 _LETTER_RUNS = (r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+""",)
 _MARKS = frozenset(".,;:!?")
@@ -47,36 +58,50 @@ def words_of(text: str) -> list[str]:
     return [w for w in text.replace(" ", "\0 ").replace("\n", "\0\n").split("\0") if w]
 
 
-def word_key(word: str) -> int:
-    return xxhash.xxh3_64_intdigest(utf8(word)) - (1 << 63)
-
-
 @functools.lru_cache(4)
 def ranks_of(path: str) -> dict[bytes, int]:
     with open(path, "rb") as f:
         return {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
 
 
-def _bucket(hexed: Column) -> Column:
-    return F.xxhash64(hexed).bitwiseAND(F.lit(BUCKETS - 1)).cast("int")
-
-
-def rank_literal(ranks: dict[bytes, int]) -> Column:
-    """The ranks as a foldable array of maps from hex to rank; the place is the low bits of Spark's own 64-bit hash."""
-    maps: list[dict] = [{} for _ in range(BUCKETS)]
-    for token, rank in ranks.items():
-        h = token.hex().upper()
-        maps[xxhash.xxh64_intdigest(h.encode(), seed=42) & (BUCKETS - 1)][h] = rank
-    return F.from_json(F.lit(json.dumps(maps, separators=(",", ":"))), "array<map<string,int>>")
-
-
-def piece_literal(ranks: dict[bytes, int]) -> Column:
-    """Hex of each id's bytes, by id."""
-    size = max(ranks.values()) + 1
-    pieces = [""] * size
+def pair_ranks(ranks: dict[bytes, int]) -> dict[int, int]:
+    """Rank of the piece that two adjacent pieces make, by the pair's number."""
+    out = {}
     for token, rank in ranks.items():
-        pieces[rank] = token.hex().upper()
-    return F.split(F.lit(",".join(pieces)), ",")
+        for i in range(1, len(token)):
+            a, b = ranks.get(token[:i]), ranks.get(token[i:])
+            if a is not None and b is not None:
+                out[a << ID_BITS | b] = rank
+    return out
+
+
+def _places(key: int, bits: int) -> tuple[int, int]:
+    h = xxhash.xxh64_intdigest(key.to_bytes(8, "little"), seed=42)  # what Spark's xxhash64 gives for a long
+    return h & ((1 << bits) - 1), h >> bits & ((1 << bits) - 1)
+
+
+def rank_map(pairs: dict[int, int]) -> tuple[list[int], int]:
+    """The pairs in an array where each lies at one of its two places; the array's size in bits."""
+    bits = max(4, (3 * len(pairs)).bit_length())
+    while True:
+        table, fits = [-1] * (1 << bits), True
+        for key, rank in pairs.items():
+            entry, at = key << ID_BITS | rank, _places(key, bits)[0]
+            for _ in range(500):
+                entry, table[at] = table[at], entry
+                if entry < 0:
+                    break
+                at = sum(_places(entry >> ID_BITS, bits)) - at  # the other place of what lay here
+            else:
+                fits = False
+                break
+        if fits:
+            return table, bits
+        bits += 1
+
+
+def _numbers(values: list[int]) -> Column:
+    return F.from_json(F.lit(json.dumps(values, separators=(",", ":"))), "array<bigint>")
 
 
 def _with(value: Column, body) -> Column:
@@ -84,120 +109,184 @@ def _with(value: Column, body) -> Column:
     return F.transform(F.array(value), body)[0]
 
 
-def encode_word(word: Column, ranks: Column) -> Column:
-    """Ids of one match of the pattern.
+class Coder:
+    """Columns that encode and decode; the literals stand where they are used, as a bound one would be copied for every row."""
 
-    The state of the fold is the parts in brackets, <74><6865>: merging a pair everywhere, from the left, is one
-    ``replace``.  Where pairs of one rank differ (as aa+a and a+aa), only the leftmost is merged in that round.
-    """
-    rank = lambda h: F.element_at(F.get(ranks, _bucket(h)), h)
-    parts_of = lambda s: F.split(F.substr(s, F.lit(2), F.length(s) - 2), "><")
+    def __init__(self, ranks: dict[bytes, int]):
+        if max(ranks.values()) >= NONE:
+            raise ValueError("ids need more bits")
+        self.table, self.bits = rank_map(pair_ranks(ranks))
+        self.singles = [ranks[bytes([b])] for b in range(256)]
+        self.pieces = [""] * (max(ranks.values()) + 1)
+        for token, rank in ranks.items():
+            self.pieces[rank] = token.hex()
 
-    def round_(state: Column) -> Column:
-        """The state after the merge of the adjacent pair of least rank; null if no pair has one."""
+    def rank(self, a: Column, b: Column) -> Column:
+        """Rank of what two pieces make, NONE if that is no piece or one is missing."""
+        table, last = _numbers(self.table), F.lit((1 << self.bits) - 1)
+        key = F.shiftleft(a, ID_BITS).bitwiseOR(b)
+        spread = F.xxhash64(key)
 
-        def merged(parts: Column) -> Column:
-            def put(ranked: Column) -> Column:
-                least = F.array_min(ranked)
-                at = F.array_position(ranked, least).cast("int")  # counted from 1
-                a, b = F.get(parts, at - 1), F.get(parts, at)
-                alone = F.concat(F.lit("<"), F.array_join(F.concat(F.slice(parts, F.lit(1), at - 1), F.array(F.concat(a, b)), F.slice(parts, at + 2, F.size(parts))), "><"), F.lit(">"))
-                every = F.replace(state, F.concat(F.lit("<"), a, F.lit("><"), b, F.lit(">")), F.concat(F.lit("<"), a, b, F.lit(">")))
-                mixed = (F.size(F.array_remove(ranked, least)) < F.size(ranked) - 1) & F.exists(F.zip_with(parts, ranked, lambda x, r: (r == least) & (x != a)), lambda x: x)
-                return F.when(least.isNotNull(), F.when(mixed, alone).otherwise(every))
+        def probe(place: Column, other) -> Column:
+            return _with(F.get(table, place.cast("int")), lambda e: F.when(F.shiftright(e, ID_BITS) == key, e.bitwiseAND(F.lit(NONE - 1))).otherwise(other()))
 
-            return _with(F.transform(parts, lambda x, i: rank(F.concat(x, F.get(parts, i + 1)))), put)
+        return probe(spread.bitwiseAND(last), lambda: probe(F.shiftrightunsigned(spread, self.bits).bitwiseAND(last), lambda: F.lit(NONE).cast("long")))
 
-        return _with(parts_of(state), merged)
+    def _ranks(self, parts: Column) -> Column:
+        """Rank of each part with the next; the last has none."""
+        return F.transform(parts, lambda x, i: self.rank(x, F.get(parts, i + 1)))
 
-    def fold(hexed: Column) -> Column:
-        start = F.struct(F.regexp_replace(hexed, "(..)", "<$1>").alias("s"), F.lit(True).alias("more"))
+    def _merge_one(self, acc: Column) -> Column:
+        """The leftmost pair of least rank becomes one part; only its neighbours' ranks change."""
+        parts, ranks = acc["p"], acc["r"]
 
-        def step(acc: Column, _: Column) -> Column:
-            after = lambda s: F.struct(F.coalesce(s, acc["s"]).alias("s"), s.isNotNull().alias("more"))
-            return F.when(acc["more"], _with(round_(acc["s"]), after)).otherwise(acc)
+        def merged(m: Column) -> Column:
+            k, least = m["at"].cast("int"), m["least"]  # counted from 1
+            new = F.concat(F.slice(parts, F.lit(1), k - 1), F.array(least), F.slice(parts, k + 2, F.size(parts)))
+            left = F.when(k > 1, F.array(self.rank(F.get(parts, k - 2), least))).otherwise(F.array().cast("array<bigint>"))
+            around = F.concat(F.slice(ranks, F.lit(1), F.greatest(k - 2, F.lit(0))), left, F.array(self.rank(least, F.get(parts, k + 1))), F.slice(ranks, k + 2, F.size(ranks)))
+            return F.struct(new.alias("p"), around.alias("r"), F.lit(True).alias("more"))
 
-        rounds = F.sequence(F.lit(1), F.greatest(F.length(hexed) / 2 - 1, F.lit(1)).cast("int"))
-        parts = F.aggregate(rounds, start, step, lambda acc: parts_of(acc["s"]))
-        return _with(rank(hexed), lambda r: F.when(r.isNotNull(), F.array(r)).otherwise(F.transform(parts, rank)))
+        found = F.struct(F.array_min(ranks).alias("least"), F.array_position(ranks, F.array_min(ranks)).alias("at"))
+        return _with(found, lambda m: F.when(m["least"] < NONE, merged(m)).otherwise(_done(acc)))
 
-    return _with(F.hex(F.encode(word, "utf-8")), fold)
+    def _merge_all(self, acc: Column) -> Column:
+        """Every pair of least rank becomes one part, from the left, without overlaps."""
+        parts, ranks = acc["p"], acc["r"]
 
+        def merged(least: Column) -> Column:
+            flags = F.array_join(F.transform(ranks, lambda r: F.when(r == least, "1").otherwise("0")), "")
+            marks = F.split(F.regexp_replace(flags, "1.", "X-"), "")  # X: a pair begins, -: its second part
+            chosen = F.filter(F.zip_with(parts, marks, lambda p, c: F.struct(p.alias("p"), c.alias("c"))), lambda x: x["c"] != "-")
+            new = F.transform(chosen, lambda x: F.when(x["c"] == "X", least).otherwise(x["p"]))
+            return _with(new, lambda p: F.struct(p.alias("p"), self._ranks(p).alias("r"), F.lit(True).alias("more")))
 
-def encode_words(words: DataFrame, ranks: dict[bytes, int]) -> DataFrame:
-    """(key, ids, decoded) of distinct matches of the pattern; ``words`` has (key, word)."""
-    # the literals stand where they are used: bound to a lambda variable they would be copied for every row
-    ids = encode_word(F.col("word"), rank_literal(ranks))
-    coded = words.select("key", ids.alias("ids"))
-    pieces = piece_literal(ranks)
-    decoded = F.unhex(F.aggregate("ids", F.lit(""), lambda a, i: F.concat(a, F.get(pieces, i))))
-    return coded.select("key", "ids", decoded.alias("decoded"))
+        return _with(F.array_min(ranks), lambda least: F.when(least < NONE, merged(least)).otherwise(_done(acc)))
 
+    def encode(self, word: Column) -> Column:
+        """Ids of one match of the pattern, given as binary that is not empty."""
+        letters = F.split(F.decode(word, "ISO-8859-1"), "")  # one character a byte
+        parts = F.transform(letters, lambda c: F.get(_numbers(self.singles), F.ascii(c)))
+        rounds = F.sequence(F.lit(1), F.greatest(F.octet_length(word) - 1, F.lit(1)))
 
-@functools.lru_cache(4)
-def _compiled(pattern: str):
-    import regex
+        def folded(p: Column) -> Column:
+            start = F.struct(p.alias("p"), self._ranks(p).alias("r"), F.lit(True).alias("more"))
+            by = lambda merge: F.aggregate(rounds, start, lambda acc, _: F.when(acc["more"], merge(acc)).otherwise(acc), lambda acc: acc["p"])
+            return F.when(F.size(p) == 1, p).when(F.size(p) <= LONG, by(self._merge_one)).otherwise(by(self._merge_all))
 
-    return regex.compile(pattern)
+        return _with(parts, folded)
 
+    def decode(self, ids: Column) -> Column:
+        """Bytes of the ids: their pieces joined."""
+        pieces = F.split(F.lit(",".join(self.pieces)), ",")
+        return F.unhex(F.array_join(F.transform(ids, lambda i: F.get(pieces, i.cast("int"))), ""))
 
-def _matches(rows, pattern: str) -> tuple[list[list[str]], dict[str, list[str]]]:
-    """Words of each row's text, and the pattern's matches in each distinct word."""
-    texts, found = [words_of(t) for _, t in rows], _compiled(pattern).findall
-    if pattern not in _LETTER_RUNS:
-        return texts, {w: found(w) for w in {w for t in texts for w in t}}
-    out = {}
-    for w in {w for t in texts for w in t}:
-        head, body = w[0], w[1:]
-        if head == " " and body.isalpha():
-            out[w] = [w]
-        elif head == " " and body[-1:] in _MARKS and body[:-1].isalpha():
-            out[w] = [w[:-1], body[-1]]
-        elif head == "\n" and body.isalpha():
-            out[w] = ["\n", body]
-        else:
-            out[w] = found(w)
-    return texts, out
 
+def _done(acc: Column) -> Column:
+    return F.struct(acc["p"].alias("p"), acc["r"].alias("r"), F.lit(False).alias("more"))
 
-def distinct_matches(docs: DataFrame, pattern: str) -> DataFrame:
-    """(key, word) of the distinct matches of the pattern in all texts."""
-    schema = pa.schema([("key", pa.int64()), ("word", pa.string())])
 
-    def run(batches):
-        for rows in blocks((row for b in batches for row in zip(b.column(0).to_pylist(), b.column(1).to_pylist())), BLOCK_BYTES):
-            words = list({m for ms in _matches(rows, pattern)[1].values() for m in ms})
-            for i in range(0, len(words), 1 << 15):
-                part = words[i : i + (1 << 15)]
-                yield pa.RecordBatch.from_arrays([pa.array([word_key(w) for w in part], pa.int64()), pa.array(part, pa.string())], schema=schema)
+def encode_words(words: Column, ranks: dict[bytes, int]) -> Column:
+    """(ids joined by commas, decoded bytes) of each of an array of matches."""
+    coder = Coder(ranks)
+    return F.transform(words, lambda w: _with(coder.encode(w), lambda ids: F.struct(F.array_join(ids, ",").alias("ids"), coder.decode(ids).alias("data"))))
 
-    return docs.mapInArrow(run, "key long, word string").groupBy("key", "word").agg(F.lit(1).alias("one")).select("key", "word")
 
+@functools.lru_cache(4)
+def _compiled(pattern: str):
+    import regex
 
-def _finisher(pattern: str):
-    def finish(rows, lookup):
-        texts, matches = _matches(rows, pattern)
-        distinct = list({m for ms in matches.values() for m in ms})
-        places = lookup.find(np.fromiter((word_key(m) for m in distinct), np.int64, len(distinct)))
-        if len(places) and places.min() < 0:
-            raise ValueError("a word has no ids")
-        values = {m: lookup.value(at).split(b"\0", 1) for m, at in zip(distinct, places.tolist())}
-        ids, data, count = {}, {}, {}
-        for w, ms in matches.items():
-            ids[w], data[w] = b",".join(values[m][0] for m in ms), b"".join(values[m][1] for m in ms)
-            count[w] = ids[w].count(b",") + 1
-        for (doc_id, _), t in zip(rows, texts):
-            yield doc_id, sum(map(count.__getitem__, t)), hashlib.sha256(b",".join(map(ids.__getitem__, t))).hexdigest(), hashlib.sha256(b"".join(map(data.__getitem__, t))).hexdigest()
+    return regex.compile(pattern)
 
-    return finish
 
+def _splitter(pattern: str):
+    """The pattern's matches of one word; plain words need no pattern."""
+    found = _compiled(pattern).findall
+    if pattern not in _LETTER_RUNS:
+        return found
 
-def encode_documents(docs: DataFrame, rank_path: str, pattern: str, max_table_bytes: int = MAX_TABLE_BYTES) -> DataFrame:
+    def split(w: str) -> list[str]:
+        head, body = w[0], w[1:]
+        if head == " ":
+            if body.isalpha():
+                return [w]
+            if body[-1:] in _MARKS and body[:-1].isalpha():
+                return [w[:-1], body[-1]]
+        elif head == "\n" and body.isalpha():
+            return ["\n", body]
+        return found(w)
+
+    return split
+
+
+class _Numbers(dict):
+    """Numbers of keys in order of their first use."""
+
+    def __missing__(self, key):
+        n = self[key] = len(self)
+        return n
+
+
+_BLOCK = "anew boolean,doc_ids array<long>,counts binary,codes binary,matches array<binary>,sizes binary,members binary"
+
+
+def numbered(pairs, pattern: str, block_bytes: int = BLOCK_BYTES, known: int = KNOWN):
+    """For each block of (doc_id, text): numbers of its texts' words, and the words and matches that are new."""
+    split, words, matches, anew = _splitter(pattern), _Numbers(), _Numbers(), True
+    for rows in blocks(pairs, block_bytes):
+        if len(words) > known:
+            words, matches, anew = _Numbers(), _Numbers(), True
+        before, known_matches = len(words), len(matches)
+        codes, counts = [], []
+        for _, text in rows:
+            w = words_of(text)
+            counts.append(len(w))
+            codes += map(words.__getitem__, w)
+        found = [split(w) for w in itertools.islice(words, before, None)]
+        members = [matches[m] for ms in found for m in ms]
+        as_bytes = lambda x: np.array(x, np.int32).tobytes()
+        new = [m.encode("utf-8", "surrogatepass") for m in itertools.islice(matches, known_matches, None)]
+        yield anew, [r[0] for r in rows], as_bytes(counts), as_bytes(codes), new, as_bytes([len(x) for x in found]), as_bytes(members)
+        anew = False
+
+
+def assembled(rows):
+    """Result rows of blocks whose ``matches`` are (ids, data)."""
+    match_ids, match_data, ids, data, n = [], [], [], [], []
+    for anew, doc_ids, counts, codes, matches, sizes, members in rows:
+        if anew:
+            match_ids, match_data, ids, data, n = [], [], [], [], []
+        match_ids += (m["ids"].encode() for m in matches)
+        match_data += (m["data"] for m in matches)
+        members, at = np.frombuffer(members, np.int32).tolist(), 0
+        for size in np.frombuffer(sizes, np.int32).tolist():
+            own = members[at : at + size]
+            at += size
+            ids.append(b",".join(map(match_ids.__getitem__, own)) if size > 1 else match_ids[own[0]])
+            data.append(b"".join(map(match_data.__getitem__, own)) if size > 1 else match_data[own[0]])
+            n.append(ids[-1].count(b",") + 1)
+        codes, at = np.frombuffer(codes, np.int32).tolist(), 0
+        for doc_id, count in zip(doc_ids, np.frombuffer(counts, np.int32).tolist()):
+            own = codes[at : at + count]
+            at += count
+            yield doc_id, sum(map(n.__getitem__, own)), hashlib.sha256(b",".join(map(ids.__getitem__, own))).hexdigest(), hashlib.sha256(b"".join(map(data.__getitem__, own))).hexdigest()
+
+
+def _tuples(batches):
+    return (row for b in batches for i in range(b.num_rows) for row in zip(*(c.to_pylist() for c in b.slice(i, 1).columns)))
+
+
+def encode_documents(docs: DataFrame, rank_path: str, pattern: str, block_bytes: int = BLOCK_BYTES, known: int = KNOWN) -> DataFrame:
     """n_tokens and digests of the ids and of the decoded bytes, for every document."""
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    # put in order before the fold: finding the ranges reads the table once more
-    words = distinct_matches(docs, pattern).repartitionByRange("key").sortWithinPartitions("key")
-    coded = encode_words(words, ranks_of(rank_path))
-    value = F.concat(F.encode(F.array_join("ids", ","), "utf-8"), F.lit(b"\0"), F.col("decoded"))
-    keys = lambda rows: [word_key(m) for m in {m for ms in _matches(rows, pattern)[1].values() for m in ms}]
-    return resolve(docs, coded.select("key", value.alias("value")), keys, _finisher(pattern), OUT, max_table_bytes, BLOCK_BYTES)
+    block, out = arrow_schema(_BLOCK), arrow_schema(OUT)
+
+    def first(batches):
+        pairs = (row for b in batches for row in zip(b.column(0).to_pylist(), b.column(1).to_pylist()))
+        return rows_to_batches(numbered(pairs, pattern, block_bytes, known), block, 1)
+
+    def last(batches):
+        return rows_to_batches(assembled(_tuples(batches)), out)
+
+    found = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(first, _BLOCK.replace(",", ", "))
+    coded = found.withColumn("matches", encode_words(F.col("matches"), ranks_of(rank_path)))
+    return coded.mapInArrow(last, OUT.replace(",", ", "))
