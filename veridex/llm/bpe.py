@@ -42,6 +42,9 @@ KNOWN = 300_000
 LONG = 256
 ID_BITS = 21
 NONE = 1 << ID_BITS
+#: A byte's place in a match; larger places, of long matches, are not read.
+PLACE_BITS = 12
+PLACE_MASK = (1 << PLACE_BITS) - 1
 # Fixed value: the pattern of byte-level tokenizers; letters with a space before them are one match of it, a mark is one.
 _LETTER_RUNS = (r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+""",)
 _MARKS = frozenset(".,;:!?")
@@ -82,7 +85,7 @@ def _places(key: int, bits: int) -> tuple[int, int]:
 
 def rank_map(pairs: dict[int, int]) -> tuple[list[int], int]:
     """The pairs in an array where each lies at one of its two places; the array's size in bits."""
-    bits = max(4, (3 * len(pairs)).bit_length())
+    bits = max(4, (2 * len(pairs)).bit_length())
     while True:
         table, fits = [-1] * (1 << bits), True
         for key, rank in pairs.items():
@@ -110,71 +113,86 @@ def _with(value: Column, body) -> Column:
 
 
 class Coder:
-    """Columns that encode and decode; the literals stand where they are used, as a bound one would be copied for every row."""
+    """Columns that encode and decode; the literals stand where they are used, as a bound one would be copied for every row,
+    and at few places, as the driver writes plans out as text.
+
+    A part of a word is one number: the rank of what it makes with the next part, its first byte's place, its own id.  The
+    least of the numbers is the leftmost pair of least rank.
+    """
 
     def __init__(self, ranks: dict[bytes, int]):
         if max(ranks.values()) >= NONE:
             raise ValueError("ids need more bits")
-        self.table, self.bits = rank_map(pair_ranks(ranks))
-        self.singles = [ranks[bytes([b])] for b in range(256)]
+        pairs = pair_ranks(ranks)
+        table, self.bits = rank_map(pairs)
+        self.table, self.singles = _numbers(table), _numbers([ranks[bytes([b])] for b in range(256)])
+        # rank of two bytes, by the bytes
+        self.doubles = _numbers([pairs.get(ranks[bytes([a])] << ID_BITS | ranks[bytes([b])], NONE) for a in range(256) for b in range(256)])
         self.pieces = [""] * (max(ranks.values()) + 1)
         for token, rank in ranks.items():
             self.pieces[rank] = token.hex()
 
     def rank(self, a: Column, b: Column) -> Column:
         """Rank of what two pieces make, NONE if that is no piece or one is missing."""
-        table, last = _numbers(self.table), F.lit((1 << self.bits) - 1)
+        last = F.lit((1 << self.bits) - 1)
         key = F.shiftleft(a, ID_BITS).bitwiseOR(b)
         spread = F.xxhash64(key)
 
-        def probe(place: Column, other) -> Column:
-            return _with(F.get(table, place.cast("int")), lambda e: F.when(F.shiftright(e, ID_BITS) == key, e.bitwiseAND(F.lit(NONE - 1))).otherwise(other()))
+        def probe(place: Column, other: Column) -> Column:
+            hit = lambda entry: F.when(F.shiftright(entry, ID_BITS) == key, entry.bitwiseAND(F.lit(NONE - 1))).otherwise(other)
+            return _with(F.get(self.table, place.cast("int")), hit)
+
+        return probe(spread.bitwiseAND(last), probe(F.shiftrightunsigned(spread, self.bits).bitwiseAND(last), F.lit(NONE).cast("long")))
 
-        return probe(spread.bitwiseAND(last), lambda: probe(F.shiftrightunsigned(spread, self.bits).bitwiseAND(last), lambda: F.lit(NONE).cast("long")))
+    def _part(self, rank: Column, place: Column, own: Column) -> Column:
+        return F.shiftleft(rank, PLACE_BITS + ID_BITS).bitwiseOR(F.shiftleft(place, ID_BITS)).bitwiseOR(own)
 
-    def _ranks(self, parts: Column) -> Column:
-        """Rank of each part with the next; the last has none."""
-        return F.transform(parts, lambda x, i: self.rank(x, F.get(parts, i + 1)))
+    def _ranked(self, parts: Column) -> Column:
+        """The parts, each with the rank of the pair it makes with the next."""
+        return F.transform(parts, lambda x, i: self._part(self.rank(_id(x), _id(F.get(parts, i + 1))), i.cast("long"), _id(x)))
 
-    def _merge_one(self, acc: Column) -> Column:
-        """The leftmost pair of least rank becomes one part; only its neighbours' ranks change."""
-        parts, ranks = acc["p"], acc["r"]
+    def _merge_one(self, parts: Column) -> Column:
+        """The leftmost pair of least rank becomes one part; only its neighbours' ranks change.  Null when done."""
 
         def merged(m: Column) -> Column:
-            k, least = m["at"].cast("int"), m["least"]  # counted from 1
-            new = F.concat(F.slice(parts, F.lit(1), k - 1), F.array(least), F.slice(parts, k + 2, F.size(parts)))
-            left = F.when(k > 1, F.array(self.rank(F.get(parts, k - 2), least))).otherwise(F.array().cast("array<bigint>"))
-            around = F.concat(F.slice(ranks, F.lit(1), F.greatest(k - 2, F.lit(0))), left, F.array(self.rank(least, F.get(parts, k + 1))), F.slice(ranks, k + 2, F.size(ranks)))
-            return F.struct(new.alias("p"), around.alias("r"), F.lit(True).alias("more"))
+            least = F.shiftright(m, PLACE_BITS + ID_BITS)
+
+            def changed(x: Column, i: Column) -> Column:
+                here = self._part(self.rank(least, _id(F.get(parts, i + 2))), _place(x), least)
+                before = self._part(self.rank(_id(x), least), _place(x), _id(x))
+                return F.when(x == m, here).when(F.get(parts, i + 1) == m, before).when(F.get(parts, i - 1) == m, F.lit(-1)).otherwise(x)
 
-        found = F.struct(F.array_min(ranks).alias("least"), F.array_position(ranks, F.array_min(ranks)).alias("at"))
-        return _with(found, lambda m: F.when(m["least"] < NONE, merged(m)).otherwise(_done(acc)))
+            return F.array_remove(F.transform(parts, changed), -1)
 
-    def _merge_all(self, acc: Column) -> Column:
-        """Every pair of least rank becomes one part, from the left, without overlaps."""
-        parts, ranks = acc["p"], acc["r"]
+        return _with(F.array_min(parts), lambda m: F.when(m < NONE << PLACE_BITS + ID_BITS, merged(m)))
+
+    def _merge_all(self, parts: Column) -> Column:
+        """Every pair of least rank becomes one part, from the left, without overlaps.  Null when done."""
+        rank = lambda x: F.shiftright(x, PLACE_BITS + ID_BITS)
 
         def merged(least: Column) -> Column:
-            flags = F.array_join(F.transform(ranks, lambda r: F.when(r == least, "1").otherwise("0")), "")
+            flags = F.array_join(F.transform(parts, lambda x: F.when(rank(x) == least, "1").otherwise("0")), "")
             marks = F.split(F.regexp_replace(flags, "1.", "X-"), "")  # X: a pair begins, -: its second part
-            chosen = F.filter(F.zip_with(parts, marks, lambda p, c: F.struct(p.alias("p"), c.alias("c"))), lambda x: x["c"] != "-")
-            new = F.transform(chosen, lambda x: F.when(x["c"] == "X", least).otherwise(x["p"]))
-            return _with(new, lambda p: F.struct(p.alias("p"), self._ranks(p).alias("r"), F.lit(True).alias("more")))
+            new = F.zip_with(parts, marks, lambda x, c: F.when(c == "X", least).when(c == "-", F.lit(-1)).otherwise(_id(x)))
+            return _with(F.array_remove(new, -1), self._ranked)
 
-        return _with(F.array_min(ranks), lambda least: F.when(least < NONE, merged(least)).otherwise(_done(acc)))
+        return _with(rank(F.array_min(parts)), lambda least: F.when(least < NONE, merged(least)))
 
     def encode(self, word: Column) -> Column:
         """Ids of one match of the pattern, given as binary that is not empty."""
-        letters = F.split(F.decode(word, "ISO-8859-1"), "")  # one character a byte
-        parts = F.transform(letters, lambda c: F.get(_numbers(self.singles), F.ascii(c)))
+        letters = F.transform(F.split(F.decode(word, "ISO-8859-1"), ""), F.ascii)  # the bytes
+        # the next of the last byte is null, and so is the pair's rank
+        first = lambda b: F.transform(b, lambda x, i: self._part(F.coalesce(F.get(self.doubles, x * 256 + F.get(b, i + 1)), F.lit(NONE).cast("long")), i.cast("long"), F.get(self.singles, x)))
         rounds = F.sequence(F.lit(1), F.greatest(F.octet_length(word) - 1, F.lit(1)))
 
-        def folded(p: Column) -> Column:
-            start = F.struct(p.alias("p"), self._ranks(p).alias("r"), F.lit(True).alias("more"))
-            by = lambda merge: F.aggregate(rounds, start, lambda acc, _: F.when(acc["more"], merge(acc)).otherwise(acc), lambda acc: acc["p"])
-            return F.when(F.size(p) == 1, p).when(F.size(p) <= LONG, by(self._merge_one)).otherwise(by(self._merge_all))
+        def by(start: Column, merge) -> Column:
+            """The fold; a round that finds nothing to merge leaves null behind it, and the ids."""
+            step = lambda acc, _: F.when(acc["more"], _with(merge(acc["p"]), lambda n: F.struct(F.coalesce(n, acc["p"]).alias("p"), n.isNotNull().alias("more")))).otherwise(acc)
+            return F.aggregate(rounds, F.struct(start.alias("p"), F.lit(True).alias("more")), step, lambda acc: F.transform(acc["p"], _id))
 
-        return _with(parts, folded)
+        short = _with(letters, lambda b: by(first(b), self._merge_one))
+        long = _with(F.transform(letters, lambda x: F.get(self.singles, x)), lambda p: by(self._ranked(p), self._merge_all))
+        return F.when(F.octet_length(word) <= LONG, short).otherwise(long)
 
     def decode(self, ids: Column) -> Column:
         """Bytes of the ids: their pieces joined."""
@@ -182,8 +200,12 @@ class Coder:
         return F.unhex(F.array_join(F.transform(ids, lambda i: F.get(pieces, i.cast("int"))), ""))
 
 
-def _done(acc: Column) -> Column:
-    return F.struct(acc["p"].alias("p"), acc["r"].alias("r"), F.lit(False).alias("more"))
+def _id(part: Column) -> Column:
+    return part.bitwiseAND(F.lit(NONE - 1))
+
+
+def _place(part: Column) -> Column:
+    return F.shiftright(part, ID_BITS).bitwiseAND(F.lit(PLACE_MASK))
 
 
 def encode_words(words: Column, ranks: dict[bytes, int]) -> Column:
