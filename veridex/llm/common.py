@@ -82,11 +82,18 @@ def _batch(rows, schema):
     return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), schema)], schema=schema)
 
 
+def slices(batches, size: int = 512):
+    """Batches of at most ``size`` rows: a batch of long texts is never a Python list as a whole."""
+    for b in batches:
+        for lo in range(0, b.num_rows, size):
+            yield b.slice(lo, size)
+
+
 def map_rows(df: DataFrame, fn, ddl: str) -> DataFrame:
     """``mapInArrow`` where ``fn`` maps an iterator of row tuples to an iterator of output tuples."""
     schema = arrow_schema(ddl)
 
     def run(batches):
-        return rows_to_batches(fn(row for b in batches for row in zip(*(c.to_pylist() for c in b.columns))), schema)
+        return rows_to_batches(fn(row for b in slices(batches) for row in zip(*(c.to_pylist() for c in b.columns))), schema)
 
     return df.mapInArrow(run, ddl.replace(",", ", "))

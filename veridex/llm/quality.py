@@ -5,8 +5,13 @@ that hold a line are counted, where documents of equal text count once.  A line
 ``min_docs`` documents and more than ``max_share`` of the host's documents hold it.  Such lines are removed, and a
 document that keeps less than ``min_kept`` of its words is depleted and rejected.
 
-Null and empty texts have no words: they fail the base rule.  A null host is a host of its own (the empty name).
-Repeated rows give repeated result rows.  An empty table gives an empty result; other columns are not read.
+A first pass sends (host, line, text) hashes to be counted; a host has fewer than 1 / ``max_share`` times its mean number
+of lines a document above the limits, so they form one short list, and the second pass reads each document with the list
+of its host.  No text is shuffled where the lists are small enough for Spark to broadcast them.
+
+Null and empty texts have no words: they fail the base rule.  A null host is a host of its own (the empty name).  Texts of
+any length are read whole.  Repeated rows give repeated result rows.  An empty table gives an empty result; other columns
+are not read by the rules and pass through the filter unchanged, whatever their names.
 """
 
 from __future__ import annotations
@@ -14,22 +19,18 @@ from __future__ import annotations
 import re
 from collections import Counter
 
+import numpy as np
+import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import WORD, map_rows, materialize, utf8
+from .common import WORD, arrow_schema, materialize, rows_to_batches, slices, utf8
 
 _WORD = re.compile(WORD)
 SYMBOLS = "#*$%&|<>"
 MIN_DOCS, MAX_SHARE, MIN_KEPT = 20, 0.10, 0.30
-#: Flagged lines up to this many are sent to all executors (8 bytes of hash and a host name each); more are joined by shuffle.
-BROADCAST_LINES = 200_000
-
-_FEATURES = (
-    "row_key binary,doc_id long,host string,text_key binary,n_words long,word_chars long,n_symbols long,n_dup_lines long,"
-    "n_repeat_words long,lines array<long>,line_words array<int>"
-)
+_FEATURES = "doc_id long,n_words long,word_chars long,n_symbols long,n_dup_lines long,n_repeat_words long,n_removed_words long"
 
 
 def base_features(text: str) -> tuple[int, int, int, int, int]:
@@ -72,87 +73,107 @@ def line_hash(line: str) -> int | None:
     return xxhash.xxh3_64_intdigest(line) - (1 << 63) if line else None
 
 
-def _features(rows):
-    for doc_id, text, host in rows:
-        text = text or ""
-        raw, lines = utf8(text), {}
-        for line in text.split("\n"):
-            parts = utf8(line).split()
-            if parts:
-                h = xxhash.xxh3_64_intdigest(b" ".join(parts).lower()) - (1 << 63)
-                lines[h] = lines.get(h, 0) + len(parts)
-        text_key = xxhash.xxh3_128_digest(raw)
-        row_key = xxhash.xxh3_128_digest(f"{doc_id}\x00{host}\x00".encode() + text_key)
-        yield row_key, doc_id, host, text_key, *base_features(text), list(lines), list(lines.values())
-
-
-def line_statistics(docs: DataFrame) -> DataFrame:
-    """One row per document: base features, hashes of its distinct lines and the words on each."""
-    return map_rows(docs.select(F.col("doc_id").cast("long"), "text", F.coalesce(F.col("source"), F.lit("")).alias("host")), _features, _FEATURES)
-
-
-def flagged_lines(stats: DataFrame, min_docs: int = MIN_DOCS, max_share: float = MAX_SHARE) -> DataFrame:
-    """(host, line, n_docs) of the lines above the limits, over all documents."""
-    distinct = stats.groupBy("host", "text_key").agg(F.first("lines").alias("lines"))
-    hosts = stats.groupBy("host", "text_key").agg(F.lit(1).alias("one")).groupBy("host").agg(F.count("*").alias("host_docs"))
-    lines = distinct.select("host", F.explode("lines").alias("line")).groupBy("host", "line").agg(F.count("*").alias("n_docs"))
-    return lines.where(F.col("n_docs") > min_docs).join(hosts, "host").where(F.col("n_docs") > F.lit(max_share) * F.col("host_docs")).select("host", "line", "n_docs")
-
-
-def assess(docs: DataFrame, min_docs: int = MIN_DOCS, max_share: float = MAX_SHARE, min_kept: float = MIN_KEPT, broadcast_lines: int = BROADCAST_LINES) -> tuple[DataFrame, DataFrame]:
-    """Verdicts, one row per input row, and (row_key, flagged line hashes) of the documents that lose lines."""
-    stats = materialize(line_statistics(docs), "quality-lines")
-    flagged = materialize(flagged_lines(stats, min_docs, max_share), "quality-flagged")
-    small = flagged.count() <= broadcast_lines
-    side = flagged.select("host", "line")
-    rows = stats.select("row_key", "host", F.explode(F.arrays_zip("lines", "line_words")).alias("x")).select("row_key", "host", F.col("x.lines").alias("line"), F.col("x.line_words").alias("w"))
-    lost = (
-        rows.join(F.broadcast(side) if small else side, ["host", "line"])
-        .groupBy("row_key", "line").agg(F.first("w").alias("w"))
-        .groupBy("row_key").agg(F.sum("w").alias("removed_words"), F.collect_list("line").alias("flagged"))
-    )
-    lost = materialize(lost, "quality-lost")
-    failed = (F.col("n_words") < 20) | (100 * F.col("n_repeat_words") > 30 * F.col("n_words"))
-    removed = F.coalesce(F.col("removed_words"), F.lit(0))
-    depleted = (F.col("n_words") - removed) < F.lit(min_kept) * F.col("n_words")
-    verdict = (
-        stats.drop("lines", "line_words", "text_key").join(lost.select("row_key", "removed_words"), "row_key", "left")
-        .withColumn("n_removed_words", removed.cast("long"))
-        .withColumn("base_failed", failed).withColumn("kept", ~failed & ~depleted).drop("removed_words")
-    )
-    return verdict, lost
+def line_counts_of(text: str) -> dict[int, int]:
+    """Words on each distinct line, by the line's hash."""
+    lines: dict[int, int] = {}
+    for line in text.split("\n"):
+        parts = utf8(line).split()
+        if parts:
+            h = xxhash.xxh3_64_intdigest(b" ".join(parts).lower()) - (1 << 63)
+            lines[h] = lines.get(h, 0) + len(parts)
+    return lines
 
 
-def quality_rules(docs: DataFrame, **limits) -> DataFrame:
-    """Base features and verdict of every document."""
-    verdict, _ = assess(docs, **limits)
-    return verdict.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "n_removed_words")
+def _host():
+    return F.xxhash64(F.coalesce(F.col("source"), F.lit("")))
 
 
-def filter_documents(docs: DataFrame, **limits) -> DataFrame:
-    """The documents that pass, without their lines above the limits; columns as given, ``n_chars`` kept in step."""
-    verdict, lost = assess(docs, **limits)
-    columns = docs.columns
-    keys = verdict.where("kept").select("row_key").distinct().join(lost.select("row_key", "flagged"), "row_key", "left")
-    keyed = docs.select(F.struct(*[F.col(f"`{c}`") for c in columns]).alias("d")).mapInArrow(_with_key, "row_key binary, d struct<%s>" % ",".join(f"`{f.name}`:{f.dataType.simpleString()}" for f in docs.schema.fields))
-    cut = F.udf(_without, "string", useArrow=True)
-    out = keyed.join(keys, "row_key").withColumn("t", F.when(F.col("flagged").isNull(), F.col("d.text")).otherwise(cut("d.text", "flagged")))
-    size = dict(docs.dtypes).get("n_chars")
-    return out.select(*[F.col("t").alias(c) if c == "text" else F.char_length("t").cast(size).alias(c) if c == "n_chars" else F.col(f"d.`{c}`").alias(c) for c in columns])
+_TRIPLES = pa.schema([("host", pa.int64()), ("line", pa.int64()), ("text", pa.int64())])
+
+
+def _triples(batches):
+    """(host, line, text) hashes of each text's distinct lines, and (host, null, text) of each text."""
+    for part in slices(batches, 512):
+        hosts, lines, texts = [], [], []
+        for host, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
+            own = [None, *line_counts_of(text or "")]
+            lines += own
+            hosts += [host] * len(own)
+            texts += [xxhash.xxh3_64_intdigest(utf8(text)) - (1 << 63)] * len(own)
+        yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in (hosts, lines, texts)], schema=_TRIPLES)
+
+
+def flagged_lines(docs: DataFrame, min_docs: int = MIN_DOCS, max_share: float = MAX_SHARE) -> DataFrame:
+    """(host, flagged): the hashes of the lines above the limits of each host that has any, over all documents."""
+    triples = docs.select(_host().alias("host"), "text").mapInArrow(_triples, "host long, line long, text long")
+    counts = triples.distinct().groupBy("host", "line").agg(F.count("*").alias("n"))
+    counts = materialize(counts.where(F.col("line").isNull() | (F.col("n") > min_docs)), "quality-counts")
+    hosts = counts.where("line is null").select("host", F.col("n").alias("host_docs"))
+    over = counts.where("line is not null").join(hosts, "host").where(F.col("n") > F.lit(max_share) * F.col("host_docs"))
+    return materialize(over.groupBy("host").agg(F.collect_list("line").alias("flagged")), "quality-flagged")
+
 
+def _lost(text: str, flagged: set) -> int:
+    return sum(n for line, n in line_counts_of(text).items() if line in flagged) if flagged else 0
 
-def _without(text, flagged):
-    if text is None or flagged is None:  # the function sees every row, also those whose result is not used
-        return text
-    gone = set(flagged)
-    return "\n".join(x for x in text.split("\n") if line_hash(x) not in gone)
 
+def _sets():
+    """The flagged lines of a row as a set; rows of a host have the same list."""
+    kept: dict[tuple, frozenset] = {}
 
-def _with_key(batches):
-    import pyarrow as pa
+    def of(flagged) -> frozenset:
+        if not flagged:
+            return frozenset()
+        key = tuple(flagged)
+        if key not in kept:
+            if len(kept) > 1000:
+                kept.clear()
+            kept[key] = frozenset(key)
+        return kept[key]
 
-    for b in batches:
-        d = b.column(0)
-        ids, texts, hosts = (d.field(d.type.get_field_index(c)).to_pylist() for c in ("doc_id", "text", "source"))
-        keys = [xxhash.xxh3_128_digest(f"{i}\x00{h or ''}\x00".encode() + xxhash.xxh3_128_digest(utf8(t))) for i, t, h in zip(ids, texts, hosts)]
-        yield pa.RecordBatch.from_arrays([pa.array(keys, pa.binary()), d], names=["row_key", "d"])
+    return of
+
+
+def _features(batches):
+    of = _sets()
+    for part in slices(batches, 512):
+        for doc_id, text, flagged in zip(*(c.to_pylist() for c in part.columns)):
+            yield doc_id, *base_features(text or ""), _lost(text or "", of(flagged))
+
+
+def _fails(n: int, repeated: int) -> bool:
+    return n < 20 or 100 * repeated > 30 * n
+
+
+def quality_rules(docs: DataFrame, min_docs: int = MIN_DOCS, max_share: float = MAX_SHARE, min_kept: float = MIN_KEPT) -> DataFrame:
+    """Base features and verdict of every document."""
+    schema = arrow_schema(_FEATURES)
+    rows = docs.select(_host().alias("host"), F.col("doc_id").cast("long").alias("doc_id"), "text")
+    rows = rows.join(flagged_lines(docs, min_docs, max_share), "host", "left").select("doc_id", "text", "flagged")
+    stats = rows.mapInArrow(lambda batches: rows_to_batches(_features(batches), schema), _FEATURES.replace(",", ", "))
+    failed = (F.col("n_words") < 20) | (100 * F.col("n_repeat_words") > 30 * F.col("n_words"))
+    depleted = (F.col("n_words") - F.col("n_removed_words")) < F.lit(min_kept) * F.col("n_words")
+    return stats.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", failed.alias("base_failed"), (~failed & ~depleted).alias("kept"), "n_removed_words")
+
+
+def filter_documents(docs: DataFrame, min_docs: int = MIN_DOCS, max_share: float = MAX_SHARE, min_kept: float = MIN_KEPT) -> DataFrame:
+    """The documents that pass, without their lines above the limits; columns as given, ``n_chars`` kept in step."""
+    columns = docs.columns
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in columns]).alias("d"), _host().alias("host"))
+    rows = rows.join(flagged_lines(docs, min_docs, max_share), "host", "left").select("d", "flagged")
+
+    def run(batches):
+        of = _sets()
+        for part in slices(batches, 512):
+            d, stay, texts = part.column(0), [], []
+            for text, flagged in zip(d.field(columns.index("text")).to_pylist(), part.column(1).to_pylist()):
+                n, _, _, _, repeated = base_features(text or "")
+                gone = of(flagged)
+                lost = _lost(text or "", gone)
+                stay.append(not _fails(n, repeated) and not n - lost < min_kept * n)
+                texts.append("\n".join(x for x in text.split("\n") if line_hash(x) not in gone) if lost else text)
+            put = {"text": texts, "n_chars": [None if t is None else len(t) for t in texts]}
+            arrays = [pa.array(put[c], d.type.field(i).type) if c in put else d.field(i) for i, c in enumerate(columns)]
+            yield pa.RecordBatch.from_arrays(arrays, names=columns).filter(pa.array(np.array(stay, bool)))
+
+    return rows.mapInArrow(run, docs.schema)
