@@ -12,7 +12,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from veridex.llm import bpe, chat, dictionary, jaccard, media, packing, pii, ppm, quality, suffixes, toxicity
+from veridex.llm import bpe, chat, dictionary, induction, jaccard, media, packing, pii, ppm, quality, suffixes, toxicity
 
 P = pytest.importorskip("public_tokenizers")
 COLUMNS = "doc_id long, text string, lang string, source string, n_chars long, key string, value string, block int"
@@ -249,7 +249,55 @@ def _repeats(rows):
     return Counter((i, *out[i, hashlib.sha256((t or "").encode()).hexdigest()]) for i, t, *_ in rows)
 
 
-@pytest.mark.parametrize("parameters", [{}, {"hot": 1, "max_table_bytes": 100}])
+@pytest.mark.parametrize("memory", [5, 64, 1 << 17])
+def test_disk_queue_gives_records_in_order(memory):
+    r = np.random.default_rng(4)
+    kind = np.dtype([("key", "u8"), ("x", "i4")])
+    queue, pushed = induction.DiskQueue(kind, memory), []
+    for n in r.integers(0, 40, 12):
+        part = np.zeros(n, kind)
+        part["key"], part["x"] = r.integers(0, 50, n), r.integers(0, 9, n)
+        pushed += map(tuple, part.tolist())
+        queue.push(part)
+    popped = [tuple(x) for b in queue.batches(16) for x in b.tolist()]
+    assert [k for k, _ in popped] == sorted(k for k, _ in pushed) and Counter(popped) == Counter(pushed)
+    assert list(queue.batches(16)) == []
+
+
+@pytest.mark.parametrize("memory, batch", [(1 << 17, 1 << 14), (30, 8)])
+def test_induced_sorter_finds_every_repeat(memory, batch):
+    """Contexts over few letters: the anchor is a fixed place, strings of 12 bytes start 0 to 6 bytes before it."""
+    size, span = 12, 6
+    r = random.Random(memory)
+    base = ["".join(r.choice("ab") for _ in range(30)) for _ in range(6)]
+    places = []
+    for n in range(160):
+        left = r.randint(0, span)
+        least = r.randint(0, left)
+        whole = r.choice(base)
+        lo, hi = 10 - left, 10 - least
+        text = list(whole[lo : hi + size])
+        for _ in range(r.choice((0, 0, 1))):
+            text[r.randrange(len(text))] = r.choice("ab\0")
+        places.append((n // 3, n, 10 + 40 * (n % 3), left, least, "".join(text).encode()))
+    sorter = induction.InducedSorter(size, span, memory, batch)
+    data = np.frombuffer(b"".join(x[-1] for x in places), np.uint8)
+    ends = np.cumsum([len(x[-1]) for x in places])
+    starts = np.append(0, ends[:-1])
+    column = lambda i: np.array([x[i] for x in places], np.int64)
+    for lo in range(0, 160, 50):
+        at = slice(lo, lo + 50)
+        sorter.add(*(column(i)[at] for i in range(5)), data, starts[at], ends[at])
+    got = {(doc, dk, s) for part in sorter.ranges() for doc, dk, a, b in part.tolist() for s in range(a, b - size + 1)}
+    groups = defaultdict(set)
+    for doc, dk, p, left, least, text in places:
+        for d in range(least, left + 1):
+            groups[d, text[left - d : left - d + size]].add((doc, dk, p, p - d))
+    want = {(doc, dk, s) for g in groups.values() for doc, dk, _, s in sorted(g)[1:]}
+    assert got == want and want
+
+
+@pytest.mark.parametrize("parameters", [{}, {"max_table_bytes": 100}, {"memory": 40}])
 def test_repeated_strings(docs, rows, empty, parameters):
     assert Counter(map(tuple, suffixes.remove_repeats(docs, **parameters).collect())) == _repeats(rows)
     assert suffixes.remove_repeats(empty, **parameters).count() == 0

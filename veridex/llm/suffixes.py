@@ -1,17 +1,18 @@
-"""Removal of repeated 100-byte strings by external sorting of sampled suffixes and induction.
+"""Removal of repeated 100-byte strings by external induced sorting of sampled suffixes.
 
 Sampled suffixes: in every 100-byte string the gram of 36 bytes with the least hash marks an anchor, a choice that depends
 on content alone, so equal strings have equal anchors at equal offsets.  Anchors whose gram occurs once in the corpus
 cannot lie in a repeated string and are dropped after one count.  For the others the suffix tuple is (gram, bytes around
-the anchor that its strings reach).  Spark's disk-backed sort brings the tuples into order of the suffix that starts at
-the anchor; neighbours carry their common prefix, and the strings that start 0, 1, 2, ... bytes before the anchor are
-induced from that order: two of them are equal exactly if the suffixes' common prefix and the bytes to the left reach far
-enough.  Equal tuples are aggregated first, so thousands of copies are one tuple; a gram with more than ``HOT`` different
-tuples is not gathered but resolved by an aggregation over its strings.
+the anchor that its strings reach); equal tuples are aggregated, so thousands of copies are one tuple, and all copies but
+the first go whole.  The distinct tuples are dealt to shards by their gram, and each shard is sorted by
+``induction.InducedSorter``: the suffixes at the anchors first, then those 1, 2, ... bytes before them, each level induced
+from the one before, with tuples and common prefixes in disk-backed priority queues.  A shard may be far larger than a
+task's memory.
 
 Order is by doc_id (null last), then by text hash among rows of one id, then by place.  Rows that repeat both id and text
-are one document: they don't remove each other and give equal result rows.  Null and empty texts have no strings.  An
-empty table gives an empty result; other columns are not read.
+are one document: they don't remove each other and give equal result rows.  Null and empty texts have no strings.  Texts
+of any length are read whole, in segments.  An empty table gives an empty result; other columns are not read, or pass
+unchanged whatever their names.
 """
 
 from __future__ import annotations
@@ -26,10 +27,10 @@ from pyspark.sql import functions as F
 
 from .common import arrow_schema, materialize, rows_to_batches, utf8
 from .dictionary import BLOCK_BYTES, MAX_TABLE_BYTES, blocks, resolve
+from .induction import InducedSorter
 
 SIZE, GRAM = 100, 36
 SPAN = SIZE - GRAM  # anchors lie 0 to SPAN bytes after their string's start
-HOT = 1000
 SEGMENT = 1 << 20
 LAST = (1 << 63) - 1
 OUT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
@@ -143,77 +144,23 @@ def _tuples(rows, lookup):
             yield a, xxhash.xxh3_128_digest(around + (b - c).to_bytes(2, "little")), doc, dk, b, c, d, around
 
 
-def induce(gram, doc, dk, p, left, least, around) -> list[tuple[int, int, int, int]]:
-    """Removed ranges (doc, dk, from, to) of tuples sorted by gram and then by the suffix at the anchor.
-
-    ``left`` and ``least``: the strings of a tuple start ``left`` to ``least`` bytes before its anchor.
-    """
-    n = len(gram)
-    right, before = np.zeros((n, SIZE + 1), np.uint8), np.zeros((n, SPAN + 1), np.uint8)
-    for i, (x, a) in enumerate(zip(around, left.tolist())):
-        y = np.frombuffer(x, np.uint8)
-        r = y[a : a + SIZE]
-        right[i, : len(r)] = r
-        before[i, 1 : a + 1] = y[:a][::-1]
-    reach = np.array([len(x) for x in around]) - left  # bytes known from the anchor on
-    differ = right[1:] != right[:-1]
-    common = np.where(differ.any(1), differ.argmax(1), SIZE)
-    common = np.where(gram[1:] == gram[:-1], np.minimum(common, np.minimum(reach[1:], reach[:-1])), 0)
-    rank = np.empty(n, np.int64)
-    rank[np.lexsort((p, dk, doc))] = np.arange(n)
-    removed = np.zeros((n, SPAN + 2), bool)
-    path = np.zeros(n, np.uint64)
-    for d in range(SPAN + 1):
-        if d:
-            path = path * _P + before[:, d].astype(np.uint64) + np.uint64(1)
-        # a tuple without these bytes must not part its neighbours: only those that have such a string are compared
-        on = np.flatnonzero((left >= d) & (least <= d))
-        if len(on) < 2:
-            continue
-        low = np.minimum.reduceat(common, on[:-1]) if len(on) == n else np.array([common[i:j].min() for i, j in zip(on[:-1], on[1:])])
-        run = np.concatenate([[0], np.cumsum(low < SIZE - d)])
-        order = np.lexsort((rank[on], path[on], run))
-        r, q = run[order], path[on][order]
-        later = np.concatenate([[False], (r[1:] == r[:-1]) & (q[1:] == q[:-1])])
-        removed[on[order[later]], d] = True
-    out = []
-    edges = np.diff(np.pad(removed, ((0, 0), (1, 0))).astype(np.int8), axis=1)
-    for i in np.flatnonzero(removed.any(1)):
-        for s, e in zip(np.flatnonzero(edges[i] == 1), np.flatnonzero(edges[i] == -1)):  # offsets s to e - 1
-            out.append((int(doc[i]), int(dk[i]), int(p[i] - e + 1), int(p[i] - s + SIZE)))
-    return out
-
-
 _RANGE = "doc long,dk long,from long,to long"
 
 
-def _induced(batches):
-    """Sorted tuples in, removed ranges out; the grams of a step are whole."""
+def induced_ranges(batches, memory: int | None = None):
+    """Batches of (doc, dk, p, lo, hi, around) of a shard in, batches of removed ranges out."""
+    sorter = InducedSorter(SIZE, SPAN, **({} if memory is None else {"memory": memory}))
+    for b in batches:
+        doc, dk, p, lo, hi = (b.column(i).to_numpy(zero_copy_only=False) for i in range(5))
+        around = b.column(5).cast(pa.large_binary())
+        ends = np.frombuffer(around.buffers()[1], np.int64, len(around) + 1, around.offset * 8)
+        sorter.add(doc, dk, p, p - lo, p - hi, np.frombuffer(around.buffers()[2] or b"\0", np.uint8), ends[:-1], ends[1:])
+    schema = arrow_schema(_RANGE)
+    for part in sorter.ranges():
+        yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(part[:, i])) for i in range(4)], schema=schema)
 
-    def groups():
-        held: list = []
-        for b in batches:
-            held += zip(*(c.to_pylist() for c in b.columns))
-            if len(held) > 20_000:
-                cut = len(held) - 1
-                while cut and held[cut][0] == held[cut - 1][0]:
-                    cut -= 1
-                if cut:
-                    yield held[:cut]
-                    held = held[cut:]
-        if held:
-            yield held
-
-    def rows():
-        for held in groups():
-            gram, doc, dk, p, lo, hi, around = zip(*held)
-            gram, doc, dk, p, lo, hi = (np.array(x, np.int64) for x in (gram, doc, dk, p, lo, hi))
-            yield from induce(gram, doc, dk, p, p - lo, p - hi, around)
-
-    return rows_to_batches(rows(), arrow_schema(_RANGE))
-
-
-def removed_ranges(docs: DataFrame, max_table_bytes: int = MAX_TABLE_BYTES, hot: int = HOT) -> DataFrame:
+
+def removed_ranges(docs: DataFrame, max_table_bytes: int = MAX_TABLE_BYTES, memory: int | None = None) -> DataFrame:
     """(doc, dk, from, to) of byte ranges to remove; they may overlap."""
     grams = repeated_grams(docs)
     tuples = materialize(resolve(docs, grams, _gram_keys, _tuples, _TUPLE.replace(",", ", "), max_table_bytes), "suffix-tuples")
@@ -226,32 +173,9 @@ def removed_ranges(docs: DataFrame, max_table_bytes: int = MAX_TABLE_BYTES, hot:
         .where((F.col("own.doc") != F.col("first.doc")) | (F.col("own.dk") != F.col("first.dk")) | (F.col("own.p") != F.col("first.p")))
         .select(F.col("own.doc").alias("doc"), F.col("own.dk").alias("dk"), F.col("own.lo").alias("from"), (F.col("own.hi") + SIZE).alias("to"))
     )
-    sizes = firsts.groupBy("gram").agg(F.count("*").alias("m")).where("m > 1")
-    mixed = firsts.select("gram", "first.*", "around").join(sizes, "gram")
-    mixed = materialize(mixed, "suffix-mixed")
-    columns = ["gram", "doc", "dk", "p", "lo", "hi", "around"]
-    suffix = F.expr(f"substring(around, cast(p - lo + 1 as int), {SIZE})")
-    ordered = mixed.where(F.col("m") <= hot).select(*columns).withColumn("suffix", suffix).repartition("gram").sortWithinPartitions("gram", "suffix").drop("suffix")
-    induced = ordered.mapInArrow(_induced, _RANGE.replace(",", ", "))
-
-    schema = arrow_schema("string_key binary,doc long,dk long,from long")
-
-    def strings(batches):
-        def rows():
-            for b in batches:
-                for _, doc, dk, p, lo, hi, around in zip(*(c.to_pylist() for c in b.columns)):
-                    for s in range(hi - lo + 1):
-                        yield xxhash.xxh3_128_digest(around[s : s + SIZE]), doc, dk, lo + s
-
-        return rows_to_batches(rows(), schema)
-
-    each = mixed.where(F.col("m") > hot).select(*columns).mapInArrow(strings, "string_key binary, doc long, dk long, from long")
-    least = each.groupBy("string_key").agg(F.min(F.struct("doc", "dk", "from")).alias("first"), F.count("*").alias("n")).where("n > 1")
-    common = (
-        each.join(least, "string_key").where(F.struct("doc", "dk", "from") != F.col("first"))
-        .select("doc", "dk", "from", (F.col("from") + SIZE).alias("to"))
-    )
-    return again.unionByName(induced).unionByName(common)
+    shards = firsts.repartition("gram").select("first.doc", "first.dk", "first.p", "first.lo", "first.hi", "around")
+    induced = shards.mapInArrow(lambda batches: induced_ranges(batches, memory), _RANGE.replace(",", ", "))
+    return again.unionByName(induced)
 
 
 def _merge(batches):
@@ -272,8 +196,8 @@ def _merge(batches):
         yield pa.RecordBatch.from_arrays([b.column(0), pa.array(values, pa.binary())], schema=schema)
 
 
-def _spans(docs: DataFrame, max_table_bytes: int, hot: int) -> DataFrame:
-    ranges = removed_ranges(docs, max_table_bytes, hot)
+def _spans(docs: DataFrame, max_table_bytes: int, memory: int | None) -> DataFrame:
+    ranges = removed_ranges(docs, max_table_bytes, memory)
     return ranges.groupBy(F.col("dk").alias("key")).agg(F.collect_set(F.struct("from", "to")).alias("r")).select("key", "r.from", "r.to").mapInArrow(_merge, "key long, value binary")
 
 
@@ -300,19 +224,19 @@ def _digest(rows, lookup):
         yield doc_id, len(raw), len(raw) - len(kept), len(pairs), hashlib.sha256(kept).hexdigest()
 
 
-def remove_repeats(docs: DataFrame, max_table_bytes: int = MAX_TABLE_BYTES, hot: int = HOT) -> DataFrame:
+def remove_repeats(docs: DataFrame, max_table_bytes: int = MAX_TABLE_BYTES, memory: int | None = None) -> DataFrame:
     """What is removed of every document, and the digest of what is kept."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return resolve(docs, _spans(docs, max_table_bytes, hot), _document_keys, _digest, OUT, max_table_bytes)
+    return resolve(docs, _spans(docs, max_table_bytes, memory), _document_keys, _digest, OUT, max_table_bytes)
 
 
-def cut_documents(docs: DataFrame, max_table_bytes: int = MAX_TABLE_BYTES, hot: int = HOT) -> DataFrame:
+def cut_documents(docs: DataFrame, max_table_bytes: int = MAX_TABLE_BYTES, memory: int | None = None) -> DataFrame:
     """The documents without their repeated strings; a cut never leaves part of a character: its bytes go with it.
 
     Columns as given, ``n_chars`` kept in step.
     """
     pairs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    spans = materialize(_spans(pairs, max_table_bytes, hot), "suffix-spans")
+    spans = materialize(_spans(pairs, max_table_bytes, memory), "suffix-spans")
     keyed = docs.mapInArrow(_keyed(docs.columns), _plus(docs.schema))
     joined = keyed.join(spans.withColumnRenamed("key", "_suffix_key").withColumnRenamed("value", "_suffix_spans"), "_suffix_key", "left")
     return joined.select(*[f"`{c}`" for c in docs.columns], "_suffix_spans").mapInArrow(_apply(docs.columns), docs.schema)
