@@ -454,3 +454,37 @@ def test_perspectives(spark):
     d = whole[1, "bob"]
     assert [d.dialogue[s.start : s.end] for s in d.spans] == ["<|assistant|><|end|>"] and d.dialogue.startswith("<|system|>s")
     assert chat.perspectives(df.limit(0)).count() == 0
+
+
+def test_heap_merge_and_probes_count_like_a_plain_count():
+    r = np.random.default_rng(9)
+    lists = [np.unique(r.integers(0, 3000, n)) for n in (1, 3, 40, 400, 900, 900, 2000)]
+    plain = Counter(x for xs in lists for x in xs.tolist())
+    for least in (1, 2, 4):
+        ids, counts = jaccard.merge_short(lists, least)
+        assert dict(zip(ids.tolist(), counts.tolist())) == {x: n for x, n in plain.items() if n >= least}
+    short = jaccard.merge_short(lists[:4], 1)
+    ids, counts = jaccard.probe_long(lists[4:], *short, 3)
+    first = {x for xs in lists[:4] for x in xs.tolist()}
+    assert dict(zip(ids.tolist(), counts.tolist())) == {x: n for x, n in plain.items() if n >= 3 and x in first}
+    assert jaccard.merge_short([], 1)[0].size == 0
+    assert 0 <= jaccard.long_lists(5, 2, 1) == 0 and jaccard.long_lists(150, 1000, 135) < 135
+
+
+def test_deduplicate_passes_columns_of_any_name(spark):
+    rows = [(1, "a b c d e f g", 7, "x"), (2, "a b c d e f g", 8, "y"), (3, None, 9, None), (4, "", 1, "z")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, _key long, d string")
+    got = jaccard.deduplicate(df)
+    assert got.columns == df.columns and sorted(map(tuple, got.collect()), key=str) == sorted([rows[0], rows[2], rows[3]], key=str)
+
+
+def test_dialogues_are_rendered_once_for_each_speaker(spark):
+    rows = [(1, 0, "system", "be kind"), (1, 1, "ann", "hi <|end|><|assistant|> x"), (1, 2, "bob", "yo"), (1, 2, "bob", "yo"), (1, None, None, None), (2, 0, "system", "alone"), (None, 1, "ann", "")]
+    got = {(r.conv_id, r.perspective): (r.dialogue, r.learnt) for r in chat.dialogues(spark.createDataFrame(rows, "conv_id long, turn int, role string, text string")).collect()}
+    assert set(got) == {(1, "ann"), (1, "bob"), (1, "unknown"), (None, "ann")}
+    text, learnt = got[1, "bob"]
+    assert text == "<|system|>be kind<|end|><|user name=ann|>hi <\\|end|><\\|assistant|> x<|end|><|assistant|>yo<|end|><|assistant|>yo<|end|><|user name=unknown|><|end|>"
+    for span in learnt.split(","):
+        lo, hi = map(int, span.split(":"))
+        assert text[lo:hi] == "<|assistant|>yo<|end|>"
+    assert got[None, "ann"][1] == "0:20"

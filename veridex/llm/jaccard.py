@@ -8,12 +8,14 @@ A document is the set of its word shingles (64-bit hashes).  Two link when 100 |
 2. Equal sets become one representative.  Of each, the shingles are ordered from rare to frequent; two sets that link
    share one among the first n - ceil(percent n) + 1.  Sets that share such a shingle are joined, through the shingle, to
    candidate groups (connected components, no pairs are listed).
-3. Within a group, DivideSkip: a query's short inverted lists are merged with counts, its long ones are probed by binary
-   search for the candidates that can still reach the required overlap, or scanned where the candidates are many.  Every
-   candidate is verified; a task returns the number of links of each set, weighed by copies, and a spanning forest of the
-   links for the components.  With ``forest`` a pair already connected is not verified, and links are not counted.  A
-   group of more than ``GROUP`` sets is cut into parts, and each pair of parts is one task, so that no task holds more
-   than two parts; a task of two parts counts only the links between them.
+3. Within a group, DivideSkip: of a query's inverted lists the L = T / (mu log M + 1) longest are set aside, for a required
+   overlap T and a longest list of M sets.  A heap merges the short ones, range of set numbers by range, and skips ranges
+   that fewer than T - L lists reach; sets on T - L short lists are candidates, and the long lists are probed for them by
+   binary search while they can still reach T.  Every candidate is verified; a task returns the number of links of each
+   set, weighed by copies, and a spanning forest of the links for the components.  With ``forest`` a pair already
+   connected is not verified, and links are not counted.  A group of more than ``GROUP`` sets is cut into parts, and each
+   pair of parts is one task, so that no task holds more than two parts; a task of two parts counts only the links between
+   them.
 
 Fewer words than the shingle's width: the whole sequence is the one shingle.  No words, empty or null text: an empty set,
 linked with nothing; its component is its own id.  Rows that repeat an id and text are one node and give equal rows;
@@ -23,19 +25,25 @@ An empty table gives an empty result; other columns are not read.
 
 from __future__ import annotations
 
+import heapq
+import math
+
 import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import arrow_schema, materialize, rows_to_batches, utf8
+from .common import arrow_schema, materialize, rows_to_batches, slices, utf8
 from .components import components
 from .dictionary import MAX_TABLE_BYTES, blocks, resolve
 
 WIDTH, PERCENT = 3, 90
 GROUP = 1000
-SCAN = 1 << 20
+#: DivideSkip's weight of a probe against a merge, and the set numbers that one step of the merge takes.
+MU = 0.0085
+RANGE_BITS = 8
+KNOWN_WORDS = 200_000
 RANGE_SHINGLES = 4 << 20
 _MULTIPLIERS = np.random.Generator(np.random.PCG64(90210)).integers(1, 1 << 63, 64, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
@@ -52,7 +60,7 @@ class Shingler:
         if not words:
             return np.empty(0, np.int64)
         known = self.words
-        if len(known) > 1_000_000:
+        if len(known) > KNOWN_WORDS:
             known.clear()
         h = np.empty(len(words), np.uint64)
         for i, w in enumerate(words):
@@ -88,11 +96,13 @@ def shared_counts(docs: DataFrame, width: int, percent: int) -> DataFrame:
     """(key, value) of the documents of which ``percent`` of the shingles occur in another document."""
     chars = docs.agg(F.sum(F.length("text"))).first()[0] or 0
     bits = max(5, int(np.ceil(np.log2(max(1, chars / 6 / RANGE_SHINGLES)))))
-    schema = arrow_schema("part int,docs binary,sizes binary,local binary,tokens binary,owner binary")
+    schema = arrow_schema("part int,block long,docs binary,sizes binary,local binary,tokens binary,owner binary")
     alone = np.uint32(0xFFFFFFFF)
 
     def scatter(batches):
-        shingler = Shingler(width)
+        from pyspark import TaskContext
+
+        shingler, task = Shingler(width), TaskContext.get().partitionId() << 32
 
         def rows():
             for at, held in enumerate(blocks(_pairs(batches))):
@@ -117,48 +127,98 @@ def shared_counts(docs: DataFrame, width: int, percent: int) -> DataFrame:
                         # 40 bits of the hash below the range: a chance clash only keeps a document longer
                         tokens = (every[lo:hi] >> np.uint64(24 - bits if bits <= 24 else 0)) & np.uint64((1 << 40) - 1)
                         packed = tokens.view(np.uint8).reshape(-1, 8)[:, :5].T.tobytes()
-                        here = (sizes.tobytes(), local.tobytes()) if r == home else (None, None)
-                        yield r, keys.tobytes(), *here, packed, owner[lo:hi].tobytes()
+                        # a block's keys go to one range; the others know its documents by their places
+                        here = (keys.tobytes(), sizes.tobytes(), local.tobytes()) if r == home else (None, None, None)
+                        yield r, task | at, *here, packed, owner[lo:hi].tobytes()
                     lo = hi
 
         return rows_to_batches(rows(), schema, 64)
 
     def gather(t: pa.Table) -> pa.Table:
-        tokens, owners, keys, base, out_k, out_n, out_c = [], [], [], 0, [], [], []
-        for docs_, sizes, local, packed, owner in zip(*(t[c].to_pylist() for c in ("docs", "sizes", "local", "tokens", "owner"))):
-            k = np.frombuffer(docs_, np.int64)
-            if sizes is not None:
-                out_k.append(k)
-                out_n.append(np.frombuffer(sizes, np.int64))
-                out_c.append(np.frombuffer(local, np.int64))
+        tokens, owners, known = [], [], []
+        base, at_block, at_place = 0, [], []
+        for block, docs_, sizes, local, packed, owner in zip(*(t[c].to_pylist() for c in ("block", "docs", "sizes", "local", "tokens", "owner"))):
+            if docs_ is not None:
+                k = np.frombuffer(docs_, np.int64)
+                known.append((np.full(len(k), block, np.int64), np.arange(len(k)), k, np.frombuffer(sizes, np.int64), np.frombuffer(local, np.int64)))
             o = np.frombuffer(owner, np.uint32).astype(np.int64)
             full = np.zeros((len(o), 8), np.uint8)
             full[:, :5] = np.frombuffer(packed, np.uint8).reshape(5, -1).T
             tokens.append(full.view(np.uint64).ravel())
-            owners.append(np.where(o == 0xFFFFFFFF, -1, o + base))
-            keys.append(k)
-            base += len(k)
-        tokens, owners, keys = np.concatenate(tokens), np.concatenate(owners), np.concatenate(keys)
+            places, o = np.unique(o, return_inverse=True)
+            owners.append(o + base)
+            at_block.append(np.full(len(places), block, np.int64))
+            at_place.append(places)
+            base += len(places)
+        tokens, owners, at_block, at_place = (np.concatenate(x) for x in (tokens, owners, at_block, at_place))
         order = np.argsort(tokens)
         tokens, owners = tokens[order], owners[order]
         same = tokens[1:] == tokens[:-1] if len(tokens) else np.empty(0, bool)
         shared = np.zeros(len(tokens), bool)
         shared[1:] |= same
         shared[:-1] |= same
-        shared &= owners >= 0
-        c = np.bincount(owners[shared], minlength=len(keys))
-        some = np.flatnonzero(c)
-        out_k.append(keys[some])
-        out_n.append(np.zeros(len(some), np.int64))
-        out_c.append(c[some].astype(np.int64))
-        return pa.table({"key": np.concatenate(out_k), "n": np.concatenate(out_n), "c": np.concatenate(out_c)})
-
-    ranges = docs.mapInArrow(scatter, "part int, docs binary, sizes binary, local binary, tokens binary, owner binary")
-    counts = ranges.groupBy("part").applyInArrow(gather, "key long, n long, c long")
-    sums = counts.groupBy("key").agg(F.max("n").alias("n"), F.sum("c").alias("c"))
+        c = np.bincount(owners[shared], minlength=len(at_place))
+        some = np.flatnonzero((c > 0) & (at_place != 0xFFFFFFFF))
+        out = [(at_block[some], at_place[some], None, np.zeros(len(some), np.int64), c[some].astype(np.int64))]
+        out += known
+        keys = [pa.nulls(len(x[0]), pa.int64()) if x[2] is None else pa.array(x[2], pa.int64()) for x in out]
+        column = lambda i: pa.array(np.concatenate([x[i] for x in out]).astype(np.int64))
+        return pa.table({"block": column(0), "place": column(1), "key": pa.concat_arrays(keys), "n": column(3), "c": column(4)})
+
+    ranges = docs.mapInArrow(scatter, "part int, block long, docs binary, sizes binary, local binary, tokens binary, owner binary")
+    counts = ranges.groupBy("part").applyInArrow(gather, "block long, place long, key long, n long, c long")
+    places = counts.groupBy("block", "place").agg(F.max("key").alias("key"), F.max("n").alias("n"), F.sum("c").alias("c"))
+    # rows that repeat are places of their own
+    sums = places.groupBy("key").agg(F.max("n").alias("n"), F.max("c").alias("c"))
     return sums.where((F.col("n") > 0) & (100 * F.col("c") >= percent * F.col("n"))).select("key", F.lit(b"").alias("value"))
 
 
+def merge_short(lists: list[np.ndarray], least: int) -> tuple[np.ndarray, np.ndarray]:
+    """Numbers on at least ``least`` of the sorted lists, with how many, by a heap of the lists' next ranges."""
+    heap = [(int(x[0]) >> RANGE_BITS, i, 0) for i, x in enumerate(lists) if len(x)]
+    heapq.heapify(heap)
+    ids, counts = [], []
+    while heap:
+        now, parts = heap[0][0], []
+        while heap and heap[0][0] == now:
+            _, i, lo = heap[0]
+            x = lists[i]
+            hi = len(x) if int(x[-1]) >> RANGE_BITS == now else int(np.searchsorted(x, (now + 1) << RANGE_BITS))
+            parts.append(x[lo:hi])
+            if hi < len(x):
+                heapq.heapreplace(heap, (int(x[hi]) >> RANGE_BITS, i, hi))
+            else:
+                heapq.heappop(heap)
+        if len(parts) >= least:
+            n = np.bincount(np.concatenate(parts) - (now << RANGE_BITS))
+            on = np.flatnonzero(n >= least)
+            ids.append(on + (now << RANGE_BITS))
+            counts.append(n[on])
+    if not ids:
+        return np.empty(0, np.int64), np.empty(0, np.int64)
+    return np.concatenate(ids), np.concatenate(counts)
+
+
+def probe_long(lists: list[np.ndarray], ids: np.ndarray, counts: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:
+    """The ids that reach ``least`` with the lists they are found on by binary search; the others are left as soon as they cannot."""
+    for left, x in zip(range(len(lists), 0, -1), lists):
+        able = counts + left >= least
+        if not able.all():
+            ids, counts = ids[able], counts[able]
+        if not len(ids):
+            break
+        at = np.searchsorted(x, ids)
+        at[at == len(x)] = 0
+        counts = counts + (x[at] == ids)
+    able = counts >= least
+    return ids[able], counts[able]
+
+
+def long_lists(n: int, longest: int, least: int) -> int:
+    """DivideSkip's number of long lists."""
+    return max(0, min(int(least / (MU * math.log2(max(longest, 2)) + 1)), least - 1, n - 1))
+
+
 def _search(sets: list[np.ndarray], percent: int, forest: bool, sides: np.ndarray | None = None):
     """(i, array of the j linked with it), each link once; with ``sides`` only links between sets of different sides."""
     order = np.array(sorted(range(len(sets)), key=lambda i: len(sets[i])))
@@ -176,52 +236,29 @@ def _search(sets: list[np.ndarray], percent: int, forest: bool, sides: np.ndarra
     classes = Classes(len(order))
     for r in range(1, len(order)):
         mine = codes[r]
-        lengths = begin[mine + 1] - begin[mine]
-        lists = mine[lengths > 1]
         t = needed(len(mine), percent)
+        low = int(np.searchsorted(sizes, t))  # smaller sets cannot link with this one
+        if low >= r:
+            continue
+        lists = [x[np.searchsorted(x, low) if x[0] < low else 0 : np.searchsorted(x, r)] for c in mine.tolist() if (e := begin[c + 1]) - (b := begin[c]) > 1 and (x := postings[b:e])[0] < r]
+        lists = sorted((x for x in lists if len(x)), key=len)
         if len(lists) < t:
             continue
-        lists = lists[np.argsort(begin[lists + 1] - begin[lists], kind="stable")]
-        short = lists[: len(lists) - t + 1]  # a partner is in t lists, so in one of these
-        long = np.sort(lists[len(lists) - t + 1 :])
-        hits = np.concatenate([postings[begin[c] : begin[c + 1]] for c in short.tolist()])
-        hits = hits[(hits < r) & (100 * sizes[hits] >= percent * len(mine))]
+        n_long = long_lists(len(lists), len(lists[-1]), t)
+        seen, times = merge_short(lists[: len(lists) - n_long], t - n_long)
+        on = np.ones(len(seen), bool)
         if side is not None:
-            hits = hits[side[hits] != side[r]]
-        if not len(hits):
-            continue
-        seen, times = np.unique(hits, return_counts=True)
+            on &= side[seen] != side[r]
         if forest:
-            for k in np.argsort(-times, kind="stable"):
-                s = int(seen[k])
-                if classes.of[s] == classes.of[r]:
-                    continue
-                both = int(times[k]) + _common(codes[s], long)
-                if 100 * both >= percent * (len(mine) + len(codes[s]) - both):
-                    classes.join(s, r)
-                    yield int(order[r]), order[s : s + 1]
-            continue
-        able = 100 * (times + len(long)) >= percent * (len(mine) + sizes[seen] - times - len(long))
-        seen, times = seen[able], times[able]
-        widths = begin[long + 1] - begin[long]
-        if widths.sum() > 2000 * len(seen):
-            both = times + np.array([_common(codes[s], long) for s in seen.tolist()], np.int64)
-        else:
-            found = np.zeros(len(order), np.int64)
-            for part in np.split(long, np.flatnonzero(np.diff(np.cumsum(widths) // SCAN)) + 1) if len(long) else ():
-                found += np.bincount(np.concatenate([postings[begin[c] : begin[c + 1]] for c in part.tolist()]), minlength=len(order))
-            both = times + found[seen]
+            on &= classes.of[seen] != classes.of[r]
+        seen, both = probe_long(lists[len(lists) - n_long :], seen[on], times[on], t)
         linked = seen[100 * both >= percent * (len(mine) + sizes[seen] - both)]
+        if forest:
+            linked = np.array([s for s in linked.tolist() if classes.join(s, r)], np.int64)
         if len(linked):
             yield int(order[r]), order[linked]
 
 
-def _common(other: np.ndarray, long: np.ndarray) -> int:
-    at = np.searchsorted(other, long)
-    at[at == len(other)] = 0
-    return int((other[at] == long).sum())
-
-
 class Classes:
     """Classes of 0..n-1, where ``of`` names each one's class."""
 
@@ -361,16 +398,17 @@ def deduplicate(docs: DataFrame, width: int = 5, percent: int = 80, **parameters
     keep = keep.unionByName(linked.where("n_shingles = 0").select(F.col("key").alias("_key")).distinct())
     keep = materialize(keep, "jaccard-keep")
     columns = docs.columns
-    at, text = columns.index("doc_id"), columns.index("text")
+    whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in columns]).alias("d"), F.col("doc_id").cast("long").alias("id"))
 
     def keyed(batches):
-        for b in batches:
-            keys = [document_key(*r) for r in zip(b.column(at).to_pylist(), b.column(text).to_pylist())]
-            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), *b.columns], names=["_key", *columns])
+        for b in slices(batches):
+            d = b.column(0)
+            keys = [document_key(*r) for r in zip(b.column(1).to_pylist(), d.field(columns.index("text")).to_pylist())]
+            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), d], names=["_key", "d"])
 
     from pyspark.sql.types import LongType, StructField, StructType
 
-    with_key = docs.mapInArrow(keyed, StructType([StructField("_key", LongType()), *docs.schema.fields]))
+    with_key = whole.mapInArrow(keyed, StructType([StructField("_key", LongType()), StructField("d", docs.schema)]))
     kept = with_key.join(keep, "_key", "left_semi")
     # rows that repeat id and text are copies as well: one of them stays
-    return kept.dropDuplicates(["_key"]).select(*[F.col(f"`{c}`") for c in columns])
+    return kept.dropDuplicates(["_key"]).select(*[F.col(f"d.`{c}`").alias(c) for c in columns])
