@@ -37,6 +37,10 @@ def op7_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.perspectives(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
 
 
+def op7_chat_dialogues(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.dialogues(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+
+
 def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.jaccard_join(read_documents(spark, sf_dir))
 
@@ -57,7 +61,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read_documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"))
 
 
-QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_lm_scoring, op3_toxicity, op4_media_columns, op5_pii, op6_suffix_dedup, op7_chat_formatting, op8_jaccard_join, op8_jaccard_links, op9_byte_bpe, op10_packing)}
+QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_lm_scoring, op3_toxicity, op4_media_columns, op5_pii, op6_suffix_dedup, op7_chat_formatting, op7_chat_dialogues, op8_jaccard_join, op8_jaccard_links, op9_byte_bpe, op10_packing)}
 
 _LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _WORDS = r"regexp_extract_all({}, '[^\x20\x09-\x0D]+')"
@@ -91,7 +95,7 @@ r AS (SELECT t.conv_id, p.perspective, t.turn, t.speaker,
  CASE WHEN speaker <> 'system' AND speaker <> perspective THEN speaker END AS message_name, t.text
  FROM t JOIN p ON t.conv_id IS NOT DISTINCT FROM p.conv_id)
 SELECT conv_id, perspective, turn, speaker, message_role, message_name,
- '<|' || message_role || coalesce(' name=' || message_name, '') || '|>' || text || '<|end|>' AS rendered,
+ '<|' || message_role || coalesce(' name=' || replace(message_name, '<|', '<\\|'), '') || '|>' || replace(text, '<|', '<\\|') || '<|end|>' AS rendered,
  CASE WHEN speaker = perspective AND speaker <> 'system' THEN 1 ELSE 0 END AS mask
 FROM r""",
     "op8_jaccard_join": f"""
@@ -107,3 +111,11 @@ FROM documents d LEFT JOIN n USING (doc_id) JOIN (SELECT doc_id, min(other) AS c
 
 # the same links, counted
 ORACLES["op8_jaccard_links"] = ORACLES["op8_jaccard_join"].replace("\nSELECT d.doc_id, CAST(coalesce(n.n, 0)", ",\ncounted AS (SELECT a, count(*) AS n_links FROM links GROUP BY a)\nSELECT d.doc_id, CAST(coalesce(k.n_links, 0) AS BIGINT) AS n_links, CAST(coalesce(n.n, 0)").replace("LEFT JOIN n USING (doc_id)", "LEFT JOIN n USING (doc_id) LEFT JOIN counted k ON k.a = d.doc_id")
+
+# the rendered turns, joined
+ORACLES["op7_chat_dialogues"] = f"""
+WITH x AS ({ORACLES["op7_chat_formatting"]}),
+o AS (SELECT *, sum(length(rendered)) OVER (PARTITION BY conv_id, perspective ORDER BY turn NULLS LAST, speaker, rendered ROWS UNBOUNDED PRECEDING) AS ending FROM x)
+SELECT conv_id, perspective, string_agg(rendered, '' ORDER BY ending) AS dialogue,
+ coalesce(string_agg(CAST(ending - length(rendered) AS BIGINT) || ':' || CAST(ending AS BIGINT), ',' ORDER BY ending) FILTER (WHERE mask = 1), '') AS learnt
+FROM o GROUP BY conv_id, perspective"""
