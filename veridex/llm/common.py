@@ -7,6 +7,9 @@ that setting is absent (tests on one machine) a temporary folder is set instead.
 from __future__ import annotations
 
 import atexit
+import contextlib
+import ctypes
+import gc
 import shutil
 import tempfile
 import uuid
@@ -66,8 +69,22 @@ def arrow_schema(ddl: str) -> pa.Schema:
     return pa.schema([(n, kinds[k]) for n, k in (f.split() for f in ddl.split(","))])
 
 
+def release_memory() -> None:
+    """Give back what a task has freed: workers are reused, and would carry the peak of one stage into the next."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(AttributeError, OSError):  # a C library without it
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def rows_to_batches(rows, schema: pa.Schema, size: int = 4096):
-    """Record batches of ``size`` rows from an iterator of tuples."""
+    """Record batches of ``size`` rows from an iterator of tuples; at its end the task's memory is given back."""
+    yield from _batches(rows, schema, size)
+    del rows
+    release_memory()
+
+
+def _batches(rows, schema: pa.Schema, size: int):
     held: list = []
     for row in rows:
         held.append(row)

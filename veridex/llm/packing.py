@@ -25,7 +25,7 @@ from .bpe import words_of
 from .common import arrow_schema, materialize, rows_to_batches
 
 LENGTH, END = 2048, 1
-CACHE = 600_000
+CACHE = 400_000
 _PIECES = "doc_id long,start long,length long,ids_crc32 long,doc_tokens long,sequence_id long,offset long"
 _TOKENIZERS: dict = {}
 # white space after the first character, a lone white-space word, or text that may hold a special token
@@ -104,6 +104,10 @@ class Encoder:
         for w, e in zip(rest, self.tokenizer.encode_batch(rest, add_special_tokens=False)):
             young[w] = np.array(e.ids, kind).tobytes()
 
+    def forget(self) -> None:
+        """Between tasks only words of one generation are kept."""
+        self.old, self.young = {}, self.old or self.young
+
     def encode(self, texts: list[str]) -> list[bytes]:
         if len(self.young) > CACHE:
             self.young, self.old = {}, self.young
@@ -147,6 +151,7 @@ def tokenise(docs: DataFrame, path: str, end: int = END) -> DataFrame:
                         n = len(data) // width + 1
                         yield part, place, doc_id, n, width, data + stop
                         place += n
+            coder.forget()
 
         return rows_to_batches(rows(), schema, 512)
 
