@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 SCALES = {"million": 1_000_000, "thousand": 1_000}
 
 # Digits that a reader confuses with each other, both ways.
-CONFUSIONS = (("0", "6"), ("0", "8"), ("0", "9"), ("1", "4"), ("1", "7"), ("2", "7"), ("3", "5"), ("3", "8"), ("3", "9"), ("5", "6"), ("5", "8"), ("6", "8"), ("8", "9"))
+CONFUSIONS = (("0", "8"), ("0", "6"), ("0", "9"), ("1", "7"), ("1", "4"), ("2", "7"), ("3", "5"), ("3", "8"), ("4", "9"), ("5", "6"), ("5", "8"), ("6", "8"), ("8", "9"))
 
 
 def round_up_half(value: Column, places: int = 4) -> Column:

@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # Words that carry no meaning in a caption.
-STOPWORDS = ("a", "an", "and", "at", "by", "for", "from", "in", "of", "on", "or", "the", "to", "with")
+STOPWORDS = ("and", "of", "the", "in", "for", "to", "from", "on", "at", "by", "a", "an", "as", "or")
 
 
 def squeeze(text: Column) -> Column:
@@ -14,11 +14,13 @@ def squeeze(text: Column) -> Column:
 
 
 def label(text: Column) -> Column:
-    """Normalised row label: lower case, quotes and dashes unified, no end mark, no leading marks, hyphens without spaces."""
-    t = F.translate(F.lower(text), "‘’“”–—−", "''\"\"---")
-    t = F.regexp_replace(t, r"[.:\s]+$", "")
-    t = F.regexp_replace(t, r"^[^\p{L}]+", "")
-    return squeeze(F.regexp_replace(t, r"\s*-\s*", "-"))
+    """Normalised row label: lower case, quotes and dashes unified, no marks at words' ends or before the first letter or
+    bracket; a hyphen inside a word stays tight, one with a space at a side gets one on both."""
+    t = F.translate(F.lower(text), "‘’`´“”–—", "''''\"\"--")
+    t = F.regexp_replace(t, r"(?<=\w)[.:](?=[\s\u00A0]|$)", "")
+    t = F.regexp_replace(t, r"^[^a-z(]+", "")
+    t = F.regexp_replace(t, r"(\w)\s+-\s*(?=\w)|(\w)-\s+(?=\w)", "$1$2 - ")
+    return squeeze(t)
 
 
 def heading_segments(page: Column, lines: int = 14) -> Column:
@@ -48,7 +50,7 @@ def links(html: Column) -> Column:
 
 def words(text: Column) -> Column:
     """Lower-case words without stop words."""
-    return F.array_except(F.filter(F.split(F.lower(text), r"[^\p{L}0-9]+"), lambda w: w != ""), F.array(*[F.lit(w) for w in STOPWORDS]))
+    return F.filter(F.split(F.lower(text), r"[^a-z]+"), lambda w: (w != "") & ~w.isin(*STOPWORDS))
 
 
 def words_alike(a: Column, b: Column, scanned: bool = False) -> Column:
@@ -78,8 +80,10 @@ def common_subsequence(a: Column, b: Column) -> Column:
 
 
 def split_category(text: Column) -> tuple[Column, Column]:
-    """'X (basis)' into X and basis."""
-    return F.trim(F.regexp_replace(text, r"\s*\([^()]*\)\s*$", "")), F.nullif(F.regexp_extract(text, r"\(([^()]*)\)\s*$", 1), F.lit(""))
+    """'X (basis)' into X and basis, both without outer spaces; no basis is null."""
+    m = r"^(.*?)\s*\(([^()]*)\)\s*$"
+    found = text.rlike(m)
+    return F.trim(F.when(found, F.regexp_extract(text, m, 1)).otherwise(text)), F.when(found, F.nullif(squeeze(F.regexp_extract(text, m, 2)), F.lit("")))
 
 
 def absent(text: Column) -> Column:

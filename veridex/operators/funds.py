@@ -15,15 +15,16 @@ from .joins import merge_by_key
 
 CELLS = "page_id long, table_no int, row int, cells array<string>, hrefs array<string>, handlers array<string>"
 
-# What each page must show in its header, and the periods of returns.
+# What each page must show in its header, the labels of returns with their keys, and how a row names its fund.
 REQUIRED = {
-    "performance": ("fund name", "category", "rating", "benchmark", "validity date", "nav"),
-    "prices": ("fund name", "category", "offer", "repurchase", "nav", "validity date"),
-    "payouts": ("fund name", "payout per unit", "ex nav", "payout date"),
-    "expenses": ("fund name", "ter mtd", "ter ytd"),
-    "monthly_aum": ("fund name", "amc", "category"),
+    "performance": ("category", "rating", "validity date", "nav", "ytd"),
+    "prices": ("offer", "repurchase", "nav", "validity date"),
+    "payouts": ("payout (per unit)", "ex-nav", "payout date"),
+    "expenses": ("ter mtd %", "ter ytd %", "mf %", "s&m %"),
+    "monthly_aum": ("fund name", "category", "inception date"),
 }
-RETURNS = ("ytd", "mtd", "1 day", "15 days", "30 days", "90 days", "180 days", "270 days", "365 days", "2 years", "3 years")
+RETURNS = {"ytd": "ytd", "mtd": "mtd", "1 day": "d1", "15 days": "d15", "30 days": "d30", "90 days": "d90", "180 days": "d180", "270 days": "d270", "365 days": "d365", "2 years": "y2", "3 years": "y3"}
+FUND_LINK, FUND_HANDLER = r"(?i)FundDetail\?FundID=([0-9]+)", r"getAssetAllocation\(\s*([0-9]+)\s*,"
 CHALLENGE = r"(?i)<title>[^<]*(just a moment|attention required|access denied)"
 
 
@@ -109,13 +110,14 @@ def decode_entities(text: str) -> str:
 
 
 def normal(label: Column) -> Column:
-    return F.trim(F.regexp_replace(F.lower(label), r"[^a-z0-9]+", " "))
+    return F.trim(F.regexp_replace(F.lower(label), r"\s+", " "))
 
 
 def keyed_rows(cells: DataFrame, required: Sequence[str], strict: bool = True) -> DataFrame:
     """Rows of the first table that has a row with all required labels, as a map from label to cell, with the fund's id.
 
-    The id is in a link or handler of the row.  A page without such a table is a shape error.
+    The id is in the first link that names one, else in the first such handler.  A row of another width, or without an id,
+    is not read.  A page without such a table, as a challenge page is, is a shape error.
     """
     labels = F.transform("cells", normal)
     want = F.array(*[F.lit(r) for r in required])
@@ -125,50 +127,70 @@ def keyed_rows(cells: DataFrame, required: Sequence[str], strict: bool = True) -
     if strict:
         pages = pages.withColumn("h", F.when(F.col("h").isNull(), F.raise_error(F.concat(F.lit("no table with the required labels on page "), F.col("page_id").cast("string")))).otherwise(F.col("h")))
     rows = marked.join(pages.where("h is not null"), "page_id").where((F.col("table_no") == F.col("h.table_no")) & (F.col("row") > F.col("h.row")) & (F.size("cells") == F.size("h.labels")))
-    source = F.concat_ws(" ", "hrefs", "handlers")
-    fund = F.regexp_extract(source, r"(?i)(?:fund_?id=|fund\(|/funds?/)'?([0-9]+)", 1).try_cast("int")
-    return rows.select("page_id", "row", fund.alias("fund_id"), F.map_from_arrays("h.labels", "cells").alias("m")).where("fund_id is not null")
+    named = lambda of, pattern: F.regexp_extract(F.try_element_at(F.filter(of, lambda x: x.rlike(pattern)), F.lit(1)), pattern, 1)
+    fund = F.coalesce(named("hrefs", FUND_LINK), named("handlers", FUND_HANDLER)).try_cast("int")
+    # of a label that stands twice the later cell counts
+    entry = F.map_from_entries(F.transform(F.array_distinct("h.labels"), lambda x: F.struct(x, F.element_at("cells", F.size("h.labels") + 1 - F.array_position(F.reverse("h.labels"), x).cast("int")))))
+    return rows.select("page_id", "row", fund.alias("fund_id"), entry.alias("m")).where("fund_id is not null")
 
 
 def number(text: Column) -> Column:
     """A fund page's number: commas dropped, anything but a plain number is null."""
-    t = F.replace(F.trim(text), F.lit(","), F.lit(""))
-    return F.when(t.rlike(r"^-?[0-9]*\.?[0-9]+$"), t.try_cast("double"))
+    t = F.trim(F.replace(text, F.lit(","), F.lit("")))
+    return F.when(t.rlike(r"^-?[0-9]+(\.[0-9]+)?$"), t.try_cast("double"))
 
 
 def day(text: Column) -> Column:
+    """'Oct 09, 2026' or with the month in full; anything else is null."""
+    m = r"^([A-Za-z]{3})[a-z]*\s+([0-9]{1,2}),\s*([0-9]{4})$"
     t = F.trim(text)
-    return F.coalesce(F.try_to_date(t, "MMM d, yyyy"), F.try_to_date(t, "d-MMM-yyyy"), F.try_to_date(t, "yyyy-MM-dd"), F.try_to_date(t, "d/M/yyyy"))
+    part = lambda i: F.regexp_extract(t, m, i)
+    return F.when(t.rlike(m), F.try_to_date(F.concat_ws(" ", F.initcap(part(1)), part(2), part(3)), "MMM d yyyy"))
+
+
+def _cell(name: str) -> Column:
+    return F.coalesce(F.col("m")[name], F.lit(""))
 
 
 def _text(name: str) -> Column:
+    """A cell's text, null for a dash or n/a."""
     t = F.trim(F.col("m")[name])
-    return F.when(~F.lower(t).isin("", "-", "n/a", "na"), t)
+    return F.when(~t.rlike(r"(?i)^(n/a|-+)?$"), t)
+
+
+def _name() -> Column:
+    return F.trim(F.coalesce(F.col("m")["fund name"], F.col("m")["fund"], F.lit(""))).alias("name")
 
 
 def performance(rows: DataFrame) -> DataFrame:
-    category, kind = split_category(F.col("m")["category"])
-    pairs = F.map_from_arrays(F.array(*[F.lit(p) for p in RETURNS]), F.array(*[number(F.col("m")[p]) for p in RETURNS]))
-    return rows.select("fund_id", _text("fund name").alias("name"), _text("sector").alias("sector"), category.alias("category"), kind.alias("return_basis"), _text("rating").alias("rating"), _text("benchmark").alias("benchmark"), day(F.col("m")["validity date"]).alias("validity_date"), number(F.col("m")["nav"]).alias("nav"), F.map_filter(pairs, lambda _, v: v.isNotNull()).alias("returns"))
+    category, kind = split_category(_cell("category"))
+    labels = list(RETURNS)
+    pairs = F.map_from_arrays(F.array(*[F.lit(RETURNS[p]) for p in labels]), F.array(*[F.struct(F.map_contains_key("m", p).alias("shown"), number(F.col("m")[p]).alias("v")) for p in labels]))
+    returns = F.transform_values(F.map_filter(pairs, lambda _, x: x["shown"]), lambda _, x: x["v"])
+    return rows.select("fund_id", _name(), _cell("sector").alias("sector"), category.alias("category"), kind.alias("return_basis"), _text("rating").alias("rating"), _text("benchmark").alias("benchmark"), day(F.col("m")["validity date"]).alias("validity_date"), number(F.col("m")["nav"]).alias("nav"), returns.alias("returns"))
 
 
 def prices(rows: DataFrame) -> DataFrame:
-    loads = F.struct(*[_text(n).alias(n.replace(" ", "_")) for n in ("front end load", "back end load", "contingent load", "management fee")])
-    return rows.select("fund_id", _text("fund name").alias("name"), _text("sector").alias("sector"), _text("amc").alias("amc"), _text("category").alias("category"), day(F.col("m")["inception date"]).alias("inception_date"), *[number(F.col("m")[n]).alias(n) for n in ("offer", "repurchase", "nav")], day(F.col("m")["validity date"]).alias("validity_date"), loads.alias("loads"), _text("trustee").alias("trustee"))
+    loads = [_text(label).alias(name) for label, name in (("front-end", "front_end_load"), ("back-end", "back_end_load"), ("contingent", "contingent_load"), ("market", "market_load"), ("trustee", "trustee"))]
+    return rows.select("fund_id", _name(), *[_cell(n).alias(n) for n in ("sector", "amc", "category")], day(F.col("m")["inception date"]).alias("inception_date"), *[number(F.col("m")[n]).alias(n) for n in ("offer", "repurchase", "nav")], day(F.col("m")["validity date"]).alias("validity_date"), *loads)
 
 
 def payouts(rows: DataFrame) -> DataFrame:
-    return rows.select("fund_id", _text("fund name").alias("name"), number(F.col("m")["payout per unit"]).alias("payout_per_unit"), number(F.col("m")["ex nav"]).alias("ex_nav"), day(F.col("m")["payout date"]).alias("payout_date"))
+    return rows.select("fund_id", _name(), number(F.col("m")["payout (per unit)"]).alias("payout_per_unit"), number(F.col("m")["ex-nav"]).alias("ex_nav"), day(F.col("m")["payout date"]).alias("payout_date"))
 
 
 def expenses(rows: DataFrame) -> DataFrame:
-    return rows.select("fund_id", number(F.col("m")["ter mtd"]).alias("ter_mtd_pct"), number(F.col("m")["ter ytd"]).alias("ter_ytd_pct"), number(F.col("m")["management fee"]).alias("management_fee_pct"), number(F.col("m")["selling marketing"]).alias("selling_marketing_pct"))
+    pct = [number(F.col("m")[label]).alias(name) for label, name in (("ter mtd %", "ter_mtd_pct"), ("ter ytd %", "ter_ytd_pct"), ("mf %", "management_fee_pct"), ("s&m %", "selling_marketing_pct"))]
+    return rows.select("fund_id", _name(), number(F.col("m")["nav"]).alias("nav"), day(F.col("m")["validity date"]).alias("validity_date"), *pct)
 
 
 def monthly_aum(rows: DataFrame) -> DataFrame:
-    """Assets by month; the month is in the heading of the amount's column."""
-    entry = F.map_entries(F.map_filter("m", lambda k, _: k.rlike(r"^aum ")))[0]
-    return rows.select("fund_id", _text("fund name").alias("name"), _text("amc").alias("amc"), _text("category").alias("category"), F.regexp_extract(entry["key"], r"^aum (.*)$", 1).alias("month"), number(entry["value"]).alias("aum_millions"))
+    """Assets by month; the month is in the heading of the amount's column, without which the page is a shape error."""
+    heading = F.try_element_at(F.filter(F.map_keys("m"), lambda k: k.rlike("rupees in million")), F.lit(1))
+    m = r"([a-z]+)-([0-9]{4})"
+    month = F.date_format(F.try_to_date(F.concat_ws(" ", F.initcap(F.substring(F.regexp_extract(heading, m, 1), 1, 3)), F.regexp_extract(heading, m, 2)), "MMM yyyy"), "yyyy-MM")
+    month = F.coalesce(month, F.raise_error(F.lit("monthly AUM: no column of a month in millions")).cast("string"))
+    return rows.select(month.alias("month"), "fund_id", _name(), F.coalesce(F.col("m")["amc name"], _cell("amc")).alias("amc"), _cell("category").alias("category"), day(F.col("m")["inception date"]).alias("inception_date"), number(F.element_at("m", heading)).alias("aum_pkr_millions"))
 
 
 def refusal(body: Column, status: Column) -> Column:

@@ -110,7 +110,7 @@ def ratio_catalogue(t):
     wide = li.groupBy("l_suppkey").agg(
         F.sum(money(F.col("l_extendedprice"))).cast("double").alias("revenue"), F.sum(money(F.col("l_quantity") * 30)).cast("double").alias("cost_of_sales"), F.sum(money(F.col("l_extendedprice") * F.col("l_tax"), 4)).cast("double").alias("taxation"),
         F.sum(money(F.col("l_extendedprice") * F.col("l_discount"), 4)).cast("double").alias("operating_expenses"), (F.count("*") * 1000).cast("double").alias("total_assets"), (F.count_distinct("l_partkey") * 400).cast("double").alias("total_liabilities"),
-    ).withColumn("months", F.lit(12))
+    ).withColumn("months", F.lit(12)).withColumn("total_equity", F.col("total_assets") - F.col("total_liabilities"))
     return metrics.ratios(metrics.fill(wide)).select("l_suppkey", "gross_income_margin", "operating_margin_pct", "cogs_to_sales", "invested_assets_to_liabilities", "equity_to_assets", "float_shares")
 
 
@@ -325,29 +325,45 @@ def signed_values(t):
     return good.select("c_custkey", "value", F.lit(False).alias("dropped")).unionByName(bad.select("c_custkey", "value", F.lit(True).alias("dropped")))
 
 
-def _filings(t) -> tuple[DataFrame, DataFrame]:
-    """Orders as tables of all their lines, with a total and, from two lines on, a check of the first two; every fifth order misreads its first figure."""
+def _filings(t, pair: bool = False) -> tuple[DataFrame, DataFrame]:
+    """Orders as tables of all their lines, with a total and, from two lines on, the difference of the first two.
+
+    Every fifth order misreads its first figure.  With ``pair`` there is a third check, the first figure and twice the second,
+    and the second figure is misread as well.
+    """
     line = F.struct("l_linenumber", (F.floor("l_extendedprice") + 10_000).cast("long").alias("v"))
     whole = t("lineitem").groupBy(F.col("l_orderkey").cast("string").alias("filing")).agg(F.array_sort(F.collect_list(line)).v.alias("v"))
     first = F.expr("transform(v, (x, i) -> struct(concat('c', i + 1) AS cell, x AS v))")
-    total, second = F.expr("struct('t' AS cell, aggregate(v, 0L, (a, x) -> a + x) AS v)"), F.expr("if(size(v) >= 2, array(struct('u' AS cell, v[0] + get(v, 1) AS v)), array())")
-    cells = whole.select("filing", F.explode(F.concat(first, F.array(total), second)).alias("x")).select("filing", "x.*")
-    wrong = (F.col("cell") == "c1") & (F.col("filing").cast("long") % 5 == 0)
+    total, second = F.expr("struct('t' AS cell, aggregate(v, 0L, (a, x) -> a + x) AS v)"), F.expr("if(size(v) >= 2, array(struct('u' AS cell, v[0] - get(v, 1) AS v)), array())")
+    third = F.expr("if(size(v) >= 2, array(struct('w' AS cell, v[0] + 2 * get(v, 1) AS v)), array())")
+    cells = whole.select("filing", F.explode(F.concat(first, F.array(total), second, *[third] * pair)).alias("x")).select("filing", "x.*")
+    wrong = F.col("cell").isin("c1", *["c2"] * pair) & (F.col("filing").cast("long") % 5 == 0)
     raw = F.when(wrong, F.translate(F.col("v").cast("string"), "38", "83")).otherwise(F.col("v").cast("string"))
     cells = cells.select("filing", "cell", raw.alias("raw"), raw.cast("double").alias("value"))
-    of_total = cells.where("cell <> 'u'").select("filing", F.lit("t").alias("constraint_id"), "cell", F.when(F.col("cell") == "t", -1.0).otherwise(1.0).alias("sign"))
-    of_two = whole.where(F.size("v") >= 2).select("filing", F.lit("u").alias("constraint_id"), F.explode(F.expr("map('c1', 1.0D, 'c2', 1.0D, 'u', -1.0D)")).alias("cell", "sign"))
-    return of_total.unionByName(of_two).select("*", F.lit(2.0).alias("tolerance"), F.lit(False).alias("advisory")), cells
+    of_total = cells.where("cell not in ('u', 'w')").select("filing", F.lit("t").alias("constraint_id"), "cell", F.when(F.col("cell") == "t", -1.0).otherwise(1.0).alias("sign"))
+    of_two = whole.where(F.size("v") >= 2)
+    terms = of_total.unionByName(of_two.select("filing", F.lit("u").alias("constraint_id"), F.explode(F.expr("map('c1', 1.0D, 'c2', -1.0D, 'u', -1.0D)")).alias("cell", "sign")))
+    if pair:
+        terms = terms.unionByName(of_two.select("filing", F.lit("w").alias("constraint_id"), F.explode(F.expr("map('c1', 1.0D, 'c2', 2.0D, 'w', -1.0D)")).alias("cell", "sign")))
+    return terms.select("*", F.lit(1.0).alias("tolerance"), F.lit(False).alias("advisory")), cells
 
 
-@query()
+# a figure is found again if one of its digits was misread, or two neighbours that look swapped
+_FIGURES = """
+WITH l AS (SELECT l_orderkey, CAST(floor(l_extendedprice) AS BIGINT) + 10000 AS v, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_extendedprice) AS n, count(*) OVER (PARTITION BY l_orderkey) AS size FROM lineitem),
+m AS (SELECT *, CAST(v AS VARCHAR) AS s, translate(CAST(v AS VARCHAR), '38', '83') AS r, len(regexp_extract_all(CAST(v AS VARCHAR), '[38]')) AS k FROM l WHERE l_orderkey % 5 = 0 AND n <= 2 AND size >= 2),
+x AS (SELECT *, k > 0 AS wrong, k = 1 OR (k = 2 AND (contains(s, '38') OR contains(s, '83'))) AS able FROM m)"""
+
+
+@query(f"{_FIGURES} SELECT CAST(l_orderkey AS VARCHAR) AS filing, 'c1' AS cell, CAST(r AS DOUBLE) AS \"from\", CAST(s AS DOUBLE) AS \"to\", CAST(2 AS BIGINT) AS witnesses FROM x WHERE n = 1 AND wrong AND able")
 def single_cell_repair(t):
     return repair.single_repairs(*_filings(t))
 
 
-@query()
+# three checks must be open: errors that cancel in one of them leave too little evidence
+@query(f"{_FIGURES} SELECT CAST(l_orderkey AS VARCHAR) AS filing, 'c' || n AS cell, CAST(r AS DOUBLE) AS \"from\", CAST(s AS DOUBLE) AS \"to\" FROM x SEMI JOIN (SELECT a.l_orderkey FROM (SELECT *, v - CAST(r AS BIGINT) AS e FROM x WHERE n = 1) a JOIN (SELECT *, v - CAST(r AS BIGINT) AS e FROM x WHERE n = 2) b USING (l_orderkey) WHERE a.wrong AND b.wrong AND a.able AND b.able AND a.e <> b.e AND a.e <> -b.e AND a.e <> -2 * b.e) USING (l_orderkey)")
 def pair_repair(t):
-    return repair.pair_repairs(*_filings(t))
+    return repair.pair_repairs(*_filings(t, pair=True))
 
 
 @query()
@@ -474,38 +490,177 @@ def insider_dealings(t):
     return notices.insider(rows).select("id", "person", "action", "dealt_on", "quantity", "rate")
 
 
-@query("SELECT CAST(s_suppkey AS INTEGER) AS fund_id, s_name AS name, 'Income' AS category, 'annualized' AS return_basis, floor(s_acctbal) AS nav, DATE '2024-03-01' AS validity_date FROM supplier")
+def _fund_page(t, kind: str, header: list[str], cells: list[Column], handler: bool = False) -> DataFrame:
+    """Suppliers, one page each, printed in the layout of a fund page and read back."""
+    td = lambda x: F.concat(F.lit("<td>"), F.coalesce(x.cast("string"), F.lit("")), F.lit("</td>"))
+    k = F.col("s_suppkey").cast("string")
+    name = F.concat(F.lit("<td onclick='getAssetAllocation( "), k, F.lit(", 1)'>"), F.col("s_name"), F.lit("</td>")) if handler else F.concat(F.lit("<td><a href='/Web/FundDetail?FundID="), k, F.lit("'>"), F.col("s_name"), F.lit("</a></td>"))
+    head = "<title>Funds</title><table><tr><td>menu</td></tr></table><table><tr>" + "".join(f"<th> {h} </th>" for h in header) + "</tr><tr>"
+    pages = t("supplier").select(F.col("s_suppkey").alias("page_id"), F.concat(F.lit(head), name, *[td(c) for c in cells], F.lit("</tr><tr><td>a row of another width</td></tr></table>")).alias("html"))
+    return funds.keyed_rows(funds.html_tables(pages), funds.REQUIRED[kind])
+
+
+def _fund_figure(places: int = 2) -> Column:
+    """A supplier's balance as printed: every seventh is n/a."""
+    return F.when(F.col("s_suppkey") % 7 == 0, "N/A").otherwise(F.format_number(F.col("s_acctbal"), places))
+
+
+_FUND_FIGURE = "CASE WHEN s_suppkey % 7 <> 0 THEN round(s_acctbal, 2) END"
+
+
+@query(f"SELECT CAST(s_suppkey AS INTEGER) AS fund_id, s_name AS name, 'Income' AS category, 'Annualized Return' AS return_basis, CASE WHEN s_suppkey % 3 > 0 THEN 'AA+(f)' END AS rating, {_FUND_FIGURE} AS nav, DATE '2024-03-01' AS validity_date, {_FUND_FIGURE} AS ytd, CAST(s_suppkey % 50 AS DOUBLE) AS d365 FROM supplier")
 def fund_table(t):
-    """Suppliers printed as a page of funds and read back."""
-    cell = lambda x: F.concat(F.lit("<td>"), x, F.lit("</td>"))
-    row = F.concat(F.lit("<tr><td><a href='/fund?fund_id="), F.col("s_suppkey").cast("string"), F.lit("'>"), F.col("s_name"), F.lit("</a></td>"), cell(F.lit("Income (annualized)")), cell(F.lit("AA")), cell(F.lit("none")), cell(F.lit("Mar 1, 2024")), cell(F.format_number(F.floor("s_acctbal"), 0)), F.lit("</tr>"))
-    head = "<table><tr><th>Fund Name</th><th>Category</th><th>Rating</th><th>Benchmark</th><th>Validity Date</th><th>NAV</th></tr>"
-    pages = t("supplier").select(F.col("s_suppkey").alias("page_id"), F.concat(F.lit(head), row, F.lit("</table>")).alias("html"))
-    rows = funds.keyed_rows(funds.html_tables(pages), funds.REQUIRED["performance"])
-    return funds.performance(rows).select("fund_id", "name", "category", "return_basis", "nav", "validity_date")
+    rating = F.when(F.col("s_suppkey") % 3 > 0, "AA+(f)").otherwise("--")
+    cells = [F.lit("Open-End"), F.lit("Income (Annualized  Return )"), rating, F.lit("none"), F.lit("Mar 01, 2024"), _fund_figure(), _fund_figure(), F.col("s_suppkey") % 50]
+    rows = _fund_page(t, "performance", ["Fund Name", "Sector", "Category", "Rating", "Benchmark", "Validity Date", "NAV", "YTD", "365  Days"], cells)
+    return funds.performance(rows).select("fund_id", "name", "category", "return_basis", "rating", "nav", "validity_date", F.col("returns")["ytd"].alias("ytd"), F.col("returns")["d365"].alias("d365"))
+
 
+@query(f"SELECT CAST(s_suppkey AS INTEGER) AS fund_id, s_name AS name, 'Open' AS sector, 'Amc Ltd' AS amc, DATE '2019-10-09' AS inception_date, {_FUND_FIGURE} AS offer, CAST(s_suppkey AS DOUBLE) AS repurchase, '2%' AS front_end_load, CAST(NULL AS VARCHAR) AS market_load, 'CDC' AS trustee FROM supplier")
+def fund_prices(t):
+    cells = [F.lit(x) for x in ("Open", "Amc Ltd", "Money Market", "October 9, 2019")] + [_fund_figure(), F.col("s_suppkey"), _fund_figure(), F.lit("Oct 09, 2026"), *[F.lit(x) for x in ("2%", "-", "n/a", "--", "CDC")]]
+    rows = _fund_page(t, "prices", ["Fund", "Sector", "AMC", "Category", "Inception Date", "Offer", "Repurchase", "NAV", "Validity Date", "Front-end", "Back-end", "Contingent", "Market", "Trustee"], cells, handler=True)
+    return funds.prices(rows).select("fund_id", "name", "sector", "amc", "inception_date", "offer", "repurchase", "front_end_load", "market_load", "trustee")
 
-#: A caption for every label rule, below the headings that place it.
+
+@query(f"SELECT CAST(s_suppkey AS INTEGER) AS fund_id, s_name AS name, {_FUND_FIGURE} AS payout_per_unit, 10.5 AS ex_nav, CASE WHEN s_suppkey % 2 = 0 THEN DATE '2026-02-28' END AS payout_date FROM supplier")
+def fund_payouts(t):
+    day = F.when(F.col("s_suppkey") % 2 == 0, "Feb 28, 2026").otherwise("Feb 31, 2026")
+    rows = _fund_page(t, "payouts", ["Fund Name", "Payout (Per Unit)", "Ex-NAV", "Payout Date"], [_fund_figure(), F.lit("10.50"), day])
+    return funds.payouts(rows).select("fund_id", "name", "payout_per_unit", F.col("ex_nav"), "payout_date")
+
+
+@query("SELECT CAST(s_suppkey AS INTEGER) AS fund_id, s_name AS name, CAST(s_suppkey % 9 + 0.25 AS DOUBLE) AS ter_mtd_pct, CAST(NULL AS DOUBLE) AS ter_ytd_pct, 1.5 AS management_fee_pct, -0.1 AS selling_marketing_pct FROM supplier")
+def fund_expenses(t):
+    cells = [F.lit("Mar 01, 2024"), F.lit("101.2"), (F.col("s_suppkey") % 9 + 0.25).cast("decimal(9,2)"), F.lit("1.2.3"), F.lit("1.50"), F.lit("-0.10")]
+    rows = _fund_page(t, "expenses", ["Fund", "Validity Date", "NAV", "TER MTD %", "TER YTD %", "MF %", "S&amp;M %"], cells, handler=True)
+    return funds.expenses(rows).select("fund_id", "name", "ter_mtd_pct", "ter_ytd_pct", "management_fee_pct", "selling_marketing_pct")
+
+
+@query(f"SELECT '2026-09' AS month, CAST(s_suppkey AS INTEGER) AS fund_id, s_name AS name, 'Amc Ltd' AS amc, DATE '2019-10-09' AS inception_date, {_FUND_FIGURE} AS aum_pkr_millions FROM supplier")
+def fund_monthly_aum(t):
+    cells = [F.lit("Amc Ltd"), F.lit("Equity"), F.lit("Oct 9, 2019"), _fund_figure()]
+    rows = _fund_page(t, "monthly_aum", ["Fund Name", "AMC Name", "Category", "Inception Date", "September-2026 ( Rupees in million )"], cells)
+    return funds.monthly_aum(rows).select("month", "fund_id", "name", "amc", "inception_date", "aum_pkr_millions")
+
+
+#: Captions as printed, a line each: the heading above in brackets, the caption, the item that it names (none: no rule).
 _CAPTIONS = {
-    "income": """Cost of sales|Revenue|Gross profit|Selling and administrative expenses|Distribution cost|Administrative expenses|Research and development|Other operating expenses|Other income|Operating profit|Finance cost|Interest income
-|Levies|Profit before tax|Taxation|Profit after tax|Owners of the parent|Non-controlling interests|Earnings per share""",
-    "balance": """Assets|Right-of-use assets|Investment property|Property, plant and equipment|Intangible assets|Goodwill|Long-term investments|Long-term loans|Deferred tax asset|Stores and spares|Stock-in-trade|Trade debts|Loans and advances
-|Deposits and prepayments|Other receivables|Short-term investments|Tax refunds due|Cash and bank balances|Total current assets|Total non-current assets|Total assets|Equity and liabilities|Issued, subscribed and paid-up capital|Share premium
-|Unappropriated profit|Reserves|Treasury shares|Non-controlling interests|Shareholders' equity|Total equity|Current portion of lease liabilities|Current portion of long-term financing|Deferred taxation|Staff retirement benefits
-|Trade and other payables|Short-term borrowings|Bank overdraft|Lease liabilities|Long-term financing|Total current liabilities|Total non-current liabilities|Total liabilities|Total equity and liabilities""",
-    "cash_flow": """Cash flows from operating activities|Profit before tax|Depreciation|Trade debts|Stock-in-trade|Trade and other payables|Cash generated from operations|Income tax paid|Finance cost paid|Interest received|Net cash generated from operating activities
-|Cash flows from investing activities|Capital expenditure|Proceeds from sale of property, plant and equipment|Purchase of investments|Sale of investments|Net cash used in investing activities|Cash flows from financing activities|Lease liabilities paid
-|Repayment of long-term financing|Proceeds from long-term financing|Dividends paid|Net cash used in financing activities|Net increase in cash and cash equivalents|Exchange differences|Cash and cash equivalents at beginning of the year|Cash and cash equivalents at end of the year""",
+    "income": """Statement of profit or loss =
+Revenue from contracts with customers – net = revenue
+Cost  of sales = cost_of_sales
+Gross profit = gross_profit
+Selling, distribution and administrative expenses = selling_admin_expenses
+Distribution costs = distribution_cost
+Administrative expenses: = admin_expenses
+Research and development cost = rd_expenses
+Other operating expenses = other_operating_expenses
+Other income = other_income
+Profit from operations = operating_profit
+Finance cost = finance_cost
+Return on bank deposits = interest_income
+Minimum tax differential = levies
+Profit before minimum tax =
+(Loss) / profit before taxation = profit_before_tax
+Sales tax =
+Taxation – net = taxation
+Profit for the year = profit_after_tax
+Owners of the Holding Company = net_income_to_owners
+Non-controlling interest = net_income_to_minority
+Earnings per share - basic and diluted (Rupees) = eps_basic""",
+    "balance": """[ASSETS; NON-CURRENT ASSETS] Property, plant and equipment = net_ppe
+Right-of-use assets = right_of_use_assets
+Investment property = investment_property
+Intangible assets = intangible_assets
+Goodwill = goodwill
+Long-term investments = long_term_investments
+Long term loans to employees = long_term_loans_advances
+Long-term deposits =
+Deferred taxation – net = deferred_tax_asset
+Total non-current assets = total_non_current_assets
+[CURRENT ASSETS] Stores, spares and loose tools = stores_and_spares
+Stock-in-trade = total_inventory
+Trade debts - considered good = net_receivables
+Loans and advances = loans_and_advances
+Deposits and short-term prepayments = deposits_and_prepayments
+Other receivables = other_receivables
+Short term investments = short_term_investments
+Income tax refunds due from the Government = tax_refunds_due
+Cash and bank balances = cash_and_equivalents
+Total current assets = total_current_assets
+Total assets = total_assets
+[EQUITY AND LIABILITIES; SHARE CAPITAL AND RESERVES] Issued, subscribed and paid-up capital = share_capital
+Share premium account = additional_paid_in_capital
+Unappropriated profit = retained_earnings
+Reserves = reserves
+Treasury shares = treasury_stock
+Equity attributable to owners of the parent = shareholders_equity
+Non controlling interests = minority_interest
+Total equity = total_equity
+[NON-CURRENT LIABILITIES] Long-term financing – secured = long_term_debt_excl_leases
+Lease liabilities = lease_liabilities_non_current
+Deferred tax liability = deferred_taxes
+Staff retirement benefits = employee_benefits
+Total non-current liabilities = total_non_current_liabilities
+[CURRENT LIABILITIES] Trade and other payables = accounts_payable
+Lease liabilities =
+Current portion of lease liabilities = current_portion_lease_liabilities
+Current maturity of long-term financing = current_portion_long_term_debt
+Bank overdraft = bank_overdraft
+Short-term borrowings = short_term_borrowings
+Total current liabilities = total_current_liabilities
+Total liabilities = total_liabilities""",
+    "cash_flow": """[CASH FLOWS FROM OPERATING ACTIVITIES] Profit before taxation = cf_profit_before_tax
+Depreciation and amortisation = cf_depreciation_amortization
+Trade debts = change_in_receivables
+Stock-in-trade = change_in_inventory
+Trade and other payables = change_in_payables
+Cash generated from operations = cash_generated_from_operations
+Income tax paid = income_tax_paid
+Finance cost paid = finance_cost_paid
+Exchange gain =
+Interest received on bank deposits = cf_interest_income
+Net cash generated from operating activities = cash_from_operations
+[CASH FLOWS FROM INVESTING ACTIVITIES] Fixed capital expenditure = capital_expenditure
+Proceeds from disposal of operating fixed assets = sale_of_assets
+Investments made = purchase_of_investments
+Encashment of short-term investments = sale_of_investments
+Dividends paid =
+Net cash used in investing activities = cash_from_investing
+[CASH FLOWS FROM FINANCING ACTIVITIES] Repayment of lease liabilities = lease_payments
+Repayment of long-term financing = debt_repaid
+Proceeds from long-term financing = debt_issued
+Dividend paid = dividends_paid
+Net cash (used in) / generated from financing activities = cash_from_financing
+Net (decrease) / increase in cash and cash equivalents = net_change_in_cash
+Effect of exchange rate changes on cash = fx_adjustments
+Cash and cash equivalents at beginning of the year = cash_at_beginning
+Cash and cash equivalents at the end of the year = cash_at_end""",
 }
 
 
-@query()
+def _caption_rows() -> list[tuple[str, list[str], str, str | None]]:
+    """(statement, headings, caption, item) of each line."""
+    out = []
+    for kind, lines in _CAPTIONS.items():
+        for line in lines.split("\n"):
+            line, _, item = line.rpartition("=")
+            heads, caption = line[1:].split("]") if line.startswith("[") else ("", line)
+            out.append((kind, [h.strip() for h in heads.split(";") if h], caption.strip(), item.strip() or None))
+    return out
+
+
+_LINES = _caption_rows()
+_ITEMS = ", ".join(f"({i}, '{kind}', {f"'{item}'" if item else 'NULL'})" for i, (kind, _, _, item) in enumerate(_LINES))
+
+
+@query(f"SELECT CAST(p_partkey // {len(_LINES)} AS BIGINT) AS table_no, p_partkey AS row, c.statement, c.item FROM part JOIN (VALUES {_ITEMS}) c(i, statement, item) ON p_partkey % {len(_LINES)} = c.i")
 def statement_labels(t):
-    """Parts as the captions of statements, one for every label rule, matched by the ordered rules."""
-    captions = [(kind, x.strip()) for kind, text in _CAPTIONS.items() for x in text.split("|")]
-    at = F.get(F.array(*[F.struct(F.lit(k).alias("statement"), F.lit(x).alias("text")) for k, x in captions]), F.pmod("p_partkey", F.lit(len(captions))).cast("int"))
-    rows = t("part").select(F.floor(F.col("p_partkey") / len(captions)).alias("table_no"), F.col("p_partkey").alias("row"), at.alias("x")).select("table_no", "row", "x.*")
-    return statements.matched(statements.placed(rows, ["table_no", "statement"], "row", "text")).select("table_no", "row", "label", "placement", "item")
+    """Parts as the captions of statements, at least one for every label rule, matched by the ordered rules."""
+    line = F.array(*[F.struct(F.lit(k).alias("statement"), F.array(*map(F.lit, h)).cast("array<string>").alias("headings"), F.lit(x).alias("text")) for k, h, x, _ in _LINES])
+    at = F.get(line, F.pmod("p_partkey", F.lit(len(_LINES))).cast("int"))
+    rows = t("part").select(F.floor(F.col("p_partkey") / len(_LINES)).alias("table_no"), F.col("p_partkey").alias("row"), at.alias("x")).select("table_no", "row", "x.*")
+    return statements.matched(statements.placed(rows, ["table_no", "statement"], "row", "text", "headings")).select("table_no", "row", "statement", "item")
 
 
 @query("SELECT o_custkey AS filing, count(*) FILTER (o_orderstatus = 'O') >= 2 AND count(*) FILTER (o_orderstatus = 'F') >= 2 AND count(*) FILTER (o_orderstatus = 'P') >= 1 AS complete FROM orders GROUP BY 1")
