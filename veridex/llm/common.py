@@ -40,8 +40,20 @@ def materialize(df: DataFrame, name: str, codec: str = "zstd") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+#: Bytes of a batch between Spark and a Python worker, at most.
+BATCH_BYTES = 8 << 20
+
+
+def bounded(spark: SparkSession) -> SparkSession:
+    """The session with batches bounded by bytes: long texts would make batches of a fixed number of rows very large."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark.sparkContext.getConf().get(key, None) is None:
+        spark.conf.set(key, str(BATCH_BYTES))
+    return spark
+
+
 def read_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/documents.parquet")
+    return bounded(spark).read.parquet(f"{sf_dir}/documents.parquet")
 
 
 def crc_fold(doc_id, modulus: int) -> int:

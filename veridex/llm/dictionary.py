@@ -20,7 +20,7 @@ from .common import arrow_schema, materialize, rows_to_batches, scratch
 
 #: A table up to this size is loaded whole by each worker.
 MAX_TABLE_BYTES = 256 << 20
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 4 << 20
 
 _LOADED: dict[str, "Lookup"] = {}
 
