@@ -16,6 +16,7 @@ import uuid
 import zlib
 
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -71,6 +72,18 @@ def utf8(text) -> bytes:
     return b"" if text is None else text.encode("utf-8", "surrogatepass")
 
 
+def document_key(doc_id, raw: bytes) -> int:
+    """64-bit key of a row's id and text."""
+    seed = xxhash.xxh64_intdigest(b"" if doc_id is None else str(doc_id).encode(), seed=42)
+    key = xxhash.xxh64_intdigest(raw, seed=seed)
+    return key - (1 << 64) if key >> 63 else key
+
+
+def document_key_col(doc_id, text):
+    """The same as a column."""
+    return F.xxhash64(F.coalesce(doc_id.cast("string"), F.lit("")), F.coalesce(text, F.lit("")))
+
+
 def arrow_schema(ddl: str) -> pa.Schema:
     """Arrow schema of a flat DDL string."""
     kinds = {

@@ -34,7 +34,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import arrow_schema, materialize, rows_to_batches, slices, utf8
+from .common import arrow_schema, document_key, document_key_col, materialize, release_memory, rows_to_batches, utf8
 from .components import components
 from .dictionary import MAX_TABLE_BYTES, blocks, resolve
 
@@ -79,10 +79,6 @@ class Shingler:
         return np.unique(out).view(np.int64) if len(out) < 2 else np.sort(np.unique(out).view(np.int64))
 
 
-def document_key(doc_id, text) -> int:
-    return xxhash.xxh3_64_intdigest(f"{doc_id}\0".encode() + xxhash.xxh3_128_digest(utf8(text))) - (1 << 63)
-
-
 def needed(n: int, percent: int) -> int:
     """Least overlap of a linked set of ``n`` shingles."""
     return -(-percent * n // 100)
@@ -106,7 +102,7 @@ def shared_counts(docs: DataFrame, width: int, percent: int) -> DataFrame:
 
         def rows():
             for at, held in enumerate(blocks(_pairs(batches))):
-                keys = np.array([document_key(*r) for r in held], np.int64)
+                keys = np.array([document_key(i, utf8(t)) for i, t in held], np.int64)
                 sets = [shingler.set_of(t) for _, t in held]
                 sizes = np.array([len(s) for s in sets], np.int64)
                 every = np.concatenate(sets).view(np.uint64)
@@ -163,6 +159,8 @@ def shared_counts(docs: DataFrame, width: int, percent: int) -> DataFrame:
         out += known
         keys = [pa.nulls(len(x[0]), pa.int64()) if x[2] is None else pa.array(x[2], pa.int64()) for x in out]
         column = lambda i: pa.array(np.concatenate([x[i] for x in out]).astype(np.int64))
+        del tokens, owners, order, shared
+        release_memory()
         return pa.table({"block": column(0), "place": column(1), "key": pa.concat_arrays(keys), "n": column(3), "c": column(4)})
 
     ranges = docs.mapInArrow(scatter, "part int, block long, docs binary, sizes binary, local binary, tokens binary, owner binary")
@@ -325,11 +323,11 @@ def link_components(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT,
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     survivors = shared_counts(docs, width, percent)
-    keys = lambda rows: list({document_key(*r) for r in rows})
+    keys = lambda rows: list({document_key(i, utf8(t)) for i, t in rows})
 
     def sets(rows, lookup):
         shingler = Shingler(width)
-        ids = [document_key(*r) for r in rows]
+        ids = [document_key(i, utf8(t)) for i, t in rows]
         places = lookup.find(np.array(ids, np.int64))
         for (doc_id, text), key, at in zip(rows, ids, places):
             s = shingler.set_of(text)
@@ -398,17 +396,7 @@ def deduplicate(docs: DataFrame, width: int = 5, percent: int = 80, **parameters
     keep = keep.unionByName(linked.where("n_shingles = 0").select(F.col("key").alias("_key")).distinct())
     keep = materialize(keep, "jaccard-keep")
     columns = docs.columns
-    whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in columns]).alias("d"), F.col("doc_id").cast("long").alias("id"))
-
-    def keyed(batches):
-        for b in slices(batches):
-            d = b.column(0)
-            keys = [document_key(*r) for r in zip(b.column(1).to_pylist(), d.field(columns.index("text")).to_pylist())]
-            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), d], names=["_key", "d"])
-
-    from pyspark.sql.types import LongType, StructField, StructType
-
-    with_key = whole.mapInArrow(keyed, StructType([StructField("_key", LongType()), StructField("d", docs.schema)]))
-    kept = with_key.join(keep, "_key", "left_semi")
+    whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in columns]).alias("d"), document_key_col(F.col("doc_id").cast("long"), F.col("text")).alias("_key"))
+    kept = whole.join(keep, "_key", "left_semi")
     # rows that repeat id and text are copies as well: one of them stays
     return kept.dropDuplicates(["_key"]).select(*[F.col(f"d.`{c}`").alias(c) for c in columns])

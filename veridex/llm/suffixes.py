@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import arrow_schema, materialize, rows_to_batches, utf8
+from .common import arrow_schema, document_key, document_key_col, materialize, release_memory, rows_to_batches, slices, utf8
 from .dictionary import BLOCK_BYTES, MAX_TABLE_BYTES, blocks, resolve
 from .induction import InducedSorter
 
@@ -100,10 +100,6 @@ def anchors(raw: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]
     return tuple(np.concatenate(x) for x in zip(*out))
 
 
-def document_key(doc_id, raw: bytes) -> int:
-    return xxhash.xxh3_64_intdigest(f"{doc_id}\0".encode() + xxhash.xxh3_128_digest(raw)) - (1 << 63)
-
-
 def repeated_grams(docs: DataFrame) -> DataFrame:
     """(key, value) of the anchor grams that occur twice or more."""
     schema = pa.schema([("key", pa.int64()), ("n", pa.int64())])
@@ -158,6 +154,8 @@ def induced_ranges(batches, memory: int | None = None):
     schema = arrow_schema(_RANGE)
     for part in sorter.ranges():
         yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(part[:, i])) for i in range(4)], schema=schema)
+    del sorter
+    release_memory()
 
 
 def removed_ranges(docs: DataFrame, max_table_bytes: int = MAX_TABLE_BYTES, memory: int | None = None) -> DataFrame:
@@ -237,39 +235,20 @@ def cut_documents(docs: DataFrame, max_table_bytes: int = MAX_TABLE_BYTES, memor
     """
     pairs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     spans = materialize(_spans(pairs, max_table_bytes, memory), "suffix-spans")
-    keyed = docs.mapInArrow(_keyed(docs.columns), _plus(docs.schema))
-    joined = keyed.join(spans.withColumnRenamed("key", "_suffix_key").withColumnRenamed("value", "_suffix_spans"), "_suffix_key", "left")
-    return joined.select(*[f"`{c}`" for c in docs.columns], "_suffix_spans").mapInArrow(_apply(docs.columns), docs.schema)
-
-
-def _plus(schema):
-    from pyspark.sql.types import LongType, StructField, StructType
-
-    return StructType([StructField("_suffix_key", LongType()), *schema.fields])
-
-
-def _keyed(columns):
-    at, text = columns.index("doc_id"), columns.index("text")
-
-    def run(batches):
-        for b in batches:
-            keys = [document_key(d, utf8(t)) for d, t in zip(b.column(at).to_pylist(), b.column(text).to_pylist())]
-            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), *b.columns], names=["_suffix_key", *columns])
-
-    return run
+    columns = docs.columns
+    keyed = docs.select(F.struct(*[F.col(f"`{c}`") for c in columns]).alias("d"), document_key_col(F.col("doc_id").cast("long"), F.col("text")).alias("key"))
+    return keyed.join(spans, "key", "left").select("d", "value").mapInArrow(_apply(columns), docs.schema)
 
 
 def _apply(columns):
-    text = columns.index("text")
-
     def run(batches):
-        for b in batches:
-            out = []
-            for t, spans in zip(b.column(text).to_pylist(), b.column(len(columns)).to_pylist()):
+        for b in slices(batches):
+            d, out = b.column(0), []
+            for t, spans in zip(d.field(columns.index("text")).to_pylist(), b.column(1).to_pylist()):
                 if t and spans:
                     t = kept_bytes(utf8(t), np.frombuffer(spans, "<i8").reshape(-1, 2).tolist()).decode("utf-8", "ignore")
                 out.append(t)
             put = {"text": out, "n_chars": [None if t is None else len(t) for t in out]}
-            yield pa.RecordBatch.from_arrays([pa.array(put[c], b.schema.field(i).type) if c in put else b.column(i) for i, c in enumerate(columns)], names=columns)
+            yield pa.RecordBatch.from_arrays([pa.array(put[c], d.type.field(i).type) if c in put else d.field(i) for i, c in enumerate(columns)], names=columns)
 
     return run
