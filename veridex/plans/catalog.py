@@ -700,3 +700,6 @@ ORACLES["stream_sessions"] = """
 WITH g AS (SELECT user_id, ts, CASE WHEN ts < lag(ts) OVER (PARTITION BY user_id ORDER BY ts) + INTERVAL 30 MINUTE THEN 0 ELSE 1 END AS new FROM events),
 s AS (SELECT user_id, ts, sum(new) OVER (PARTITION BY user_id ORDER BY ts) AS s FROM g)
 SELECT user_id, count(*) AS n FROM s GROUP BY user_id, s HAVING max(ts) + INTERVAL 30 MINUTE <= (SELECT max(ts) FROM events) - INTERVAL 1 DAY"""
+
+
+from . import statement_queries  # noqa: E402, F401  (registers its queries here)
