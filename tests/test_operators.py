@@ -84,8 +84,8 @@ def test_column_collisions_all_lose(spark):
 
 
 def test_notices(spark):
-    df = spark.createDataFrame([(1, "Board of Directors Meeting"), (2, "Annual General Meeting of the Board"), (3, "Disclosure of Interest by a Director"), (4, "Credit of Dividend")], "id int, title string")
-    assert {r.id: r.k for r in df.select("id", notices.notice_kind(F.col("title")).alias("k")).collect()} == {1: "meeting", 2: None, 3: "insider", 4: None}
+    df = spark.createDataFrame([(1, "Board Meeting"), (2, "Board Meeting - revoked"), (3, "Disclosure of Interest by a Director"), (4, "Credit of Dividend"), (5, "Annual General Meeting"), (6, "Notice of Meeting of Board")], "id int, title string")
+    assert {r.id: r.k for r in df.select("id", notices.notice_kind(F.col("title")).alias("k")).collect()} == {1: "meeting", 2: None, 3: "insider", 4: None, 5: None, 6: "meeting"}
 
 
 def test_formats(spark):
@@ -112,8 +112,13 @@ def test_publish_and_records_round_trip(spark, tmp_path):
     )
     index = sinks.publish(r, str(tmp_path / "corpus"))
     assert index.count() == 2
-    good, bad = readers.records(spark, str(tmp_path / "corpus" / "records"))
+    first = sinks.current_version(spark, str(tmp_path / "corpus"))
+    good, bad = readers.records(spark, f"{first}/records")
     assert good.count() == 2 and bad.count() == 0
+    # a new publication leaves the old one readable
+    again = sinks.publish(r.where("source_url = 'http://a'"), str(tmp_path / "corpus"))
+    assert again.count() == 1 and sinks.published_index(spark, str(tmp_path / "corpus")).count() == 1
+    assert spark.read.parquet(f"{first}/index").count() == 2
 
 
 def test_every_surveyed_label_has_a_rule(spark):
@@ -146,3 +151,39 @@ def test_shards_go_by_place_and_not_by_id(spark):
         docs.write.parquet(f"{path}/documents.parquet")
         got = [r.doc_id for r in catalog.QUERIES["shard_filter"](spark, path).collect()]
     assert sorted(got, key=lambda i: (i is None, i or 0)) == want[2::5]
+
+
+def test_submission_outcomes_and_first_version_payload(spark):
+    rows = spark.createDataFrame([("a", 1), ("a", 1), ("b", 2), ("c", -1), ("d", None)], "id string, v int")
+    known = spark.createDataFrame([("b",)], "id string")
+    got = sorted((r.id, r.outcome) for r in sinks.outcomes(rows, known, F.col("v") > 0, ["id"]).collect())
+    assert got == [("a", "accepted"), ("a", "duplicate"), ("b", "duplicate"), ("c", "rejected"), ("d", "rejected")]
+    figures = spark.createDataFrame([("f", "income", "revenue", 1.0, 0.8, 2), ("f", "income", "revenue", 2.0, 0.9, 5), ("f", "income", "revenue", 3.0, 0.9, 4)], "filing string, statement string, item string, value double, confidence double, page int")
+    import json
+
+    payload = json.loads(sinks.payload_v1(figures, spark.createDataFrame([("f", "S", "x\0y")], "filing string, symbol string, title string")).first().payload)
+    assert payload == {"schemaVersion": 1, "symbol": "S", "title": "xy", "statements": {"income": {"revenue": {"value": 3.0, "confidence": 0.9, "page": 4}}}}
+
+
+def test_stage_dumps_and_item_guide(spark, tmp_path):
+    sinks.stage_dump({"one": spark.range(3).withColumn("x", F.col("id") * 2)}, ["id"], str(tmp_path))
+    assert spark.read.json(str(tmp_path / "one")).count() == 3
+    guide = sinks.item_guide({"income": metrics.INCOME}, statements.LABEL_RULES)
+    assert "| revenue | `" in guide and guide.count("\n| ") == 1 + len(metrics.INCOME)
+
+
+def test_repairs_need_independent_witnesses_or_a_reading(spark):
+    from veridex.operators import repair
+
+    cells = spark.createDataFrame([("f", "a", "138", 138.0), ("f", "b", "20", 20.0), ("f", "t", "153", 153.0)], "filing string, cell string, raw string, value double")
+    terms = spark.createDataFrame([("f", "T", c, s, 1.0, False) for c, s in (("a", 1.0), ("b", 1.0), ("t", -1.0))], "filing string, constraint_id string, cell string, sign double, tolerance double, advisory boolean")
+    assert repair.single_repairs(terms, cells).count() == 0
+    reading = spark.createDataFrame([("f", "a", 133.0, "ocr")], "filing string, cell string, value double, source string")
+    got = repair.single_repairs(terms, cells, reading).collect()
+    assert [(r.cell, r["from"], r.to) for r in got] == [("a", 138.0, 133.0)]
+    # the text layer reads the first value again
+    veto = spark.createDataFrame([("f", "a", 133.0, "ocr"), ("f", "a", 138.0, "pdftotext")], reading.schema)
+    assert repair.single_repairs(terms, cells, veto).count() == 0
+    # a copy of the constraint is no second witness
+    twin = terms.withColumn("constraint_id", F.lit("U")).unionByName(terms)
+    assert repair.single_repairs(twin, cells).count() == 0

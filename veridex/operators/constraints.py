@@ -41,9 +41,13 @@ def residuals(terms: DataFrame, cells: DataFrame, constraint: Sequence[str], cel
 
     ``terms`` has the constraint key, the cell key, sign, magnitude and scale; ``cells`` the cell key and value.
     """
-    joined = terms.join(cells, list(cell), "left")
+    return residuals_of(terms.join(cells, list(cell), "left"), constraint)
+
+
+def residuals_of(terms: DataFrame, constraint: Sequence[str]) -> DataFrame:
+    """The same where the terms have their values."""
     figure = F.when(F.col("magnitude"), F.abs("value")).otherwise(F.col("value")) * F.col("scale")
-    g = joined.groupBy(*constraint).agg(
+    g = terms.groupBy(*constraint).agg(
         F.sum(F.col("sign") * figure).alias("residual"), F.max("scale").alias("scale"), F.count("*").alias("n_terms"), F.count_if(F.col("value").isNull()).alias("n_unread"),
     )
     evaluable = F.col("n_unread") == 0
@@ -51,6 +55,12 @@ def residuals(terms: DataFrame, cells: DataFrame, constraint: Sequence[str], cel
     return g.withColumn("holds", F.when(evaluable, within)).withColumn("residual", F.when(evaluable, F.col("residual")))
 
 
+def holds(identity: Identity, scale: float = 1.0) -> Column:
+    """Whether a period row satisfies an identity; null where a figure is missing."""
+    total = sum((s * (F.abs(n) if n in identity.magnitude else F.col(n)) for n, s in identity.terms), F.lit(0.0))
+    return F.abs(total) <= 0.5 * scale * len(identity.terms) + 0.5 * scale
+
+
 def check_identities(wide: DataFrame, keys: Sequence[str], scale: float = 1.0, identities: Sequence[Identity] = IDENTITIES) -> DataFrame:
     """(keys, rule, advisory, residual, holds) of every identity whose items the period row has: one pass, no join."""
     have, out = set(wide.columns), []

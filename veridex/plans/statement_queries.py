@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..operators import grids, pages, relations
+from ..operators import grids, notices, pages, relations
 from . import metrics
 from .catalog import query
 
@@ -395,3 +395,51 @@ def filled_figures(t):
 def runtime_items(t):
     periods = t("orders").select("o_orderkey", F.when(F.col("o_orderkey") % 2 == 0, 12).otherwise(9).alias("months"))
     return metrics.runtime_items(periods, ["o_orderkey"]).select("o_orderkey", "item", "value")
+
+
+# ---- notices -------------------------------------------------------------------------------------------------------
+
+#: Titles of notices with the kind that they are read as.
+_NOTICES = [
+    ("Board Meeting", "meeting"), ("Notice of the meeting of the Board of Directors", "meeting"), ("Board meeting revoked", None), ("Annual General Meeting", None), ("Disclosure of Interest by a Director", "insider"), ("PSX rule 5.6.4 filing", "insider"),
+    ("Relevant Person Holding", "insider"), ("Financial Results for the year", "payout"), ("Payment of dividend", None), ("Credit of bonus shares", None), ("Closure of Share Transfer Books", "payout"), ("Unclaimed dividend", None), ("Material information", None),
+]
+
+
+@query(f"SELECT o_orderkey AS id, x.kind FROM orders JOIN (VALUES {_values([(i, k) for i, (_, k) in enumerate(_NOTICES)])}) x(i, kind) ON o_orderkey % {len(_NOTICES)} = x.i")
+def notice_titles(t):
+    return t("orders").select(F.col("o_orderkey").alias("id"), notices.notice_kind(_pick(F.col("o_orderkey"), [x for x, _ in _NOTICES])).alias("kind"))
+
+
+#: Declarations in prose and list, DATE standing for the order's date; instalment, cash a share, cash, bonus and right percent, period, closure from and to the date, confidence.
+_PAYOUTS = [
+    ("The Board of Directors has recommended a final cash dividend of Rs. 6.00 per share (60%) for the year ended DATE. Register of members closed from DATE to DATE.", "final", 6.0, 60.0, None, None, "annual", 1, 0.85),
+    ("The Board declared an interim dividend @ 2.5 per share i.e. 25 percent for the quarter ended DATE. This is in addition to the dividend already paid at Rs. 9 per share (90%).", "interim", 2.5, 25.0, None, None, "quarter", 0, 0.7),
+    ("The Board recommended the following: (i) CASH DIVIDEND NIL (ii) BONUS SHARES at 15% (iii) RIGHT SHARES Nil (iv) ANY OTHER ENTITLEMENT NIL. Half year accounts.", "interim", None, 0.0, 15.0, 0.0, "half_year", 0, 0.7),
+    ("No dividend has been announced for the year.", *[None] * 8),
+    ("The Board approved a cash dividend of Rs. 3/- per share (20%). Share transfer books will remain closed from DATE.", None, 3.0, 20.0, None, None, None, 1, 0.75),
+]
+
+
+@query("SELECT o_orderkey AS id, x.instalment, CAST(x.per_share AS DOUBLE) AS cash_per_share, CAST(x.percent AS DOUBLE) AS cash_percent, CAST(x.bonus AS DOUBLE) AS bonus_percent, CAST(x.r AS DOUBLE) AS right_percent, x.period AS results_period, CASE WHEN x.closed = 1 THEN CAST(o_orderdate AS DATE) END AS closure_to, CAST(x.confidence AS DOUBLE) AS confidence"
+       f" FROM orders JOIN (VALUES {_values([(i, *v) for i, (_, *v) in enumerate(_PAYOUTS)])}) x(i, instalment, per_share, percent, bonus, r, period, closed, confidence) ON o_orderkey % {len(_PAYOUTS)} = x.i WHERE x.confidence IS NOT NULL")
+def payout_forms(t):
+    text = F.replace(_pick(F.col("o_orderkey"), [x for x, *_ in _PAYOUTS]), F.lit("DATE"), F.date_format("o_orderdate", "MMMM d, yyyy"))
+    return notices.payouts(t("orders").select(F.col("o_orderkey").alias("id"), text.alias("text"))).select("id", "instalment", "cash_per_share", "cash_percent", "bonus_percent", "right_percent", "results_period", "closure_to", "confidence")
+
+
+#: Announcements of meetings; time, purpose, period.  The last announces none.
+_MEETINGS = [
+    ("This is to inform you that a meeting of the Board of Directors of the Company will be held on Monday, DATE at 3:30 p.m. at Suite 602, to consider the accounts for the year ended 30-06-2024.", "15:30", "financial_results", "annual"),
+    ("Board of Directors meeting is scheduled at 11 a.m. on DATE to consider matters other than the financial results", "11:00", "other", None),
+    ("The Board of Directors of the Company will meet on DATE under clause 5.6.4", None, "other", None),
+    ("A meeting of the Board has been convened on DATE at 2 for the half year results", "14:00", "financial_results", "half_year"),
+    ("The annual general meeting will be held on DATE", None, None, None),
+]
+
+
+@query("SELECT o_orderkey AS id, CAST(o_orderdate AS DATE) AS meeting_date, x.t AS meeting_time, x.purpose, x.period AS results_period"
+       f" FROM orders JOIN (VALUES {_values([(i, *v) for i, (_, *v) in enumerate(_MEETINGS)])}) x(i, t, purpose, period) ON o_orderkey % {len(_MEETINGS)} = x.i WHERE x.purpose IS NOT NULL")
+def meeting_forms(t):
+    text = F.replace(_pick(F.col("o_orderkey"), [x for x, *_ in _MEETINGS]), F.lit("DATE"), F.date_format("o_orderdate", "d MMMM yyyy"))
+    return notices.meetings(t("orders").select(F.col("o_orderkey").alias("id"), text.alias("text"))).select("id", "meeting_date", "meeting_time", "purpose", "results_period")

@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark import StorageLevel
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 # Limits of a submitted payload.
@@ -35,37 +35,97 @@ def payload(figures: DataFrame, version: int = 2, most: int = MAX_PAGES) -> Data
 def chunks(df: DataFrame, order: Sequence[str], size: Column, max_bytes: int, max_rows: int) -> DataFrame:
     """Number of the chunk of each row: rows in order, a chunk closed before it passes ``max_bytes`` or ``max_rows``.
 
-    Rows are range-partitioned by the order; a chunk never spans partitions, so the greedy walk needs no global state.
+    A chunk's end depends on all rows before it, so sizes are first summed over ranges of the order.  The rows' running
+    places are cut at multiples of ``max_rows`` (``part``) and their sizes at multiples of half of ``max_bytes`` (``chunk``):
+    a part and chunk together pass neither limit, unless a row alone is over half of it; numbers rise with the order and
+    don't depend on how rows are dealt to tasks.
     """
-    schema = ", ".join(f"`{n}` {t}" for n, t in df.dtypes) + ", part int, chunk int"
     names = df.columns
+    sized = df.withColumn("_size", size.cast("long"))
+    placed = running(sized, order, "_size")
+    number = lambda c, step: F.floor(F.col(c) / max(1, step)).cast("long")
+    return placed.select(*names, number("_place", max_rows).alias("part"), number("_before", max_bytes // 2).alias("chunk"))
 
-    def walk(batches):
-        from pyspark import TaskContext
 
-        part, chunk, used, rows = TaskContext.get().partitionId(), 0, 0, 0
-        for b in batches:
-            out = []
-            for n in b.column(len(names)).to_pylist():
-                if rows and (used + n > max_bytes or rows >= max_rows):
-                    chunk, used, rows = chunk + 1, 0, 0
-                used, rows = used + n, rows + 1
-                out.append(chunk)
-            yield pa.RecordBatch.from_arrays([*b.columns[: len(names)], pa.array([part] * len(out), pa.int32()), pa.array(out, pa.int32())], names=[*names, "part", "chunk"])
+def running(df: DataFrame, order: Sequence[str], size: str) -> DataFrame:
+    """Rows with ``_place`` from 0 and ``_before``, the sum of the sizes before it, in global order, without one task for all.
 
-    ordered = df.withColumn("_size", size.cast("long")).repartitionByRange(*order).sortWithinPartitions(*order)
-    return ordered.mapInArrow(walk, schema)
+    Rows are sorted in ranges; the ranges' totals, one row each, give their offsets.
+    """
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # ranges come from a sample, so both readers below must see the same ones
+    ordered = df.repartitionByRange(n, *order).sortWithinPartitions(*order).withColumn("_part", F.spark_partition_id()).persist(StorageLevel.DISK_ONLY)
+    w = Window.partitionBy("_part").orderBy(*order)
+    local = ordered.withColumns({"_place": F.row_number().over(w) - 1, "_before": F.coalesce(F.sum(size).over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))})
+    totals = ordered.groupBy("_part").agg(F.count("*").alias("_rows"), F.sum(size).alias("_bytes"))
+    up = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)  # one row a range
+    starts = totals.select("_part", F.coalesce(F.sum("_rows").over(up), F.lit(0)).alias("_r"), F.coalesce(F.sum("_bytes").over(up), F.lit(0)).alias("_b"))
+    return local.join(starts, "_part").withColumns({"_place": F.col("_place") + F.col("_r"), "_before": F.col("_before") + F.col("_b")}).drop("_part", "_r", "_b")
 
 
 def publish(records: DataFrame, path: str, max_bytes: int = 150 << 20, max_rows: int = 250) -> DataFrame:
-    """Write records as gzip JSON lines by chunk, then the index: readers of the index never see half of a publication."""
+    """Write records as gzip JSON lines by chunk and their index under a new version, then move the pointer.
+
+    Readers of the pointer see the old publication whole until the new one is; a version is never written over.
+    """
+    import uuid
+
     spark: SparkSession = records.sparkSession
+    version = f"{path}/{uuid.uuid4().hex}"
     cut = chunks(records, ["key"], F.length(F.to_json(F.struct(*records.columns))), max_bytes, max_rows)
-    cut.write.mode("overwrite").partitionBy("part", "chunk").option("compression", "gzip").json(f"{path}/records")
-    written = spark.read.schema(cut.schema).json(f"{path}/records")
-    index = written.select("key", F.concat_ws("-", "part", "chunk").alias("asset"), "text_version", "extracted_at", "symbol")
-    index.write.mode("overwrite").parquet(f"{path}/index")
-    return spark.read.parquet(f"{path}/index")
+    cut = cut.withColumn("asset", F.concat_ws("-", "part", "chunk")).drop("part", "chunk")
+    cut.write.partitionBy("asset").option("compression", "gzip").json(f"{version}/records")
+    written = spark.read.schema(cut.schema).json(f"{version}/records")
+    written.select("key", "asset", "text_version", "extracted_at", "symbol").write.parquet(f"{version}/index")
+    spark.createDataFrame([(version,)], "value string").coalesce(1).write.mode("overwrite").text(f"{path}/current")
+    return published_index(spark, path)
+
+
+def current_version(spark: SparkSession, path: str) -> str:
+    return spark.read.text(f"{path}/current").first()[0]
+
+
+def published_index(spark: SparkSession, path: str) -> DataFrame:
+    """The index of the publication that the pointer names."""
+    return spark.read.parquet(f"{current_version(spark, path)}/index")
+
+
+def payload_v1(figures: DataFrame, titles: DataFrame) -> DataFrame:
+    """(filing, payload JSON) of the first version: one object a filing with its statements, each item once by its best reading.
+
+    ``figures``: filing, statement, item, value, confidence, page; ``titles``: filing, symbol, title.  Of readings of one
+    item the one of greatest confidence counts, of equals that of the first page.
+    """
+    best = figures.groupBy("filing", "statement", "item").agg(F.max_by(F.struct("value", "confidence", "page"), F.struct("confidence", -F.col("page"))).alias("x")).select("filing", "statement", "item", "x.*")
+    statement = best.groupBy("filing", "statement").agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("item", F.struct("value", "confidence", "page").alias("reading"))))).alias("items"))
+    whole = statement.groupBy("filing").agg(F.map_from_entries(F.collect_list(F.struct("statement", "items"))).alias("statements"))
+    return titles.join(whole, "filing").select("filing", F.to_json(F.struct(F.lit(1).alias("schemaVersion"), "symbol", F.substring(clean(F.col("title")), 1, MAX_TEXT).alias("title"), "statements")).alias("payload"))
+
+
+def outcomes(submitted: DataFrame, known: DataFrame, valid: Column, keys: Sequence[str]) -> DataFrame:
+    """Each submitted row with its outcome: rejected if it is not valid, duplicate if it is known already or repeats an earlier
+    row of the submission, else accepted."""
+    first = F.row_number().over(Window.partitionBy(*keys).orderBy(F.lit(1)))
+    seen = known.select(*keys).distinct().withColumn("_known", F.lit(True))
+    joined = submitted.withColumn("_valid", F.coalesce(valid, F.lit(False))).withColumn("_n", F.when(F.col("_valid"), first)).join(seen, list(keys), "left")
+    outcome = F.when(~F.col("_valid"), "rejected").when(F.col("_known") | (F.col("_n") > 1), "duplicate").otherwise("accepted")
+    return joined.withColumn("outcome", outcome).drop("_valid", "_n", "_known")
+
+
+def stage_dump(stages: dict[str, DataFrame], keys: Sequence[str], path: str) -> None:
+    """Write what each stage made as JSON lines under its name, for comparing runs: rows in order of the keys."""
+    for name, df in stages.items():
+        df.select(*keys, F.to_json(F.struct(*[F.col(c) for c in df.columns])).alias("row")).sortWithinPartitions(*keys).write.mode("overwrite").json(f"{path}/{name}")
+
+
+def item_guide(groups: dict[str, Sequence[str]], rules: dict[str, Sequence[tuple]]) -> str:
+    """The item vocabulary as a Markdown document: a table for each statement with the label patterns that name an item."""
+    lines = []
+    for group, items in groups.items():
+        lines += [f"## {group}", "", "| item | printed as |", "|---|---|"]
+        patterns = {name: pattern for name, pattern, *_ in rules.get(group, ())}
+        lines += [f"| {item} | {'`' + patterns[item].replace('|', chr(92) + '|') + '`' if item in patterns else ''} |" for item in items] + [""]
+    return "\n".join(lines)
 
 
 def write_snapshot(df: DataFrame, path: str, day: str) -> None:

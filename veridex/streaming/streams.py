@@ -56,6 +56,6 @@ def upsert_latest(stream: DataFrame, target: str, keys: list[str], when: str, ch
     return stream.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
-def run_to_table(stream: DataFrame, name: str, checkpoint: str, mode: str = "append") -> StreamingQuery:
-    """Process what there is and stop, into an in-memory table (tests) or a catalog table."""
-    return stream.writeStream.format("memory").queryName(name).outputMode(mode).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+def run_to_files(stream: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
+    """Process what there is and stop; rows are appended to Parquet files, each batch once."""
+    return stream.writeStream.format("parquet").option("path", path).outputMode("append").option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
