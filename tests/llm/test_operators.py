@@ -168,13 +168,18 @@ def test_toxicity_learns_words_and_not_groups(spark, empty):
 
 
 def test_media_round_trip(docs, rows, empty):
-    got = Counter((r.doc_id, r.n_bytes, r.payload_bytes, r.payload_sha256, r.tail_crc32) for r in media.media_columns(docs).collect())
+    got = Counter((r.doc_id, r.n_bytes, r.payload_bytes, r.payload_sha256, r.tail_crc32, r.media_bytes, r.media_sha256, r.feature) for r in media.media_columns(docs).collect())
     want = Counter()
     for r in rows:
         raw = (r[1] or "").encode()
         p = raw + bytes(-len(raw) % 64 or (0 if raw else 64))
-        want[r[0], len(raw), len(p), hashlib.sha256(p).hexdigest(), zlib.crc32(p[-64:])] += 1
+        chunks = media.cut(p)
+        stored = b"".join(len(c).to_bytes(4, "little") + c for c in chunks)
+        feature = f"{len(chunks)}|" + ",".join(str(sum(x >> 4 == k for x in p)) for k in range(16))
+        want[r[0], len(raw), len(p), hashlib.sha256(p).hexdigest(), zlib.crc32(p[-64:]), len(stored), hashlib.sha256(stored).hexdigest(), feature] += 1
     assert got == want and media.media_columns(empty).count() == 0
+    with pytest.raises(ValueError):
+        media.features(hashlib.sha256(b"ab").digest(), [media.record_of(b"a")])
 
 
 def test_chunks_are_content_defined():

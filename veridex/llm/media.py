@@ -3,12 +3,12 @@
 A payload (UTF-8 of the text, zero bytes up to a positive multiple of 64) is cut where a rolling gear hash of the last
 32 bytes has ``MASK_BITS`` zero bits, between ``MIN_CHUNK`` and ``MAX_CHUNK`` bytes.  Chunks are named by their SHA-256.
 Digests are deduplicated by Spark joins: each distinct digest has one owner, the least (payload, place) that holds it,
-and the chunk table stores its bytes once.  A payload is rebuilt from the stored chunks by its ordered chunk list and
-checked against the digest taken when it was cut.  The stored form of a document is its ordered records
-(4 bytes of length, little-endian, then the chunk).
+and the chunk table stores its record once: 4 bytes of length, little-endian, then the chunk.  A payload is rebuilt from
+the stored records by its ordered chunk list, each checked against its length, the whole against the digest taken when it
+was cut.  The media of a document are its records in order, as they are read back.
 
-Null and empty texts are 64 zero bytes.  Equal texts share one payload, repeated rows give repeated result rows, and an
-empty table gives an empty result; other columns are not read.
+Null and empty texts are 64 zero bytes.  Texts of any length are cut whole.  Equal texts share one payload, repeated rows
+give repeated result rows, and an empty table gives an empty result; other columns are not read.
 """
 
 from __future__ import annotations
@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import arrow_schema, map_rows, materialize, rows_to_batches, utf8
+from .common import arrow_schema, map_rows, materialize, rows_to_batches, slices, utf8
 
 UNIT, MIN_CHUNK, MAX_CHUNK, MASK_BITS = 64, 2048, 65536, 13
 #: The gear table: 256 numbers from a fixed generator.
@@ -67,23 +67,28 @@ def manifest(docs: DataFrame) -> DataFrame:
     return map_rows(docs, rows, "doc_id long,n_bytes long,payload binary,chunks array<binary>")
 
 
-def features(payload: bytes, expected: bytes, records: list[bytes]) -> tuple:
-    """Columns computed from the bytes read back; raises if they are not those that were stored."""
+def record_of(chunk: bytes) -> bytes:
+    return len(chunk).to_bytes(4, "little") + chunk
+
+
+def features(expected: bytes, records: list[bytes]) -> tuple:
+    """Columns computed from the records read back; raises if they don't make the payload that was stored."""
+    if any(int.from_bytes(r[:4], "little") != len(r) - 4 for r in records):
+        raise ValueError(f"a record of payload {expected.hex()} is broken")
+    payload = b"".join(r[4:] for r in records)
     digest = hashlib.sha256(payload)
     if digest.digest() != expected:
         raise ValueError(f"payload {expected.hex()} was not rebuilt")
-    media, size = hashlib.sha256(), 0
-    for c in records:
-        media.update(len(c).to_bytes(4, "little"))
-        media.update(c)
-        size += 4 + len(c)
+    media = hashlib.sha256()
+    for r in records:
+        media.update(r)
     samples = np.frombuffer(payload, np.uint8)
     bands = np.bincount(samples >> 4, minlength=16)
-    return expected, len(payload), digest.hexdigest(), zlib.crc32(payload[-UNIT:]), size, media.hexdigest(), f"{len(records)}|" + ",".join(map(str, bands))
+    return expected, len(payload), digest.hexdigest(), zlib.crc32(payload[-UNIT:]), sum(map(len, records)), media.hexdigest(), f"{len(records)}|" + ",".join(map(str, bands))
 
 
 def store_chunks(docs: DataFrame, plan: DataFrame, broadcast_rows: int = BROADCAST_ROWS) -> tuple[DataFrame, DataFrame]:
-    """The chunk table (payload, seq, n_chunks, digest, chunk), each distinct digest once, and the borrowed (payload, seq, n_chunks, digest)."""
+    """The chunk table (payload, seq, n_chunks, digest, record), each distinct digest once, and the borrowed (payload, seq, n_chunks, digest)."""
     payloads = plan.groupBy("payload").agg(F.min("doc_id").alias("writer"), F.first("chunks").alias("chunks"))
     refs = payloads.select("payload", "writer", F.size("chunks").alias("n_chunks"), F.posexplode("chunks").alias("seq", "digest"))
     place = F.struct("payload", "seq")
@@ -95,10 +100,10 @@ def store_chunks(docs: DataFrame, plan: DataFrame, broadcast_rows: int = BROADCA
     small = skips.count() <= broadcast_rows
     right = skips.withColumnRenamed("doc_id", "skip_id")
     joined = docs.join(F.broadcast(right) if small else right, F.col("doc_id").eqNullSafe(F.col("skip_id")), "left").select("text", "skips")
-    schema = arrow_schema("payload binary,seq int,n_chunks int,digest binary,chunk binary")
+    schema = arrow_schema("payload binary,seq int,n_chunks int,digest binary,record binary")
 
     def rows(batches):
-        for b in batches:
+        for b in slices(batches):
             for text, skips in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
                 _, p = payload_of(text)
                 key = hashlib.sha256(p).digest()
@@ -108,9 +113,9 @@ def store_chunks(docs: DataFrame, plan: DataFrame, broadcast_rows: int = BROADCA
                 chunks = cut(p)
                 for i, c in enumerate(chunks):
                     if i not in (skip or ()):
-                        yield key, i, len(chunks), hashlib.sha256(c).digest(), c
+                        yield key, i, len(chunks), hashlib.sha256(c).digest(), record_of(c)
 
-    stored = joined.mapInArrow(lambda batches: rows_to_batches(rows(batches), schema, 512), "payload binary, seq int, n_chunks int, digest binary, chunk binary")
+    stored = joined.mapInArrow(lambda batches: rows_to_batches(rows(batches), schema, 512), "payload binary, seq int, n_chunks int, digest binary, record binary")
     return materialize(stored, "media-chunks"), borrowed.drop("writer")
 
 
@@ -120,19 +125,19 @@ def read_back(stored: DataFrame, borrowed: DataFrame, broadcast_rows: int = BROA
     schema = arrow_schema(_FEATURES)
 
     def single(it):
-        for payload, chunk in it:
-            yield features(chunk, payload, [chunk])
+        for payload, record in it:
+            yield features(payload, [record])
 
-    whole = map_rows(stored.where("n_chunks = 1").select("payload", "chunk"), single, _FEATURES)
+    whole = map_rows(stored.where("n_chunks = 1").select("payload", "record"), single, _FEATURES)
     small = borrowed.count() <= broadcast_rows
-    lent = stored.select("digest", "chunk").join(F.broadcast(borrowed) if small else borrowed, "digest")
-    parts = stored.where("n_chunks > 1").select("payload", "seq", "n_chunks", "chunk").unionByName(lent.select("payload", "seq", "n_chunks", "chunk"))
+    lent = stored.select("digest", "record").join(F.broadcast(borrowed) if small else borrowed, "digest")
+    parts = stored.where("n_chunks > 1").select("payload", "seq", "n_chunks", "record").unionByName(lent.select("payload", "seq", "n_chunks", "record"))
 
     def rebuild(t: pa.Table) -> pa.Table:
-        by_place = dict(zip(t["seq"].to_pylist(), t["chunk"].to_pylist()))
+        by_place = dict(zip(t["seq"].to_pylist(), t["record"].to_pylist()))
         payload, n = t["payload"][0].as_py(), t["n_chunks"][0].as_py()
         records = [by_place[i] for i in range(n)]
-        return pa.Table.from_batches(rows_to_batches([features(b"".join(records), payload, records)], schema), schema=schema)
+        return pa.Table.from_batches(rows_to_batches([features(payload, records)], schema), schema=schema)
 
     return whole.unionByName(parts.groupBy("payload").applyInArrow(rebuild, ddl))
 
