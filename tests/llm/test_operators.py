@@ -493,3 +493,25 @@ def test_dialogues_are_rendered_once_for_each_speaker(spark):
         lo, hi = map(int, span.split(":"))
         assert text[lo:hi] == "<|assistant|>yo<|end|>"
     assert got[None, "ann"][1] == "0:20"
+
+
+def test_penalty_keeps_neutral_mentions_apart_from_toxic_ones(spark):
+    """Toxic sentences name one group more often; with the penalty a swap of the group changes the score less."""
+    r = random.Random(8)
+    word = lambda xs: r.choice(xs)
+    rows = []
+    for i in range(400):
+        toxic = i % 2
+        group = word(("muslims", "muslims", "muslims", "christians")) if toxic else word(("christians", "christians", "jews", "hindus"))
+        verb = word(("hate", "despise", "loathe")) if toxic else word(("meet", "visit", "thank"))
+        rows.append((i, f"we {verb} the {group} of {word(('town', 'city', 'place'))} number {r.randint(0, 30)}", toxic))
+    docs = spark.createDataFrame([(i, t) for i, t, _ in rows], "doc_id long, text string")
+    # repeated rows, very long texts and other columns are scored like any
+    marks = spark.createDataFrame([(i, y) for i, _, y in rows], "doc_id long, toxic int")
+    plain, fair = (toxicity.train(docs, marks, penalty=p) for p in (0.0, 1.0))
+    gap = lambda m: abs(m.score("we meet the muslims of town") - m.score("we meet the christians of town"))
+    assert gap(fair) < 0.5 * gap(plain) and fair.score("we meet the muslims of town") < 0.5
+    assert fair.score("we hate the christians of town") > 0.5
+    more = spark.createDataFrame([(1, "we hate " * 20_000, 1, "x"), (1, "we hate " * 20_000, 2, "y"), (None, None, 3, None)], "doc_id long, text string, score int, predicted string")
+    got = toxicity.toxicity_scores(more, fair).collect()
+    assert len(got) == 3 and got[0].score == got[1].score and {x.predicted for x in got} <= {0, 1}

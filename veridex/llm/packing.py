@@ -25,7 +25,7 @@ from .bpe import words_of
 from .common import arrow_schema, materialize, rows_to_batches
 
 LENGTH, END = 2048, 1
-CACHE = 400_000
+CACHE = 600_000
 _PIECES = "doc_id long,start long,length long,ids_crc32 long,doc_tokens long,sequence_id long,offset long"
 _TOKENIZERS: dict = {}
 # white space after the first character, a lone white-space word, or text that may hold a special token
@@ -105,8 +105,8 @@ class Encoder:
             young[w] = np.array(e.ids, kind).tobytes()
 
     def forget(self) -> None:
-        """Between tasks only words of one generation are kept."""
-        self.old, self.young = {}, self.old or self.young
+        """Between tasks only words of the young generation are kept."""
+        self.old = {}
 
     def encode(self, texts: list[str]) -> list[bytes]:
         if len(self.young) > CACHE:

@@ -146,8 +146,8 @@ def fit(rows: list[tuple], used: np.ndarray, penalty: float = 1.0, l2: float = 2
     return Model(weights, float(b))
 
 
-def train(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS) -> Model:
-    """Fit on at most ``max_rows`` labelled rows outside the held-out fold."""
+def train(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS, penalty: float = 1.0) -> Model:
+    """Fit on at most ``max_rows`` labelled rows outside the held-out fold; ``penalty`` weighs the change under swaps."""
     chosen = (
         labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull() & (crc_fold_col(F.col("doc_id"), MODULUS) != HELD_OUT))
         .groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max("toxic").alias("toxic"))
@@ -178,7 +178,7 @@ def train(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS) -> Model
             yield label, f[on[f]].tolist(), s[hold].tolist(), np.concatenate([[0], np.cumsum(hold)])[ends].tolist() if ends else []
 
     got = map_rows(rows, narrow, "label int,features array<int>,swaps array<int>,ends array<int>").toArrow()
-    return fit(sorted(zip(*(c.to_pylist() for c in got.columns))), used)
+    return fit(sorted(zip(*(c.to_pylist() for c in got.columns))), used, penalty)
 
 
 def toxicity_scores(docs: DataFrame, model: Model) -> DataFrame:
