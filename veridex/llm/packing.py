@@ -11,7 +11,6 @@ are not read.
 
 from __future__ import annotations
 
-import itertools
 import json
 import re
 import zlib
@@ -104,24 +103,25 @@ class Encoder:
         for w, e in zip(rest, self.tokenizer.encode_batch(rest, add_special_tokens=False)):
             young[w] = np.array(e.ids, kind).tobytes()
 
-    def forget(self) -> None:
-        """Between tasks only words of the young generation are kept."""
-        self.old = {}
-
     def encode(self, texts: list[str]) -> list[bytes]:
         if len(self.young) > CACHE:
             self.young, self.old = {}, self.young
         young, old = self.young, self.old
         split = [words_of(t) for t in texts]
+        found = [list(map(young.get, t)) for t in split]
+        # no word is without ids, so a list that is not all true has unknown words
+        lacking = [i for i, values in enumerate(found) if not all(values)]
         new = []
-        for w in set(itertools.chain.from_iterable(split)).difference(young):
+        for w in {w for i in lacking for w, v in zip(split[i], found[i]) if v is None}:
             v = old.get(w)
             if v is None:
                 new.append(w)
             else:
                 young[w] = v
         self._new(new)
-        return [b"".join(map(young.__getitem__, t)) for t in split]
+        for i in lacking:
+            found[i] = [young[w] if v is None else v for w, v in zip(split[i], found[i])]
+        return list(map(b"".join, found))
 
 
 def _encoder(path: str) -> Encoder:
@@ -151,7 +151,6 @@ def tokenise(docs: DataFrame, path: str, end: int = END) -> DataFrame:
                         n = len(data) // width + 1
                         yield part, place, doc_id, n, width, data + stop
                         place += n
-            coder.forget()
 
         return rows_to_batches(rows(), schema, 512)
 
