@@ -11,6 +11,8 @@ are not read.
 
 from __future__ import annotations
 
+import gc
+import itertools
 import json
 import re
 import zlib
@@ -21,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .bpe import words_of
-from .common import arrow_schema, materialize, rows_to_batches
+from .common import arrow_schema, materialize, rows_to_batches, slices
 
 LENGTH, END = 2048, 1
 CACHE = 600_000
@@ -108,20 +110,15 @@ class Encoder:
             self.young, self.old = {}, self.young
         young, old = self.young, self.old
         split = [words_of(t) for t in texts]
-        found = [list(map(young.get, t)) for t in split]
-        # no word is without ids, so a list that is not all true has unknown words
-        lacking = [i for i, values in enumerate(found) if not all(values)]
         new = []
-        for w in {w for i in lacking for w, v in zip(split[i], found[i]) if v is None}:
+        for w in set(itertools.chain.from_iterable(split)).difference(young):
             v = old.get(w)
             if v is None:
                 new.append(w)
             else:
                 young[w] = v
         self._new(new)
-        for i in lacking:
-            found[i] = [young[w] if v is None else v for w, v in zip(split[i], found[i])]
-        return list(map(b"".join, found))
+        return [b"".join(map(young.__getitem__, t)) for t in split]
 
 
 def _encoder(path: str) -> Encoder:
@@ -143,14 +140,15 @@ def tokenise(docs: DataFrame, path: str, end: int = END) -> DataFrame:
 
         def rows():
             nonlocal place
-            for b in batches:
-                ids = b.column(0).to_pylist()
-                texts = [t or "" for t in b.column(1).to_pylist()]
-                for lo in range(0, len(ids), 512):
-                    for doc_id, data in zip(ids[lo : lo + 512], coder.encode(texts[lo : lo + 512])):
+            gc.disable()  # millions of strings and no cycles: collections would find nothing
+            try:
+                for b in slices(batches, 1024):
+                    for doc_id, data in zip(b.column(0).to_pylist(), coder.encode([t or "" for t in b.column(1).to_pylist()])):
                         n = len(data) // width + 1
                         yield part, place, doc_id, n, width, data + stop
                         place += n
+            finally:
+                gc.enable()
 
         return rows_to_batches(rows(), schema, 512)
 
