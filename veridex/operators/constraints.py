@@ -106,3 +106,40 @@ def plausibility(row: DataFrame, flags: dict[str, Column], keys: Sequence[str])
     """One row for each flag that holds; a report, nothing is dropped."""
     found = F.filter(F.array(*[F.when(c, F.lit(n)) for n, c in flags.items()]), lambda x: x.isNotNull())
     return row.select(*keys, F.explode(found).alias("flag"))
+
+
+def sanity_flags() -> dict[str, Column]:
+    """S1 to S9 over a filled period row: reported for review, never used to drop or repair a figure.
+
+    S1 gross profit over revenue; S2 cost over twice the revenue; S3 current assets or liabilities not positive; S4 total
+    assets not positive; S5 tax over the profit before it; S6 EPS times shares not within 5 % of the owners' profit or the
+    EPS's rounding; S7 a part over its whole; S8 EPS and profit of opposite signs; S9 equity over total assets.
+    """
+    c = F.col
+    eps, owners, shares = c("eps_basic"), F.coalesce("net_income_to_owners", "profit_after_tax"), c("common_shares_outstanding")
+    revenue, current, assets = c("revenue"), c("total_current_assets"), c("total_assets")
+    over = lambda part, whole: F.coalesce(c(part) > whole, F.lit(False))
+    s7 = F.lit(False)
+    for part in ("cash_and_equivalents", "net_receivables", "total_inventory", "short_term_investments"):
+        s7 = s7 | over(part, current)
+    s7 = s7 | over("total_current_assets", assets) | over("net_ppe", assets) | over("total_current_liabilities", c("total_liabilities"))
+    return {
+        "S1": (revenue > 0) & (c("gross_profit") > revenue), "S2": (revenue > 0) & (c("cost_of_sales") > 2 * revenue),
+        "S3": (current.isNotNull() & c("total_current_liabilities").isNotNull()) & ((current <= 0) | (c("total_current_liabilities") <= 0)), "S4": assets <= 0,
+        "S5": (c("profit_before_tax") > 0) & (F.abs("taxation") > c("profit_before_tax")),
+        "S6": (shares > 0) & (F.abs(eps * shares - owners) > F.greatest(0.05 * F.abs(owners), 0.005 * shares)), "S7": s7,
+        "S8": (eps != 0) & (owners != 0) & (F.signum(eps) != F.signum(owners)), "S9": F.coalesce("total_equity", "shareholders_equity") > assets,
+    }
+
+
+#: The items that the sanity flags read.
+SANITY_ITEMS = (
+    "revenue", "gross_profit", "cost_of_sales", "total_current_assets", "total_current_liabilities", "total_assets", "profit_before_tax", "taxation", "eps_basic", "net_income_to_owners", "profit_after_tax",
+    "common_shares_outstanding", "cash_and_equivalents", "net_receivables", "total_inventory", "short_term_investments", "net_ppe", "total_liabilities", "total_equity", "shareholders_equity",
+)
+
+
+def sanity(periods: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """One row for each of S1 to S9 that a period row raises; items it has no column for count as missing."""
+    full = periods.select(*keys, *[F.col(i).cast("double").alias(i) if i in periods.columns else F.lit(None).cast("double").alias(i) for i in SANITY_ITEMS])
+    return plausibility(full, sanity_flags(), keys)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..operators import grids, notices, pages, relations
+from ..operators import constraints, grids, notices, pages, relations, statements
 from . import metrics
 from .catalog import query
 
@@ -443,3 +443,52 @@ _MEETINGS = [
 def meeting_forms(t):
     text = F.replace(_pick(F.col("o_orderkey"), [x for x, *_ in _MEETINGS]), F.lit("DATE"), F.date_format("o_orderdate", "d MMMM yyyy"))
     return notices.meetings(t("orders").select(F.col("o_orderkey").alias("id"), text.alias("text"))).select("id", "meeting_date", "meeting_time", "purpose", "results_period")
+
+
+# ---- columns, hints, sanity ----------------------------------------------------------------------------------------
+
+#: Headers of a table of an income statement with year-end 30 June: headers, title, then month and day, months and reason of each (null: kept).
+_COLUMNS = [
+    (["June 30, {y}", "June 30, {p}"], "for the year ended", [("06-30", 12, None), ("06-30", 12, None)]),
+    (["Nine months ended March 31, {y}", "Quarter ended March 31, {y}"], "", [("03-31", 9, None), ("03-31", 3, None)]),
+    (["Half year ended {y}", "{p}"], "December 31", [("12-31", 6, None), ("12-31", None, "no length")]),
+    (["July to March {y}", "{y}"], "as printed", [("03-31", 9, None), ("06-30", None, "no length")]),
+    (["31 December {y}", "December 31, {y}"], "", [("12-31", 6, "two columns describe the same period")] * 2),
+    (["Note", "{y}"], "", [(None, 12, "column period not printed"), ("06-30", 12, None)]),
+    (["Year ended Quarter June 30, {y}", "June 30, {p}"], "", [("06-30", None, "no length"), ("06-30", None, "no length")]),
+]
+
+
+@query("SELECT o_orderkey AS filing, CAST(x.col AS INTEGER) AS col, CASE WHEN x.md IS NOT NULL AND NOT x.plain THEN CAST((year(o_orderdate) - x.back) || '-' || x.md AS DATE) END AS period_end, CAST(x.months AS INTEGER) AS months, x.reason"
+       f" FROM orders JOIN (VALUES {_values([(i, c, md, m, r, int('{p}' in h[c]), 'f' if '{' in h[c] else 't') for i, (h, _, cols) in enumerate(_COLUMNS) for c, (md, m, r) in enumerate(cols)])}) v(i, col, md, months, reason, back, p) ON o_orderkey % {len(_COLUMNS)} = v.i, LATERAL (SELECT v.col, v.md, v.months, v.reason, v.back, v.p = 't' AS plain) x")
+def described_columns(t):
+    k = F.col("o_orderkey")
+    year = F.year("o_orderdate")
+    shown = lambda i: F.replace(F.replace(_pick(k, [h[i] for h, _, _ in _COLUMNS]), F.lit("{y}"), year.cast("string")), F.lit("{p}"), (year - 1).cast("string"))
+    d = t("orders").select(k.alias("filing"), F.lit(0).alias("table_no"), _each("col int, header string", (0, shown(0)), (1, shown(1))), _pick(k, [x for _, x, _ in _COLUMNS]).alias("title"))
+    d = d.select("filing", "table_no", "x.*", "title", F.lit("income").alias("kind"), F.lit(True).alias("annual"), F.lit("06-30").alias("year_end"))
+    return statements.described_columns(d).select("filing", "col", "period_end", "months", "reason")
+
+
+@query("""
+WITH s AS (SELECT o_orderkey AS filing, CASE WHEN o_orderkey % 2 = 0 THEN 'income' ELSE 'balance' END AS kind, CASE o_orderkey % 3 WHEN 0 THEN 'unknown' WHEN 1 THEN 'consolidated' ELSE 'unconsolidated' END AS basis FROM orders),
+h AS (SELECT o_orderkey AS filing, 'income' AS kind, CASE WHEN o_orderkey % 5 = 0 THEN 'consolidated' END AS basis FROM orders WHERE o_orderkey % 5 < 2)
+SELECT filing, kind, basis, false AS hinted FROM s WHERE NOT EXISTS (SELECT 1 FROM h WHERE h.filing = s.filing AND h.kind = s.kind AND (h.basis IS NULL OR h.basis = s.basis OR s.basis = 'unknown')) UNION ALL SELECT filing, kind, coalesce(basis, 'unknown'), true FROM h""")
+def page_hints(t):
+    k = F.col("o_orderkey")
+    own = t("orders").select(k.alias("filing"), F.when(k % 2 == 0, "income").otherwise("balance").alias("kind"), _pick(k, ["unknown", "consolidated", "unconsolidated"]).alias("basis"), F.array(F.lit(3)).alias("pages"))
+    hints = t("orders").where(k % 5 < 2).select(k.alias("filing"), F.lit("income").alias("kind"), F.when(k % 5 == 0, "consolidated").alias("basis"), F.array(F.lit(7)).alias("pages"))
+    return statements.hinted_pages(own, hints).drop("pages")
+
+
+#: A sound period in thousands of k, and what each order changes of it, with the flags that it raises.
+_SOUND = {"revenue": "1000", "gross_profit": "400", "cost_of_sales": "600", "total_current_assets": "900", "total_current_liabilities": "500", "total_assets": "2000", "profit_before_tax": "100", "taxation": "30", "eps_basic": "0.7", "profit_after_tax": "70", "common_shares_outstanding": "100", "cash_and_equivalents": "50", "net_receivables": "200", "total_inventory": "300", "net_ppe": "1000", "total_liabilities": "1100", "total_equity": "900"}
+_CHANGED = [({}, []), ({"gross_profit": "1001"}, ["S1"]), ({"cost_of_sales": "2001"}, ["S2"]), ({"total_current_liabilities": "0"}, ["S3"]), ({"total_assets": "-1"}, ["S4", "S7", "S9"]), ({"taxation": "-101"}, ["S5"]), ({"eps_basic": "0.6"}, ["S6"]), ({"eps_basic": "-0.7"}, ["S6", "S8"]), ({"total_inventory": "901"}, ["S7"]), ({"net_ppe": "2001"}, ["S7"]), ({"total_equity": "2001"}, ["S9"]), ({"revenue": "-5", "gross_profit": "9"}, [])]
+
+
+@query(f"SELECT o_orderkey, x.flag FROM orders JOIN (VALUES {_values([(i, f) for i, (_, fs) in enumerate(_CHANGED) for f in fs])}) x(i, flag) ON o_orderkey % {len(_CHANGED)} = x.i")
+def sanity_flags(t):
+    """Sound periods with one figure changed in each."""
+    k = F.col("o_orderkey")
+    columns = [_pick(k, [float(c.get(item, v)) for c, _ in _CHANGED]).alias(item) for item, v in _SOUND.items()]
+    return constraints.sanity(t("orders").select("o_orderkey", *columns), ["o_orderkey"])
