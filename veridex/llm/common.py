@@ -104,12 +104,13 @@ def release_memory() -> None:
 
 def rows_to_batches(rows, schema: pa.Schema, size: int = 4096):
     """Record batches of ``size`` rows from an iterator of tuples; at its end the task's memory is given back."""
-    yield from _batches(rows, schema, size)
+    yield from record_batches(rows, schema, size)
     del rows
     release_memory()
 
 
-def _batches(rows, schema: pa.Schema, size: int):
+def record_batches(rows, schema: pa.Schema, size: int = 4096):
+    """Record batches of ``size`` rows from an iterator of tuples, within a task (a group of many)."""
     held: list = []
     for row in rows:
         held.append(row)

@@ -16,7 +16,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import arrow_schema, materialize, rows_to_batches, scratch
+from .common import arrow_schema, materialize, record_batches, rows_to_batches, scratch
 
 #: A table up to this size is loaded whole by each worker.
 MAX_TABLE_BYTES = 256 << 20
@@ -148,6 +148,6 @@ def resolve(docs: DataFrame, table: DataFrame, keys_of, finish, ddl: str, max_by
             values = right["value"].cast(pa.large_binary())
             values = pa.concat_arrays(values.chunks) if values.num_chunks else pa.array([], pa.large_binary())
             out = list(finish(list(zip(*(c.to_pylist() for c in rows.columns))), Lookup.of(keys, values)))
-            return pa.Table.from_batches(rows_to_batches(out, schema), schema=schema)
+            return pa.Table.from_batches(record_batches(out, schema), schema=schema)
 
     return packed.select("block", "body").groupBy("block").cogroup(need.groupBy("at")).applyInArrow(meet, ddl)

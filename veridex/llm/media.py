@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import arrow_schema, map_rows, materialize, rows_to_batches, slices, utf8
+from .common import arrow_schema, map_rows, materialize, record_batches, rows_to_batches, slices, utf8
 
 UNIT, MIN_CHUNK, MAX_CHUNK, MASK_BITS = 64, 2048, 65536, 13
 #: The gear table: 256 numbers from a fixed generator.
@@ -137,7 +137,7 @@ def read_back(stored: DataFrame, borrowed: DataFrame, broadcast_rows: int = BROA
         by_place = dict(zip(t["seq"].to_pylist(), t["record"].to_pylist()))
         payload, n = t["payload"][0].as_py(), t["n_chunks"][0].as_py()
         records = [by_place[i] for i in range(n)]
-        return pa.Table.from_batches(rows_to_batches([features(payload, records)], schema), schema=schema)
+        return pa.Table.from_batches(record_batches([features(payload, records)], schema), schema=schema)
 
     return whole.unionByName(parts.groupBy("payload").applyInArrow(rebuild, ddl))
 
