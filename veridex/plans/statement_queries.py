@@ -277,7 +277,7 @@ def par_values(t):
     return relations.par_value(d, dates).select("filing", "period_end", "value")
 
 
-@query(f"WITH {_SQL_LINES}, s AS (SELECT filing, count(*) AS n FROM l GROUP BY 1) SELECT l.filing, CAST(l.n AS INTEGER) AS column FROM l JOIN s USING (filing) WHERE s.n >= 2 AND filing % 3 <> 0 AND v >= 1000")
+@query(f"WITH {_SQL_LINES}, s AS (SELECT filing, count(*) AS n FROM l WHERE v >= 1000 GROUP BY 1) SELECT l.filing, CAST(l.n AS INTEGER) AS column FROM l JOIN s USING (filing) WHERE s.n >= 2 AND filing % 3 <> 0 AND v >= 1000")
 def eps_checks(t):
     """Columns of one share count, where every third order misreads its first EPS."""
     lines = _lines(t).where("v >= 1000")
@@ -311,7 +311,7 @@ def published_release(t):
 _INPUTS = {
     "revenue": "e", "cost_of_sales": "0.6 * e", "taxation": "0.03 * e", "profit_before_tax": "0.12 * e - 40 * q", "finance_cost": "CASE WHEN n % 5 = 0 THEN NULL ELSE 0.01 * e END", "operating_profit": "0.2 * e", "ebitda": "0.25 * e - 10 * q",
     "profit_after_tax": "0.09 * e", "net_income_to_owners": "CASE WHEN n % 3 = 0 THEN 0.08 * e END", "preferred_dividends": "CASE WHEN n % 4 = 0 THEN 5.0 * q END", "eps_basic": "0.09 * e / (1000 * n)", "eps_basic_prior": "0.08 * e / (900 * n) - 0.1",
-    "revenue_prior": "0.9 * e - 3 * q", "total_assets": "2.0 * e", "total_assets_opening": "1.9 * e", "total_inventory": "0.3 * e", "total_inventory_opening": "0.2 * e + q", "net_receivables": "0.25 * e", "net_receivables_opening": "0.2 * e",
+    "revenue_prior": "0.9 * e - 3 * q", "total_assets": "2.0 * e", "total_assets_opening": "1.9 * e", "total_inventory": "0.3 * e", "total_inventory_opening": "0.2 * e + q", "net_receivables": "0.2503 * e", "net_receivables_opening": "0.2 * e",
     "accounts_payable": "0.1501 * e", "accounts_payable_opening": "CASE WHEN n % 7 = 0 THEN NULL ELSE 0.14 * e END", "total_equity": "CASE WHEN n % 2 = 0 THEN 0.8 * e END", "shareholders_equity": "0.75 * e", "total_equity_opening": "0.7 * e", "shareholders_equity_opening": "0.68 * e",
     "total_equity_prior": "CASE WHEN n % 2 = 1 THEN 0.7 * e END", "shareholders_equity_prior": "0.65 * e", "total_debt": "0.5 * e", "total_debt_opening": "0.45 * e", "cash_and_equivalents": "0.05 * e", "cash_and_equivalents_opening": "0.04 * e", "short_term_investments": "CASE WHEN n % 3 = 1 THEN 0.02 * e END",
     "total_current_assets": "0.9 * e", "total_current_liabilities": "0.4 * e", "total_liabilities": "1.2 * e", "stores_and_spares": "CASE WHEN n % 2 = 0 THEN 0.01 * e END", "intangible_assets": "CASE WHEN n % 3 = 2 THEN 0.01 * e END", "goodwill": "CASE WHEN n % 5 = 1 THEN 0.02 * e END",
