@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, chat, jaccard, media, packing, pii, ppm, quality, suffixes, toxicity
+from . import bpe, chat, collocations, jaccard, media, negatives, packing, pii, ppm, quality, suffixes, toxicity, urls
 from .common import read_documents
 
 
@@ -61,7 +61,19 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read_documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"))
 
 
-QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_lm_scoring, op3_toxicity, op4_media_columns, op5_pii, op6_suffix_dedup, op7_chat_formatting, op7_chat_dialogues, op8_jaccard_join, op8_jaccard_links, op9_byte_bpe, op10_packing)}
+def op11_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urls.judge(spark.read.parquet(f"{sf_dir}/pages.parquet"), urls.train(urls.seeds(spark)))
+
+
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(read_documents(spark, sf_dir))
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return negatives.hard_negatives(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
+QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_lm_scoring, op3_toxicity, op4_media_columns, op5_pii, op6_suffix_dedup, op7_chat_formatting, op7_chat_dialogues, op8_jaccard_join, op8_jaccard_links, op9_byte_bpe, op10_packing, op11_url_filters, op12_collocations, op13_hard_negatives)}
 
 _LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _WORDS = r"regexp_extract_all({}, '[^\x20\x09-\x0D]+')"
@@ -119,3 +131,48 @@ o AS (SELECT *, sum(length(rendered)) OVER (PARTITION BY conv_id, perspective OR
 SELECT conv_id, perspective, string_agg(rendered, '' ORDER BY ending) AS dialogue,
  coalesce(string_agg(CAST(ending - length(rendered) AS BIGINT) || ':' || CAST(ending AS BIGINT), ',' ORDER BY ending) FILTER (WHERE mask = 1), '') AS learnt
 FROM o GROUP BY conv_id, perspective"""
+
+
+_GRAMS = "list_transform(range(1, length({0}) - {2} + 2), lambda i: CAST('0x' || substr(md5('{1}' || substr({0}, i, {2})), 1, 3) AS INTEGER))"
+_URL = f"""SELECT *, coalesce(translate(regexp_extract(url, '://([^/?#]*)([^?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '') AS host,
+ coalesce(regexp_extract(url, '://([^/?#]*)([^?#]*)', 2), '') AS path"""
+_BUCKETS = "list_distinct(flatten([" + ", ".join(_GRAMS.format(t, m, n) for t, m in (("('^' || host || '$')", "h"), (_LOWER.format("path"), "p")) for n in urls.SIZES) + "]))"
+_FITS = " ".join(f"WHEN ends_with('.' || host, '.{r[: r.index('/')]}') AND starts_with(path, '{r[r.index('/') :]}') THEN '{{}}'" for _, r in sorted(urls.RULES, key=lambda r: -len(r[1])))
+ORACLES["op11_url_filters"] = f"""
+WITH RECURSIVE seed AS (SELECT * FROM (VALUES {", ".join(f"('{u}', {k}.0)" for k, some in ((1, urls.BLOCKED), (0, urls.ALLOWED)) for u in some)}) t(url, y)),
+x AS (SELECT url, CAST(y AS DOUBLE) AS y, {_BUCKETS} AS x FROM ({_URL} FROM seed)),
+one AS (SELECT list(x ORDER BY url) AS x, list(y ORDER BY url) AS y FROM x),
+gram AS MATERIALIZED (SELECT x, y, list_transform(x, lambda a: list_transform(x, lambda b: len(list_intersect(a, b)) / sqrt(len(a) * len(b)) + 1)) AS k FROM one),
+fit AS (SELECT 0 AS t, list_transform(y, lambda v: CAST(0 AS DOUBLE)) AS alpha FROM one
+ UNION ALL SELECT t + 1, list_transform(range(1, len(y) + 1), lambda i: alpha[i] * {1 - urls.RATE * urls.DECAY} + {urls.RATE} * (y[i] - 1 / (1 + exp(-list_inner_product(k[i], alpha))))) FROM fit, gram WHERE t < {urls.STEPS}),
+each AS (SELECT unnest(alpha) AS a, unnest(x) AS x FROM fit, gram WHERE t = {urls.STEPS}),
+bucket AS (SELECT b, sum(round(a / sqrt(len(x)) * 1e9)) AS w FROM (SELECT a, x, unnest(x) AS b FROM each) GROUP BY b),
+bias AS (SELECT sum(round(a * 1e9)) AS bias FROM each),
+page AS (SELECT row_number() OVER () AS k, page_id, host, path, {_BUCKETS} AS x FROM ({_URL} FROM pages)),
+score AS (SELECT k, sum(w) AS s FROM (SELECT k, unnest(x) AS b FROM page) JOIN bucket USING (b) GROUP BY k)
+SELECT page_id, host, path, CASE {_FITS.format(*(r for _, r in sorted(urls.RULES, key=lambda r: -len(r[1]))))} END AS rule,
+ CASE {_FITS.format(*(a for a, _ in sorted(urls.RULES, key=lambda r: -len(r[1]))))}
+ WHEN coalesce(s, 0) / sqrt(greatest(len(x), 1)) + bias > 0 THEN 'block' ELSE 'allow' END AS verdict
+FROM page LEFT JOIN score USING (k), bias"""
+
+ORACLES["op12_collocations"] = f"""
+WITH p AS (SELECT lang, regexp_extract_all(piece, '[^\\x20\\x09]+') AS ws FROM (SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex({_LOWER.format("text")}, '[.,;:!?\\x0A-\\x0D]')) AS piece FROM documents)),
+total AS (SELECT lang, sum(len(ws)) AS n FROM p GROUP BY lang),
+place AS (SELECT lang, ws, unnest(range(1, len(ws) + 1)) AS i FROM p),
+f AS (SELECT lang, ws[i:i + k - 1] AS ws, count(*) AS f FROM place, (SELECT unnest(range(1, {collocations.LONGEST + 1})) AS k) WHERE i + k - 1 <= len(ws) GROUP BY ALL HAVING count(*) >= {collocations.LEAST}),
+c AS (SELECT *, array_to_string(ws, ' ') AS phrase FROM f WHERE len(ws) >= 2),
+cuts AS (SELECT c.lang, phrase, c.f AS a, x.f AS l, y.f AS r, n, len(x.ws) AS k, 1000 * CAST(c.f AS HUGEINT) * CAST(n AS HUGEINT) // (CAST(x.f AS HUGEINT) * CAST(y.f AS HUGEINT)) AS score
+ FROM (SELECT *, unnest(range(1, len(ws))) AS j FROM c) c JOIN f x ON x.lang = c.lang AND x.ws = c.ws[:j] JOIN f y ON y.lang = c.lang AND y.ws = c.ws[j + 1:] JOIN total t ON t.lang = c.lang
+ WHERE NOT EXISTS (SELECT 1 FROM c b WHERE b.lang = c.lang AND len(b.ws) > len(c.ws) AND b.f >= c.f AND contains(' ' || b.phrase || ' ', ' ' || c.phrase || ' '))),
+best AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, CAST(n AS BIGINT) AS n, CAST(score AS BIGINT) AS score
+FROM best QUALIFY rank <= {collocations.TOP}"""
+
+ORACLES["op13_hard_negatives"] = f"""
+WITH v AS (SELECT row_number() OVER () AS k, vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, list_transform(embedding, lambda e: floor(256 * CAST(e AS DOUBLE))) AS x
+ FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda e: e IS NULL OR NOT isfinite(e))) = 0),
+s AS (SELECT a.k AS a, a.vec_id AS anchor_id, a.label = b.label AS same, b.k AS b, b.vec_id, CAST(list_inner_product(a.x, b.x) AS BIGINT) AS score FROM v a, v b WHERE a.vec_id % {negatives.EVERY} = 0 AND a.k <> b.k),
+p AS (SELECT * FROM s WHERE same QUALIFY row_number() OVER (PARTITION BY a ORDER BY score DESC, vec_id) <= {negatives.POSITIVES})
+SELECT p.anchor_id, p.vec_id AS positive_id, CAST(row_number() OVER (PARTITION BY p.a, p.b ORDER BY s.score DESC, s.vec_id) AS INTEGER) AS rank, s.vec_id AS negative_id, p.score AS positive_score, s.score AS negative_score
+FROM p JOIN s ON s.a = p.a AND NOT s.same AND {negatives.LOWER} * p.score <= 100 * s.score AND 100 * s.score <= {negatives.UPPER} * p.score
+QUALIFY rank <= {negatives.NEGATIVES}"""
