@@ -6,9 +6,9 @@ two names that make a pair are its parent pointers: the frequencies of all its b
 and the phrases that it makes superfluous are read along them.
 
 Texts are turned into blocks once: local word numbers in order, with a mark at each end of a piece.  A block is the unit that
-counts its own pairs, so what is shuffled is one row for each distinct pair of a block, and it learns which of its pairs are
-frequent from the join of those rows with the totals (one shuffle: both sides are dealt by the pair).  Only frequent pairs
-travel back.  A name is the place of the pair in the first block that holds it, so names are exact: nothing is hashed.
+counts its own pairs, so what is shuffled is one row for each distinct pair of a block: a pair has at most as many rows as there
+are blocks, and one window over them totals and names it.  Only frequent pairs travel back to the blocks.  A name is the place of
+the pair in the first block that holds it, so names are exact: nothing is hashed.
 
 Defined cases: a null text is empty; a null language is ``und``; repeated rows are documents of their own and count each; a very
 long text is read in parts that end at a piece's end (a piece is never cut); an empty table, or one without frequent pairs,
@@ -35,7 +35,7 @@ BLOCK_BYTES = 16 << 20
 #: Texts are split in parts of about this size, to hold few words as objects.
 PART_BYTES = 1 << 20
 #: Bits of a name that count pairs within a block, and bits that count blocks within a task.
-PLACE_BITS, TURN_BITS = 24, 14
+PLACE_BITS, TURN_BITS = 27, 13
 
 # every end of a piece becomes a full stop, a tab a space, A-Z lower case
 _FOLD = bytearray(range(256))
@@ -135,8 +135,8 @@ def _pairs(s: np.ndarray):
 
 
 def _count_pairs(blocks: DataFrame) -> DataFrame:
-    """(block, place, left, right, n): the distinct adjacent pairs of each block by their names."""
-    schema = arrow_schema("block long,place long,left long,right long,n long")
+    """(at, left, right, n): the distinct adjacent pairs of each block by their names; ``at`` is block and place."""
+    schema = arrow_schema("at long,left long,right long,n int")
 
     def run(batches):
         for batch in slices(batches, 1):
@@ -147,18 +147,17 @@ def _count_pairs(blocks: DataFrame) -> DataFrame:
             del keys, s
             for lo in range(0, len(found), 1 << 16):
                 part = found[lo : lo + (1 << 16)]
-                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in (np.full(len(part), block), np.arange(lo, lo + len(part)), ids[part // base], ids[part % base], n[lo : lo + len(part)])], schema=schema)
+                columns = ((block << PLACE_BITS) + np.arange(lo, lo + len(part)), ids[part // base], ids[part % base], n[lo : lo + len(part)])
+                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)
         release_memory()
 
-    return blocks.select("block", "seq", "ids").mapInArrow(run, "block long, place long, left long, right long, n long")
+    return blocks.select("block", "seq", "ids").mapInArrow(run, "at long, left long, right long, n int")
 
 
 def _named(rows: DataFrame, keys: list[str], least: int) -> DataFrame:
-    """The rows whose key is frequent over all blocks, with its name and frequency."""
-    dealt = rows.repartition(*keys)
-    name = F.shiftleft("block", PLACE_BITS) + F.col("place")
-    totals = dealt.groupBy(*keys).agg(F.sum("n").alias("f"), F.min(name).alias("id")).where(F.col("f") >= least)
-    return dealt.join(totals.hint("shuffle_hash"), keys).select("block", "place", "id", "f", *keys)
+    """The rows (at, keys, n) whose key is frequent over all blocks, with its name and frequency."""
+    w = Window.partitionBy(*keys)
+    return rows.select("at", *keys, F.sum("n").over(w).alias("f"), F.min("at").over(w).alias("id")).where(F.col("f") >= least)
 
 
 _STEP = arrow_schema("block long,seq binary,ids array<long>")
@@ -187,12 +186,13 @@ def _step(seqs: DataFrame, named: DataFrame, words: bool) -> DataFrame:
             out[at] = number[each]
         return pa.Table.from_batches(record_batches([(left["block"][0].as_py(), _squeeze(out), ids)], _STEP), schema=_STEP)
 
-    return seqs.select("block", "seq").groupBy("block").cogroup(named.select("block", "place", "id").groupBy("block")).applyInArrow(meet, "block long, seq binary, ids array<long>")
+    places = named.select(F.shiftright("at", PLACE_BITS).alias("block"), (F.col("at") % (1 << PLACE_BITS)).alias("place"), "id")
+    return seqs.select("block", "seq").groupBy("block").cogroup(places.groupBy("block")).applyInArrow(meet, "block long, seq binary, ids array<long>")
 
 
 def _first(named: DataFrame) -> DataFrame:
     """One row for each name: that of the block it is named after."""
-    return named.where(F.col("id") == F.shiftleft("block", PLACE_BITS) + F.col("place"))
+    return named.where("id = at")
 
 
 def phrases(docs: DataFrame, least: int = LEAST, longest: int = LONGEST, block_bytes: int = BLOCK_BYTES) -> tuple[list[DataFrame], DataFrame]:
@@ -204,7 +204,7 @@ def phrases(docs: DataFrame, least: int = LEAST, longest: int = LONGEST, block_b
     bounded(docs.sparkSession)
     seqs = materialize(_word_blocks(docs, block_bytes), "phrase-words")
     sizes = materialize(seqs.groupBy("lang").agg(F.sum(F.aggregate("counts", F.lit(0).cast("long"), lambda a, x: a + x)).alias("n")), "phrase-sizes")
-    rows = seqs.select("block", "lang", F.posexplode(F.arrays_zip("words", "counts"))).select("block", F.col("pos").cast("long").alias("place"), "lang", F.col("col.words").cast("string").alias("word"), F.col("col.counts").alias("n"))
+    rows = seqs.select("block", "lang", F.posexplode(F.arrays_zip("words", "counts"))).select((F.shiftleft("block", PLACE_BITS) + F.col("pos")).alias("at"), "lang", F.col("col.words").cast("string").alias("word"), F.col("col.counts").alias("n"))
     named = materialize(_named(rows, ["lang", "word"], least), "phrase-names")
     none = F.array().cast("array<long>")
     level = _first(named).select("id", "lang", F.col("word").alias("phrase"), F.col("word").alias("last"), "f", F.lit(None).cast("long").alias("left"), F.lit(None).cast("long").alias("right"), none.alias("pre"), none.alias("suf"))
