@@ -25,7 +25,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import arrow_schema, bounded, materialize, record_batches, release_memory, slices
+from .common import arrow_schema, bounded, drop_written, materialize, record_batches, release_memory, slices
 
 LEAST = 100
 LONGEST = 5
@@ -210,7 +210,8 @@ def phrases(docs: DataFrame, least: int = LEAST, longest: int = LONGEST, block_b
     level = _first(named).select("id", "lang", F.col("word").alias("phrase"), F.col("word").alias("last"), "f", F.lit(None).cast("long").alias("left"), F.lit(None).cast("long").alias("right"), none.alias("pre"), none.alias("suf"))
     levels = [level]
     for k in range(2, longest + 1):
-        seqs = materialize(_step(seqs, named, k == 2), "phrase-blocks")
+        below, seqs = seqs, materialize(_step(seqs, named, k == 2), "phrase-blocks")
+        drop_written(below)
         named = materialize(_named(_count_pairs(seqs), ["left", "right"], least), "phrase-names")
         a = levels[-1].select(F.col("id").alias("left"), "lang", F.col("phrase").alias("begin"), F.concat("pre", F.array("f")).alias("pre"))
         b = levels[-1].select(F.col("id").alias("right"), "last", F.concat("suf", F.array("f")).alias("suf"))

@@ -38,7 +38,15 @@ def materialize(df: DataFrame, name: str, codec: str = "zstd") -> DataFrame:
     """Write ``df`` to the shared folder and read it back: lineage ends there, so a lost executor costs a reread."""
     path = scratch(df.sparkSession, name)
     df.write.option("compression", codec).parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out._written_to = path
+    return out
+
+
+def drop_written(df: DataFrame) -> None:
+    """Delete a materialized table that no later read needs: what was made of it must have been written itself."""
+    path = df.sparkSession._jvm.org.apache.hadoop.fs.Path(df._written_to)
+    path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
 
 
 #: Bytes of a batch between Spark and a Python worker, at most.
