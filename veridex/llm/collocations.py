@@ -82,11 +82,12 @@ def _squeeze(s: np.ndarray) -> bytes:
     """Runs of -1 say no more than one of them."""
     if len(s):
         s = s[np.concatenate([[True], (s[1:] >= 0) | (s[:-1] >= 0)])]
-    return zstandard.compress(s.astype(np.int32).tobytes(), 1)
+    short = s.max(initial=-1) < 1 << 15
+    return (b"h" if short else b"i") + zstandard.compress(s.astype(np.int16 if short else np.int32).tobytes(), 5)
 
 
 def _numbers(body: bytes) -> np.ndarray:
-    return np.frombuffer(zstandard.decompress(body), np.int32)
+    return np.frombuffer(zstandard.decompress(body[1:]), body[:1].decode()).astype(np.int32)
 
 
 def _word_blocks(docs: DataFrame, block_bytes: int) -> DataFrame:
@@ -207,11 +208,12 @@ def phrases(docs: DataFrame, least: int = LEAST, longest: int = LONGEST, block_b
     rows = seqs.select("block", "lang", F.posexplode(F.arrays_zip("words", "counts"))).select((F.shiftleft("block", PLACE_BITS) + F.col("pos")).alias("at"), "lang", F.col("col.words").cast("string").alias("word"), F.col("col.counts").alias("n"))
     named = materialize(_named(rows, ["lang", "word"], least), "phrase-names")
     none = F.array().cast("array<long>")
-    level = _first(named).select("id", "lang", F.col("word").alias("phrase"), F.col("word").alias("last"), "f", F.lit(None).cast("long").alias("left"), F.lit(None).cast("long").alias("right"), none.alias("pre"), none.alias("suf"))
+    level = materialize(_first(named).select("id", "lang", F.col("word").alias("phrase"), F.col("word").alias("last"), "f", F.lit(None).cast("long").alias("left"), F.lit(None).cast("long").alias("right"), none.alias("pre"), none.alias("suf")), "phrase-level")
     levels = [level]
     for k in range(2, longest + 1):
         below, seqs = seqs, materialize(_step(seqs, named, k == 2), "phrase-blocks")
         drop_written(below)
+        drop_written(named)
         named = materialize(_named(_count_pairs(seqs), ["left", "right"], least), "phrase-names")
         a = levels[-1].select(F.col("id").alias("left"), "lang", F.col("phrase").alias("begin"), F.concat("pre", F.array("f")).alias("pre"))
         b = levels[-1].select(F.col("id").alias("right"), "last", F.concat("suf", F.array("f")).alias("suf"))
