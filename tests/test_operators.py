@@ -30,9 +30,13 @@ def test_as_of_gap(spark):
 
 def test_nested_running_totals(spark):
     v = [10.0, 20.0, 30.0, 5.0, 7.0, 12.0, 42.0]
-    df = spark.createDataFrame([(1, i, x) for i, x in enumerate(v)], "t int, row int, v double")
-    got = [r.total_of for r in ordered.running_totals(df, ["t"], "row", "v").orderBy("row").collect()]
+    label = [None, "x", "", "x", "x", "total of x", "total"]
+    df = spark.createDataFrame([(1, i, x, n) for i, (x, n) in enumerate(zip(v, label))], "t int, row int, v double, label string")
+    got = [r.total_of for r in ordered.running_totals(df, ["t"], "row", "v", "label").orderBy("row").collect()]
     assert got == [None, None, 2, None, None, 2, 2]
+    # an item is no total, whatever it equals
+    got = [r.total_of for r in ordered.running_totals(df.withColumn("label", F.lit("item")), ["t"], "row", "v", "label").collect()]
+    assert got == [None] * 7
 
 
 def test_merge_split_rows_does_not_cascade(spark):
@@ -187,3 +191,87 @@ def test_repairs_need_independent_witnesses_or_a_reading(spark):
     # a copy of the constraint is no second witness
     twin = terms.withColumn("constraint_id", F.lit("U")).unionByName(terms)
     assert repair.single_repairs(twin, cells).count() == 0
+
+
+def _table(spark, *columns, labels=None):
+    """Rows of one table from its columns, the same labels for all."""
+    n = len(columns[0])
+    cells = [[(c[i], c[i] is not None) for c in columns] for i in range(n)]
+    return spark.createDataFrame([(1, i, (labels or {}).get(i, "item"), True, x) for i, x in enumerate(cells)], "t int, place int, label string, amount boolean, cells array<struct<value: double, printed: boolean>>")
+
+
+def test_a_total_stands_though_one_column_is_misread(spark):
+    from veridex.operators import totals
+
+    rows_ = _table(spark, [1000.0, 2000.0, 3000.0], [1000.0, 2500.0, 3000.0], [10.0, 20.0, 30.0], labels={2: ""})
+    got = totals.total_constraints(rows_, ["t"])
+    assert rows(got.select("column", "total", "parts", "advisory")) == [(c, 2, [0, 1], False) for c in range(3)]
+    terms = totals.total_terms(got, ["t"], 1000.0).where("column = 1")
+    assert rows(terms.select("place", "sign", "tolerance")) == [(0, 1.0, 1500.0), (1, 1.0, 1500.0), (2, -1.0, 1500.0)]
+
+
+def test_ambiguous_and_contested_totals_are_none(spark):
+    from veridex.operators import totals
+
+    # each column explains a run that the other does not
+    two = _table(spark, [500.0, 1000.0, 2000.0, 3000.0], [1000.0, 1000.0, 2000.0, 4000.0], labels={3: ""})
+    assert totals.total_constraints(two, ["t"]).count() == 0
+    # a nil at the edge of the run lets a shorter one balance in one column: the longer explains both
+    edge = _table(spark, [0.0, 1000.0, 2000.0, 3000.0], [500.0, 1000.0, 2000.0, 3500.0], labels={3: ""})
+    assert rows(totals.total_constraints(edge, ["t"]).select("column", "parts")) == [(0, [0, 1, 2]), (1, [0, 1, 2])]
+    # two totals claim the second row: the one that more columns bear out keeps it
+    rival = _table(spark, [1000.0, 2000.0, 3000.0, 900.0, 9999.0], [1000.0, 2000.0, 3000.0, 900.0, 9999.0], [700.0, 2000.0, 9000.0, 900.0, 2900.0 + 9000.0], labels={2: "", 4: ""})
+    assert rows(totals.total_constraints(rival, ["t"]).select("column", "total")) == [(c, 2) for c in range(3)]
+
+
+def test_parts_that_no_column_tested_and_rows_within(spark):
+    from veridex.operators import totals
+
+    # the third part is nil where the run adds up, so where it has a figure nothing is said
+    nil = _table(spark, [1000.0, 2000.0, 0.0, 3000.0], [1000.0, 2000.0, 7.0, 3000.0], labels={3: ""})
+    assert rows(totals.total_constraints(nil, ["t"]).select("column", "total")) == [(0, 3)]
+    # a row that only the second column prints would belong to its sum
+    more = _table(spark, [1000.0, None, 2000.0, 3000.0], [1000.0, 50.0, 2000.0, 9999.0], [10.0, None, 20.0, 30.0], labels={3: ""})
+    assert rows(totals.total_constraints(more, ["t"]).select("column", "parts")) == [(0, [0, 2]), (2, [0, 2])]
+    assert totals.total_constraints(more.where("false"), ["t"]).count() == 0
+
+
+def test_a_heading_speaks_for_a_total_that_no_column_proves(spark):
+    from veridex.operators import totals
+
+    base = _table(spark, [1000.0, 2000.0, 77.0, 5000.0], labels={3: "total current assets"})
+    d = base.withColumn("under", F.when(F.col("place") < 3, "current_assets")).withColumn("closes", F.when(F.col("place") == 3, "current_assets")).withColumn("skip", F.col("place") == 2)
+    assert rows(totals.total_constraints(d, ["t"]).select("total", "parts", "advisory")) == [(3, [0, 1], True)]
+
+
+_CELLS, _TERMS = "filing string, cell string, raw string, value double", "filing string, constraint_id string, cell string, sign double, tolerance double, advisory boolean"
+
+
+def test_an_unreadable_cell_is_solved_from_two_constraints(spark):
+    cells = spark.createDataFrame([("f", "a", "##", None), ("f", "b", "20", 20.0), ("f", "t", "153", 153.0), ("f", "c", "7", 7.0), ("f", "u", "140", 140.0)], _CELLS)
+    t = [("t", "a", 1.0), ("t", "b", 1.0), ("t", "t", -1.0), ("u", "a", 1.0), ("u", "c", 1.0), ("u", "u", -1.0)]
+    terms = spark.createDataFrame([("f", c, x, s, 1.0, False) for c, x, s in t], _TERMS)
+    assert rows(repair.single_repairs(terms, cells).select("cell", "from", "to")) == [("a", None, 133.0)]
+    # one constraint alone is no proof of what it solves
+    assert repair.single_repairs(terms.where("constraint_id = 't'"), cells).count() == 0
+    # printed to the cent
+    cents = cells.withColumn("value", F.col("value") / 100).withColumn("decimals", F.lit(2))
+    fine = terms.withColumn("tolerance", F.lit(0.01))
+    assert rows(repair.single_repairs(fine, cents).select("cell", "to")) == [("a", 1.33)]
+
+
+def test_repairs_of_two_clusters_that_break_a_third_constraint_are_withdrawn(spark):
+    """x and y are each mended within the room of a constraint that holds; both together leave it."""
+    t = []
+    for x, cluster in (("x", "A"), ("y", "B")):
+        t += [(f"{cluster}1", x, 1.0), (f"{cluster}1", f"{x}1", -1.0), (f"{cluster}2", x, 1.0), (f"{cluster}2", f"{x}2", -1.0), (f"{cluster}2", f"{x}3", -1.0)]
+    both = [("H", "x", 1.0), ("H", "y", 1.0), ("H", "h", -1.0)]
+    terms = spark.createDataFrame([("f", c, v, s, 0.4, False) for c, v, s in t] + [("f", c, v, s, 12.0, False) for c, v, s in both], _TERMS)
+    figures = {"x": 138.0, "x1": 128.0, "x2": 100.0, "x3": 28.0, "y": 238.0, "y1": 228.0, "y2": 200.0, "y3": 28.0, "h": 374.0}
+    cells = spark.createDataFrame([("f", k, str(int(v)), v) for k, v in figures.items()], _CELLS)
+    reading = spark.createDataFrame([("f", "x", 128.0, "ocr"), ("f", "y", 228.0, "ocr")], "filing string, cell string, value double, source string")
+    assert repair.single_repairs(terms, cells, reading).count() == 0
+    one = repair.single_repairs(terms, cells.withColumn("value", F.when(F.col("cell") == "y", 228.0).otherwise(F.col("value"))), reading)
+    assert rows(one.select("cell", "to")) == [("x", 128.0)]
+    # without the constraint between them both stand
+    assert rows(repair.single_repairs(terms.where("constraint_id <> 'H'"), cells, reading).select("cell", "to")) == [("x", 128.0), ("y", 228.0)]

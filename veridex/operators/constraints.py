@@ -11,12 +11,16 @@ from pyspark.sql import functions as F
 
 @dataclass(frozen=True)
 class Identity:
-    """sum(sign x figure) = 0 over the named items; ``magnitude`` items count by their absolute value."""
+    """sum(sign x figure) = 0 over the named items; ``magnitude`` items count by their absolute value.
+
+    ``by_span``: whether it binds depends on the rows printed beside its cells; taken alone it is advisory.
+    """
 
     rule: str
     terms: tuple[tuple[str, int], ...]
     magnitude: tuple[str, ...] = ()
     advisory: bool = False
+    by_span: bool = False
 
 
 #: The relations that statements must satisfy.
@@ -25,13 +29,13 @@ IDENTITIES = (
     Identity("I2", (("profit_before_tax", 1), ("taxation", -1), ("profit_after_tax", -1))),
     Identity("I3", (("net_income_to_owners", 1), ("net_income_to_minority", 1), ("profit_after_tax", -1))),
     Identity("I5", (("gross_profit", 1), ("operating_expenses", -1), ("other_income", 1), ("operating_profit", -1)), ("operating_expenses",)),
-    Identity("B1", (("total_equity", 1), ("total_liabilities", 1), ("total_assets", -1)), advisory=True),
+    Identity("B1", (("total_equity", 1), ("total_liabilities", 1), ("total_assets", -1)), advisory=True, by_span=True),
     Identity("B2", (("total_current_liabilities", 1), ("total_non_current_liabilities", 1), ("total_liabilities", -1))),
     Identity("B3", (("shareholders_equity", 1), ("minority_interest", 1), ("total_equity", -1))),
-    Identity("B4", (("total_current_assets", 1), ("total_non_current_assets", 1), ("total_assets", -1)), advisory=True),
+    Identity("B4", (("total_current_assets", 1), ("total_non_current_assets", 1), ("total_assets", -1)), advisory=True, by_span=True),
     Identity("B5", (("total_assets", 1), ("total_equity_and_liabilities", -1))),
-    Identity("F4", (("cash_from_operations", 1), ("cash_from_investing", 1), ("cash_from_financing", 1), ("net_change_in_cash", -1)), advisory=True),
-    Identity("F5", (("cash_at_beginning", 1), ("net_change_in_cash", 1), ("fx_adjustments", 1), ("cash_at_end", -1)), advisory=True),
+    Identity("F4", (("cash_from_operations", 1), ("cash_from_investing", 1), ("cash_from_financing", 1), ("net_change_in_cash", -1)), advisory=True, by_span=True),
+    Identity("F5", (("cash_at_beginning", 1), ("net_change_in_cash", 1), ("fx_adjustments", 1), ("cash_at_end", -1)), advisory=True, by_span=True),
     Identity("X4", (("cash_at_end", 1), ("cash_and_equivalents", -1)), advisory=True),
 )
 
@@ -73,6 +77,15 @@ def check_identities(wide: DataFrame, keys: Sequence[str], scale: float = 1.0, i
     return wide.select(*keys, F.explode(F.array(*out)).alias("c")).select(*keys, "c.*").where("residual is not null")
 
 
+def settled(checks: DataFrame, left_out: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Checks whose advisory flag is what the figures say: the identities that are advisory only where figures of their span are
+    left out (``left_out``: keys, rule, of ``relations.unaccounted``) bind where none is."""
+    named = [i.rule for i in IDENTITIES if i.by_span]
+    loose = left_out.select(*keys, "rule").distinct().withColumn("_loose", F.lit(True))
+    joined = checks.join(loose, [*keys, "rule"], "left")
+    return joined.withColumn("advisory", F.when(F.col("rule").isin(*named), F.coalesce("_loose", F.lit(False))).otherwise(F.col("advisory"))).drop("_loose")
+
+
 def confirmed(values: DataFrame, members: DataFrame, checks: DataFrame, cell: Sequence[str], constraint: Sequence[str]) -> tuple[DataFrame, DataFrame]:
     """Values with at least one check that holds, and those dropped for want of one."""
     good = members.join(checks.where("holds"), list(constraint)).select(*cell).distinct()

@@ -8,6 +8,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .totals import LONGEST, is_total, live_runs
 
 def carry(df: DataFrame, keys: Sequence[str], order: Sequence[str], values: dict[str, Column]) -> DataFrame:
     """Each named value as last seen, up to the row, within its key."""
@@ -36,39 +37,22 @@ def sections(df: DataFrame, keys: Sequence[str], order: Sequence[str], starts: C
     return opened.withColumn("section", F.when(alive, F.col("section"))).drop("_open", "_closed", "_place")
 
 
-def running_totals(rows: DataFrame, keys: Sequence[str], order: str, value: str, scale: float = 1.0, shortest: int = 2, longest: int = 40) -> DataFrame:
+def running_totals(rows: DataFrame, keys: Sequence[str], order: str, value: str, label: str, scale: float = 1.0, shortest: int = 2, longest: int = LONGEST) -> DataFrame:
     """Rows confirmed as totals of the rows above them, with the number of parts.
 
-    Rows are walked with a stack of live figures; a row that equals the sum of the shortest suffix of ``shortest`` to
-    ``longest`` of them, within half a unit a part and half a unit, replaces them as a total.  One printed table is walked
-    at a time; its size is that of a page.
+    Only a row without a caption or with that of a total can be one.  Rows are walked with a list of live figures; such a row
+    that equals the sum of the shortest suffix of ``shortest`` to ``longest`` of them, within half a unit a part and half a
+    unit, takes their place.  One printed table is walked at a time; its size is that of a page.
     """
-    schema = rows.schema
-    out = "total_of int"
-    at_value, at_order = value, order
+    ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields) + ", total_of int"
+    marked = rows.withColumn("_closes", is_total(F.col(label)))
 
     def walk(t: pa.Table) -> pa.Table:
-        t = t.sort_by(at_order)
-        stack: list[float] = []
-        parts = []
-        for x in t[at_value].to_pylist():
-            found, total = None, 0.0
-            if x is None:
-                parts.append(None)
-                continue
-            for n in range(1, min(longest, len(stack)) + 1):
-                total += stack[-n]
-                if n >= shortest and abs(total - x) <= (0.5 * n + 0.5) * scale and any(stack[-n:]):
-                    found = n
-                    break
-            if found:
-                del stack[-found:]
-            stack.append(x)
-            parts.append(found)
-        return t.append_column("total_of", pa.array(parts, pa.int32()))
-
-    ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields) + f", {out}"
-    return rows.groupBy(*keys).applyInArrow(walk, ddl)
+        t = t.sort_by(order)
+        found = live_runs(t[value].to_pylist(), t["_closes"].to_pylist(), shortest, longest, scale)
+        return t.drop_columns(["_closes"]).append_column("total_of", pa.array([len(found[i]) if i in found else None for i in range(len(t))], pa.int32()))
+
+    return marked.groupBy(*keys).applyInArrow(walk, ddl)
 
 
 def prefix_total(rows: DataFrame, keys: Sequence[str], order: str, value: str, caption: str) -> DataFrame:

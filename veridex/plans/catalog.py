@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ..functions import dates, num, text
 from ..operators import constraints, dedup, funds, joins, notices, ordered, repair, statements
 from ..sources import readers, sinks
+from ..sources.scratch import written
 from ..streaming import streams
 from . import metrics
 
@@ -291,9 +292,29 @@ WITH n AS (SELECT l_orderkey, count(*) AS n FROM lineitem GROUP BY 1)
 SELECT l_orderkey, CAST(l_linenumber AS INTEGER) AS row, CAST(NULL AS INTEGER) AS total_of FROM lineitem UNION ALL SELECT l_orderkey, 100, CAST(CASE WHEN n >= 2 THEN n END AS INTEGER) FROM n""")
 def running_total_confirm(t):
     """Each order's lines with their printed total below: the total is confirmed as the sum of all its lines."""
-    li = t("lineitem").select("l_orderkey", F.col("l_linenumber").cast("int").alias("row"), (F.col("l_extendedprice") * 1000 + F.col("l_linenumber") * 7).alias("v"))
-    totals = li.groupBy("l_orderkey").agg(F.sum("v").alias("v")).select("l_orderkey", F.lit(100).alias("row"), "v")
-    return ordered.running_totals(li.unionByName(totals), ["l_orderkey"], "row", "v", 0.01).select("l_orderkey", "row", "total_of")
+    li = t("lineitem").select("l_orderkey", F.col("l_linenumber").cast("int").alias("row"), (F.col("l_extendedprice") * 1000 + F.col("l_linenumber") * 7).alias("v"), F.lit("a line").alias("label"))
+    totals = li.groupBy("l_orderkey").agg(F.sum("v").alias("v")).select("l_orderkey", F.lit(100).alias("row"), "v", F.lit("").alias("label"))
+    return ordered.running_totals(li.unionByName(totals), ["l_orderkey"], "row", "v", "label", 0.01).select("l_orderkey", "row", "total_of")
+
+
+@query("""
+WITH l AS (SELECT l_orderkey AS filing, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_extendedprice) AS n, CAST(floor(l_extendedprice) AS BIGINT) + 10000 AS v FROM lineitem),
+s AS (SELECT filing, count(*) AS size, sum(v) AS total FROM l GROUP BY 1)
+SELECT filing, CAST(n AS INTEGER) AS row, CAST(NULL AS INTEGER) AS total_of FROM l UNION ALL
+SELECT filing, 90, NULL FROM s UNION ALL SELECT filing, 91, CAST(CASE WHEN filing % 3 = 0 THEN NULL WHEN size >= 2 THEN size + 1 ELSE 2 END AS INTEGER) FROM s UNION ALL SELECT filing, 92, NULL FROM s UNION ALL SELECT filing, 93, CAST(CASE WHEN filing % 3 <> 0 THEN 2 ELSE 3 END AS INTEGER) FROM s UNION ALL
+SELECT filing, 94, NULL FROM s""")
+def running_totals_by_caption(t):
+    """An item that happens to equal the lines above it is none of their totals; every third captioned total is misread; a nested one."""
+    line = F.struct("l_linenumber", (F.floor("l_extendedprice") + 10_000).cast("long").alias("v"))
+    whole = t("lineitem").groupBy(F.col("l_orderkey").alias("filing")).agg(F.array_sort(F.collect_list(line)).v.alias("v")).withColumn("s", F.aggregate("v", F.lit(0).cast("long"), lambda a, x: a + x))
+    row = lambda at, label, v: F.struct(F.lit(at).alias("row"), F.lit(label).alias("label"), v.cast("double").alias("v"))
+    wrong = F.when(F.col("filing") % 3 == 0, 500).otherwise(0)
+    # the lines, an item of their sum, the total of both, another item, the total of that and all that is live, a last item
+    whole_total = 2 * F.col("s") + wrong
+    tail = [row(90, "an item", F.col("s")), row(91, "total of the above", whole_total), row(92, "other", F.lit(5000)), row(93, "", F.when(wrong == 0, whole_total + 5000).otherwise(F.col("s") + whole_total + 5000)), row(94, "an item", F.lit(1))]
+    lines = F.transform("v", lambda v, i: F.struct((i + 1).alias("row"), F.lit("a line").alias("label"), v.cast("double").alias("v")))
+    rows = whole.select("filing", F.explode(F.concat(lines, F.array(*tail))).alias("x")).select("filing", "x.*")
+    return ordered.running_totals(rows, ["filing"], "row", "v", "label").select("filing", "row", "total_of")
 
 
 # ---- constraints and repair --------------------------------------------------------------------------------------
@@ -337,7 +358,7 @@ def _filings(t, pair: bool = False) -> tuple[DataFrame, DataFrame]:
     and the second figure is misread as well.
     """
     line = F.struct("l_linenumber", (F.floor("l_extendedprice") + 10_000).cast("long").alias("v"))
-    whole = t("lineitem").groupBy(F.col("l_orderkey").cast("string").alias("filing")).agg(F.array_sort(F.collect_list(line)).v.alias("v"))
+    whole = written(t("lineitem").groupBy(F.col("l_orderkey").cast("string").alias("filing")).agg(F.array_sort(F.collect_list(line)).v.alias("v")), "filings")
     first = F.expr("transform(v, (x, i) -> struct(concat('c', i + 1) AS cell, x AS v))")
     total, second = F.expr("struct('t' AS cell, aggregate(v, 0L, (a, x) -> a + x) AS v)"), F.expr("if(size(v) >= 2, array(struct('u' AS cell, v[0] - get(v, 1) AS v)), array())")
     third = F.expr("if(size(v) >= 2, array(struct('w' AS cell, v[0] + 2 * get(v, 1) AS v)), array())")

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..operators import constraints, grids, notices, pages, relations, statements
+from ..operators import constraints, grids, notices, pages, relations, repair, statements, totals
+from ..sources.scratch import written
 from . import metrics
 from .catalog import query
 
@@ -185,10 +186,39 @@ def _two_columns(t) -> DataFrame:
     return lines.unionByName(total)
 
 
-@query(f"WITH {_SQL_LINES}, s AS (SELECT filing, count(*) AS n FROM l GROUP BY 1) SELECT filing, 100 AS total, CAST(1 AS INTEGER) AS first, CAST(n AS INTEGER) AS n FROM s WHERE n >= 2 AND filing % 4 <> 0")
+def _three_columns(t) -> DataFrame:
+    """A balance sheet of each order in three columns: its lines, their uncaptioned total (100), other assets (101) and total assets (102).
+
+    Every third order misreads its first line in the second column; every fourth prints a note number's leftover (99) there alone.
+    """
+    line = F.struct("l_linenumber", (F.floor("l_extendedprice") + 10_000).cast("long").alias("v"))
+    v = written(t("lineitem").groupBy(F.col("l_orderkey").alias("filing")).agg(F.array_sort(F.collect_list(line)).v.alias("v")), "balance-lines")
+    v = v.withColumn("s", F.aggregate("v", F.lit(0).cast("long"), lambda a, x: a + x))
+    cell = lambda x: F.struct(x.cast("double").alias("value"), x.isNotNull().alias("printed"))
+    none, wrong = F.lit(None).cast("double"), F.when(F.col("filing") % 3 == 0, 900).otherwise(0)
+    size = F.size("v")
+    row = lambda place, label, *cells: F.struct(F.lit(place).alias("place") if isinstance(place, int) else place.alias("place"), F.lit(label).alias("label"), F.array(*map(cell, cells)).alias("cells"))
+    lines = F.transform("v", lambda x, i: row(i + 1, "property and others", x, 2 * x + F.when(i == 0, wrong).otherwise(0), 3 * x))
+    sums = [F.col("s"), 2 * F.col("s"), 3 * F.col("s")]
+    tail = [row(99, "loose", none, F.when(F.col("filing") % 4 == 0, 77), none), row(100, "", *sums), row(101, "other assets", *[F.lit(5000)] * 3), row(102, "total assets", *[x + 5000 for x in sums])]
+    # one line alone has no total of its own
+    tail = F.when(size >= 2, F.array(*tail)).otherwise(F.array(tail[0], *tail[2:]))
+    return v.select("filing", F.explode(F.concat(lines, tail)).alias("x")).select("filing", "x.*", F.lit(True).alias("amount"))
+
+
+@query("""
+WITH l AS (SELECT l_orderkey AS filing, count(*) AS n FROM lineitem GROUP BY 1), c AS (SELECT *, CAST(unnest([0, 1, 2]) AS INTEGER) AS col FROM l)
+SELECT filing, col AS "column", CAST(100 AS INTEGER) AS total, CAST(n AS INTEGER) AS parts, CAST(CASE WHEN col = 1 AND filing % 3 = 0 THEN 900 ELSE 0 END AS DOUBLE) AS residual, false AS advisory FROM c WHERE n >= 2 AND NOT (col = 1 AND filing % 4 = 0)
+UNION ALL SELECT filing, col, 102, 2, CASE WHEN n = 1 AND col = 1 AND filing % 3 = 0 THEN 900 ELSE 0 END, false FROM c WHERE n >= 2 OR NOT (col = 1 AND filing % 4 = 0)""")
 def total_runs(t):
-    """A total holds in every column or it is none."""
-    return relations.total_proposals(_two_columns(t), ["filing"]).select("filing", "total", F.col("first").cast("int").alias("first"), F.col("n").cast("int").alias("n"))
+    """A1 of every total in every column, though one column is misread: it fails there, which is how the misreading is found."""
+    rows = written(_three_columns(t), "balance-rows")
+    found = written(totals.total_constraints(rows, ["filing"]), "totals")
+    cells = rows.select("filing", "place", F.posexplode("cells").alias("column", "x")).select("filing", "place", "column", "x.value")
+    terms = totals.total_terms(found, ["filing"])
+    sums = terms.join(cells, ["filing", "column", "place"]).groupBy("filing", "column", "constraint_id").agg(F.sum(F.col("sign") * F.col("value")).alias("residual"))
+    of = found.select("filing", "column", "total", F.size("parts").alias("parts"), "advisory", F.concat(F.lit("A1 "), F.col("total"), F.lit(" c"), F.col("column")).alias("constraint_id"))
+    return of.join(sums, ["filing", "column", "constraint_id"]).select("filing", "column", "total", "parts", "residual", "advisory")
 
 
 @query(f"WITH {_SQL_LINES}, s AS (SELECT filing, count(*) AS n FROM l GROUP BY 1) SELECT filing, 100 AS total, 0 AS column, 1 AS in_column, CAST(-900 AS DOUBLE) AS residual FROM s WHERE filing % 4 = 0")
@@ -210,6 +240,40 @@ def unaccounted_rows(t):
     return relations.unaccounted(rows, own, parts, ["filing"], "identity").select("filing", "row")
 
 
+@query("""
+WITH o AS (SELECT o_custkey AS filing, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) AS n, count(*) OVER (PARTITION BY o_custkey) AS size FROM orders)
+SELECT filing, n AS row, size - n + 1 AS parts FROM o WHERE size >= 2""")
+def nested_totals(t):
+    """Each order of a customer as the total of the next: all that a row adds up, at any depth."""
+    ids = t("orders").groupBy(F.col("o_custkey").alias("filing")).agg(F.array_sort(F.collect_list("o_orderkey")).alias("v")).select("filing", F.posexplode("v").alias("at", "k"))
+    edges = ids.where("at > 0").select("filing", F.col("at").cast("long").alias("total"), (F.col("at") + 1).cast("long").alias("part"))
+    return relations.descendants(edges, ["filing"]).groupBy("filing", "row").agg(F.count("*").alias("parts"))
+
+
+@query("""
+WITH o AS (SELECT o_custkey AS filing, count(*) AS size FROM orders GROUP BY 1), r(rule, own, loose) AS (VALUES ('B1', true, true), ('B2', false, false), ('B4', true, false), ('F4', true, true))
+SELECT filing, rule, loose AND filing % 3 = 0 AS advisory, NOT (filing % 5 = 0) AS holds FROM o, r""")
+def identity_advisories(t):
+    """Identities bind where their cells account for every figure of their span, and are advisory where one is left out.
+
+    A customer's balance: its orders nest below total assets; every third prints one more figure outside; every fifth misreads a total.
+    """
+    o = t("orders").groupBy(F.col("o_custkey").alias("filing")).agg(F.array_sort(F.collect_list("o_orderkey")).alias("v"))
+    o = written(o.select("filing", F.size("v").cast("long").alias("size")), "nested-rows")
+    at = o.select("filing", "size", F.explode(F.sequence(F.lit(1), F.col("size"))).alias("row"))
+    parts = at.where("row < size").select("filing", F.col("row").alias("total"), (F.col("row") + 1).alias("part"))
+    label = F.when(F.col("row") == 1, "total assets").otherwise("an asset")
+    rows = at.select("filing", "row", label.alias("label"), F.lit(50.0).alias("value")).unionByName(o.where("filing % 3 = 0").select("filing", F.lit(-1).cast("long").alias("row"), F.lit("assets held for sale").alias("label"), F.lit(70.0).alias("value"))).unionByName(o.select("filing", F.lit(-2).cast("long").alias("row"), F.lit("authorised capital").alias("label"), F.lit(9.0).alias("value")))
+    spans = rows.crossJoin(F.broadcast(o.sparkSession.sql("SELECT * FROM VALUES ('B1'), ('F4') AS r(rule)")))
+    spans = spans.unionByName(rows.where("row <> -1").withColumn("rule", F.lit("B4")))
+    cells = o.select("filing", F.lit(1).cast("long").alias("row"), F.explode(F.array(*map(F.lit, ("B1", "B4", "F4")))).alias("rule"))
+    left_out = relations.unaccounted(spans, cells, parts, ["filing"], "rule")
+    wide = o.select("filing", F.lit(60.0).alias("total_equity"), F.lit(40.0).alias("total_liabilities"), F.when(F.col("filing") % 5 == 0, 190.0).otherwise(100.0).alias("total_assets"), F.lit(15.0).alias("total_current_liabilities"), F.when(F.col("filing") % 5 == 0, 75.0).otherwise(25.0).alias("total_non_current_liabilities"),
+                    F.lit(30.0).alias("total_current_assets"), F.lit(70.0).alias("total_non_current_assets"), *[F.lit(v).alias(c) for c, v in (("cash_from_operations", 5.0), ("cash_from_investing", -2.0), ("cash_from_financing", -1.0))], F.when(F.col("filing") % 5 == 0, 22.0).otherwise(2.0).alias("net_change_in_cash"))
+    checks = constraints.check_identities(wide, ["filing"])
+    return constraints.settled(checks, left_out, ["filing"]).select("filing", "rule", "advisory", "holds")
+
+
 @query("""
 SELECT o_orderkey, CASE WHEN o_orderkey % 3 = 0 THEN 'charge' WHEN o_orderkey % 3 = 1 THEN 'credit' ELSE 'as printed' END AS form, o_orderkey % 3 <> 2 AS holds, CAST(CASE WHEN o_orderkey % 3 = 2 THEN 500 ELSE 0 END AS DOUBLE) AS residual FROM orders""")
 def tax_forms(t):
