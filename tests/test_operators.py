@@ -103,10 +103,22 @@ def test_layout_lines(spark):
     assert [r.line.split() for r in got] == [["Cash", "12"], ["Debt"]] and got[0].confidence == 85.0
 
 
-def test_chunks_respect_both_limits(spark):
-    df = spark.range(100).select("id", F.lit("x" * 10).alias("t"))
-    got = sinks.chunks(df, ["id"], F.length("t"), 45, 3).groupBy("part", "chunk").count().collect()
-    assert max(r["count"] for r in got) == 3 and sum(r["count"] for r in got) == 100
+def test_chunks_are_those_of_one_walk(spark):
+    import random
+
+    r = random.Random(4)
+    sizes = [r.choice((0, 1, 5, 9, 30, 80)) for _ in range(400)]
+    df = spark.createDataFrame([(i, "x" * n) for i, n in enumerate(sizes)], "id int, t string").repartition(5)
+    for most, many, block in ((45, 3, 4), (1, 1000, 1000), (1000, 7, 16), (60, 60, 60), (10**6, 10**6, 16)):
+        want, held, n, number = [], 0, 0, 0
+        for size in sizes:
+            if n and (held + size > most or n >= many):
+                held, n, number = 0, 0, number + 1
+            held, n = held + size, n + 1
+            want.append(number)
+        got = {x.id: x.chunk for x in sinks.chunks(df, ["id"], F.length("t"), most, many, block).collect()}
+        assert [got[i] for i in range(len(sizes))] == want, (most, many, block)
+    assert sinks.chunks(df.where("false"), ["id"], F.length("t"), 5, 5).count() == 0
 
 
 def test_publish_and_records_round_trip(spark, tmp_path):
@@ -239,9 +251,9 @@ def test_parts_that_no_column_tested_and_rows_within(spark):
 def test_a_heading_speaks_for_a_total_that_no_column_proves(spark):
     from veridex.operators import totals
 
-    base = _table(spark, [1000.0, 2000.0, 77.0, 5000.0], labels={3: "total current assets"})
-    d = base.withColumn("under", F.when(F.col("place") < 3, "current_assets")).withColumn("closes", F.when(F.col("place") == 3, "current_assets")).withColumn("skip", F.col("place") == 2)
-    assert rows(totals.total_constraints(d, ["t"]).select("total", "parts", "advisory")) == [(3, [0, 1], True)]
+    base = _table(spark, [50.0, 1000.0, 2000.0, 5000.0], labels={3: "total current assets"})
+    d = base.withColumn("under", F.when(F.col("place") < 3, "current_assets")).withColumn("closes", F.when(F.col("place") == 3, "current_assets")).withColumn("skip", F.col("place") == 0)
+    assert rows(totals.total_constraints(d, ["t"]).select("total", "parts", "advisory")) == [(3, [1, 2], True)]
 
 
 _CELLS, _TERMS = "filing string, cell string, raw string, value double", "filing string, constraint_id string, cell string, sign double, tolerance double, advisory boolean"

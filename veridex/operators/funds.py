@@ -199,6 +199,12 @@ def refusal(body: Column, status: Column) -> Column:
 
 
 def snapshot(perf: DataFrame, price: DataFrame, expense: DataFrame) -> DataFrame:
-    """One row a fund over the performance and price pages; of repeated ids on a page the last row counts."""
-    last = lambda df: df.groupBy("fund_id").agg(*[F.last(c).alias(c) for c in df.columns if c != "fund_id"])
+    """One row a fund over the performance and price pages; of repeated ids on a page the last row counts (by ``place``, its
+    number on the page, where there is one, else the greatest row)."""
+
+    def last(df: DataFrame) -> DataFrame:
+        rest = [c for c in df.columns if c not in ("fund_id", "place")]
+        by = F.col("place") if "place" in df.columns else F.to_json(F.struct(*rest))
+        return df.groupBy("fund_id").agg(F.max_by(F.struct(*rest), by).alias("x")).select("fund_id", "x.*")
+
     return merge_by_key(last(perf), last(price), last(expense), "fund_id", ("name", "sector", "category"), ("nav", "validity_date"))

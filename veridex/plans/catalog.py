@@ -491,9 +491,13 @@ def text_pages(t):
 
 
 @query("""
-SELECT doc_id, CAST((row_number() OVER w - 1) // 250 AS BIGINT) AS part, CAST(coalesce(sum(strlen(text)) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) // 524288 AS BIGINT) AS chunk FROM documents WINDOW w AS (ORDER BY doc_id)""")
+WITH RECURSIVE r AS (SELECT row_number() OVER (ORDER BY doc_id) AS i, doc_id, strlen(text) + 1 AS size FROM documents),
+f AS (SELECT i, doc_id, size AS bytes, 1 AS n, 0 AS chunk FROM r WHERE i = 1
+ UNION ALL SELECT r.i, r.doc_id, CASE WHEN f.bytes + r.size > 200000 OR n >= 90 THEN r.size ELSE f.bytes + r.size END, CASE WHEN f.bytes + r.size > 200000 OR n >= 90 THEN 1 ELSE n + 1 END, chunk + CASE WHEN f.bytes + r.size > 200000 OR n >= 90 THEN 1 ELSE 0 END FROM f JOIN r ON r.i = f.i + 1)
+SELECT doc_id, CAST(chunk AS BIGINT) AS chunk FROM f""")
 def chunk_by_bytes(t):
-    return sinks.chunks(t("documents").select("doc_id", "text"), ["doc_id"], F.octet_length("text"), 1 << 20, 250).select("doc_id", "part", "chunk")
+    """Documents in files of at most 200,000 bytes and 90 rows, each filled before the next is begun."""
+    return sinks.chunks(t("documents").select("doc_id", "text"), ["doc_id"], F.octet_length("text") + 1, 200_000, 90).select("doc_id", "chunk")
 
 
 # ---- notices and funds -------------------------------------------------------------------------------------------

@@ -4,10 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark import StorageLevel
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from .scratch import written
+
 # Limits of a submitted payload.
 MAX_PAGES, MAX_TEXT = 150, 300
 
@@ -32,19 +35,74 @@ def payload(figures: DataFrame, version: int = 2, most: int = MAX_PAGES) -> Data
     return filing.select("filing", F.to_json(F.struct(F.lit(version).alias("schemaVersion"), "periods", "pages")).alias("payload"))
 
 
-def chunks(df: DataFrame, order: Sequence[str], size: Column, max_bytes: int, max_rows: int) -> DataFrame:
-    """Number of the chunk of each row: rows in order, a chunk closed before it passes ``max_bytes`` or ``max_rows``.
+#: Rows of a block in which cuts are followed, at least; a chunk never reaches beyond the next block.
+BLOCK_ROWS = 1 << 14
+
+
+def chunks(df: DataFrame, order: Sequence[str], size: Column, max_bytes: int, max_rows: int, block_rows: int = BLOCK_ROWS) -> DataFrame:
+    """``chunk``, from 0: rows in order, a chunk closed before a row that would take it over ``max_bytes`` or ``max_rows``.
 
-    A chunk's end depends on all rows before it, so sizes are first summed over ranges of the order.  The rows' running
-    places are cut at multiples of ``max_rows`` (``part``) and their sizes at multiples of half of ``max_bytes`` (``chunk``):
-    a part and chunk together pass neither limit, unless a row alone is over half of it; numbers rise with the order and
-    don't depend on how rows are dealt to tasks.
+    A larger row is a chunk of its own.  Each cut depends on the one before, so the rows' places and sums of sizes (``running``)
+    are dealt to blocks of places, each with the rows that a chunk open at its end can still take.  A block tells, for every row
+    at which a chunk could start in it, where the first chunk of the next block would start; these jumps are joined
+    with themselves, twice as far each round, until every block knows its own start.  The result is that of one walk over all rows.
     """
+    block_rows = max(block_rows, max_rows)
     names = df.columns
-    sized = df.withColumn("_size", size.cast("long"))
-    placed = running(sized, order, "_size")
-    number = lambda c, step: F.floor(F.col(c) / max(1, step)).cast("long")
-    return placed.select(*names, number("_place", max_rows).alias("part"), number("_before", max_bytes // 2).alias("chunk"))
+    placed = written(running(df.withColumn("_size", size.cast("long")), order, "_size"), "chunk-rows")
+    at = placed.select("_place", "_before", "_size")
+    block = F.floor(F.col("_place") / block_rows).cast("long")
+    # the first rows of a block are the tail of the one before
+    tail = at.where((F.col("_place") % block_rows < max_rows) & (F.col("_place") >= block_rows)).withColumn("_block", block - 1)
+    blocks = at.withColumn("_block", block).unionByName(tail)
+
+    def follow(t: pa.Table, entries: np.ndarray | None):
+        t = t.sort_by("_place")
+        place, before, own = (t[c].to_numpy() for c in ("_place", "_before", "_size"))
+        number = t["_block"][0].as_py()
+        n = min(block_rows, len(place))
+        # the first row that doesn't fit any more, at least the next
+        cut = np.searchsorted(before + own, before[:n] + max_bytes, "right")
+        nxt = np.minimum(np.maximum(cut, np.arange(n) + 1), np.arange(n) + max_rows)
+        if entries is not None:
+            starts, i = [], int(entries[0])
+            while i < n:
+                starts.append(i)
+                i = int(nxt[i])
+            return number, place[starts]
+        for i in range(n - 1, -1, -1):  # where a chunk that starts here leads in the next block
+            if nxt[i] < n:
+                nxt[i] = nxt[nxt[i]]
+        return number, nxt[:max_rows] - n
+
+    def jumps(t: pa.Table) -> pa.Table:
+        number, away = follow(t, None)
+        return pa.table({"_block": np.full(len(away), number), "_at": np.arange(len(away)), "_next": away})
+
+    def begin(left: pa.Table, right: pa.Table) -> pa.Table:
+        if not len(left) or not len(right):
+            return pa.table({"_block": pa.array([], pa.int64()), "_place": pa.array([], pa.int64())})
+        number, starts = follow(left, right["_at"].to_numpy())
+        return pa.table({"_block": np.full(len(starts), number), "_place": starts})
+
+    n_blocks = (placed.agg(F.max("_place")).first()[0] or 0) // block_rows + 1
+    jump = written(blocks.groupBy("_block").applyInArrow(jumps, "_block long, _at long, _next long"), "chunk-jumps")
+    entry = df.sparkSession.range(1).select(F.col("id").alias("_block"), F.col("id").alias("_at"))
+    reach = 1
+    while reach < n_blocks:
+        ahead = entry.join(jump, ["_block", "_at"]).select((F.col("_block") + reach).alias("_block"), F.col("_next").alias("_at"))
+        entry = written(entry.union(ahead), "chunk-entries")
+        then = jump.select((F.col("_block") - reach).alias("_block"), F.col("_at").alias("_next"), F.col("_next").alias("_then"))
+        jump = written(jump.join(then, ["_block", "_next"]).select("_block", "_at", F.col("_then").alias("_next")), "chunk-jumps")
+        reach *= 2
+    starts = blocks.groupBy("_block").cogroup(entry.groupBy("_block")).applyInArrow(begin, "_block long, _place long")
+    starts = written(starts, "chunk-starts")
+    # a chunk's number: the starts of the blocks before and of its own
+    counts = starts.groupBy("_block").agg(F.count("*").alias("_n"))
+    first = counts.select("_block", (F.sum("_n").over(Window.orderBy("_block")) - F.col("_n")).alias("_first"))  # one row a block
+    marked = placed.withColumn("_block", block).join(starts.withColumn("_new", F.lit(1)), ["_block", "_place"], "left").join(first, "_block")
+    w = Window.partitionBy("_block").orderBy("_place").rowsBetween(Window.unboundedPreceding, 0)
+    return marked.withColumn("chunk", (F.col("_first") + F.coalesce(F.sum("_new").over(w), F.lit(0)) - 1).cast("long")).select(*names, "chunk")
 
 
 def running(df: DataFrame, order: Sequence[str], size: str) -> DataFrame:
@@ -54,7 +112,7 @@ def running(df: DataFrame, order: Sequence[str], size: str) -> DataFrame:
     """
     n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     # ranges come from a sample, so both readers below must see the same ones
-    ordered = df.repartitionByRange(n, *order).sortWithinPartitions(*order).withColumn("_part", F.spark_partition_id()).persist(StorageLevel.DISK_ONLY)
+    ordered = written(df.repartitionByRange(n, *order).sortWithinPartitions(*order).withColumn("_part", F.spark_partition_id()), "ranges")
     w = Window.partitionBy("_part").orderBy(*order)
     local = ordered.withColumns({"_place": F.row_number().over(w) - 1, "_before": F.coalesce(F.sum(size).over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))})
     totals = ordered.groupBy("_part").agg(F.count("*").alias("_rows"), F.sum(size).alias("_bytes"))
@@ -72,8 +130,8 @@ def publish(records: DataFrame, path: str, max_bytes: int = 150 << 20, max_rows:
 
     spark: SparkSession = records.sparkSession
     version = f"{path}/{uuid.uuid4().hex}"
-    cut = chunks(records, ["key"], F.length(F.to_json(F.struct(*records.columns))), max_bytes, max_rows)
-    cut = cut.withColumn("asset", F.concat_ws("-", "part", "chunk")).drop("part", "chunk")
+    cut = chunks(records, ["key"], F.octet_length(F.to_json(F.struct(*records.columns))) + 1, max_bytes, max_rows)  # with its line end
+    cut = cut.withColumn("asset", F.col("chunk").cast("string")).drop("chunk")
     cut.write.partitionBy("asset").option("compression", "gzip").json(f"{version}/records")
     written = spark.read.schema(cut.schema).json(f"{version}/records")
     written.select("key", "asset", "text_version", "extracted_at", "symbol").write.parquet(f"{version}/index")
@@ -104,8 +162,8 @@ def payload_v1(figures: DataFrame, titles: DataFrame) -> DataFrame:
 
 def outcomes(submitted: DataFrame, known: DataFrame, valid: Column, keys: Sequence[str]) -> DataFrame:
     """Each submitted row with its outcome: rejected if it is not valid, duplicate if it is known already or repeats an earlier
-    row of the submission, else accepted."""
-    first = F.row_number().over(Window.partitionBy(*keys).orderBy(F.lit(1)))
+    row of the submission, else accepted.  Rows of one key are taken in order of all their columns."""
+    first = F.row_number().over(Window.partitionBy(*keys).orderBy(*[F.to_json(F.struct(c)) for c in submitted.columns]))
     seen = known.select(*keys).distinct().withColumn("_known", F.lit(True))
     joined = submitted.withColumn("_valid", F.coalesce(valid, F.lit(False))).withColumn("_n", F.when(F.col("_valid"), first)).join(seen, list(keys), "left")
     outcome = F.when(~F.col("_valid"), "rejected").when(F.col("_known") | (F.col("_n") > 1), "duplicate").otherwise("accepted")
