@@ -111,11 +111,3 @@ def record_key(url: Column) -> Column:
 def letters_to_zero(text: Column) -> Column:
     """The letter O between digits is a zero."""
     return F.regexp_replace(text, r"(?<=[0-9,.])[Oo](?=[0-9,.]|$)", "0")
-
-
-def person(text: Column) -> Column:
-    """A person's name without titles and roles; null if what is left is not a name."""
-    t = F.regexp_replace(text, r"(?i)\b(mr|mrs|ms|dr|syed|ch)\b\.?", " ")
-    t = F.regexp_replace(t, r"(?i)\b(chief executive( officer)?|ceo|cfo|director|chairman|company secretary|executive|spouse|sponsor)\b.*$", " ")
-    t = squeeze(F.regexp_replace(t, r"[^\p{L} .'-]", " "))
-    return F.when(t.rlike(r"^\p{L}[\p{L}.'-]+( \p{L}[\p{L}.'-]*)+$"), t)

@@ -524,12 +524,73 @@ def payout_notices(t):
     return notices.payouts(t("orders").select(k.alias("id"), body.alias("text"))).select("id", "cash_percent", "bonus_percent", "closure_from")
 
 
-@query("SELECT CAST(o_orderkey AS VARCHAR) AS id, 'John Smith' AS person, CASE WHEN o_orderkey % 2 = 0 THEN 'buy' ELSE 'sell' END AS action, CAST(o_orderdate AS DATE) AS dealt_on, CAST(o_orderkey % 900 + 1000 AS DOUBLE) AS quantity, 25.5 AS rate FROM orders")
+#: Layouts of insider tables: names above, below and around their figures, dates over two lines, shares before the nature, whole
+#: rates, a letterhead under the table.  {q} shares, {r} rate, {h} holding, {d} {n} {p} a date in three forms, {a} {b} its halves.
+_INSIDER = (
+    """Subject: Disclosure of Interest
+             Name and                                                              Holding after
+ Sr.   Description        Form     Market      Date         Nature     Shares      Rate     Number of shares     %
+           Farah Sample
+  1                        CDC     Ready     {d}     Buy       {q}      {r}     {h}       1.50
+        (Elected Director)
+You may please inform the members.
+""",
+    """are as follows
+  No.   Name of Holder          Form     Market     Date       Nature     Number     Average Price    Shareholding    Percentage
+  1     Sample Mills            CDC      Ready      {a}     Sale       {q}       {r}            {h}       0.51
+        (Pvt.) Limited                              {b}
+We confirm that this is so
+""",
+    """are as follows
+       Name of Person           Form   Market        Date         Nature      Shares       Rate       Balance of shares
+       Mr. Omar Sample                 Through
+                                CDC                {d}     Purchase      {q}      {r}     {h}
+       (Director)                      cc
+                                CDC                {d}     Purchase          5      {r}     {i}
+Yours Sincerely,
+""",
+    """are as follows
+  S. No.       Name             Shares     Nature of     Rate per share      Date          Form
+     1     Nadia Sample          {q}     Buy             {r}           {p}    Electronic
+                                 {q}     Sell            {r}           {p}    Electronic
+You may please inform the members.
+""",
+    """are as follows
+    Name of Person                      Date of Trade      Nature of Trade      No. of shares      Rate      Market
+    Ms. Hina Sample                     {n}        Sell                 {q}              117       Ready
+    (Senior Management)
+We confirm that this is so
+""",
+    """are as follows
+   Name of Holder          Form      Market      Date         Nature     Shares     Rate       Number of shares     Percentage
+   M/s. Sample
+   Holdings (Pvt.)
+1.                         CDC       Ready     {d}     Buy       {q}     {r}     {h}     91.80%
+   (Substantial
+   Shareholder)
+                                                                            Sample House,
+                                                                            Canal Road, Lahore
+                                                                            Tel 042111222333
+""",
+)
+
+
+@query("""
+WITH o AS (SELECT o_orderkey AS k, CAST(CAST(o_orderdate AS DATE) + INTERVAL 20 YEAR AS DATE) AS d, CAST(o_orderkey % 900 + 1000 AS DOUBLE) AS q, CAST(o_orderkey % 7 + 25.5 AS DOUBLE) AS r FROM orders),
+x(i, row, person, designation, action, market, five, holding, percent, confidence) AS (VALUES
+ (0, 4, 'Farah Sample', 'Elected Director', 'buy', 'Ready', 0, 1, 1.5, 0.9), (1, 2, 'Sample Mills (Pvt.) Limited', NULL, 'sell', 'Ready', 0, 1, 0.51, 0.75), (2, 3, 'Mr. Omar Sample', NULL, 'buy', NULL, 0, 1, NULL, 0.9), (2, 5, 'Mr. Omar Sample', 'Director', 'buy', NULL, 5, 1, NULL, 0.7),
+ (3, 2, 'Nadia Sample', NULL, 'buy', NULL, 0, 0, NULL, 0.9), (3, 3, 'Nadia Sample', NULL, 'sell', NULL, 0, 0, NULL, 0.7), (4, 2, 'Ms. Hina Sample', 'Senior Management', 'sell', NULL, 0, 0, NULL, 0.9), (5, 4, 'M/s. Sample Holdings (Pvt.)', 'Substantial Shareholder', 'buy', 'Ready', 0, 1, 91.8, 0.9))
+SELECT CAST(k AS VARCHAR) AS id, CAST(row AS INTEGER) AS row, person, designation, action, d AS dealt_on, CASE WHEN five > 0 THEN 5.0 ELSE q END AS quantity, CASE WHEN i = 4 THEN 117.0 ELSE r END AS rate, market, CASE WHEN holding = 1 THEN q + 1000000 + five END AS holding, CAST(percent AS DOUBLE) AS percent, CAST(confidence AS DOUBLE) AS confidence
+FROM o JOIN x ON k % 6 = i""")
 def insider_dealings(t):
-    k = F.col("o_orderkey")
-    line = F.concat(F.lit("Mr. John Smith "), F.when(k % 2 == 0, "Buy ").otherwise("Sell "), F.date_format("o_orderdate", "dd-MM-yyyy"), F.lit(" "), F.format_number(k % 900 + 1000, 0), F.lit(" 25.5"))
-    rows = t("orders").select(k.alias("id"), F.date_add(F.to_date("o_orderdate"), 1).alias("published_at"), F.concat(F.lit("Name Nature Date Shares Rate\n"), line).alias("text"))
-    return notices.insider(rows).select("id", "person", "action", "dealt_on", "quantity", "rate")
+    """Every order, twenty years later, as a notice in one of six layouts, all fields."""
+    k, day = F.col("o_orderkey"), F.add_months(F.to_date("o_orderdate"), 240)
+    text = F.get(F.array(*map(F.lit, _INSIDER)), (k % 6).cast("int"))
+    q, h = k % 900 + 1000, k % 900 + 1001000
+    form = lambda f: F.date_format(day, f)
+    for name, value in (("q", F.format_number(q, 0)), ("r", F.format_string("%.2f", k % 7 + 25.5)), ("h", F.format_number(h, 0)), ("i", F.format_number(h + 5, 0)), ("d", form("dd-MM-yyyy")), ("n", form("dd-MMM-yyyy")), ("p", form("dd.MM.yyyy")), ("a", form("dd-MM-")), ("b", form("yyyy"))):
+        text = F.replace(text, F.lit("{" + name + "}"), value)
+    return notices.insider(t("orders").select(k.alias("id"), F.date_add(day, 1).alias("published_at"), text.alias("text")))
 
 
 def _fund_page(t, kind: str, header: list[str], cells: list[Column], handler: bool = False) -> DataFrame:
