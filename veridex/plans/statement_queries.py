@@ -136,7 +136,7 @@ def _cells(t, right: bool = False) -> DataFrame:
     tops = [cell(0, 0, F.lit("ASSETS"), header=True), cell(0, 1, F.lit("Note")), cell(0, 2, F.lit("2024 2023 (Rupees)"), 2, True), cell(1, 3, F.lit("restated"), header=True)]
     row = 2 * F.col("n")
     body = [cell(row, 0, F.concat(F.lit("heading "), F.col("n"))), cell(row + 1, 0, F.concat(F.lit("Line  "), F.col("n"))), cell(row + 1, 1, F.col("n").cast("string")), cell(row + 1, 2, F.format_number("v", 0)), cell(row + 1, 3, F.lit("-"))]
-    lines = _lines(t).where("v > 99")
+    lines = written(_lines(t), "grid-lines")
     head = lines.select("filing").distinct().select("filing", F.explode(F.array(*tops)).alias("x"))
     all_cells = head.union(lines.select("filing", F.explode(F.array(*body)).alias("x"))).select("filing", F.lit(1).alias("page"), F.lit(0).alias("table_no"), "x.*")
     if not right:
@@ -147,7 +147,7 @@ def _cells(t, right: bool = False) -> DataFrame:
 
 
 @query(f"""
-WITH {_SQL_LINES}, k AS (SELECT *, row_number() OVER (PARTITION BY filing ORDER BY n) AS place FROM l WHERE v > 99)
+WITH {_SQL_LINES}, k AS (SELECT *, row_number() OVER (PARTITION BY filing ORDER BY n) AS place FROM l)
 SELECT filing, 'p1.r' || (2 * n + 1) AS row_id, 'Line ' || n AS label, CAST(n AS VARCHAR) AS note, CAST(v AS DOUBLE) AS this_year, CAST(0 AS DOUBLE) AS last_year,
  CASE WHEN place = 1 THEN 'ASSETS|' ELSE '' END || 'heading ' || n AS headings, '(Rupees) 2024|(Rupees) restated 2023' AS headers FROM k""")
 def table_rows(t):
@@ -156,14 +156,14 @@ def table_rows(t):
     return rows.select("filing", "row_id", "label", "note", F.col("values")[0].alias("this_year"), F.col("values")[1].alias("last_year"), F.array_join("headings", "|").alias("headings"), F.array_join("headers", "|").alias("headers"))
 
 
-@query(f"WITH {_SQL_LINES} SELECT filing, CASE WHEN count(*) >= 3 THEN 2 ELSE 1 END AS tables, CASE WHEN count(*) >= 3 THEN 'ASSETS' ELSE 'LIABILITIES' END AS first_heading FROM l WHERE v > 99 GROUP BY 1")
+@query(f"WITH {_SQL_LINES} SELECT filing, CASE WHEN count(*) >= 3 THEN 2 ELSE 1 END AS tables, CASE WHEN count(*) >= 3 THEN 'ASSETS' ELSE 'LIABILITIES' END AS first_heading FROM l GROUP BY 1")
 def spread_halves(t):
     """Two grids printed beside each other are told apart from three lines on, the assets first."""
     parted = grids.halves(_cells(t, right=True))
     return parted.groupBy("filing").agg(F.count_distinct("half").cast("int").alias("tables"), F.max(F.when((F.col("half") == 0) & (F.col("row") == 0) & (F.col("col") == 0), F.col("text"))).alias("first_heading"))
 
 
-@query(f"WITH {_SQL_LINES} SELECT filing, 1 AS page, string_agg('Line ' || n || ' | ' || n || ' | ' || format('{{:,}}', v) || ' | -', chr(10) ORDER BY n) AS text FROM l WHERE v > 99 GROUP BY 1")
+@query(f"WITH {_SQL_LINES} SELECT filing, 1 AS page, string_agg('Line ' || n || ' | ' || n || ' | ' || format('{{:,}}', v) || ' | -', chr(10) ORDER BY n) AS text FROM l GROUP BY 1")
 def page_evidence(t):
     return grids.evidence_text(grids.statement_rows(_cells(t)))
 
@@ -306,10 +306,10 @@ def starting_ties(t):
     return relations.starting_ties(relations.starting_profit(rows, ["filing"]), income, ["filing"]).select("filing", "rule", F.round("residual", 4).alias("residual"), "advisory")
 
 
-@query(f"WITH {_SQL_LINES} SELECT a.filing, CAST(a.n AS INTEGER) AS low, CAST(b.n AS INTEGER) AS high, CAST(a.v * 1000 - b.v AS DOUBLE) AS residual FROM l a JOIN l b ON a.filing = b.filing AND a.n = 1 AND b.n = 2")
+@query(f"WITH {_SQL_LINES} SELECT a.filing, CAST(a.n AS INTEGER) AS low, CAST(b.n AS INTEGER) AS high, CAST(CASE WHEN a.n = 1 THEN a.v * 1000 ELSE a.v END - b.v AS DOUBLE) AS residual FROM l a JOIN l b ON a.filing = b.filing AND a.n < b.n")
 def repeated_items(t):
-    """The first two lines of an order as one item printed in two tables, the first in thousands."""
-    v = _lines(t).where("n <= 2").select("filing", F.lit("revenue").alias("item"), F.col("n").alias("table_no"), (F.col("v") * 1.0).alias("value"), F.when(F.col("n") == 1, 1000.0).otherwise(1.0).alias("scale"))
+    """The lines of an order as one item printed in a table each, the first in thousands."""
+    v = _lines(t).select("filing", F.lit("revenue").alias("item"), F.col("n").alias("table_no"), (F.col("v") * 1.0).alias("value"), F.when(F.col("n") == 1, 1000.0).otherwise(1.0).alias("scale"))
     return relations.repeated_items(v, ["filing"]).select("filing", "low", "high", "residual")
 
 
@@ -341,15 +341,16 @@ def par_values(t):
     return relations.par_value(d, dates).select("filing", "period_end", "value")
 
 
-@query(f"WITH {_SQL_LINES}, s AS (SELECT filing, count(*) AS n FROM l WHERE v >= 1000 GROUP BY 1) SELECT l.filing, CAST(l.n AS INTEGER) AS column FROM l JOIN s USING (filing) WHERE s.n >= 2 AND filing % 3 <> 0 AND v >= 1000")
+@query(f"WITH {_SQL_LINES}, s AS (SELECT filing, count(*) AS n FROM l GROUP BY 1) SELECT l.filing, CAST(l.n AS INTEGER) AS column FROM l JOIN s USING (filing) WHERE s.n >= 2 AND filing % 3 <> 0")
 def eps_checks(t):
-    """Columns of one share count, where every third order misreads its first EPS."""
-    lines = _lines(t).where("v >= 1000")
+    """Columns of one share count, where every third order misreads its first EPS; half a cent is far less than a line's figure."""
     shares = F.lit(1000.0)
-    value = F.round(F.col("v") / shares, 2) * F.when((F.col("filing") % 3 == 0) & (F.col("n") == F.col("_first")), 10).otherwise(1)
-    lines = lines.join(lines.groupBy("filing").agg(F.min("n").alias("_first"), F.count("*").alias("_size")), "filing")
-    eps = lines.select("filing", F.col("n").alias("column"), F.lit("eps_basic").alias("item"), value.alias("value"))
-    profits = lines.select("filing", F.col("n").alias("column"), F.lit(None).cast("double").alias("owners"), (F.col("v") * 1.0).alias("after_tax"))
+    lines = _lines(t).withColumn("p", (F.col("v") + 1000) * 1.0)
+    wrong = (F.col("filing") % 3 == 0) & (F.col("n") == 1)
+    value = F.round(F.col("p") / shares, 2) * F.when(wrong, 10).otherwise(1)
+    both = lines.select("filing", F.col("n").alias("column"), value.alias("value"), "p")
+    eps = both.select("filing", "column", F.lit("eps_basic").alias("item"), "value")
+    profits = both.select("filing", "column", F.lit(None).cast("double").alias("owners"), F.col("p").alias("after_tax"))
     return relations.confirmed_eps(eps, profits, ["filing", "column"], ["filing"]).select("filing", "column")
 
 
