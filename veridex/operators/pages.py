@@ -176,14 +176,14 @@ def line_rows(pages: DataFrame) -> DataFrame:
     return rows.select("filing", "page_number", "line_no", "segment", F.when(alone, F.col("_above")).otherwise(F.col("caption")).alias("caption"), "leading", "numbers", F.when(F.col("segment") == 0, F.coalesce("headings", no_headings)).otherwise(no_headings).alias("headings"))
 
 
-def pages_to_scan(pages: DataFrame, policy: str = "if_needed", leading: int = 3, needed: DataFrame | None = None) -> DataFrame:
+def pages_to_scan(pages: DataFrame, policy: str = "if_needed", leading: int = 3, needed: DataFrame | None = None, least: int = 80) -> DataFrame:
     """The pages that a policy sends to character recognition: ``always`` all, ``leading`` the first few, ``if_needed`` the
-    sparse pages (under 80 characters) of the filings in ``needed``."""
+    sparse pages (under ``least`` characters) of the filings in ``needed``."""
     if policy == "always":
         return pages
     if policy == "leading":
         return pages.where(F.col("page_number") <= leading)
-    sparse = pages.where(F.length(F.trim("text")) < 80)
+    sparse = pages.where(F.length(F.trim("text")) < least)
     return sparse if needed is None else sparse.join(needed.select("filing").distinct(), "filing", "left_semi")
 
 

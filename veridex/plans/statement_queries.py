@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..operators import constraints, grids, notices, pages, relations, repair, statements, totals
 from ..sources.scratch import written
-from . import metrics
+from . import filings, metrics
 from .catalog import query
 
 
@@ -104,10 +104,10 @@ WITH p AS (SELECT source AS filing, doc_id AS page_number, length(trim(text)) <
 SELECT filing, page_number, row_number() OVER (PARTITION BY filing ORDER BY page_number) AS subset_number FROM p SEMI JOIN n USING (filing) WHERE sparse""")
 def scanned_subset(t):
     """Sparse pages of the sources that have several, sent away as a subset and numbered back."""
-    d = t("documents").select(F.col("source").alias("filing"), F.col("doc_id").alias("page_number"), F.substring(F.trim("text"), 321, 100).alias("text"))
-    sparse = d.where(F.length("text") < 80)
+    d = t("documents").select(F.col("source").alias("filing"), F.col("doc_id").alias("page_number"), "text")
+    sparse = d.where(F.length(F.trim("text")) < 400)
     needed = sparse.groupBy("filing").agg(F.count("*").alias("n")).where("n > 1")
-    numbers = pages.subset(pages.pages_to_scan(d, needed=needed))
+    numbers = pages.subset(pages.pages_to_scan(d, needed=needed, least=400))
     read = numbers.select("filing", F.col("subset_number").cast("int").alias("subset_number"), (F.col("subset_number") * 1).alias("kept"))
     return pages.restored(read, numbers).select("filing", "page_number", F.col("kept").alias("subset_number"))
 
@@ -370,6 +370,67 @@ def published_release(t):
     return relations.published(index, index.where("asset % 9 <> 0"), ["symbol"]).select("symbol", "release", "asset")
 
 
+# ---- statements from grids to figures -------------------------------------------------------------------------------
+
+#: Rows of a printed filing: headings above, caption, figure by the year's v and k.
+_INCOME = (("", "Revenue", "10 * v"), ("", "Cost of sales", "-6 * v"), ("", "Gross profit", "4 * v"), ("", "Administrative expenses", "-v"), ("", "Operating profit", "3 * v"), ("", "Finance cost", "-k"), ("", "Profit before taxation", "3 * v - k"), ("", "Taxation", "-floor(v / 2)"), ("", "Profit for the year", "3 * v - k - floor(v / 2)"))
+_BALANCE = (
+    ("ASSETS|NON-CURRENT ASSETS", "Property, plant and equipment", "5 * v"), ("CURRENT ASSETS", "Stock in trade", "2 * v"), ("", "Trade debts", "v"), ("", "Cash and bank balances", "k"), ("", "Total current assets", "3 * v + k"), ("", "TOTAL ASSETS", "8 * v + k"),
+    ("EQUITY AND LIABILITIES|SHARE CAPITAL AND RESERVES", "Share capital", "1000"), ("", "Unappropriated profit", "4 * v - 1000"), ("", "Total equity", "4 * v"), ("CURRENT LIABILITIES", "Trade and other payables", "4 * v + k"), ("", "TOTAL EQUITY AND LIABILITIES", "8 * v + k"),
+)
+
+
+def _filing_grids(t) -> tuple[DataFrame, DataFrame]:
+    """Two statements of each order, of two years, in thousands, in one of three layouts: plain, with a column of notes, under one merged header.
+
+    Every fifth order's gross profit of the year is misread.
+    """
+    sums = written(t("lineitem").groupBy(F.col("l_orderkey").alias("filing")).agg(F.sum(F.floor("l_extendedprice").cast("long")).alias("s")), "filing-sums")
+    o = sums.select("filing", (F.col("filing") % 3).alias("layout"), (F.col("s") + 100_000).alias("v1"), (F.col("s") + 105_000).alias("v0"), (F.col("filing") % 90 + 11).alias("k1"), (F.col("filing") % 70 + 12).alias("k0"))
+    notes = F.col("layout") == 1
+    col = lambda n: (F.when(notes, n + 1).otherwise(n)).cast("int")
+    cell = lambda row, at, text, span=1, header=False: F.struct(F.lit(row).alias("row"), (at if isinstance(at, Column) else F.lit(at)).cast("int").alias("col"), F.lit(span).alias("col_span"), text.alias("text"), F.lit(header).alias("column_header"))
+    money = lambda x: F.when(x < 0, F.concat(F.lit("("), F.format_number(-x, 0), F.lit(")"))).otherwise(F.format_number(x, 0))
+
+    def grid(kind: str, lines) -> DataFrame:
+        merged = F.col("layout") == 2
+        out = [F.when(merged, F.array(cell(0, 0, F.lit("")), cell(0, 1, F.lit("2024 2023"), 2, True))).otherwise(F.array(cell(0, 0, F.lit("")), cell(0, col(1), F.lit("2024"), 1, True), cell(0, col(2), F.lit("2023"), 1, True))), F.when(notes, F.array(cell(0, 1, F.lit("Note"), 1, True))).otherwise(F.array())]
+        row = 1
+        for heads, caption, formula in lines:
+            for head in filter(None, heads.split("|")):
+                out.append(F.array(cell(row, 0, F.lit(head))))
+                row += 1
+            now, before = (F.expr(formula.replace("v", f"v{y}").replace("k", f"k{y}")).cast("long") for y in (1, 0))
+            text = money(now)
+            if caption == "Gross profit":
+                text = F.when(F.col("filing") % 5 == 0, F.translate(text, "38", "83")).otherwise(text)
+            out += [F.array(cell(row, 0, F.lit(caption)), cell(row, col(1), text), cell(row, col(2), money(before))), F.when(notes, F.array(cell(row, 1, F.lit(str(row))))).otherwise(F.array())]
+            row += 1
+        return o.select("filing", F.lit(kind).alias("statement"), F.lit(1).alias("page"), F.lit(0).alias("table_no"), F.explode(F.flatten(F.array(*out))).alias("x")).select("filing", "statement", "page", "table_no", "x.*").where("text <> ''")
+
+    titles = o.select("filing", _each("statement string, title string", ("income", "Statement of profit or loss for the year ended December 31, 2024"), ("balance", "Statement of financial position as at December 31, 2024")))
+    tables = titles.select("filing", "x.*", F.lit(True).alias("annual"), F.lit("12-31").alias("year_end"), F.lit(1000.0).alias("scale"))
+    return grid("income", _INCOME).unionByName(grid("balance", _BALANCE)), tables
+
+
+@query("""
+WITH s AS (SELECT l_orderkey AS filing, CAST(sum(CAST(floor(l_extendedprice) AS BIGINT)) AS BIGINT) AS s FROM lineitem GROUP BY 1),
+y AS (SELECT filing, DATE '2024-12-31' AS period_end, s + 100000 AS v, filing % 90 + 11 AS k, format('{:,}', 4 * (s + 100000)) AS g FROM s UNION ALL SELECT filing, DATE '2023-12-31', s + 105000, filing % 70 + 12, '' FROM s),
+b AS (SELECT *, filing % 5 = 0 AND regexp_matches(g, '[38]') AS wrong, len(regexp_extract_all(g, '[38]')) = 1 OR (len(regexp_extract_all(g, '[38]')) = 2 AND (contains(g, '38') OR contains(g, '83'))) AS able FROM y),
+c AS (SELECT *, wrong AND NOT able AS lost FROM b)
+SELECT filing, period_end, 1000.0 * CASE WHEN NOT lost THEN 10 * v END AS revenue, 1000.0 * CASE WHEN NOT lost THEN 4 * v END AS gross_profit, 1000.0 * 3 * v AS operating_profit, 1000.0 * (3 * v - k - floor(v / 2)) AS profit_after_tax,
+ 1000.0 * (3 * v + k) AS total_current_assets, 1000.0 * (8 * v + k) AS total_assets, 1000.0 * 4 * v AS total_equity, CASE WHEN NOT lost THEN 0.4 END AS gross_income_margin, wrong AND able AS repaired
+FROM c""")
+def verified_statements(t):
+    """Printed filings of three layouts, from their grids to confirmed, repaired and filled figures of each period."""
+    figures = written(filings.verified(*_filing_grids(t)), "verified")
+    items = ("revenue", "cost_of_sales", "gross_profit", "operating_profit", "profit_before_tax", "profit_after_tax", "total_current_assets", "total_assets", "total_equity")
+    wide = metrics.wide_periods(figures, ["filing", "period_end"], "item", "value", items).withColumn("months", F.lit(12))
+    out = metrics.ratios(metrics.fill(wide))
+    mended = figures.groupBy("filing", "period_end").agg(F.bool_or("repaired").alias("repaired"))
+    return out.join(mended, ["filing", "period_end"]).select("filing", "period_end", "revenue", "gross_profit", "operating_profit", "profit_after_tax", "total_current_assets", "total_assets", "total_equity", "gross_income_margin", "repaired")
+
+
 # ---- every fill and ratio ------------------------------------------------------------------------------------------
 
 #: Figures of a supplier, from the sum e and quantity q of its lines and their number n; some are missing for some suppliers.
