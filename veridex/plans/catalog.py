@@ -43,20 +43,24 @@ UP4 = "floor({} * 10000.0 + 0.5) / 10000.0"
 
 
 @query(f"""
-WITH f AS (SELECT n_name, year(o_orderdate) AS y, CAST(sum(CAST(l_extendedprice AS DECIMAL(18,2))) AS DOUBLE) AS revenue, CAST(sum(CAST(l_extendedprice * (0.5 + l_discount) AS DECIMAL(18,4))) AS DOUBLE) AS cost_of_sales
- FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey GROUP BY ALL)
-SELECT a.n_name, a.y AS year, {UP4.format("(a.revenue)")} AS revenue, {UP4.format("(a.revenue - abs(a.cost_of_sales))")} AS gross_profit, {UP4.format("(100.0 * ((a.revenue - abs(a.cost_of_sales)) / a.revenue))")} AS gross_margin_pct,
- CASE WHEN b.revenue > 0 THEN {UP4.format("(100 * (a.revenue / b.revenue - 1))")} END AS net_sales_yoy_growth, true AS holds
-FROM f a LEFT JOIN f b ON a.n_name = b.n_name AND a.y = b.y + 1""")
+WITH f AS (SELECT n_nationkey, n_name, year(o_orderdate) AS y, CAST(sum(CAST(l_extendedprice AS DECIMAL(18,2))) AS DOUBLE) AS revenue, CAST(sum(CAST(l_extendedprice * (0.5 + l_discount) AS DECIMAL(18,4))) AS DOUBLE) AS cost_of_sales
+ FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey GROUP BY ALL),
+g AS (SELECT *, revenue - abs(cost_of_sales) + CASE WHEN y % 2 = 0 AND n_nationkey % 5 = 0 THEN 1000 ELSE 0 END AS gross FROM f)
+SELECT a.n_name, a.y AS year, {UP4.format("(a.revenue)")} AS revenue, {UP4.format("(a.gross)")} AS gross_profit, {UP4.format("(100.0 * (a.gross / a.revenue))")} AS gross_margin_pct,
+ CASE WHEN b.revenue > 0 THEN {UP4.format("(100 * (a.revenue / b.revenue - 1))")} END AS net_sales_yoy_growth, NOT (a.y % 2 = 0 AND a.n_nationkey % 5 = 0) AS holds
+FROM g a LEFT JOIN g b ON a.n_name = b.n_name AND a.y = b.y + 1""")
 def period_metrics(t):
-    """Revenue, cost, filled gross profit, margin and growth by nation and year; the identity must hold.
+    """Revenue, cost, gross profit, margin and growth by nation and year, and whether the identity holds.
 
-    Lines are summed by order first, and the prior year is a window over the small table of nations and years.
+    Even years print the gross profit, every fifth nation a wrong one; odd years leave it to be filled.  Lines are summed by
+    order first, and the prior year is a window over the small table of nations and years.
     """
     lines = t("lineitem").groupBy("l_orderkey").agg(F.sum(money(F.col("l_extendedprice"))).alias("r"), F.sum(money(F.col("l_extendedprice") * (0.5 + F.col("l_discount")), 4)).alias("c"))
     rows = lines.join(t("orders"), F.col("l_orderkey") == F.col("o_orderkey")).join(t("customer"), F.col("o_custkey") == F.col("c_custkey"))
     sums = rows.groupBy("c_nationkey", F.year("o_orderdate").alias("year")).agg(F.sum("r").cast("double").alias("revenue"), F.sum("c").cast("double").alias("cost_of_sales"))
-    sums = sums.join(t("nation"), F.col("c_nationkey") == F.col("n_nationkey")).select("n_name", "year", "revenue", "cost_of_sales")
+    sums = sums.join(t("nation"), F.col("c_nationkey") == F.col("n_nationkey")).select("n_name", "year", "revenue", "cost_of_sales", "n_nationkey")
+    printed = F.when(F.col("year") % 2 == 0, F.col("revenue") - F.abs("cost_of_sales") + F.when(F.col("n_nationkey") % 5 == 0, 1000).otherwise(0))
+    sums = sums.withColumn("gross_profit", printed).drop("n_nationkey")
     # the year before is the row before, where that is the year before
     w = Window.partitionBy("n_name").orderBy("year")
     before = F.when(F.lag("year").over(w) == F.col("year") - 1, F.lag("revenue").over(w))
@@ -138,13 +142,13 @@ def keep_latest(t):
     return dedup.keep_latest(t("events").select("user_id", "event_type", "event_id", "value", "ts"), ["user_id", "event_type"], "ts", "event_id")
 
 
-@query("SELECT o_orderkey, CASE WHEN o_orderkey % 3 = 0 AND o_orderkey % 2 = 0 OR o_orderkey % 3 <> 0 THEN 'old' ELSE 'new' END AS origin FROM orders WHERE o_orderkey % 3 = 0 OR o_orderkey % 5 <> 0")
+@query("SELECT o_orderkey, CASE WHEN o_orderkey % 12 = 0 THEN 'new' WHEN o_orderkey % 6 = 0 THEN 'old' WHEN o_orderkey % 3 = 0 THEN 'new' ELSE 'old' END AS origin FROM orders")
 def merge_latest(t):
-    """Newer rows (every third order, a day earlier where even) against older ones: the later wins, ties go to the new."""
+    """Older rows of all orders but the odd third ones against newer rows of every third (a day earlier where even, but not by twelve): the later wins, ties go to the new."""
     o = t("orders")
-    day = F.to_date("o_orderdate")
-    old = o.where("o_orderkey % 5 <> 0 or (o_orderkey % 3 = 0 and o_orderkey % 2 = 0)").select("o_orderkey", day.alias("at"), F.lit("old").alias("origin"))
-    new = o.where("o_orderkey % 3 = 0").select("o_orderkey", F.when(F.col("o_orderkey") % 2 == 0, F.date_sub(day, 1)).otherwise(day).alias("at"), F.lit("new").alias("origin"))
+    k, day = F.col("o_orderkey"), F.to_date("o_orderdate")
+    old = o.where((k % 3 != 0) | (k % 2 == 0)).select("o_orderkey", day.alias("at"), F.lit("old").alias("origin"))
+    new = o.where(k % 3 == 0).select("o_orderkey", F.when((k % 2 == 0) & (k % 12 != 0), F.date_sub(day, 1)).otherwise(day).alias("at"), F.lit("new").alias("origin"))
     return dedup.merge_latest(old, new, ["o_orderkey"], "at").select("o_orderkey", "origin")
 
 
@@ -191,11 +195,12 @@ def floor_median(t):
 
 
 @query("""
-WITH d AS (SELECT DISTINCT o_orderpriority, date_diff('day', DATE '1970-01-01', CAST(o_orderdate AS DATE)) AS v FROM orders WHERE o_orderkey % 7 = 0)
-SELECT o_orderpriority, min(v) AS first, max(v) AS last, count(*) AS n FROM (SELECT *, v - row_number() OVER (PARTITION BY o_orderpriority ORDER BY v) AS g FROM d) GROUP BY o_orderpriority, g""")
+WITH d AS (SELECT DISTINCT o_orderpriority, o_custkey % 200 AS desk, date_diff('day', DATE '1970-01-01', CAST(o_orderdate AS DATE)) AS v FROM orders)
+SELECT o_orderpriority, desk, min(v) AS first, max(v) AS last, count(*) AS n FROM (SELECT *, v - row_number() OVER (PARTITION BY o_orderpriority, desk ORDER BY v) AS g FROM d) GROUP BY o_orderpriority, desk, g""")
 def contiguous_ranges(t):
-    o = t("orders").where("o_orderkey % 7 = 0").select("o_orderpriority", F.datediff(F.to_date("o_orderdate"), F.lit("1970-01-01").cast("date")).cast("long").alias("v"))
-    return dedup.contiguous(o, ["o_orderpriority"], "v")
+    """Runs of days on which a desk (customers that share a remainder) has orders of a priority."""
+    day = F.datediff(F.to_date("o_orderdate"), F.lit("1970-01-01").cast("date")).cast("long")
+    return dedup.contiguous(t("orders").select("o_orderpriority", (F.col("o_custkey") % 200).alias("desk"), day.alias("v")), ["o_orderpriority", "desk"], "v")
 
 
 @query("""
@@ -238,13 +243,14 @@ def section_lookup(t):
 
 
 @query("""
-WITH a AS (SELECT c_nationkey AS k, count(*) AS nav, CASE WHEN c_nationkey % 3 = 0 THEN '' ELSE 'c' END AS name FROM customer WHERE c_nationkey % 5 <> 0 GROUP BY 1),
-b AS (SELECT s_nationkey AS k, count(*) AS nav, 's' AS name FROM supplier WHERE s_nationkey % 4 <> 0 GROUP BY 1)
+WITH a AS (SELECT c_nationkey AS k, count(*) AS nav, CASE WHEN c_nationkey % 3 = 0 THEN '' ELSE 'c' END AS name FROM customer GROUP BY 1),
+b AS (SELECT s_nationkey + 5 AS k, count(*) AS nav, 's' AS name FROM supplier GROUP BY 1)
 SELECT coalesce(a.k, b.k) AS k, coalesce(nullif(a.name, ''), nullif(b.name, ''), '') AS name, CASE WHEN a.k IS NOT NULL THEN a.nav ELSE b.nav END AS nav, n_name
 FROM a FULL JOIN b ON a.k = b.k LEFT JOIN nation ON n_nationkey = coalesce(a.k, b.k)""")
 def merge_pages_by_key(t):
-    a = t("customer").where("c_nationkey % 5 <> 0").groupBy(F.col("c_nationkey").alias("k")).agg(F.count("*").alias("nav")).withColumn("name", F.when(F.col("k") % 3 == 0, "").otherwise("c"))
-    b = t("supplier").where("s_nationkey % 4 <> 0").groupBy(F.col("s_nationkey").alias("k")).agg(F.count("*").alias("nav")).withColumn("name", F.lit("s"))
+    """Customers by nation and suppliers by nation, whose page numbers its keys five higher: some keys are on one page only."""
+    a = t("customer").groupBy(F.col("c_nationkey").alias("k")).agg(F.count("*").alias("nav")).withColumn("name", F.when(F.col("k") % 3 == 0, "").otherwise("c"))
+    b = t("supplier").groupBy((F.col("s_nationkey") + 5).alias("k")).agg(F.count("*").alias("nav")).withColumn("name", F.lit("s"))
     return joins.merge_by_key(a, b, t("nation").select(F.col("n_nationkey").alias("k"), "n_name"), "k", ["name"], ["nav"])
 
 
