@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..operators import constraints, grids, notices, pages, relations, repair, statements, totals
+from ..operators import alignment, constraints, grids, notices, pages, relations, repair, statements, totals
 from ..sources.scratch import written
 from . import filings, metrics
 from .catalog import query
@@ -431,6 +431,31 @@ def verified_statements(t):
     return out.join(mended, ["filing", "period_end"]).select("filing", "period_end", "revenue", "gross_profit", "operating_profit", "profit_after_tax", "total_current_assets", "total_assets", "total_equity", "gross_income_margin", "repaired")
 
 
+_FIVES = "CAST(repeat(CAST({} AS VARCHAR), 5) || ({} % 10) AS DOUBLE)"
+
+
+@query(f"""
+WITH {_SQL_LINES}, f AS (SELECT filing, n, {_FIVES.format("(n % 9 + 1)", "v")} AS a, {_FIVES.format("((n + 4) % 9 + 1)", "v")} AS b FROM l), c AS (SELECT filing, n, CAST(0 AS INTEGER) AS col, a AS value FROM f UNION ALL SELECT filing, n, 1, b FROM f)
+SELECT CAST(filing AS VARCHAR) AS filing, 'r' || n AS row_id, col, 'ocr-300' AS source, value FROM c WHERE n % 2 = 1 UNION ALL SELECT CAST(filing AS VARCHAR), 'r' || n, col, 'ocr-digits', value FROM c WHERE filing % 3 <> 0""")
+def ocr_passes(t):
+    """Two readings of a scanned page of each order: every second line has a letter for a digit in the first pass; the second has no
+    captions, and every third order's repeats its lines, so that no line of it can be told from its copy."""
+    k = F.col("n")
+    figure = lambda d: F.concat(F.repeat(d.cast("string"), F.lit(5)), (F.col("v") % 10).cast("string"))
+    lines = written(_lines(t).select(F.col("filing").cast("string").alias("filing"), F.lit(0).alias("table_no"), F.lit(1).alias("page"), k.cast("int").alias("n"), figure(k % 9 + 1).alias("a"), figure((k + 4) % 9 + 1).alias("b")), "scanned-lines")
+    grouped = lambda c: F.format_number(F.col(c).cast("long"), 0)
+    # a word of its own for each line's caption
+    label = F.concat(F.lit("item "), F.translate((k * 7919 + 100_000).cast("string"), "0123456789", "abcdefghij"))
+    key = ["filing", "table_no", "page"]
+    rows = lines.select(*key, F.col("n").alias("row_ord"), F.concat(F.lit("r"), "n").alias("row_id"), label.alias("label"), _each("col int, raw string", (0, F.col("a")), (1, F.col("b")))).select(*key, "row_ord", "row_id", "label", "x.*")
+    misread = F.when(k % 2 == 0, F.overlay(grouped("a"), F.lit("S"), F.lit(2))).otherwise(grouped("a"))
+    first = lines.select(*key, F.lit("ocr-300").alias("source"), (k * 2).alias("line_no"), F.concat(label, F.lit("     "), misread, F.lit("   "), grouped("b")).alias("text"))
+    copies = F.when(F.col("filing").cast("long") % 3 == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
+    second = lines.select(*key, F.lit("ocr-digits").alias("source"), F.explode(copies).alias("i"), "n", F.concat(F.lit(". 1 ' "), grouped("a"), F.lit(" "), grouped("b")).alias("text"))
+    second = second.select(*key, "source", (k * 2 + F.col("i")).alias("line_no"), "text")
+    return alignment.pass_readings(rows, first.unionByName(second)).select("filing", "row_id", "col", "source", "value")
+
+
 # ---- every fill and ratio ------------------------------------------------------------------------------------------
 
 #: Figures of a supplier, from the sum e and quantity q of its lines and their number n; some are missing for some suppliers.
