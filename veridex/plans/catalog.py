@@ -11,7 +11,7 @@ from ..functions import dates, num, text
 from ..operators import constraints, dedup, funds, joins, notices, ordered, repair, statements
 from ..sources import readers, sinks
 from ..sources.scratch import written
-from ..streaming import streams
+from ..streaming import leases, streams
 from . import metrics
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -796,7 +796,7 @@ def _stream(name: str, build):
             spark.conf.set("spark.checkpoint.dir", base)
         source = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
         path = f"{base.rstrip('/')}/{table}"
-        streams.run_to_files(build(source), f"{path}/rows", f"{path}/checkpoint").awaitTermination()
+        leases.with_rocks(spark, lambda: streams.run_to_files(build(source), f"{path}/rows", f"{path}/checkpoint")).awaitTermination()
         return spark.read.schema(build(source).schema).parquet(f"{path}/rows")
 
     return run
@@ -812,4 +812,23 @@ s AS (SELECT user_id, ts, sum(new) OVER (PARTITION BY user_id ORDER BY ts) AS s
 SELECT user_id, count(*) AS n FROM s GROUP BY user_id, s HAVING max(ts) + INTERVAL 30 MINUTE <= (SELECT max(ts) FROM events) - INTERVAL 1 DAY"""
 
 
+def _requests(s: DataFrame) -> DataFrame:
+    """Events of users as requests for their task: views and clicks claim it, purchases and sign-ups bring its result."""
+    kind = F.when(F.col("event_type").isin("view", "click"), "claim").when(F.col("event_type").isin("purchase", "signup"), "result")
+    return s.select(F.col("user_id").alias("task"), "event_id", F.col("ts").alias("at"), kind.alias("kind")).where("kind is not null")
+
+
+QUERIES["stream_leases"] = _stream("leases", lambda s: leases.leases(_requests(s), 2880, "1 day"))
+ORACLES["stream_leases"] = """
+WITH RECURSIVE e AS (SELECT CAST(user_id AS VARCHAR) AS task, event_id, date_trunc('millisecond', ts) AS tm, CASE WHEN event_type IN ('view', 'click') THEN 'claim' ELSE 'result' END AS kind FROM events WHERE event_type IN ('view', 'click', 'purchase', 'signup')),
+n AS (SELECT *, row_number() OVER (PARTITION BY task ORDER BY tm, event_id) AS n FROM e),
+w AS (SELECT n, task, event_id, tm, kind, CAST(NULL AS TIMESTAMP) AS held, CASE WHEN kind = 'claim' THEN tm + INTERVAL 2 DAY END AS until, CASE WHEN kind = 'claim' THEN 'granted' ELSE 'lease_lost' END AS outcome, false AS expired FROM n WHERE n = 1
+ UNION ALL SELECT n.n, n.task, n.event_id, n.tm, n.kind, w.until,
+  CASE WHEN n.kind = 'claim' THEN CASE WHEN w.until > n.tm THEN w.until ELSE n.tm + INTERVAL 2 DAY END END,
+  CASE WHEN n.kind = 'claim' THEN CASE WHEN w.until > n.tm THEN 'busy' ELSE 'granted' END WHEN w.until > n.tm THEN 'accepted' ELSE 'lease_lost' END, w.until IS NOT NULL AND w.until <= n.tm FROM w JOIN n ON n.task = w.task AND n.n = w.n + 1),
+last AS (SELECT task, until FROM w QUALIFY row_number() OVER (PARTITION BY task ORDER BY n DESC) = 1)
+SELECT task, event_id, tm AS "at", outcome FROM w UNION ALL SELECT task, NULL, held, 'expired' FROM w WHERE expired
+UNION ALL SELECT task, NULL, until, 'expired' FROM last WHERE until <= (SELECT max(tm) FROM e) - INTERVAL 1 DAY"""
+
+
 from . import statement_queries  # noqa: E402, F401  (registers its queries here)
