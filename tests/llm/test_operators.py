@@ -196,6 +196,17 @@ def test_chunk_table_holds_each_digest_once(docs):
     assert stored.count() - stored.select("digest").distinct().count() <= 1  # the repeated row stores its place twice
 
 
+def test_many_null_and_repeated_ids_store_each_payload(spark):
+    texts = [f"a text of its own, number {i} " * 20 for i in range(60)] + ["shared by many " * 30] * 40 + ["a", "a\0", None, ""]
+    d = spark.createDataFrame([(None if i % 2 else 7, t) for i, t in enumerate(texts)], "doc_id long, text string").repartition(4)
+    got = Counter((r.doc_id, r.payload_sha256) for r in media.media_columns(d).collect())
+    want = Counter()
+    for i, t in enumerate(texts):
+        raw = (t or "").encode()
+        want[None if i % 2 else 7, hashlib.sha256(raw + bytes(-len(raw) % 64 or (0 if raw else 64))).hexdigest()] += 1
+    assert got == want
+
+
 def test_base_patterns():
     import re
 

@@ -57,14 +57,19 @@ def cut(payload: bytes) -> list[bytes]:
 
 
 def manifest(docs: DataFrame) -> DataFrame:
-    """doc_id, n_bytes, payload (its digest) and ordered chunk digests of every document."""
+    """doc_id, key (of its text), n_bytes, payload (its digest) and ordered chunk digests of every document."""
 
     def rows(it):
-        for doc_id, text in it:
+        for doc_id, text, key in it:
             n, p = payload_of(text)
-            yield doc_id, n, hashlib.sha256(p).digest(), [hashlib.sha256(c).digest() for c in cut(p)]
+            yield doc_id, key, n, hashlib.sha256(p).digest(), [hashlib.sha256(c).digest() for c in cut(p)]
 
-    return map_rows(docs, rows, "doc_id long,n_bytes long,payload binary,chunks array<binary>")
+    return map_rows(_keyed(docs), rows, "doc_id long,key string,n_bytes long,payload binary,chunks array<binary>")
+
+
+def _keyed(docs: DataFrame) -> DataFrame:
+    """Rows with a key of their text: null and repeated ids are told apart by it, and each has one payload."""
+    return docs.select("doc_id", "text", F.md5(F.coalesce("text", F.lit("")).cast("binary")).alias("key"))
 
 
 def record_of(chunk: bytes) -> bytes:
@@ -89,30 +94,31 @@ def features(expected: bytes, records: list[bytes]) -> tuple:
 
 def store_chunks(docs: DataFrame, plan: DataFrame, broadcast_rows: int = BROADCAST_ROWS) -> tuple[DataFrame, DataFrame]:
     """The chunk table (payload, seq, n_chunks, digest, record), each distinct digest once, and the borrowed (payload, seq, n_chunks, digest)."""
-    payloads = plan.groupBy("payload").agg(F.min("doc_id").alias("writer"), F.first("chunks").alias("chunks"))
+    row = F.struct("doc_id", "key")
+    payloads = plan.groupBy("payload").agg(F.min(row).alias("writer"), F.first("chunks").alias("chunks"))
     refs = payloads.select("payload", "writer", F.size("chunks").alias("n_chunks"), F.posexplode("chunks").alias("seq", "digest"))
     place = F.struct("payload", "seq")
     shared = refs.groupBy("digest").agg(F.min(place).alias("owner"), F.count("*").alias("n")).where("n > 1").drop("n")
     borrowed = materialize(refs.join(shared, "digest").where(place != F.col("owner")).select("payload", "writer", "seq", "n_chunks", "digest"), "media-borrowed")
-    others = plan.groupBy("payload", "doc_id").agg(F.lit(1).alias("one")).join(payloads.select("payload", "writer"), "payload").where(~F.col("doc_id").eqNullSafe(F.col("writer")))
-    skips = borrowed.groupBy(F.col("writer").alias("doc_id"), "payload").agg(F.collect_list("seq").alias("seqs")).unionByName(others.select("doc_id", "payload", F.array().cast("array<int>").alias("seqs")))
-    skips = materialize(skips.groupBy("doc_id").agg(F.collect_list(F.struct("payload", "seqs")).alias("skips")), "media-skips")
+    # a row that doesn't write its payload skips all of it, a writer the chunks that another payload has
+    others = plan.select("payload", "doc_id", "key").distinct().join(payloads.select("payload", "writer"), "payload").where(~(F.col("doc_id").eqNullSafe(F.col("writer.doc_id")) & (F.col("key") == F.col("writer.key"))))
+    skips = borrowed.groupBy("writer").agg(F.collect_list("seq").alias("seqs")).select("writer.*", "seqs").unionByName(others.select("doc_id", "key", F.array().cast("array<int>").alias("seqs")))
+    skips = materialize(skips, "media-skips")
     small = skips.count() <= broadcast_rows
-    right = skips.withColumnRenamed("doc_id", "skip_id")
-    joined = docs.join(F.broadcast(right) if small else right, F.col("doc_id").eqNullSafe(F.col("skip_id")), "left").select("text", "skips")
+    right = skips.withColumnsRenamed({"doc_id": "skip_id", "key": "skip_key"})
+    keyed = _keyed(docs)
+    joined = keyed.join(F.broadcast(right) if small else right, (F.col("key") == F.col("skip_key")) & F.col("doc_id").eqNullSafe(F.col("skip_id")), "left").select("text", "seqs")
     schema = arrow_schema("payload binary,seq int,n_chunks int,digest binary,record binary")
 
     def rows(batches):
         for b in slices(batches):
-            for text, skips in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                _, p = payload_of(text)
-                key = hashlib.sha256(p).digest()
-                skip = next((set(x["seqs"]) for x in skips or () if x["payload"] == key), None)
-                if skip == set():
+            for text, seqs in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+                if seqs == []:
                     continue
-                chunks = cut(p)
+                _, p = payload_of(text)
+                key, chunks, skip = hashlib.sha256(p).digest(), cut(p), set(seqs or ())
                 for i, c in enumerate(chunks):
-                    if i not in (skip or ()):
+                    if i not in skip:
                         yield key, i, len(chunks), hashlib.sha256(c).digest(), record_of(c)
 
     stored = joined.mapInArrow(lambda batches: rows_to_batches(rows(batches), schema, 512), "payload binary, seq int, n_chunks int, digest binary, record binary")
