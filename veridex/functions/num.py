@@ -20,7 +20,7 @@ def round_up_half(value: Column, places: int = 4) -> Column:
 
 def round_decimal(value: Column, places: int = 4) -> Column:
     """Rounding of the decimal string of the binary value."""
-    return F.format_string(f"%.{places}f", value).cast("double")
+    return F.format_string(f"%.{places}f", value).try_cast("double")  # "null" is none
 
 
 def finite(value: Column) -> Column:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..operators import alignment, constraints, grids, notices, pages, relations, repair, statements, totals
+from ..operators import alignment, constraints, grids, line_items, notices, pages, relations, repair, statements, totals
 from ..sources.scratch import written
 from . import filings, metrics
 from .catalog import query
@@ -456,6 +456,51 @@ def ocr_passes(t):
     return alignment.pass_readings(rows, first.unionByName(second)).select("filing", "row_id", "col", "source", "value")
 
 
+# ---- the first version's reading of lines ---------------------------------------------------------------------------
+
+_FIRST = (
+    """UNCONSOLIDATED CONDENSED INTERIM FINANCIAL STATEMENTS
+Statement of Profit or Loss
+Amounts in thousand
+          {y}
+Revenue                 14  {a}  {b}
+Cost of sales               (4,000)  (3,000)
+Gross profit                {c}  {d}
+Selling and distribution expenses   (10)   (20)
+Administrative expenses   (30)   (40)
+Earnings per share  2.25  2.25""",
+    """Consolidated Statement of Financial Position
+(Rupees in million)
+{y}
+Total assets     {a}   {b}
+Total liabilities  1,000  1,000
+Share capital   (5)  (5)
+Notes to the financial statements
+Current assets  77  77""",
+)
+
+
+@query("""
+WITH o AS (SELECT o_orderkey AS filing, CAST(o_orderkey % 900 + 5000 AS DOUBLE) + CASE WHEN o_orderkey % 2 = 1 THEN 100 ELSE 0 END AS a, CAST(CASE WHEN o_orderkey % 2 = 0 THEN 4000 ELSE 3000 END AS DOUBLE) AS c, CASE WHEN o_orderkey % 2 = 0 THEN 10.0 ELSE 20.0 END AS s FROM orders),
+i AS (SELECT filing, 'unconsolidated' AS basis, 'income' AS statement, unnest([{'item': 'revenue', 'value': a * 1000}, {'item': 'cost_of_sales', 'value': c * 1000}, {'item': 'gross_profit', 'value': (a - c) * 1000}, {'item': 'distribution_cost', 'value': s * 1000}, {'item': 'admin_expenses', 'value': (s + 20) * 1000},
+ {'item': 'eps_basic', 'value': 2.25}, {'item': 'selling_admin_expenses', 'value': (2 * s + 20) * 1000}, {'item': 'gross_margin_pct', 'value': round(100 * (a - c) / a, 4)}]) AS x FROM o WHERE filing % 7 <> 0),
+b AS (SELECT filing, 'consolidated', 'balance', unnest([{'item': 'total_assets', 'value': a * 1000000}, {'item': 'total_liabilities', 'value': CAST(1000000000 AS DOUBLE)}, {'item': 'total_equity', 'value': (a - 1000) * 1000000}]) FROM o)
+SELECT filing, basis, statement, x.item AS item, CAST(x.value AS DOUBLE) AS value FROM (SELECT * FROM i UNION ALL SELECT * FROM b)""")
+def first_version_lines(t):
+    """Two pages of each order, the years in either order; every seventh order's first page is a scan of little confidence."""
+    k = F.col("o_orderkey")
+    odd, a = k % 2 == 1, k % 900 + 5000
+    number = lambda x: F.format_number(x, 0)
+    swap = F.when(odd, "2024      2025").otherwise("2025      2024")
+    text = F.get(F.array(*map(F.lit, _FIRST)), F.col("p"))
+    for name, value in (("y", swap), ("a", number(a)), ("b", number(a + 100)), ("c", number(a - 4000)), ("d", number(a + 100 - 3000))):
+        text = F.replace(text, F.lit("{" + name + "}"), value)
+    d = t("orders").select("o_orderkey", F.explode(F.array(F.lit(0), F.lit(1))).alias("p"))
+    weak = F.when((k % 7 == 0) & (F.col("p") == 0), 0.64).otherwise(0.9)
+    pages_ = d.select(k.alias("filing"), (F.col("p") + 1).alias("page_number"), text.alias("text"), F.lit(2025).alias("target_year"), weak.alias("confidence"))
+    return line_items.promoted(pages_).select("filing", "basis", "statement", "item", "value")
+
+
 # ---- every fill and ratio ------------------------------------------------------------------------------------------
 
 #: Figures of a supplier, from the sum e and quantity q of its lines and their number n; some are missing for some suppliers.
