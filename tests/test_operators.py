@@ -283,7 +283,7 @@ def test_repairs_of_two_clusters_that_break_a_third_constraint_are_withdrawn(spa
     cells = spark.createDataFrame([("f", k, str(int(v)), v) for k, v in figures.items()], _CELLS)
     reading = spark.createDataFrame([("f", "x", 128.0, "ocr"), ("f", "y", 228.0, "ocr")], "filing string, cell string, value double, source string")
     assert repair.single_repairs(terms, cells, reading).count() == 0
-    one = repair.single_repairs(terms, cells.withColumn("value", F.when(F.col("cell") == "y", 228.0).otherwise(F.col("value"))), reading)
+    one = repair.single_repairs(terms, cells.withColumn("value", F.when(F.col("cell") == "y1", 238.0).when(F.col("cell") == "y2", 210.0).otherwise(F.col("value"))), reading.where("cell = 'x'"))
     assert rows(one.select("cell", "to")) == [("x", 128.0)]
     # without the constraint between them both stand
     assert rows(repair.single_repairs(terms.where("constraint_id <> 'H'"), cells, reading).select("cell", "to")) == [("x", 128.0), ("y", 228.0)]
