@@ -72,14 +72,19 @@ def rule_of(host: Column, path: Column, rules) -> tuple[Column, Column]:
 def buckets(host: Column, path: Column) -> Column:
     """Distinct buckets of the character n-grams of host and path."""
     texts = (("h", F.concat(F.lit("^"), host, F.lit("$"))), ("p", F.translate(path, *_LOWER)))
-    return F.array_distinct(F.concat(*(_grams(mark, text, n) for mark, text in texts for n in SIZES)))
+    # the characters are bound once: taken from the text at every place, a long URL would be read once for each of them
+    return F.array_distinct(F.flatten(F.concat(*(F.transform(F.array(F.split(text, "")), _grams_of(mark)) for mark, text in texts))))
 
 
-def _grams(mark: str, text: Column, n: int) -> Column:
-    """Buckets of the n-grams of one text; none where it is shorter."""
-    starts = F.filter(F.sequence(F.lit(1), F.greatest(F.length(text) - n + 1, F.lit(1))), lambda i: i <= F.length(text) - n + 1)
-    digest = lambda i: F.md5(F.concat(F.lit(mark), F.substr(text, i, F.lit(n))).cast("binary"))
-    return F.transform(starts, lambda i: F.conv(F.substring(digest(i), 1, 3), 16, 10).cast("int"))
+def _grams_of(mark: str):
+    """Buckets of the n-grams of an array of characters; none where it is shorter."""
+
+    def gram(c: Column, n: int) -> Column:
+        starts = F.filter(F.sequence(F.lit(0), F.greatest(F.size(c) - n, F.lit(0))), lambda i: i <= F.size(c) - n)
+        digest = lambda i: F.md5(F.concat(F.lit(mark), *[F.get(c, i + k) for k in range(n)]).cast("binary"))
+        return F.transform(starts, lambda i: F.conv(F.substring(digest(i), 1, 3), 16, 10).cast("int"))
+
+    return lambda c: F.concat(*[gram(c, n) for n in SIZES])
 
 
 def seeds(spark: SparkSession) -> DataFrame:
