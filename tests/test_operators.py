@@ -287,3 +287,17 @@ def test_repairs_of_two_clusters_that_break_a_third_constraint_are_withdrawn(spa
     assert rows(one.select("cell", "to")) == [("x", 128.0)]
     # without the constraint between them both stand
     assert rows(repair.single_repairs(terms.where("constraint_id <> 'H'"), cells, reading).select("cell", "to")) == [("x", 128.0), ("y", 228.0)]
+
+
+def test_uncaptioned_totals_by_heading_and_of_taxes(spark):
+    lines = [
+        ("balance", 0, "ASSETS", None, ["ASSETS", "NON-CURRENT ASSETS"]), ("balance", 1, "Property", [1000.0, 900.0], None), ("balance", 2, "Goodwill", [500.0, None], None), ("balance", 3, "", [1500.0, 900.0], None),
+        ("balance", 4, "Deposits", [50.0, 40.0], None), ("balance", 5, "", [1550.0, 7.0], None), ("balance", 6, "Stock", [10.0, 20.0], ["CURRENT ASSETS"]), ("balance", 7, "Cash", [5.0, 6.0], None), ("balance", 8, "", [99.0, 26.0], None), ("balance", 9, "", [4.0, 4.0], None),
+        ("income", 0, "Profit before taxation", [100.0, 90.0], None), ("income", 1, "Taxation - current", [10.0, 9.0], None), ("income", 2, "Taxation - prior", [1.0, 1.0], None), ("income", 3, "", [11.0, 10.0], None), ("income", 4, "", [89.0, 80.0], None),
+    ]
+    d = spark.createDataFrame(lines, "statement string, place int, text string, values array<double>, headings array<string>").where("values is not null or place > 0")
+    d = d.withColumn("headings", F.when((F.col("statement") == "balance") & (F.col("place") == 1), F.array(F.lit("ASSETS"), F.lit("NON-CURRENT ASSETS"))).otherwise(F.col("headings")))
+    got = statements.uncaptioned_totals(statements.matched(statements.placed(d, ["statement"], "place", "text", "headings")), ["statement"], "place")
+    found = {(r.statement, r.place): r["items"] for r in got.where("label = ''").collect()}
+    # the first sum under a heading is a subtotal where a later one closes it too
+    assert found == {("balance", 3): None, ("balance", 5): ["total_non_current_assets"], ("balance", 8): ["total_current_assets"], ("balance", 9): None, ("income", 3): ["taxation"], ("income", 4): None}

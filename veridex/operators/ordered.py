@@ -59,7 +59,8 @@ def prefix_total(rows: DataFrame, keys: Sequence[str], order: str, value: str, c
     """Rows without a caption that equal the sum of the captioned rows above them under the same heading: the last is the total."""
     w = Window.partitionBy(*keys).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
     above = F.sum(F.when(F.col(caption).isNotNull(), F.col(value))).over(w)
-    hits = rows.withColumn("_above", above).where(F.col(caption).isNull() & (F.abs(F.col("_above") - F.col(value)) <= 0.5 * F.lit(2)))
+    parts = F.count(F.when(F.col(caption).isNotNull() & F.col(value).isNotNull(), 1)).over(w)
+    hits = rows.withColumn("_above", above).withColumn("_parts", parts).where(F.col(caption).isNull() & (F.abs(F.col("_above") - F.col(value)) <= 0.5 * F.col("_parts") + 0.5))
     return hits.groupBy(*keys).agg(F.max_by(F.struct(order, value), order).alias("r")).select(*keys, "r.*")
 
 
