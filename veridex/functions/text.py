@@ -26,7 +26,7 @@ def label(text: Column) -> Column:
 def heading_segments(page: Column, lines: int = 14) -> Column:
     """Segments, parted by three spaces or more, of a page's first non-blank lines."""
     first = F.slice(F.filter(F.split(page, "\n"), lambda x: F.trim(x) != ""), 1, lines)
-    return F.filter(F.transform(F.flatten(F.transform(first, lambda x: F.split(F.trim(x), r" {3,}"))), F.trim), lambda x: x != "")
+    return F.filter(F.transform(F.flatten(F.transform(first, lambda x: F.split(F.trim(x), r" {3,}"))), lambda x: F.trim(x)), lambda x: x != "")
 
 
 def figure_lines(page: Column) -> Column:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..operators import alignment, constraints, grids, line_items, notices, pages, relations, repair, statements, totals
+from ..operators import alignment, constraints, grids, line_items, notices, pages, readings, relations, repair, statements, totals
 from ..sources.scratch import written
 from . import filings, metrics
 from .catalog import query
@@ -503,6 +503,43 @@ def first_version_lines(t):
     return line_items.promoted(pages_).select("filing", "basis", "statement", "item", "value")
 
 
+# ---- a model's readings ---------------------------------------------------------------------------------------------
+
+#: How a model reads the lines of an order's statement, by the order's key: as printed, columns swapped, a figure made up, a tax misread.
+_MODEL_KINDS = 4
+
+
+@query("""
+WITH o AS (SELECT o_orderkey AS k, o_orderkey % 900 + 5000 AS a, o_orderkey % 4 AS kind FROM orders),
+y AS (SELECT k, kind, 2025 AS y, a FROM o UNION ALL SELECT k, kind, 2024, a + 300 FROM o),
+f AS (SELECT k, kind, y, unnest([{'item': 'revenue', 'v': 3 * a}, {'item': 'cost_of_sales', 'v': a}, {'item': 'gross_profit', 'v': 2 * a}, {'item': 'profit_before_tax', 'v': a}, {'item': 'taxation', 'v': 40}, {'item': 'profit_after_tax', 'v': a - 40}]) AS x FROM y)
+SELECT k AS filing, make_date(y, 6, 30) AS period_end, x.item AS item, CAST(1000 * x.v AS DOUBLE) AS value, CAST(NULL AS VARCHAR) AS reason FROM f WHERE NOT (kind = 1 AND x.item = 'revenue') AND NOT (kind = 2 AND x.item = 'gross_profit') AND NOT (kind = 3 AND x.item = 'taxation')
+UNION ALL SELECT k, NULL, CASE kind WHEN 1 THEN 'revenue' WHEN 2 THEN 'gross_profit' END, NULL, CASE kind WHEN 1 THEN 'the values are not on one line' ELSE 'a value is not on the page' END FROM o WHERE kind IN (1, 2)
+UNION ALL SELECT k, NULL, 'taxation', NULL, 'breaks an identity' FROM y WHERE kind = 3""")
+def model_readings(t):
+    """Figures that a model reads from a printed page, and those that the page or the identities don't bear out, with the reason."""
+    k = F.col("o_orderkey")
+    kind, a, b = k % _MODEL_KINDS, k % 900 + 5000, k % 900 + 5300
+    money = lambda x: F.format_number(x, 0)
+    tax = F.when(kind == 3, 900).otherwise(40)  # as printed, where the page itself is wrong
+    items = (("revenue", "Revenue", 3 * a, 3 * b), ("cost_of_sales", "Cost of sales", -a, -b), ("gross_profit", "Gross profit", 2 * a, 2 * b), ("profit_before_tax", "Profit before taxation", a, b), ("taxation", "Taxation", -tax, -tax), ("profit_after_tax", "Profit for the year", a - 40, b - 40))
+    shown = lambda x: F.when(x < 0, F.concat(F.lit("("), money(-x), F.lit(")"))).otherwise(money(x))
+    page = [F.concat(F.lit(caption + "   7   "), shown(x), F.lit("   "), shown(y)) for _, caption, x, y in items]
+    lines = t("orders").select(k.alias("filing"), F.lit("income").alias("statement"), F.lit(3).alias("page"), F.posexplode(F.array(*page)).alias("line_no", "text"))
+
+    def values(item: str, x: Column, y: Column) -> Column:
+        if item == "revenue":
+            return F.when(kind == 1, F.array(shown(y), shown(x))).otherwise(F.array(shown(x), shown(y)))
+        return F.array(F.when(kind == 2, "9,999,999").otherwise(shown(x)), shown(y)) if item == "gross_profit" else F.array(shown(x), shown(y))
+
+    read = t("orders").select(k.alias("filing"), F.lit("income").alias("statement"), F.lit(2).alias("n_columns"), F.explode(F.array(*[F.struct(F.lit(i).alias("item"), values(i, x, y).alias("values")) for i, _, x, y in items])).alias("x")).select("filing", "statement", "n_columns", "x.*")
+    column = lambda end: F.struct(F.lit(end).alias("period_end"), F.lit(12).alias("months"))
+    columns = t("orders").select(k.alias("filing"), F.lit("income").alias("statement"), F.array(column("2025-06-30"), column("2024-06-30")).alias("columns"), F.lit("for the year ended June 30, 2025 and 2024").alias("heading"), F.lit("2025-06-30").cast("date").alias("filed"), F.lit(1000).alias("unit"))
+    good, bad = readings.verified(read, lines, columns, ("cost_of_sales", "taxation"), ("revenue",))
+    none = F.lit(None)
+    return good.select("filing", "period_end", "item", "value", none.cast("string").alias("reason")).unionByName(bad.select("filing", none.cast("date").alias("period_end"), "item", none.cast("double").alias("value"), "reason"))
+
+
 # ---- every fill and ratio ------------------------------------------------------------------------------------------
 
 #: Figures of a supplier, from the sum e and quantity q of its lines and their number n; some are missing for some suppliers.
