@@ -313,6 +313,18 @@ def test_induced_sorter_finds_every_repeat(memory, batch):
     assert got == want and want
 
 
+@pytest.mark.parametrize("batch", [1 << 14, 1])
+def test_induced_sorter_compares_what_stays(batch):
+    """The second context ends before it can repeat; the third shares 12 bytes with the first at level 6, not with what was between them at level 3."""
+    size, span = 12, 6
+    contexts = [(6, b"bbbbbb" + b"aaaaaaaaaaaa"), (2, b"bb" + b"aaaaaabbbaaa"), (6, b"bbbbbb" + b"aaaaaabbbbbb")]
+    sorter = induction.InducedSorter(size, span, batch=batch)
+    data, ends = np.frombuffer(b"".join(t for _, t in contexts), np.uint8), np.cumsum([len(t) for _, t in contexts])
+    left = np.array([x for x, _ in contexts])
+    sorter.add(np.arange(3), np.zeros(3, int), left, left, np.zeros(3, int), data, np.append(0, ends[:-1]), ends)
+    assert [tuple(x) for part in sorter.ranges() for x in part.tolist()] == [(2, 0, 0, 12)]
+
+
 @pytest.mark.parametrize("parameters", [{}, {"max_table_bytes": 100}, {"memory": 40}])
 def test_repeated_strings(docs, rows, empty, parameters):
     assert Counter(map(tuple, suffixes.remove_repeats(docs, **parameters).collect())) == _repeats(rows)

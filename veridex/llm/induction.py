@@ -85,19 +85,22 @@ class DiskQueue:
 
 
 class _Minima:
-    """For each byte, the least common prefix since the byte was last met."""
+    """For each byte, the least common prefix since the byte was last met before a suffix that stays.
+
+    A suffix that is dropped is no predecessor at the next level: what it has in common only counts as a minimum on the way.
+    """
 
     def __init__(self):
         self.since = np.full(256, -1, np.int64)
 
-    def induce(self, before: np.ndarray, common: np.ndarray) -> np.ndarray:
-        """Common prefix of each suffix, one byte longer to the left, with the one before it that has the same byte."""
-        out = np.empty(len(before), np.int64)
+    def induce(self, before: np.ndarray, common: np.ndarray, stay: np.ndarray) -> np.ndarray:
+        """Common prefix of each suffix that stays, one byte longer to the left, with the one before it that stays and has the same byte."""
+        out = np.zeros(len(before), np.int64)
         lowest, since = common.min(), self.since
-        met = np.unique(before)
+        met = np.unique(before[stay])
         kept = np.minimum(since, lowest)
         for v in met.tolist():
-            at = np.flatnonzero(before == v)
+            at = np.flatnonzero((before == v) & stay)
             mins = np.minimum.reduceat(common, np.concatenate([[0], at + 1])) if at[-1] + 1 < len(common) else np.minimum.reduceat(common, np.concatenate([[0], at[:-1] + 1]))
             mins[0] = min(mins[0], since[v])
             out[at] = mins[: len(at)] + 1
@@ -171,9 +174,9 @@ class InducedSorter:
                 yield out
             if d < self.span:
                 before = b["bytes"][:, d]
-                induced = minima.induce(before, common)
                 reach = d + self.size - b["left"].astype(np.int64)
                 stay = (b["left"] > d) & (np.maximum(common, following_common) >= reach)
+                induced = minima.induce(before, common, stay)
                 n = np.flatnonzero(stay)
                 if len(n):
                     r = np.empty(len(n), self.later)
