@@ -86,7 +86,8 @@ def score(expected: DataFrame, actual: DataFrame, keys: Sequence[str], group: Se
     return joined.groupBy(*group).agg(F.count("*").alias("expected"), F.count_if(right).alias("correct"), F.count_if(F.col("_actual").isNotNull() & ~right).alias("wrong"), F.count_if(F.col("_actual").isNull()).alias("missing"))
 
 
-def cache_plan(requested: DataFrame, records: DataFrame, key: str, usable: Column) -> tuple[DataFrame, DataFrame]:
-    """Requests answered by a usable record, and those left to fetch."""
-    have = records.where(usable)
-    return requested.join(have, key), requested.join(have.select(key), key, "left_anti")
+def cache_plan(requested: DataFrame, records: DataFrame, keys: Sequence[str], usable: Column) -> tuple[DataFrame, DataFrame]:
+    """Requests answered by a usable record of the same keys (null meets null), and those left to fetch; each request is in one of them, once."""
+    have = records.where(usable).select(*[F.col(k).alias(f"_{k}") for k in keys])
+    on = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys]
+    return requested.join(have, on, "left_semi"), requested.join(have, on, "left_anti")
