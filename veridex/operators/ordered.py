@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
@@ -42,17 +42,35 @@ def running_totals(rows: DataFrame, keys: Sequence[str], order: str, value: str,
 
     Only a row without a caption or with that of a total can be one.  Rows are walked with a list of live figures; such a row
     that equals the sum of the shortest suffix of ``shortest`` to ``longest`` of them, within half a unit a part and half a
-    unit, takes their place.  One printed table is walked at a time; its size is that of a page.
+    unit, takes their place.  One printed table is walked at a time; its size is that of a page.  Tables come one after the other
+    in the order of a window, many to a batch.
     """
     ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields) + ", total_of int"
-    marked = rows.withColumn("_closes", is_total(F.col(label)))
-
-    def walk(t: pa.Table) -> pa.Table:
-        t = t.sort_by(order)
-        found = live_runs(t[value].to_pylist(), t["_closes"].to_pylist(), shortest, longest, scale)
-        return t.drop_columns(["_closes"]).append_column("total_of", pa.array([len(found[i]) if i in found else None for i in range(len(t))], pa.int32()))
-
-    return marked.groupBy(*keys).applyInArrow(walk, ddl)
+    place = F.row_number().over(Window.partitionBy(*keys).orderBy(F.col(order).asc_nulls_last()))
+    marked = rows.withColumn("_closes", is_total(F.col(label))).withColumn("_place", place)
+
+    def walk(t: pa.Table, starts: list[int]) -> Iterator[pa.RecordBatch]:
+        values, closes, parts = t[value].to_pylist(), t["_closes"].to_pylist(), [None] * len(t)
+        for lo, hi in zip(starts, [*starts[1:], len(t)]):
+            for at, of in live_runs(values[lo:hi], closes[lo:hi], shortest, longest, scale).items():
+                parts[lo + at] = len(of)
+        yield from t.drop_columns(["_closes", "_place"]).append_column("total_of", pa.array(parts, pa.int32())).combine_chunks().to_batches()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []  # of the table that is still open, from its start
+        for b in batches:
+            starts = [i for i, n in enumerate(b["_place"].to_pylist()) if n == 1]
+            if starts:
+                closed, before = [*held, b.slice(0, starts[-1])], sum(map(len, held))
+                if before + starts[-1]:
+                    yield from walk(pa.Table.from_batches(closed), [*([0] if before else []), *(before + i for i in starts[:-1])])
+                held = [b.slice(starts[-1])]
+            elif len(b):
+                held.append(b)
+        if held:
+            yield from walk(pa.Table.from_batches(held), [0])
+
+    return marked.mapInArrow(run, ddl)
 
 
 def prefix_total(rows: DataFrame, keys: Sequence[str], order: str, value: str, caption: str) -> DataFrame:
