@@ -2,9 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
-
-from veridex.operators import ordered, repair
+from veridex.operators import alignment, line_items, ordered, repair
 
 
 def _plan(df) -> str:
@@ -33,3 +31,19 @@ def test_running_totals_of_tables_over_several_batches(spark):
         spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
     assert len(got) == len(rows) and {k: n for k, n in got.items() if n} == {("x", 50): 3, ("y", 50): 29, (None, 50): 3}
     assert out.columns == [*df.columns, "total_of"] and "FlatMapGroups" not in _plan(out)
+
+
+def test_pages_are_read_many_to_a_batch(spark):
+    """A page without lines and lines without a page, and a key that is null, beside one that is read."""
+    rows = spark.createDataFrame([(f, 0, 1, 0, "r0", "trade debts", c, x) for f in ("a", "b", None) for c, x in ((0, "1,000"), (1, "2,000"))], "filing string, table_no int, page int, row_ord int, row_id string, label string, col int, raw string")
+    lines = spark.createDataFrame([(f, 0, 1, "ocr-300", 0, "Trade debts   1,000   2,000") for f in ("a", "c", None)], "filing string, table_no int, page int, source string, line_no int, text string")
+    out = alignment.pass_readings(rows, lines)
+    assert "CoGroup" not in _plan(out)
+    assert sorted(((r.filing or "", r.col, r.value) for r in out.collect())) == [("", 0, 1000.0), ("", 1, 2000.0), ("a", 0, 1000.0), ("a", 1, 2000.0)]
+
+
+def test_aliases_are_one_case_over_pages_dealt_once(spark):
+    pages = spark.createDataFrame([(1, 1, "Balance Sheet\nTotal assets 5", 2025)], "filing int, page_number int, text string, target_year int")
+    plan = _plan(line_items.candidates(pages))
+    assert plan.count("RepartitionByExpression") == 1 and plan.count("ELSE CASE") < 10
+    assert [(r["item"], r.value) for r in line_items.candidates(pages).collect()] == [("total_assets", 5.0)]
