@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.num import finite, percent, round_decimal
+from ..sources.dealt import dealt
 
 # The aliases in order, by statement, each with its confidence; what a line of revenue must not hold.
 ALIASES = (
@@ -101,6 +102,7 @@ def candidates(pages: DataFrame) -> DataFrame:
     ``pages``: filing, page_number, text, target_year, optional confidence.  A section begins at its heading and ends at a boundary, a page
     of highlights or after ``SECTION_LINES`` lines; before any of these a line may be of any statement, at less confidence.
     """
+    pages = dealt(pages, "filing")
     confidence = F.coalesce("confidence", F.lit(PAGE)) if "confidence" in pages.columns else F.lit(PAGE)
     lines = pages.select("filing", "page_number", "target_year", confidence.alias("_page"), unit(F.col("text")).alias("_page_unit"), F.posexplode(F.split("text", r"\r?\n")).alias("line_no", "line"))
     line = F.trim(F.regexp_replace("line", r"\s+", " "))
@@ -131,13 +133,15 @@ def candidates(pages: DataFrame) -> DataFrame:
     section = F.when((F.col("_section") != "none") & (F.col("_age") <= SECTION_LINES), F.col("_section"))
     seen = F.col("_turns") > 0
     lines = lines.withColumn("section", section).where(F.col("_kind").isNull() & text.rlike("[0-9]") & (F.col("section").isNotNull() | ~seen))
-    alias = F.lit(None).cast("struct<statement: string, item: string, sure: double>")
-    for statement, item, sure, pattern in reversed(ALIASES):
+    # one CASE of all aliases: a CASE in the ELSE of another, as deep as there are aliases, takes minutes to plan
+    alias = F
+    for statement, item, sure, pattern in ALIASES:
         fits = text.rlike(_any_case(pattern)) & (F.coalesce("section", F.lit(statement)) == statement)
         if item == "revenue":
             fits = fits & ~text.rlike(_any_case(NOT_REVENUE))
-        alias = F.when(fits, F.struct(F.lit(statement).alias("statement"), F.lit(item).alias("item"), F.lit(sure).alias("sure"))).otherwise(alias)
-    found = lines.select("*", F.explode(F.filter(F.array(alias), lambda x: x.isNotNull())).alias("_alias"))
+        alias = alias.when(fits, F.struct(F.lit(statement).alias("statement"), F.lit(item).alias("item"), F.lit(sure).alias("sure")))
+    # exploded, so that it is not written out at each of its uses
+    found = lines.select("*", F.explode(F.array(alias)).alias("_alias")).where("_alias is not null")
     figures = F.regexp_extract_all(F.regexp_replace("text", r"(?i)Rs\.?|PKR|rupees", " "), F.lit(r"\(?-?\d[\d,]*(?:\.\d+)?\)?"), F.lit(0))
     found = found.withColumn("_figures", figures).where(F.size("_figures") > 0)
     at = F.when(F.size("_figures") == 1, 1).otherwise(F.least("_column", F.size("_figures")))
