@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
-from veridex.operators import alignment, line_items, ordered, repair
+from pyspark.sql import functions as F
+
+from veridex.functions.num import figure
+from veridex.operators import alignment, grids, line_items, ordered, pages, repair
+from veridex.sources.dealt import dealt
 
 
 def _plan(df) -> str:
@@ -47,3 +51,34 @@ def test_aliases_are_one_case_over_pages_dealt_once(spark):
     plan = _plan(line_items.candidates(pages))
     assert plan.count("RepartitionByExpression") == 1 and plan.count("ELSE CASE") < 10
     assert [(r["item"], r.value) for r in line_items.candidates(pages).collect()] == [("total_assets", 5.0)]
+
+
+def test_grids_are_shuffled_once(spark):
+    """Cells that are dealt out by filing are not shuffled again, whatever is found of tables, columns and rows."""
+    cells = [(f, 1, 0, r, c, 1, x, r == 0) for f in (1, 2) for r, line in enumerate((("", "2024", "2023"), ("Stock in trade", "1,000", "-"), ("Total", "(7)", "Nil"))) for c, x in enumerate(line)]
+    df = spark.createDataFrame(cells, "filing int, page int, table_no int, row int, col int, col_span int, text string, column_header boolean")
+    rows = grids.statement_rows(dealt(df, "filing"), headers=False)
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and "Join" not in plan
+    assert sorted((r.filing, r.label, r["values"]) for r in rows.collect()) == [(f, k, v) for f in (1, 2) for k, v in (("Stock in trade", [1000.0, 0.0]), ("Total", [-7.0, 0.0]))]
+    assert {tuple(r.headers) for r in grids.statement_rows(df).collect()} == {("2024", "2023")}
+
+
+def test_figures_without_patterns_are_those_with_them(spark):
+    """The short ways of a figure give what the whole one gives."""
+    texts = {"1,234,567": 1234567.0, "12,34": 1234.0, "0012": 12.0, "-": 0.0, "N i l": 0.0, "-NIL-": 0.0, "Nile": None, "1,234a": None, "1,234,": None, "1,2345": None, "(1,234)": -1234.0, "1 234": None, "1,234\n": 1234.0, "": None}
+    got = spark.createDataFrame([(t,) for t in [*texts, None]], "t string").select("t", figure(F.col("t")).alias("v")).collect()
+    assert {r.t: r.v for r in got} == {**texts, None: None}
+
+
+def test_printed_lines_are_joined_with_nothing(spark):
+    """Headings reach their rows within the filing's own lines."""
+    text = "CURRENT ASSETS   Note   2024\nOther payables\nof the company\n       1,000   2,000\nRevenue  7  1,000  -   Cost of sales  8  (5)"
+    rows = pages.line_rows(dealt(spark.createDataFrame([("a", 1, text), ("b", 1, "words alone")], "filing string, page_number int, text string"), "filing"))
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and plan.count("Exchange") == 1
+    got = [(r.line_no, r.segment, r.caption, r.leading, r.numbers, r.headings) for r in rows.orderBy("line_no", "segment").collect()]
+    assert got == [
+        (0, 0, "CURRENT ASSETS Note", [], ["2024"], []), (3, 0, "of the company", ["1,000", "2,000"], [], ["Other payables", "of the company"]),
+        (4, 0, "Revenue", [], ["7", "1,000", "-"], []), (4, 1, "Cost of sales", [], ["8", "(5)"], []),
+    ]
