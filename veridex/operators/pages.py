@@ -61,7 +61,8 @@ def titles(pages: DataFrame) -> DataFrame:
     hit = lambda s: F.try_element_at(F.filter(F.transform(_candidates(s), lambda c: F.struct(title_of(c).alias("kind"), F.nullif(F.regexp_extract(c, r"(?i)^(?:(?:condensed|interim)\s+)*(un-?consolidated|separate|standalone|consolidated)\b", 1), F.lit("")).alias("word"))), lambda x: x["kind"].isNotNull()), F.lit(1))
     found = F.filter(F.transform("_s", hit), lambda x: x.isNotNull())
     d = d.withColumn("_t", found).withColumn("_t", F.when(F.size("_t") > 0, F.col("_t")).otherwise(F.filter(F.array(hit(undoubled(F.col("_s")))), lambda x: x.isNotNull())))
-    first = d.select("filing", "page_number", F.posexplode("_t").alias("at", "x")).groupBy("filing", "page_number", F.col("x.kind").alias("kind")).agg(F.min_by("x.word", "at").alias("word"))
+    # of an inner explode a filter would be inferred, pushed below a repartition, and every page read twice
+    first = d.select("filing", "page_number", F.posexplode_outer("_t").alias("at", "x")).where("x is not null").groupBy("filing", "page_number", F.col("x.kind").alias("kind")).agg(F.min_by("x.word", "at").alias("word"))
     return first.select("filing", "page_number", "kind", basis(F.regexp_replace("word", "-", "")).alias("basis"))
 
 
@@ -130,15 +131,17 @@ def note_headings(pages: DataFrame, references: DataFrame) -> DataFrame:
 def _tokens(line: Column) -> Column:
     """Tokens of a line in order: (text, figure).  Two spaces part cells; figures at a cell's end are tokens of their own."""
 
-    def of(cell: Column) -> Column:
-        parts = F.split(F.trim(cell), r"\s+")
-        figure = lambda x: x.rlike(FIGURE)
+    def bound(value: Column, then) -> Column:  # inside a lambda an expression is evaluated at each of its uses
+        return F.transform(F.array(value), then)[0]
+
+    def built(parts: Column, figures: Column) -> Column:
         # words before the figures at the end
-        words = F.size(parts) - F.coalesce(F.array_position(F.transform(F.reverse(parts), figure), F.lit(False)).cast("int") - 1, F.lit(0))
-        words = F.when(F.forall(parts, figure), 0).otherwise(words)
-        text = F.array_join(F.slice(parts, F.lit(1), words), " ")
-        head = F.filter(F.array(F.struct(text.alias("text"), F.lit(False).alias("figure"))), lambda x: x["text"] != "")
-        return F.concat(head, F.transform(F.slice(parts, words + 1, F.size(parts)), lambda x: F.struct(x.alias("text"), F.lit(True).alias("figure"))))
+        words = F.when(F.forall(figures, lambda x: x), 0).otherwise(F.size(parts) - F.array_position(F.reverse(figures), F.lit(False)).cast("int") + 1)
+        head = lambda n: F.when(n > 0, F.array(F.struct(F.array_join(F.slice(parts, F.lit(1), n), " ").alias("text"), F.lit(False).alias("figure")))).otherwise(F.array().cast("array<struct<text:string,figure:boolean>>"))
+        return bound(words, lambda n: F.concat(head(n), F.transform(F.slice(parts, n + 1, F.size(parts)), lambda x: F.struct(x.alias("text"), F.lit(True).alias("figure")))))
+
+    def of(cell: Column) -> Column:
+        return bound(F.split(F.trim(cell), r"\s+"), lambda parts: bound(F.transform(parts, lambda x: x.rlike(FIGURE)), lambda figures: built(parts, figures)))
 
     cells = F.filter(F.split(F.trim(line), r"\s{2,}|\t+"), lambda x: ~F.trim(x).isin("", "|"))
     return F.flatten(F.transform(cells, of))
@@ -155,13 +158,14 @@ def line_rows(pages: DataFrame) -> DataFrame:
     # a token starts a segment if it is text and the token before it is a figure that follows a caption
     caption_before = lambda i: F.exists(F.slice(F.col("_t"), F.lit(1), i), lambda x: ~x["figure"])
     starts = F.transform("_t", lambda x, i: F.when(~x["figure"] & (i > 0) & F.get("_t", i - 1)["figure"] & caption_before(i), 1).otherwise(0))
-    t = t.withColumn("_n", F.transform(starts, lambda _, i: F.aggregate(F.slice(starts, F.lit(1), i + 1), F.lit(0), lambda a, x: a + x)))
+    t = t.withColumn("_s", starts).withColumn("_n", F.transform("_s", lambda _, i: F.aggregate(F.slice("_s", F.lit(1), i + 1), F.lit(0), lambda a, x: a + x))).drop("_s")
     t = t.withColumn("_has", F.exists("_t", lambda x: x["figure"]))
     w = Window.partitionBy("filing").orderBy("page_number", "line_no")
     t = t.withColumn("_above", F.lag(F.when(~F.col("_has"), F.regexp_replace(F.trim("line"), r"\s{2,}", " "))).over(w))
     t = t.withColumn("_g", F.coalesce(F.sum(F.col("_has").cast("int")).over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    heads = t.where("not _has").groupBy("filing", "_g").agg(F.transform(F.array_sort(F.collect_list(F.struct("page_number", "line_no", F.regexp_replace(F.trim("line"), r"\s{2,}", " | ").alias("h")))), lambda x: x["h"]).alias("headings"))
-    rows = t.where("_has").join(heads, ["filing", "_g"], "left")
+    # headings meet their row in a window over the filing's lines
+    heads = F.collect_list(F.when(~F.col("_has"), F.struct("page_number", "line_no", F.regexp_replace(F.trim("line"), r"\s{2,}", " | ").alias("h")))).over(Window.partitionBy("filing", "_g"))
+    rows = t.withColumn("headings", heads).where("_has").withColumn("headings", F.transform(F.sort_array("headings"), lambda x: x["h"]))
     segment = F.explode(F.sequence(F.lit(0), F.element_at("_n", -1))).alias("segment")
     rows = rows.select("filing", "page_number", "line_no", "_t", "_n", "_above", "headings", segment)
     own = F.filter("_t", lambda x, i: F.get("_n", i) == F.col("segment"))
