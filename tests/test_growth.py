@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from veridex.functions.num import figure
-from veridex.operators import alignment, grids, line_items, ordered, pages, repair
+from veridex.operators import alignment, grids, line_items, ordered, pages, relations, repair, totals
 from veridex.sources.dealt import dealt
 
 
@@ -82,3 +82,16 @@ def test_printed_lines_are_joined_with_nothing(spark):
         (0, 0, "CURRENT ASSETS Note", [], ["2024"], []), (3, 0, "of the company", ["1,000", "2,000"], [], ["Other payables", "of the company"]),
         (4, 0, "Revenue", [], ["7", "1,000", "-"], []), (4, 1, "Cost of sales", [], ["8", "(5)"], []),
     ]
+
+
+def test_pairs_of_an_item_are_not_joined(spark):
+    rows = [("a", "x", 1, 2.0, 10.0), ("a", "x", 2, 15.0, 1.0), ("a", "x", 3, 1.0, 1.0), ("a", "x", 3, 2.0, 1.0), ("a", "y", 1, 1.0, 1.0), ("b", "x", 4, 7.0, 1.0), ("b", "x", 5, None, 1.0)]
+    out = relations.repeated_items(spark.createDataFrame(rows, "filing string, item string, table_no int, value double, scale double"), ["filing"])
+    assert "Join" not in _plan(out) and [tuple(r) for r in out.collect()] == [("a", "x", 1, 2, 5.0)]
+
+
+def test_tables_of_totals_are_sorted_without_a_comparator(spark):
+    """Tables of a batch are made lists by column; a null cell stays one."""
+    rows = [(k, i, label, True, [(v, v is not None)]) for k in ("a", "b") for i, (label, v) in enumerate((("x", 400.0), ("y", None), ("z", 300.0), ("total", 700.0)))]
+    out = totals.total_constraints(spark.createDataFrame(rows, "k string, place int, label string, amount boolean, cells array<struct<value:double,printed:boolean>>"), ["k"])
+    assert "lambda" not in _plan(out) and sorted((r.k, r.column, r.total, r.parts) for r in out.collect()) == [("a", 0, 3, [0, 2]), ("b", 0, 3, [0, 2])]
