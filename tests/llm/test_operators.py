@@ -538,3 +538,20 @@ def test_penalty_keeps_neutral_mentions_apart_from_toxic_ones(spark):
     more = spark.createDataFrame([(1, "we hate " * 20_000, 1, "x"), (1, "we hate " * 20_000, 2, "y"), (None, None, 3, None)], "doc_id long, text string, score int, predicted string")
     got = toxicity.toxicity_scores(more, fair).collect()
     assert len(got) == 3 and got[0].score == got[1].score and {x.predicted for x in got} <= {0, 1}
+
+
+@pytest.mark.parametrize("values", [[b"12345678"] * 5, [b"", b"ab", b"c", b"", b"de"], [b""] * 5, [b"ab", b"ab", b"abc", b"x", b"ab"]])
+@pytest.mark.parametrize("order", [1, -1])
+def test_tables_are_loaded_into_arrays_of_their_size(tmp_path, values, order):
+    """Values of one width need no offsets; others, and files out of order, are found too."""
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
+    from veridex.llm import dictionary
+
+    keys = [-7, 0, 3, 9, 12][::order]
+    for i, (lo, hi) in enumerate(((0, 2), (2, 5))):
+        pq.write_table(pa.table({"key": pa.array(keys[lo:hi], pa.int64()), "value": pa.array(values[lo:hi], pa.binary())}), tmp_path / f"part-{i}.parquet")
+    found = dictionary._load(f"file://{tmp_path}")
+    assert [found.value(p) for p in found.find(np.array(keys))] == values and found.find(np.array([4]))[0] == -1
+    assert isinstance(found.offsets, range) == (order == 1 and len(set(map(len, values))) == 1 and values[0] != b"")

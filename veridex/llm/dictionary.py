@@ -28,7 +28,7 @@ _LOADED: dict[str, "Lookup"] = {}
 class Lookup:
     """Sorted 64-bit keys with binary values."""
 
-    def __init__(self, keys: np.ndarray, offsets: np.ndarray, blob: bytes | memoryview):
+    def __init__(self, keys: np.ndarray, offsets: np.ndarray | range, blob: bytes | bytearray | memoryview):
         self.keys, self.offsets, self.blob = keys, offsets, blob
 
     @classmethod
@@ -64,22 +64,31 @@ def _load(path: str) -> Lookup:
     _LOADED.clear()
     fs, p = pafs.FileSystem.from_uri(path)
     files = sorted(f.path for f in fs.get_file_info(pafs.FileSelector(p)) if f.base_name.endswith(".parquet"))
-    keys, lengths, blobs = [np.empty(0, np.int64)], [np.zeros(1, np.int64)], []
-    for f in files:
-        for batch in pq.ParquetFile(fs.open_input_file(f)).iter_batches(1 << 17, columns=["key", "value"]):
-            values = batch.column(1).cast(pa.large_binary())
-            offsets = np.frombuffer(values.buffers()[1], np.int64, len(values) + 1, values.offset * 8)
-            keys.append(batch.column(0).to_numpy(zero_copy_only=False).copy())
-            lengths.append(np.diff(offsets))
-            blobs.append(bytes(memoryview(values.buffers()[2] or b"")[offsets[0] : offsets[-1]]))
-    found, ends = np.concatenate(keys), np.cumsum(np.concatenate(lengths))
-    del keys, lengths
-    blob = b"".join(blobs)
-    del blobs
-    if np.any(found[1:] < found[:-1]):
-        _LOADED[path] = Lookup.of(found, pa.Array.from_buffers(pa.large_binary(), len(found), [None, pa.py_buffer(ends.tobytes()), pa.py_buffer(blob)]))
+    # arrays of the table's own size are filled batch by batch: lists of parts, joined at the end, would be there twice
+    opened = [pq.ParquetFile(fs.open_input_file(f)) for f in files]
+    n, at, width, blob = sum(f.metadata.num_rows for f in opened), 0, None, bytearray()
+    keys, ends = np.empty(n, np.int64), None
+    for f in opened:
+        for batch in f.iter_batches(1 << 17, columns=["key", "value"]):
+            values = batch.column(1)
+            m, offsets = len(values), np.frombuffer(values.buffers()[1], np.int32, len(values) + 1, values.offset * 4)
+            keys[at : at + m] = batch.column(0).to_numpy(zero_copy_only=False)
+            widths = np.diff(offsets)
+            if ends is None and m and (width is not None and np.any(widths != width) or np.any(widths != widths[0])):  # values differ in length
+                ends = np.zeros(n + 1, np.int64)
+                ends[: at + 1] = np.arange(at + 1) * (width or 0)
+            elif width is None and m:
+                width = int(widths[0])
+            if ends is not None:
+                ends[at + 1 : at + m + 1] = len(blob) + (offsets[1:].astype(np.int64) - offsets[0])
+            blob += memoryview(values.buffers()[2] or b"")[offsets[0] : offsets[-1]]
+            at += m
+    offsets = ends if ends is not None else range(0, n * width + 1, width) if width else np.zeros(n + 1, np.int64)
+    if np.any(keys[1:] < keys[:-1]):
+        ends = np.asarray(offsets, np.int64)
+        _LOADED[path] = Lookup.of(keys, pa.Array.from_buffers(pa.large_binary(), n, [None, pa.py_buffer(ends.tobytes()), pa.py_buffer(blob)]))
     else:
-        _LOADED[path] = Lookup(found, ends, blob)
+        _LOADED[path] = Lookup(keys, offsets, blob)
     return _LOADED[path]
 
 
@@ -124,7 +133,7 @@ def resolve(docs: DataFrame, table: DataFrame, keys_of, finish, ddl: str, max_by
 
         return docs.mapInArrow(whole, ddl)
 
-    asked = pa.schema([("block", pa.string()), ("body", pa.binary()), ("keys", pa.list_(pa.int64()))])
+    asked = pa.schema([("block", pa.string()), ("body", pa.binary()), ("key", pa.int64())])
 
     def pack(batches):
         import uuid
@@ -134,11 +143,16 @@ def resolve(docs: DataFrame, table: DataFrame, keys_of, finish, ddl: str, max_by
             t = pa.table({"doc_id": pa.array([r[0] for r in rows], pa.int64()), "text": pa.array([r[1] for r in rows], pa.string())})
             with pa.ipc.new_stream(body, t.schema) as w:
                 w.write_table(t)
-            yield pa.RecordBatch.from_arrays([[uuid.uuid4().hex], pa.array([zstandard.compress(body.getvalue().to_pybytes(), 3)], pa.binary()), pa.array([keys_of(rows)], pa.list_(pa.int64()))], schema=asked)
+            name = uuid.uuid4().hex
+            yield pa.RecordBatch.from_arrays([[name], pa.array([zstandard.compress(body.getvalue().to_pybytes(), 3)], pa.binary()), pa.array([None], pa.int64())], schema=asked)
+            wanted = keys_of(rows)
+            # a row for each key: a reader of Parquet takes thousands of rows at once, which must not be thousands of whole lists
+            for part in (wanted[i : i + (1 << 16)] for i in range(0, len(wanted), 1 << 16)):
+                yield pa.RecordBatch.from_arrays([pa.array([name] * len(part)), pa.nulls(len(part), pa.binary()), pa.array(part, pa.int64())], schema=asked)
 
     # written once, so that a block is never dealt anew under another name
-    packed = materialize(docs.mapInArrow(pack, "block string, body binary, keys array<long>"), "blocks", "none")
-    need = packed.select(F.col("block").alias("at"), F.explode("keys").alias("key")).join(table, "key").select("at", "key", "value")
+    packed = materialize(docs.mapInArrow(pack, "block string, body binary, key long"), "blocks", "none")
+    need = packed.where("key is not null").select(F.col("block").alias("at"), "key").join(table, "key").select("at", "key", "value")
 
     def meet(left, right):
         for body in left["body"].to_pylist():
@@ -150,4 +164,4 @@ def resolve(docs: DataFrame, table: DataFrame, keys_of, finish, ddl: str, max_by
             out = list(finish(list(zip(*(c.to_pylist() for c in rows.columns))), Lookup.of(keys, values)))
             return pa.Table.from_batches(record_batches(out, schema), schema=schema)
 
-    return packed.select("block", "body").groupBy("block").cogroup(need.groupBy("at")).applyInArrow(meet, ddl)
+    return packed.where("body is not null").select("block", "body").groupBy("block").cogroup(need.groupBy("at")).applyInArrow(meet, ddl)

@@ -104,17 +104,19 @@ def code_lengths(grams: DataFrame) -> DataFrame:
         below = counts[level + 1].groupBy(F.col("key").bitwiseAND(mask(level)).alias("key")).agg(F.sum("c").alias("c"))
         counts[level] = materialize(below, f"ppm-{level}")
     nodes, masked = {}, {}
+    # the levels grow with the corpus, and their files are far smaller than their rows: none is sent whole to every executor
+    table = lambda df, level: df.hint("merge") if level > 1 else df
     for level in range(ORDER + 1):
         # what is left of the next shorter context once this one's followers are excluded
         if level:
             shorter = counts[level - 1].withColumnRenamed("key", "s").withColumnRenamed("c", "sc")
-            own = counts[level].withColumn("s", F.col("key").bitwiseAND(mask(level - 1))).join(shorter, "s")
+            own = counts[level].withColumn("s", F.col("key").bitwiseAND(mask(level - 1))).join(table(shorter, level - 1), "s")
             masked[level] = own.groupBy(ctx(F.col("key")).alias("x")).agg(F.sum("c").alias("t"), F.count("*").alias("d"), F.sum("sc").alias("gone"))
         else:
             masked[level] = counts[0].groupBy(F.lit(0).cast("long").alias("x")).agg(F.sum("c").alias("t"), F.count("*").alias("d"), F.count("*").alias("gone"))
         nodes[level] = materialize(masked[level], f"ppm-node-{level}")
     # the top order answers most grams
-    top = grams.select("key", F.when(F.col("n") > 0, F.col("n")).alias("c"), ctx(F.col("key")).alias("x")).join(nodes[ORDER], "x", "left")
+    top = grams.select("key", F.when(F.col("n") > 0, F.col("n")).alias("c"), ctx(F.col("key")).alias("x")).join(table(nodes[ORDER], ORDER), "x", "left")
     top = top.withColumn("lp", F.log10((F.col("c") - 0.5) / F.col("t")))
     top = materialize(top, "ppm-top")
     found = top.where("c is not null").select("key", "lp")
@@ -124,7 +126,7 @@ def code_lengths(grams: DataFrame) -> DataFrame:
     for level in range(ORDER - 1, -1, -1):
         symbol = F.col("key").bitwiseAND(mask(level))
         r = rest.withColumn("k", symbol).withColumn("x", ctx(symbol))
-        r = r.join(counts[level].withColumnRenamed("key", "k"), "k", "left").join(nodes[level].withColumnRenamed("gone", "gone_next"), "x", "left")
+        r = r.join(table(counts[level].withColumnRenamed("key", "k"), level), "k", "left").join(table(nodes[level].withColumnRenamed("gone", "gone_next"), level), "x", "left")
         left_t, left_d = F.coalesce("t", F.lit(0)) - F.col("gone"), F.coalesce("d", F.lit(0)) - F.col("gone_d")
         r = materialize(r.withColumn("w", left_t).withColumn("left_d", left_d), f"ppm-rest-{level}")
         parts.append(r.where("c is not null").select("key", (F.col("acc") + F.log10((F.col("c") - 0.5) / F.col("w"))).alias("lp")))
