@@ -95,3 +95,18 @@ def test_tables_of_totals_are_sorted_without_a_comparator(spark):
     rows = [(k, i, label, True, [(v, v is not None)]) for k in ("a", "b") for i, (label, v) in enumerate((("x", 400.0), ("y", None), ("z", 300.0), ("total", 700.0)))]
     out = totals.total_constraints(spark.createDataFrame(rows, "k string, place int, label string, amount boolean, cells array<struct<value:double,printed:boolean>>"), ["k"])
     assert "lambda" not in _plan(out) and sorted((r.k, r.column, r.total, r.parts) for r in out.collect()) == [("a", 0, 3, [0, 2]), ("b", 0, 3, [0, 2])]
+
+
+def test_filings_are_searched_many_to_a_batch(spark):
+    """Two wrong figures are found among filings that share a batch, one of them by another reading; a filing without cells finds none."""
+    # a + b = s, a - b = d, a + 2 b = e, where a and b are misread
+    terms = [(f, c, x, s, 1.0, False) for f in ("f", "g", "h") for c, of in (("s", (("a", 1.0), ("b", 1.0), ("s", -1.0))), ("d", (("a", 1.0), ("b", -1.0), ("d", -1.0))), ("e", (("a", 1.0), ("b", 2.0), ("e", -1.0)))) for x, s in of]
+    cells = [(f, x, raw, float(raw)) for f, a, b in (("f", "1800", "2800"), ("g", "1800", "7777")) for x, raw in (("a", a), ("b", b), ("b", b), ("s", "3800"), ("d", "-1200"), ("e", "6300"))]
+    readings = [("g", "b", 2500.0, "ocr"), ("h", "a", 1.0, "ocr"), ("z", "a", 1.0, "ocr")]
+    frames = spark.createDataFrame(terms, "filing string, constraint_id string, cell string, sign double, tolerance double, advisory boolean"), spark.createDataFrame(cells, "filing string, cell string, raw string, value double")
+    out = repair.pair_repairs(*frames)
+    assert "Group" not in _plan(out)
+    got = lambda df: sorted((r.filing, r.cell, r["from"], r.to) for r in df.collect())
+    assert got(out) == [("f", "a", 1800.0, 1300.0), ("f", "b", 2800.0, 2500.0)]
+    read = spark.createDataFrame(readings, "filing string, cell string, value double, source string")
+    assert got(repair.pair_repairs(*frames, read)) == [("f", "a", 1800.0, 1300.0), ("f", "b", 2800.0, 2500.0), ("g", "a", 1800.0, 1300.0), ("g", "b", 7777.0, 2500.0)]
