@@ -110,3 +110,14 @@ def test_filings_are_searched_many_to_a_batch(spark):
     assert got(out) == [("f", "a", 1800.0, 1300.0), ("f", "b", 2800.0, 2500.0)]
     read = spark.createDataFrame(readings, "filing string, cell string, value double, source string")
     assert got(repair.pair_repairs(*frames, read)) == [("f", "a", 1800.0, 1300.0), ("f", "b", 2800.0, 2500.0), ("g", "a", 1800.0, 1300.0), ("g", "b", 7777.0, 2500.0)]
+
+
+def test_candidates_of_single_repairs_are_tried_where_they_are_made(spark, monkeypatch):
+    """Of a read cell only what mends its open constraints is kept; an unread one keeps all, so that it is not solved beside its readings."""
+    counts, kept = {}, repair.written
+    monkeypatch.setattr(repair, "written", lambda df, name: counts.setdefault(name, kept(df, name)))
+    terms = [(f, c, x, s, 1.0, False) for f in ("f", "g") for c, of in (("s", (("a", 1.0), ("b", 1.0), ("s", -1.0))), ("d", (("a", 1.0), ("d", -1.0)))) for x, s in of]
+    cells = [(f, x, raw, v) for f, a, v in (("f", "1800", 1800.0), ("g", "18OO", None)) for x, raw, v in (("a", a, v), ("b", "500", 500.0), ("s", "1800", 1800.0), ("d", "1300", 1300.0))]
+    out = repair.single_repairs(spark.createDataFrame(terms, "filing string, constraint_id string, cell string, sign double, tolerance double, advisory boolean"), spark.createDataFrame(cells, "filing string, cell string, raw string, value double"))
+    assert sorted((r.filing, r.cell, r["from"], r.to) for r in out.collect()) == [("f", "a", 1800.0, 1300.0), ("g", "a", None, 1300.0)]
+    assert [(r.cell, r.candidate) for r in counts["repair-tries"].where("filing = 'f'").collect()] == [("a", 1300.0)]
