@@ -121,3 +121,19 @@ def test_candidates_of_single_repairs_are_tried_where_they_are_made(spark, monke
     out = repair.single_repairs(spark.createDataFrame(terms, "filing string, constraint_id string, cell string, sign double, tolerance double, advisory boolean"), spark.createDataFrame(cells, "filing string, cell string, raw string, value double"))
     assert sorted((r.filing, r.cell, r["from"], r.to) for r in out.collect()) == [("f", "a", 1800.0, 1300.0), ("g", "a", None, 1300.0)]
     assert [(r.cell, r.candidate) for r in counts["repair-tries"].where("filing = 'f'").collect()] == [("a", 1300.0)]
+
+
+def test_nested_totals_are_followed_within_their_filing(spark, monkeypatch):
+    """Pairs and what identities leave out come from one dealing of a filing, without joins or tables; a deep chain, a cycle, nulls."""
+    monkeypatch.setattr(relations, "written", None)
+    chain = [("a", i, i + 1) for i in range(1, 70)] + [("a", 1, 2), ("b", 1, 2), ("b", 2, 1), ("b", 3, 3), (None, 1, 2), (None, 2, 3), ("c", 1, None)]
+    parts = spark.createDataFrame(chain, "filing string, total long, part long")
+    tree = relations.descendants(parts, ["filing"])
+    assert "Join" not in _plan(tree)
+    got = sorted((r.filing or "", r.row, r.part) for r in tree.collect())
+    assert got == sorted([("a", i, j) for i in range(1, 71) for j in range(i, 71)] + [("b", i, j) for i in (1, 2) for j in (1, 2)] + [("", 1, 1), ("", 1, 2), ("", 2, 2), ("", 2, 3), ("", 3, 3)])
+    rows = spark.createDataFrame([(f, "B1", r, "x", 5.0) for f in ("a", None) for r in (1, 5, 70, 99, None)] + [("a", None, 5, "x", 5.0), ("a", "B1", 98, "authorised capital", 5.0), ("a", "B2", 5, "x", 5.0), ("a", "B1", 97, "x", 0.4)], "filing string, identity string, row long, label string, value double")
+    cells = spark.createDataFrame([("a", "B1", 5), (None, "B1", 5), ("a", None, 5), ("a", "B2", 200)], "filing string, identity string, row int")
+    out = relations.unaccounted(rows, cells, parts, ["filing"], "identity")
+    assert "Join" not in _plan(out) and out.columns == ["filing", "identity", "row"]
+    assert sorted(map(repr, map(tuple, out.collect()))) == sorted(map(repr, [("a", "B1", 99), ("a", "B1", None), ("a", None, 5), ("a", "B2", 5), *((None, "B1", r) for r in (1, 5, 70, 99, None))]))
