@@ -33,3 +33,17 @@ def test_columns_and_signs(spark):
     day = lambda p, m, kind="income": readings.column_problem(F.struct(F.lit(p).alias("period_end"), F.lit(m).alias("months")), F.lit(kind), F.lit("2025 and 2024"), F.lit("2025-06-30").cast("date"))
     got = spark.range(1).select(day("2025-06-30", 12), day("2025-06-30", 5), day("2023-06-30", 12), day("2024-13-01", 12), day("2024-06-30", None, "balance")).first()
     assert list(got) == [None, "no period length", "not in the heading", "not a date", None]
+
+
+def test_readings_of_a_page_are_dealt_out_once(spark, monkeypatch):
+    """Items, lines and columns meet where their page is; an item read twice breaks an identity once; a null key meets nothing."""
+    plans, kept = [], readings.written
+    monkeypatch.setattr(readings, "written", lambda df, name: plans.append(df._jdf.queryExecution().executedPlan().toString()) or kept(df, name))
+    lines = spark.createDataFrame([(f, "income", 1, i, t) for f in ("f", None) for i, t in enumerate(["Revenue 90", "Cost (30)", "Gross 70"])], "filing string, statement string, page int, line_no int, text string")
+    asked = [(f, k, v) for f in ("f", None) for k, v in (("revenue", "90"), ("revenue", "90"), ("cost_of_sales", "(30)"), ("gross_profit", "70"), ("other", "30"), ("none", "31"))]
+    r = spark.createDataFrame([(f, "income", k, [v], 1) for f, k, v in asked], "filing string, statement string, item string, values array<string>, n_columns int")
+    c = spark.createDataFrame([("f", "income", [("2025-06-30", 12)], "2025", datetime.date(2025, 6, 30), 1)], "filing string, statement string, columns array<struct<period_end: string, months: int>>, heading string, filed date, unit int")
+    good, bad = readings.verified(r, lines, c, ("cost_of_sales",), ())
+    assert [(x.filing, x.item, x.value) for x in good.collect()] == [("f", "other", 30.0)]
+    assert sorted((x.filing or "", x.item, x.reason) for x in bad.collect()) == sorted([("f", k, "breaks an identity") for k in ("revenue", "cost_of_sales", "gross_profit")] + [("f", "none", "a value is not on the page")] + [("", k, "a value is not on the page") for k in ("revenue", "revenue", "cost_of_sales", "gross_profit", "other", "none")])
+    assert len(plans) == 1 and plans[0].count("REPARTITION") == 2 and "ENSURE_REQUIREMENTS" not in plans[0]
