@@ -137,3 +137,18 @@ def test_nested_totals_are_followed_within_their_filing(spark, monkeypatch):
     out = relations.unaccounted(rows, cells, parts, ["filing"], "identity")
     assert "Join" not in _plan(out) and out.columns == ["filing", "identity", "row"]
     assert sorted(map(repr, map(tuple, out.collect()))) == sorted(map(repr, [("a", "B1", 99), ("a", "B1", None), ("a", None, 5), ("a", "B2", 5), *((None, "B1", r) for r in (1, 5, 70, 99, None))]))
+
+
+def test_runs_across_columns_meet_within_their_filing(spark, monkeypatch):
+    """Runs, cells and columns are dealt out once; a nil row above a run counts as far as a row with a figure, unless another run takes it."""
+    monkeypatch.setattr(relations, "written", None)
+    first = {1: 0.0, 2: 7.0, 3: 5.0, 4: 6.0, 5: 11.0}
+    cells = [(f, r, r, c, v if c == "a" else v + (9.0 if r == 5 else 0.0)) for f in ("f", "g", "h", None) for r, v in first.items() for c in ("a", "b")]
+    cells += [("g", 9, 2.5, "a", 0.0), ("g", 9, 2.5, "b", 4.0)]  # nil, directly above the run
+    cells += [("h", 9, 3.5, "a", None), ("h", 9, 3.5, "b", 4.0), ("h", 10, 20.0, "a", 1.0)]  # inside it, but taken by another run
+    frame = spark.createDataFrame([(f, r, float(p), c, v) for f, r, p, c, v in cells], "filing string, row int, place double, column string, value double")
+    runs = spark.createDataFrame([(f, "a", 5, [3, 4]) for f in ("f", "g", "h", None)] + [("h", "a", 10, [9]), ("f", "z", 5, [3])], "filing string, column string, total int, parts array<int>")
+    kept = spark.createDataFrame([(f, c) for f in ("f", "g", "h", None) for c in ("a", "b")], "filing string, column string")
+    out = relations.cross_column_failures(runs, frame, kept, ["filing"])
+    assert "Join" not in _plan(out) and out.columns == ["filing", "total", "column", "in_column", "residual"]
+    assert sorted(map(tuple, out.collect())) == [("f", 5, "a", "b", -9.0), ("h", 5, "a", "b", -9.0)]
