@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import math
 import random
+import re
 import zlib
 from collections import Counter, defaultdict
 
@@ -422,6 +423,13 @@ def test_t_occurrence_loses_no_component():
         assert joined(jaccard.t_occurrence(sets, 80)) == joined(every)
 
 
+def test_bpe_has_its_table_once_in_the_plan(docs):
+    path = P.path("byte_bpe_multi_50k.tiktoken")
+    entry = next(e for e in bpe.rank_map(bpe.pair_ranks(bpe.ranks_of(path)))[0] if e > 1 << 32)
+    plan = bpe.encode_documents(docs, path, P.PATTERN)._jdf.queryExecution().executedPlan().toString()
+    assert len(re.findall(rf"(?<![0-9]){entry}(?![0-9])", plan)) == 1  # the driver keeps the text of every plan
+
+
 @pytest.mark.parametrize("block, known", [(bpe.BLOCK_BYTES, bpe.KNOWN), (300, 40)])
 def test_bpe_equals_the_library(spark, docs, rows, empty, block, known):
     tiktoken = pytest.importorskip("tiktoken")

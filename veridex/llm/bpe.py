@@ -113,8 +113,8 @@ def _with(value: Column, body) -> Column:
 
 
 class Coder:
-    """Columns that encode and decode; the literals stand where they are used, as a bound one would be copied for every row,
-    and at few places, as the driver writes plans out as text.
+    """Columns that encode and decode.  The tables are one literal, bound once for a whole array of words (``each``): the driver
+    writes plans out as text and keeps them, and a task has its own copy of every literal.
 
     A part of a word is one number: the rank of what it makes with the next part, its first byte's place, its own id.  The
     least of the numbers is the leftmost pair of least rank.
@@ -125,12 +125,22 @@ class Coder:
             raise ValueError("ids need more bits")
         pairs = pair_ranks(ranks)
         table, self.bits = rank_map(pairs)
-        self.table, self.singles = _numbers(table), _numbers([ranks[bytes([b])] for b in range(256)])
+        singles = [ranks[bytes([b])] for b in range(256)]
         # rank of two bytes, by the bytes
-        self.doubles = _numbers([pairs.get(ranks[bytes([a])] << ID_BITS | ranks[bytes([b])], NONE) for a in range(256) for b in range(256)])
-        self.pieces = [""] * (max(ranks.values()) + 1)
+        doubles = [pairs.get(ranks[bytes([a])] << ID_BITS | ranks[bytes([b])], NONE) for a in range(256) for b in range(256)]
+        pieces = [""] * (max(ranks.values()) + 1)
         for token, rank in ranks.items():
-            self.pieces[rank] = token.hex()
+            pieces[rank] = token.hex()
+        self.tables = F.struct(_numbers(table).alias("table"), _numbers(singles).alias("singles"), _numbers(doubles).alias("doubles"), F.split(F.lit(",".join(pieces)), ",").alias("pieces"))
+
+    def each(self, words: Column, body) -> Column:
+        """``body`` of every word, for which the tables are bound once."""
+
+        def bound(tables: Column) -> Column:
+            self.table, self.singles, self.doubles, self.pieces = (tables[name] for name in ("table", "singles", "doubles", "pieces"))
+            return F.transform(words, body)
+
+        return _with(self.tables, bound)
 
     def rank(self, a: Column, b: Column) -> Column:
         """Rank of what two pieces make, NONE if that is no piece or one is missing."""
@@ -196,8 +206,7 @@ class Coder:
 
     def decode(self, ids: Column) -> Column:
         """Bytes of the ids: their pieces joined."""
-        pieces = F.split(F.lit(",".join(self.pieces)), ",")
-        return F.unhex(F.array_join(F.transform(ids, lambda i: F.get(pieces, i.cast("int"))), ""))
+        return F.unhex(F.array_join(F.transform(ids, lambda i: F.get(self.pieces, i.cast("int"))), ""))
 
 
 def _id(part: Column) -> Column:
@@ -211,7 +220,7 @@ def _place(part: Column) -> Column:
 def encode_words(words: Column, ranks: dict[bytes, int]) -> Column:
     """(ids joined by commas, decoded bytes) of each of an array of matches."""
     coder = Coder(ranks)
-    return F.transform(words, lambda w: _with(coder.encode(w), lambda ids: F.struct(F.array_join(ids, ",").alias("ids"), coder.decode(ids).alias("data"))))
+    return coder.each(words, lambda w: _with(coder.encode(w), lambda ids: F.struct(F.array_join(ids, ",").alias("ids"), coder.decode(ids).alias("data"))))
 
 
 @functools.lru_cache(4)
