@@ -152,3 +152,54 @@ def test_runs_across_columns_meet_within_their_filing(spark, monkeypatch):
     out = relations.cross_column_failures(runs, frame, kept, ["filing"])
     assert "Join" not in _plan(out) and out.columns == ["filing", "total", "column", "in_column", "residual"]
     assert sorted(map(tuple, out.collect())) == [("f", 5, "a", "b", -9.0), ("h", 5, "a", "b", -9.0)]
+
+
+def test_leases_use_the_state_once_a_batch():
+    """Messages to the state and to timers do not grow with the requests of a task; what is told and left is as by single requests."""
+    from pyspark.sql import Row
+
+    from veridex.streaming.leases import _Leases
+
+    class Handle:
+        def __init__(self):
+            self.value, self.timers, self.n = None, set(), 0
+
+        def getValueState(self, name, schema):
+            return self
+
+        def get(self):
+            self.n += 1
+            return self.value
+
+        def exists(self):
+            self.n += 1
+            return self.value is not None
+
+        def update(self, value):
+            self.n, self.value = self.n + 1, value
+
+        def clear(self):
+            self.n, self.value = self.n + 1, None
+
+        def registerTimer(self, at):
+            self.n += 1
+            self.timers.add(at)
+
+        def deleteTimer(self, at):
+            self.n += 1
+            self.timers.remove(at)
+
+    def told(batches):
+        handle = Handle()
+        leases = _Leases(10)
+        leases.init(handle)
+        out = [tuple(r) for rows in batches for r in leases.handleInputRows(("t",), iter(rows), None)]
+        return out, handle
+
+    # claims and results, some after the end of the lease before them, some at it
+    at = [0, 3, 5, 5, 15, 15, 26, 30, 36, 36, 50, 51, 52, 52, 70]
+    rows = [Row(millis=a, event_id=i, kind="result" if i % 3 == 2 else "claim") for i, a in enumerate(at)]
+    together, one = told([rows[::-1]])
+    singly, other = told([[r] for r in rows])
+    assert together == singly and {o for _, _, _, o in together} == {"granted", "busy", "accepted", "lease_lost", "expired"}
+    assert (one.value, one.timers) == (other.value, other.timers) and one.n <= 4 < other.n

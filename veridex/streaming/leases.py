@@ -5,19 +5,21 @@ from __future__ import annotations
 from collections.abc import Iterator
 from typing import Any
 
-import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 #: Fixed value: minutes that a lease lasts.
 LEASE_MINUTES = 30
 _ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-OUT = "task string, event_id long, at timestamp, outcome string"
+OUT = "task string, event_id long, millis long, outcome string"
 
 
 class _Leases(StatefulProcessor):
-    """State: the end of a task's live lease, in milliseconds."""
+    """State: the end of a task's live lease, in milliseconds.
+
+    Every use of the state or a timer is a message to the JVM and back, so a batch reads its task's lease once and writes the one it leaves.
+    """
 
     def __init__(self, millis: int):
         self.millis = millis
@@ -26,42 +28,43 @@ class _Leases(StatefulProcessor):
         self.handle = handle
         self.lease = handle.getValueState("lease", "until long")
 
-    def _end(self, until: int) -> None:
-        self.lease.clear()
-        self.handle.deleteTimer(until)
+    def _leave(self, before: int | None, until: int | None) -> None:
+        if before == until:
+            return
+        if before is not None:
+            self.handle.deleteTimer(before)
+        if until is None:
+            self.lease.clear()
+        else:
+            self.lease.update((until,))
+            self.handle.registerTimer(until)
 
-    def handleInputRows(self, key: Any, rows: Iterator[pd.DataFrame], timerValues: Any) -> Iterator[pd.DataFrame]:
-        events = sorted((int(r.millis), int(r.event_id), r.kind) for part in rows for r in part.itertuples())
-        until, out = self.lease.get()[0] if self.lease.exists() else None, []
+    def handleInputRows(self, key: Any, rows: Iterator[Row], timerValues: Any) -> Iterator[Row]:
+        events = sorted((r["millis"], r["event_id"], r["kind"]) for r in rows)
+        held, out = self.lease.get(), []
+        until = before = None if held is None else held[0]
         for at, event, kind in events:
             if until is not None and at >= until:
-                out.append((event, until, "expired"))
-                self._end(until)
+                out.append((None, until, "expired"))
                 until = None
             if kind == "claim" and until is None:
                 until = at + self.millis
-                self.lease.update((until,))
-                self.handle.registerTimer(until)
                 out.append((event, at, "granted"))
             elif kind == "claim":
                 out.append((event, at, "busy"))
             elif until is not None:
-                self._end(until)
                 until = None
                 out.append((event, at, "accepted"))
             else:
                 out.append((event, at, "lease_lost"))
-        yield self._frame(key, [(None if o == "expired" else e, a, o) for e, a, o in out])
+        self._leave(before, until)
+        return (Row(task=key[0], event_id=e, millis=a, outcome=o) for e, a, o in out)
 
-    def handleExpiredTimer(self, key: Any, timerValues: Any, expiredTimerInfo: Any) -> Iterator[pd.DataFrame]:
-        until = expiredTimerInfo.getExpiryTimeInMs()
-        if self.lease.exists() and self.lease.get()[0] == until:
+    def handleExpiredTimer(self, key: Any, timerValues: Any, expiredTimerInfo: Any) -> Iterator[Row]:
+        until, held = expiredTimerInfo.getExpiryTimeInMs(), self.lease.get()
+        if held is not None and held[0] == until:
             self.lease.clear()
-            yield self._frame(key, [(None, until, "expired")])
-
-    @staticmethod
-    def _frame(key: Any, out: list[tuple]) -> pd.DataFrame:
-        return pd.DataFrame({"task": [key[0]] * len(out), "event_id": pd.array([e for e, _, _ in out], dtype="Int64"), "at": pd.to_datetime([a for _, a, _ in out], unit="ms"), "outcome": [o for _, _, o in out]})
+            yield Row(task=key[0], event_id=None, millis=until, outcome="expired")
 
     def close(self) -> None:
         pass
@@ -76,7 +79,8 @@ def leases(requests: DataFrame, minutes: int = LEASE_MINUTES, delay: str = "1 ho
     """
     timed = requests.select(F.col("task").cast("string").alias("task"), "event_id", F.col("at").cast("timestamp").alias("at"), "kind").withWatermark("at", delay)
     keyed = timed.withColumn("millis", F.unix_millis("at")).groupBy("task")
-    return keyed.transformWithStateInPandas(statefulProcessor=_Leases(minutes * 60_000), outputStructType=OUT, outputMode="Append", timeMode="EventTime")
+    told = keyed.transformWithState(statefulProcessor=_Leases(minutes * 60_000), outputStructType=OUT, outputMode="Append", timeMode="EventTime")
+    return told.select("task", "event_id", F.timestamp_millis("millis").alias("at"), "outcome")
 
 
 def with_rocks(spark: SparkSession, start):
