@@ -203,3 +203,13 @@ def test_leases_use_the_state_once_a_batch():
     singly, other = told([[r] for r in rows])
     assert together == singly and {o for _, _, _, o in together} == {"granted", "busy", "accepted", "lease_lost", "expired"}
     assert (one.value, one.timers) == (other.value, other.timers) and one.n <= 4 < other.n
+
+
+def test_cells_pass_few_windows(spark):
+    """Each window copies every cell of a table: what one step needs of a table or a column is one window."""
+    import re
+
+    cells = spark.createDataFrame([(1, 1, 0, 0, 0, 1, "x", False)], "filing int, page int, table_no int, row int, col int, col_span int, text string, column_header boolean")
+    plan = _plan(grids.statement_rows(dealt(cells, "filing"), headers=False))
+    below = plan[plan.index("\n", plan.index("Aggregate [filing")) :]
+    assert len(re.findall(r"Window \[", below)) <= 7
