@@ -5,6 +5,7 @@ import datetime
 from pyspark.sql import functions as F
 
 from veridex.functions import dates, num, text
+from veridex.operators import repair
 
 
 def one(spark, **columns):
@@ -41,3 +42,17 @@ def test_dates_and_times(spark):
 def test_text(spark):
     r = one(spark, a=text.label(F.lit(" 12 (a) Stock -in - Trade: Long-Term’s ")), b=text.common_subsequence(F.lit("12345"), F.lit("1x3x5")), c=text.words_alike(F.lit("inventory"), F.lit("inventary")), d=text.token_on_line(F.lit("total 1,234"), F.lit("234")), e=text.token_on_line(F.lit("total 1,234"), F.lit("1,234")), g=text.html_to_text(F.lit("<p>a&amp;b</p><script>x</script><td>c</td>")))
     assert r == {"a": "(a) stock - in - trade long-term's", "b": 3, "c": True, "d": False, "e": True, "g": "a&b\nc"}
+
+
+def test_digits_are_misread_as_numbers(spark):
+    """Without texts what texts give, in their order; what no value of their own prints keeps the longer way."""
+    raws = ["0", "7", "00", "10", "0381", "1123", "5566", "90000", "100200300", "271828182845904", "314159265358979"]
+    df = spark.createDataFrame([(r, int(r)) for r in raws], "raw string, v long")
+    texts = F.filter(F.array_distinct(F.transform(num.misreadings(F.col("raw")), num.figure)), lambda x: x.isNotNull() & (x != F.col("v")))
+    numbers = F.filter(F.array_distinct(num.misread_numbers(F.col("v"), F.length("raw")).cast("array<double>")), lambda x: x != F.col("v"))
+    for r in df.select("raw", texts.alias("texts"), numbers.alias("numbers")).collect():
+        assert r.texts == r.numbers, r.raw
+    others = spark.createDataFrame([("12", 13.0), ("12", None), ("1,2", 12.0), ("12\n", 12.0), ("1234567890123456", 1234567890123456.0), (None, 1.0), ("", None)], "raw string, value double")
+    texts = F.filter(F.array_distinct(F.transform(num.misreadings(F.col("raw")), num.figure)), lambda x: x.isNotNull() & ~x.eqNullSafe(F.col("value")))
+    for r in others.select("raw", texts.alias("texts"), repair.tries(F.col("raw"), F.col("value")).alias("got")).collect():
+        assert r.texts == r.got, r.raw
